@@ -70,7 +70,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import dedup_substrings
 
-    return dedup_substrings(table(spark, sf_dir, "documents"), window=35)
+    return dedup_substrings(table(spark, sf_dir, "documents"), window=35).drop("kept_text")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +95,46 @@ _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+#: Runs of characters between ASCII white space, in order.
+_WORDS = r"list_filter(string_split_regex(coalesce({}, ''), '[\x09-\x0d\x20]+'), lambda w: w <> '')"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_near_dedup": f"""
+            WITH RECURSIVE w AS (
+              SELECT doc_id, {_WORDS.format(_LOWER.format("text"))} AS ws FROM documents
+            ), s AS (
+              SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS sh FROM w
+            ), n AS (
+              SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+            ), p AS (
+              SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2
+            ), e AS (
+              SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+            ), r AS (
+              SELECT doc_id AS src, doc_id AS dst FROM w UNION SELECT r.src, e.y FROM r JOIN e ON r.dst = e.x
+            ), c AS (
+              SELECT src AS doc_id, min(dst) AS component_id FROM r GROUP BY src
+            )
+            SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
+        "op9_substring_dedup": f"""
+            WITH w AS (
+              SELECT doc_id, {_WORDS.format("text")} AS ws FROM documents
+            ), s AS (
+              SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, unnest(list_transform(range(1, len(ws) - 33), lambda i: md5(array_to_string(ws[i:i + 34], ' ')))) AS h
+              FROM w WHERE len(ws) >= 35
+            ), g AS (
+              SELECT DISTINCT doc_id, i + unnest(range(35)) AS j FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)
+            ), v AS (
+              SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM w
+            ), k AS (
+              SELECT v.doc_id, count(*) FILTER (g.j IS NOT NULL) AS lost, string_agg(v.word, ' ' ORDER BY v.j) FILTER (g.j IS NULL) AS kept
+              FROM v LEFT JOIN g ON v.doc_id = g.doc_id AND v.j = g.j GROUP BY v.doc_id
+            )
+            SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(lost, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+            FROM w LEFT JOIN k ON w.doc_id = k.doc_id""",
         "op1_top_k_search": """
             WITH v AS (
               SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings

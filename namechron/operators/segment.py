@@ -50,7 +50,7 @@ def segment(pages: list[tuple[int, str]]) -> tuple[list[dict], list[dict]]:
         else:
             rejected.append({"buchseite": page_of(anchor.start()), "rohtext": (window[-80:] + mark).strip()})
         before = anchor.end()
-    ends = [f.start for f in found[1:]] + [len(whole)]
+    ends = [f.start for f in found[1:]] + [len(whole)] * bool(found)
     entries = [{"lemma_roh": f.lemma, "rumpf": whole[f.body : end].strip(), "buchseite": page_of(f.start), "hinweise": f.hints} for f, end in zip(found, ends, strict=True)]
     return entries, rejected
 

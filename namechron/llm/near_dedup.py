@@ -7,18 +7,18 @@
    0.85 with 1e-9). A node with fewer than MATCHES postings shared with anyone has no partner; of
    the others only the prefix counts: the rarest postings, all but MATCHES - 1. A pair with enough
    matches must meet within both prefixes, so frequent values are skipped.
-3. Star rounds: in a posting list, members outside the largest component are compared with one
-   member of it. Then every remaining pair of a prefix list whose ends lie in different components
-   is compared: first by counting collisions of whole signatures, then on full shingle sets.
+3. Each posting list names its most central member, and each node joins the group of the member
+   that most of its lists name. Within a group all sets are compared; then within each list that
+   still holds several components and lies in several groups. Large groups fall into blocks, and
+   each pair of blocks is a task of bounded size that returns no more links than it has members.
 
-Links are confirmed on full sets. Pairs within a component are never written out, and no list,
-component or fingerprint is collected on the driver.
+Links are confirmed on full sets. No pairs are written out but links that join components, and no
+list, component or fingerprint is collected on the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +30,8 @@ from ._common import materialize
 from ._words import WordHashes, mixed, runs, words_of
 
 COORDINATES, MATCHES = 32, 12
-#: Star rounds at most; one that leaves over this share of the outside members is the last.
-STARS, WORTHWHILE = 5, 0.7
-#: Shingle sets that a task keeps while it compares.
-SETS = 128
+#: Members of a group that are compared as one block.
+BLOCK = 512
 BASE = 0x9E3779B97F4A7C15
 
 _random = np.random.default_rng(8)
@@ -83,11 +81,15 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
-    """node and token of each posting in a prefix: the rarest shared postings, all but MATCHES - 1."""
+    """node, token and score of each posting in a prefix: the rarest shared postings, all but MATCHES - 1.
+
+    A node's score is the total length of its shared posting lists: high for what others are copies of.
+    """
     postings = nodes.select("node", F.posexplode("signature").alias("i", "value")).select("node", F.xxhash64("i", "value").alias("token"))
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranked = postings.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))  # at most COORDINATES
-    return ranked.where(F.size("own") >= MATCHES).select("node", F.explode(F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))).alias("p")).select("node", F.col("p.token").alias("token"))
+    ranked = postings.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"), F.sum("n").alias("score"))  # at most COORDINATES
+    prefix = F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))
+    return ranked.where(F.size("own") >= MATCHES).select("node", "score", F.explode(prefix).alias("p")).select("node", "score", F.col("p.token").alias("token"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -106,35 +108,62 @@ def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return met.mapInArrow(run, "node binary, text string").dropDuplicates(["node"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of rows (a, b, a_part, b_part), the parts of pairs whose full sets reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sets = WordHashes(), OrderedDict()
-
-        def of(node: bytes, text: str) -> np.ndarray:
-            if node in sets:
-                sets.move_to_end(node)
-                return sets[node]
-            sets[node] = shingles(text, words, hashes)
-            if len(sets) > SETS:
-                sets.popitem(last=False)
-            return sets[node]
+def joining_links(sets: list[np.ndarray], parts: list[bytes], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:
+    """Index pairs of sets at the threshold that join parts, in one pass over the members.
 
-        for batch in batches:
-            kept = []
-            for i, (a, b, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True)):
-                p, q = of(a, x), of(b, y)
-                if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
-                    continue
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                if 100 * both >= percent * (len(p) + len(q) - both):
-                    kept.append(i)
-            yield batch.select(["a_part", "b_part"]).take(pa.array(kept, pa.int64()))
+    Each member meets all later members that aren't in its part by then; with ``sides`` only those
+    of the other side.
+    """
+    n = len(sets)
+    names = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    part = np.array([names[p] for p in parts])
+    sizes = np.array([len(s) for s in sets])
+    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    side = None if sides is None else np.array(sides)
+    marked = np.zeros(len(vocabulary), bool)
+    out = []
+    for i in range(n - 1):
+        fits = (part[i + 1 :] != part[i]) & (100 * np.minimum(sizes[i + 1 :], sizes[i]) >= percent * np.maximum(sizes[i + 1 :], sizes[i]))
+        if side is not None:
+            fits &= side[i + 1 :] != side[i]
+        others = np.flatnonzero(fits) + i + 1
+        if not len(others):
+            continue
+        own = ids[starts[i] : starts[i + 1]]
+        marked[own] = True
+        for a in range(0, len(others), BLOCK):
+            some = others[a : a + BLOCK]
+            hits = marked[np.concatenate([ids[starts[j] : starts[j + 1]] for j in some])]
+            both = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(sizes[some])[:-1])), dtype=np.int64)
+            for j in some[100 * both >= percent * (sizes[some] + sizes[i] - both)]:
+                if part[j] != part[i]:
+                    out.append((i, int(j)))
+                    part[part == part[j]] = part[i]
+        marked[own] = False
+    return out
+
+
+def _links(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """a_part and b_part of links that join parts within each group of ``members`` (group, node, part)."""
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    blocks = sizes.select("group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a block meets itself in one cell and each other block in one more
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    cells = placed.select("group", "node", "part", "block", other).select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "part", "block")
+
+    def run(cell: pa.Table) -> pa.Table:
+        hashes = WordHashes()
+        parts = cell["part"].to_pylist()
+        links = []
+        if len(set(parts)) > 1:
+            sets = [shingles(t, words, hashes) for t in cell["text"].to_pylist()]
+            split = cell["i"][0].as_py() != cell["j"][0].as_py()
+            links = joining_links(sets, parts, cell["block"].to_pylist() if split else None, percent)
+        return pa.table({"a_part": pa.array([parts[i] for i, _ in links], pa.binary()), "b_part": pa.array([parts[j] for _, j in links], pa.binary())})
 
-    with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-    with_both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-    return with_both.mapInArrow(run, "a_part binary, b_part binary")
+    return cells.join(texts, "node").groupBy("group", "i", "j").applyInArrow(run, "a_part binary, b_part binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -174,24 +203,17 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(moved.select("node", F.coalesce("root", "part").alias("part")), "labels")
 
 
-def _open_lists(prefixes: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Postings (token, node, part) of lists with several parts; the largest part and a member of it."""
-    members = prefixes.join(labels, "node")
-    parts = members.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node"))).alias("pick"))
-    largest = parts.groupBy("token").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "part", "pick.node")).alias("top")).where("parts > 1")
-    return members.join(largest.select("token", F.col("top.part").alias("top_part"), F.col("top.node").alias("center")), "token")
+def _open_lists(members: DataFrame) -> DataFrame:
+    """Postings of ``members`` (token, node, part, ...) in lists of several parts."""
+    several = members.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return members.join(several.select("token"), "token", "left_semi")
 
 
-def _crossing(lists: DataFrame, signatures: DataFrame) -> DataFrame:
-    """All pairs of a list between different parts that agree in MATCHES coordinates or more."""
-    outside = lists.where("part <> top_part").select("token", F.col("node").alias("a"), F.col("part").alias("a_part"))
-    others = lists.select("token", F.col("node").alias("b"), F.col("part").alias("b_part"), (F.col("part") == F.col("top_part")).alias("inside"))
-    met = outside.join(others, "token").where("a_part <> b_part and (inside or a < b)")
-    ordered = met.select(*[F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_part", "b_part"), ("b_part", "a_part"))]).distinct()
-    left = signatures.select(F.col("node").alias("a"), F.col("signature").alias("a_signature"))
-    right = signatures.select(F.col("node").alias("b"), F.col("signature").alias("b_signature"))
-    equal = F.size(F.filter(F.zip_with("a_signature", "b_signature", lambda x, y: x == y), lambda same: same))
-    return ordered.join(left, "a").join(right, "b").where(equal >= MATCHES).select("a", "b", "a_part", "b_part")
+def _groups(lists: DataFrame) -> DataFrame:
+    """node and group: the most central member of a list, as most lists of the node name it."""
+    centers = lists.groupBy("token").agg(F.max(F.struct("score", "node")).alias("top")).select("token", F.col("top.node").alias("group"), F.col("top.score").alias("weight"))
+    votes = lists.join(centers, "token").groupBy("node", "group").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
+    return votes.groupBy("node").agg(F.max(F.struct("n", "weight", "group")).alias("best")).select("node", F.col("best.group").alias("group"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -210,25 +232,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     nodes = materialize(grouped, "nodes")
     prefixes = materialize(_prefixes(nodes), "prefixes")
     labels = materialize(prefixes.select("node").distinct().select("node", F.col("node").alias("part")), "labels")
-    candidates = nodes.join(labels.select("node"), "node", "left_semi")
+    lists = _open_lists(prefixes.join(labels, "node"))
+    groups = materialize(_groups(lists), "groups")
+    candidates = nodes.join(groups, "node", "left_semi")
     texts = materialize(_texts(docs, candidates.select("node", "first"), words), "texts")
-    last = None
-    for turn in range(STARS + 1):
-        lists = materialize(_open_lists(prefixes, labels, turn), "lists")
-        outside = lists.where("part <> top_part")
-        left = outside.count()
-        if not left:
-            break
-        if turn == STARS or last is not None and left > WORTHWHILE * last:
-            pairs = _crossing(lists, candidates.select("node", "signature"))
-            labels = _relabelled(labels, materialize(_links(pairs, texts, words, percent), "links"))
-            break
-        last = left
-        centers = lists.select(F.col("center"), F.col("top_part")).distinct()
-        votes = outside.groupBy("node", "part", "center").agg(F.count(F.lit(1)).alias("n"))
-        best = votes.groupBy("node", "part").agg(F.max(F.struct("n", "center")).alias("best")).select("node", "part", F.col("best.center").alias("center"))
-        pairs = best.join(centers, "center").select(F.col("node").alias("b"), F.col("part").alias("b_part"), F.col("center").alias("a"), F.col("top_part").alias("a_part"))
-        labels = _relabelled(labels, materialize(_links(pairs, texts, words, percent), "links"))
+    labels = _relabelled(labels, materialize(_links(groups.join(labels, "node"), texts, words, percent), "links"))
+    lists = _open_lists(prefixes.join(labels, "node").join(groups, "node"))
+    uncovered = lists.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
+    rest = lists.join(uncovered, "token", "left_semi").select(F.col("token").alias("group"), "node", "part")
+    labels = _relabelled(labels, materialize(_links(rest, texts, words, percent), "links"))
     firsts = labels.join(nodes.select("node", "first"), "node")
     smallest = firsts.groupBy("part").agg(F.min("first").alias("component_id"))
     of_node = nodes.select("node", "first").join(firsts.select("node", "part"), "node", "left").join(smallest, "part", "left")

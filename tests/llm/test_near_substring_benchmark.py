@@ -39,8 +39,9 @@ def _shingles(text, n):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 85), (5, 80)])
-def test_near_duplicates(spark, n, percent):
+@pytest.mark.parametrize(("n", "percent", "block"), [(3, 85, 512), (5, 80, 7)])
+def test_near_duplicates(spark, n, percent, block, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     docs = _corpus()
     sets = {i: _shingles(t, n) for i, t in docs}
     root = {i: i for i in sets}

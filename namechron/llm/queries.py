@@ -147,6 +147,15 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
             FROM s QUALIFY rank <= 5""",
+        "op3_warc": """
+            WITH d AS (
+              SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+            ), b AS (
+              SELECT page_id, payload_bytes, h, array_to_string(list_transform(range(0, 160, 5), lambda i:
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, CAST(i // 20 * 5 + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - i % 20 AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest,
+                min(page_id) OVER (PARTITION BY h) AS first FROM d
+            )
+            SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to FROM b""",
         "op4_line_dedup": f"""
             WITH l AS (
               SELECT doc_id, pos, line, {_LOWER.format(f"trim(line, {_SPACE})")} AS key

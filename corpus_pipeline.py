@@ -21,7 +21,7 @@ from namechron.llm.queries import BPE_RANKS
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text whose best language is less likely than this is in none of the learned languages.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -20,7 +21,9 @@ from pyspark.sql import DataFrame
 from ._common import chunks
 
 #: Most words and chunks that one Python worker keeps; beyond it the caches start anew.
-CACHE = 300_000
+CACHE = 500_000
+#: Pairs of tokens whose rank one Python worker keeps.
+PAIRS = 500_000
 #: Characters of one document that are split at a time.
 PIECE = 1 << 20
 
@@ -37,86 +40,89 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.first = [ranks[bytes([b])] for b in range(256)]
-        self.joined: dict[tuple[int, int], int] = {}
-
-    def _rank(self, a: int, b: int) -> int:
-        """Rank of the token that two neighbours make, or -1."""
-        found = self.joined.get((a, b))
-        if found is None:
-            if len(self.joined) > CACHE:
-                self.joined.clear()
-            found = self.joined[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return found
+        self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        #: Rank of the token that two bytes make, or -1; row and column 256 stand for a word's end.
+        self.of_bytes = np.full((257, 257), -1, np.int64)
+        self.of_bytes[:256, :256] = [[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
+        self.joined: dict[int, int] = {}
+
+    def _start(self, words: list[bytes]) -> tuple[list[int], list[int], dict[int, list[int]]]:
+        """Symbols (-1 ends a word), the rank of each place's pair, and the index from rank to places in order."""
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        inside = np.ones(ends[-1] + 1, bool)
+        inside[ends] = False
+        data = np.full(len(inside), 256)
+        data[inside] = np.frombuffer(b"".join(words), np.uint8)
+        symbols = np.where(inside, self.first[data.clip(max=255)], -1)
+        pair = np.append(self.of_bytes[data[:-1], data[1:]], -1)
+        places = np.flatnonzero(pair >= 0)
+        places = places[np.argsort(pair[places], kind="stable")]
+        found, starts = np.unique(pair[places], return_index=True)
+        lists = np.split(places, starts[1:])
+        return symbols.tolist(), pair.tolist(), {r: p.tolist() for r, p in zip(found.tolist(), lists, strict=False)}
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word; an empty word has none."""
-        rank_of, first = self._rank, self.first
-        symbols: list[int] = []  # -1 ends a word
-        starts = []
-        for word in words:
-            starts.append(len(symbols))
-            if (whole := self.ranks.get(word)) is not None:
-                symbols.append(whole)
-            else:
-                symbols.extend([first[b] for b in word])
-            symbols.append(-1)
+        whole = [self.ranks.get(w) for w in words]
+        open_words = [w for w, r in zip(words, whole, strict=True) if r is None and w]
+        replayed = iter(self._replay(open_words) if open_words else [])
+        return [[r] if r is not None else next(replayed) if w else [] for w, r in zip(words, whole, strict=True)]
+
+    def _replay(self, words: list[bytes]) -> list[list[int]]:
+        if len(self.joined) > PAIRS:
+            self.joined.clear()
+        joined, tokens, ranks = self.joined, self.tokens, self.ranks
+        symbols, pair, index = self._start(words)
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
-        gone = bytearray(len(symbols))
-        pair = [-1] * len(symbols)
-        index: dict[int, list[int]] = {}
-        for i in range(len(symbols) - 1):
-            a, b = symbols[i], symbols[i + 1]
-            if a >= 0 and b >= 0 and (r := rank_of(a, b)) >= 0:
-                pair[i] = r
-                index.setdefault(r, []).append(i)
-        queue = list(index)
-        heapq.heapify(queue)
+        queue = sorted(index)
+        push, pop = heapq.heappush, heapq.heappop
         while queue:
-            r = heapq.heappop(queue)
+            r = pop(queue)
             places = index.pop(r, None)
             if places is None:
                 continue
             places.sort()
             for n, i in enumerate(places):
-                if gone[i] or pair[i] != r:
+                if pair[i] != r:
                     continue
                 j = after[i]
                 k = after[j]
-                symbols[i], gone[j], after[i], before[k] = r, 1, k, i
+                symbols[i], after[i], before[k], pair[j] = r, k, i, -1
                 lower = False
-                x = rank_of(r, symbols[k]) if symbols[k] >= 0 else -1
-                pair[i] = x
-                if x >= 0:
-                    if x not in index:
-                        index[x] = []
-                        heapq.heappush(queue, x)
-                    index[x].append(i)
-                    lower = x < r
-                h = before[i]
-                if h >= 0 and symbols[h] >= 0:
-                    x = rank_of(symbols[h], r)
-                    pair[h] = x
+                for at, a, b in ((i, r, symbols[k]), (before[i], symbols[before[i]], r)):
+                    if at < 0 or a < 0 or b < 0:
+                        if at == i:
+                            pair[i] = -1
+                        continue
+                    both = a << 20 | b
+                    x = joined.get(both)
+                    if x is None:
+                        x = joined[both] = ranks.get(tokens[a] + tokens[b], -1)
+                    pair[at] = x
                     if x >= 0:
-                        if x not in index:
-                            index[x] = []
-                            heapq.heappush(queue, x)
-                        index[x].append(h)
-                        lower = lower or x < r
+                        own = index.get(x)
+                        if own is None:
+                            index[x] = [at]
+                            push(queue, x)
+                        else:
+                            own.append(at)
+                        if x < r:
+                            lower = True
                 if lower and n + 1 < len(places):  # an earlier rank has come up: it goes first
                     if r not in index:
                         index[r] = []
-                        heapq.heappush(queue, r)
+                        push(queue, r)
                     index[r].extend(places[n + 1 :])
                     break
-        out = []
-        for start in starts:
-            ids, i = [], start
-            while symbols[i] >= 0:
-                ids.append(symbols[i])
-                i = after[i]
+        out, i = [], 0
+        for word in words:
+            ids, at = [], i
+            while symbols[at] >= 0:
+                ids.append(symbols[at])
+                at = after[at]
             out.append(ids)
+            i += len(word) + 1
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -155,8 +161,12 @@ class Encoder:
         if len(self.words) + len(new) > CACHE:
             self.words = {}
             new = list(words)
-        for w, ids in zip(new, self.replay.encode([w.encode() for w in new]), strict=True):
-            self.words[w] = b"".join(i.to_bytes(4, "little") for i in ids)
+        ids = self.replay.encode([w.encode() for w in new])
+        packed = np.array([i for own in ids for i in own], "<u4").tobytes()
+        at = 0
+        for w, own in zip(new, ids, strict=True):
+            self.words[w] = packed[at : at + 4 * len(own)]
+            at += 4 * len(own)
 
     def _prepare(self, texts: list[str]) -> None:
         """Bring all chunks of ``texts`` into the cache by one merge replay."""

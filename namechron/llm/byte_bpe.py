@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from ._common import chunks
 
 #: Most words and chunks that one Python worker keeps; beyond it the caches start anew.
-CACHE = 500_000
+CACHE = 300_000
 #: Pairs of tokens whose rank one Python worker keeps.
-PAIRS = 500_000
+PAIRS = 200_000
 #: Characters of one document that are split at a time.
 PIECE = 1 << 20
 

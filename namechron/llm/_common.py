@@ -42,6 +42,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with at least one HOT_KEYS-th of all counted rows is hot, so there are at most this many.
+HOT_KEYS = 2048
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``, which has each key once and in ``n`` its number of rows.
+
+    Hot keys, at most HOT_KEYS of them whatever the input, are broadcast, so that their rows stay
+    where they are; all others are shuffled, and no task gets more than a small share of one key.
+    ``keyed`` is read three times and must be stored.
+    """
+    total = keyed.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(keyed.where(F.col("n") * HOT_KEYS >= total).drop("n"))
+    cold = keyed.where(F.col("n") * HOT_KEYS < total).drop("n")
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

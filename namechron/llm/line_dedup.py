@@ -3,7 +3,8 @@
 Line hashes are range-partitioned by (hash, document) and sorted within by position, so a hash
 that a third of all documents share still spreads over many partitions. A window streams the first
 occurrence of each hash in each document; counts and the keeping document come from a grouped
-aggregate that combines before its shuffle. The result is one small keep bitmap per document that
+aggregate that combines before its shuffle. Lines meet the repeated hashes where they lie if these
+are frequent, else by a shuffle. The result is one small keep bitmap per document that
 loses a line; texts only meet the bitmaps at the very end.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import ASCII_SPACE, ascii_lower, materialize, shuffle_partitions
+from ._common import ASCII_SPACE, ascii_lower, join_counted, materialize, shuffle_partitions
 
 #: Bits in one word of a bitmap.
 WORD = 64
@@ -51,19 +52,18 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
         "line-hashes",
     )
     in_doc = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")
-    firsts = (
+    ranked = (
         lines.select("h1", "h2", "doc_id", "pos")
         .repartitionByRange(shuffle_partitions(spark), "h1", "h2", "doc_id")
         .withColumn("rank", F.row_number().over(in_doc))
-        .where("rank = 1")
     )
     repeated = (
-        firsts.groupBy("h1", "h2")
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
+        ranked.groupBy("h1", "h2")
+        .agg(F.count_if(F.col("rank") == 1).alias("n_docs"), F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "n", "keeper")
     )
-    dropped = lines.join(repeated, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    dropped = join_counted(lines, materialize(repeated, "repeated-lines"), ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     words = dropped.groupBy("doc_id", "text_id", F.expr(f"cast(pos div {WORD} as int)").alias("word")).agg(
         F.expr(f"~bit_or(shiftleft(1L, pos % {WORD}))").alias("bits")
     )

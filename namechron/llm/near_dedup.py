@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import join_counted, materialize
 from ._words import WordHashes, mixed, runs, words_of
 
 COORDINATES, MATCHES = 32, 12
@@ -86,8 +86,9 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
     A node's score is the total length of its shared posting lists: high for what others are copies of.
     """
     postings = nodes.select("node", F.posexplode("signature").alias("i", "value")).select("node", F.xxhash64("i", "value").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranked = postings.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"), F.sum("n").alias("score"))  # at most COORDINATES
+    shared = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    met = join_counted(postings, shared.withColumn("length", F.col("n")), ["token"])
+    ranked = met.withColumnRenamed("length", "n").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"), F.sum("n").alias("score"))  # at most COORDINATES
     prefix = F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))
     return ranked.where(F.size("own") >= MATCHES).select("node", "score", F.explode(prefix).alias("p")).select("node", "score", F.col("p.token").alias("token"))
 
@@ -146,9 +147,10 @@ def joining_links(sets: list[np.ndarray], parts: list[bytes], sides: list[int] |
 
 def _links(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """a_part and b_part of links that join parts within each group of ``members`` (group, node, part)."""
+    members = materialize(members, "members")
     sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    blocks = sizes.select("group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = materialize(sizes.select("group", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
+    placed = join_counted(members, blocks, ["group"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # a block meets itself in one cell and each other block in one more
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     cells = placed.select("group", "node", "part", "block", other).select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "part", "block")
@@ -199,20 +201,23 @@ def components(edges: DataFrame) -> DataFrame:
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (node, part) after parts that ``links`` (a_part, b_part) join have become one."""
     roots = components(links.select(F.col("a_part").alias("u"), F.col("b_part").alias("v")))
-    moved = labels.join(roots.select(F.col("node").alias("part"), "root"), "part", "left")
-    return materialize(moved.select("node", F.coalesce("root", "part").alias("part")), "labels")
+    sizes = labels.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    moves = sizes.join(roots.select(F.col("node").alias("part"), "root"), "part", "left").select("part", "n", F.coalesce("root", "part").alias("root"))
+    moved = join_counted(labels, materialize(moves, "moves"), ["part"])
+    return materialize(moved.select("node", F.col("root").alias("part")), "labels")
 
 
 def _open_lists(members: DataFrame) -> DataFrame:
     """Postings of ``members`` (token, node, part, ...) in lists of several parts."""
-    several = members.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    return members.join(several.select("token"), "token", "left_semi")
+    several = members.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return join_counted(members, materialize(several.select("token", "n"), "open-lists"), ["token"])
 
 
 def _groups(lists: DataFrame) -> DataFrame:
     """node and group: the most central member of a list, as most lists of the node name it."""
-    centers = lists.groupBy("token").agg(F.max(F.struct("score", "node")).alias("top")).select("token", F.col("top.node").alias("group"), F.col("top.score").alias("weight"))
-    votes = lists.join(centers, "token").groupBy("node", "group").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
+    centers = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("score", "node")).alias("top"))
+    centers = materialize(centers.select("token", "n", F.col("top.node").alias("group"), F.col("top.score").alias("weight")), "centers")
+    votes = join_counted(lists.select("token", "node"), centers, ["token"]).groupBy("node", "group").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
     return votes.groupBy("node").agg(F.max(F.struct("n", "weight", "group")).alias("best")).select("node", F.col("best.group").alias("group"))
 
 
@@ -228,23 +233,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if percent < 80:
         raise ValueError("MATCHES is chosen for thresholds of 80 percent or more")
     marked = materialize(sketches(docs, words), "sketches")
-    grouped = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("signature").alias("signature"))
+    grouped = marked.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"))
     nodes = materialize(grouped, "nodes")
     prefixes = materialize(_prefixes(nodes), "prefixes")
     labels = materialize(prefixes.select("node").distinct().select("node", F.col("node").alias("part")), "labels")
-    lists = _open_lists(prefixes.join(labels, "node"))
+    lists = materialize(_open_lists(prefixes.withColumn("part", F.col("node"))), "lists")
     groups = materialize(_groups(lists), "groups")
     candidates = nodes.join(groups, "node", "left_semi")
     texts = materialize(_texts(docs, candidates.select("node", "first"), words), "texts")
     labels = _relabelled(labels, materialize(_links(groups.join(labels, "node"), texts, words, percent), "links"))
-    lists = _open_lists(prefixes.join(labels, "node").join(groups, "node"))
-    uncovered = lists.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
-    rest = lists.join(uncovered, "token", "left_semi").select(F.col("token").alias("group"), "node", "part")
+    members = materialize(prefixes.join(labels, "node").join(groups, "node"), "postings")
+    lists = materialize(_open_lists(members), "lists")
+    uncovered = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token", "n")
+    rest = join_counted(lists, materialize(uncovered, "uncovered"), ["token"]).select(F.col("token").alias("group"), "node", "part")
     labels = _relabelled(labels, materialize(_links(rest, texts, words, percent), "links"))
-    firsts = labels.join(nodes.select("node", "first"), "node")
-    smallest = firsts.groupBy("part").agg(F.min("first").alias("component_id"))
-    of_node = nodes.select("node", "first").join(firsts.select("node", "part"), "node", "left").join(smallest, "part", "left")
-    of_node = of_node.select("node", F.coalesce("component_id", "first").alias("component_id"))
-    joined = marked.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    firsts = materialize(labels.join(nodes.select("node", "first"), "node"), "firsts")
+    smallest = materialize(firsts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("component_id")), "components")
+    linked = join_counted(firsts.select("node", "part"), smallest, ["part"]).select("node", "component_id")
+    of_node = nodes.select("node", "copies", "first").join(linked, "node", "left").select("node", F.col("copies").alias("n"), F.coalesce("component_id", "first").alias("component_id"))
+    rows = marked.select("doc_id", "n_shingles", "node")
+    met = join_counted(rows.where("node is not null"), materialize(of_node, "node-components"), ["node"]).select("doc_id", "n_shingles", "component_id")
+    out = met.unionByName(rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 #: The label of texts without a letter, and of all texts if nothing could be learned.
 UNDETERMINED = "und"
+#: Rows looked at for the training sample, as a multiple of those that are taken.
+LEEWAY = 3
 
 
 @dataclass(frozen=True)
@@ -155,9 +157,17 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, settings: Settings) -> list[tuple[str, str]]:
     """(lang, text) of at most ``languages`` x ``docs_per_language`` labelled rows that are not held out."""
     rows = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    most = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()]
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()}
+    if not counts:
+        return []
+    most, limit = list(counts), F.lit(None).cast("long")
+    # the smallest hashes of a language lie below a limit that lets about LEEWAY times as many rows through
+    for lang, n in counts.items():
+        share = min(1.0, LEEWAY * settings.docs_per_language / n)
+        limit = F.when(F.col("lang") == lang, F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))).otherwise(limit)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.where(F.col("lang").isin(most)).select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.docs_per_language)
+    near = rows.select("doc_id", "lang").where(F.col("lang").isin(most) & (F.xxhash64("doc_id") <= limit))
+    ids = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.docs_per_language)
     ids = F.broadcast(ids.select("doc_id").distinct())  # at most languages x docs_per_language ids
     found = rows.join(ids, "doc_id", "left_semi").where(F.col("lang").isin(most)).select("lang", F.substring("text", 1, settings.window * settings.windows_per_doc * 2).alias("text"))
     return [(r["lang"], r["text"]) for r in found.orderBy("lang", "text").limit(settings.languages * settings.docs_per_language).collect()]

@@ -34,6 +34,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/namechron/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of rows that a Python worker gets at a time; it and Spark hold several copies of them.
+BATCH_BYTES = 8 << 20
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` in batches of at most BATCH_BYTES (or one row): sets the session's Arrow bound to that."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

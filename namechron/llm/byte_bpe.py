@@ -18,12 +18,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import chunks
+from ._common import chunks, map_batches
 
 #: Most words and chunks that one Python worker keeps; beyond it the caches start anew.
 CACHE = 300_000
 #: Pairs of tokens whose rank one Python worker keeps.
 PAIRS = 200_000
+#: Characters whose new words one merge replay takes.
+REPLAY_CHARS = 2_000_000
 #: Characters of one document that are split at a time.
 PIECE = 1 << 20
 
@@ -223,9 +225,9 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         encoder = Encoder(load_ranks(ranks_path), pattern)
         decode = encoder.replay.decode
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             counts, hashes, decoded = [], [], []
-            for a, b in chunks(texts):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in chunks(texts, REPLAY_CHARS):
                 for parts in encoder.encode_many(texts[a:b]):
                     n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
                     for part in parts:
@@ -240,7 +242,7 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -250,11 +252,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
         encoder = Encoder(load_ranks(ranks_path), pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, REPLAY_CHARS):
                 ids = [[i for part in parts for i in _ids_of(part)] for parts in encoder.encode_many(texts[a:b])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "token_ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, token_ids array<int>")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, token_ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -266,4 +268,4 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
             texts = [b"".join(map(tokens.__getitem__, ids or [])).decode("utf-8", "replace") for ids in batch.column("token_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "token_ids").mapInArrow(run, "doc_id long, text string")
+    return map_batches(encoded.select("doc_id", "token_ids"), run, "doc_id long, text string")

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._common import map_batches
+
 #: Characters of test items that one pass over the documents looks for; more items take more passes.
 BLOCK_CHARS = 4_000_000
 _NOT_WORD = re.compile(r"[\W_]+")
@@ -149,7 +151,7 @@ def with_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05,
                     found.append([{"item_id": i, "n_edits": n} for i, n in sorted(best.items())])
                 yield batch.set_column(at, batch.schema.field(at), pa.array(found, batch.schema.field(at).type))
 
-        out = out.mapInArrow(run, out.schema)
+        out = map_batches(out, run, out.schema)
     return out
 
 

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._common import map_batches
+
 #: Fixed values of HTML: elements that stand alone, that begin a line, that hold no text of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -165,4 +167,4 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return map_batches(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long")

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._common import map_batches
+
 #: The label of texts without a letter, and of all texts if nothing could be learned.
 UNDETERMINED = "und"
 #: Rows looked at for the training sample, as a multiple of those that are taken.
@@ -227,4 +229,4 @@ def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     out = T.StructType([*marked.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return marked.mapInArrow(run, out)
+    return map_batches(marked, run, out)

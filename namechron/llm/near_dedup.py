@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import join_counted, materialize
+from ._common import join_counted, map_batches, materialize
 from ._words import WordHashes, mixed, runs, words_of
 
 COORDINATES, MATCHES = 32, 12
@@ -77,7 +77,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "node", "signature"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node binary, signature array<long>")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, node binary, signature array<long>")
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     own = docs.select("doc_id", "text")
     met = own.join(wanted.hint("shuffle_hash"), own["doc_id"].eqNullSafe(wanted["first"])).select("node", "text")
-    return met.mapInArrow(run, "node binary, text string").dropDuplicates(["node"])
+    return map_batches(met, run, "node binary, text string").dropDuplicates(["node"])
 
 
 def joining_links(sets: list[np.ndarray], parts: list[bytes], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:

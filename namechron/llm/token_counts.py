@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import chunks
+from ._common import chunks, map_batches
 
 #: Entries of the broadcast table, and the most bytes of one entry: together at most 1 MiB.
 FREQUENT, LONGEST = 16_384, 64
@@ -58,7 +58,7 @@ def frequent_pre_tokens(docs: DataFrame, size: int = FREQUENT) -> list[str]:
         top = [(w, n) for w, n in seen.most_common(REPORTED) if n > 1 and len(w.encode()) <= LONGEST]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
 
-    found = docs.select("text").mapInArrow(report, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    found = map_batches(docs.select("text"), report, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
     return [r["word"] for r in found.collect()]
 
 
@@ -118,4 +118,4 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._common import map_batches
+
 #: Most rows in a cell, most queries in a block, and rows and queries that are scored at once.
 CELL_ROWS, BLOCK_QUERIES = 131_072, 8_192
 SCORE_ROWS, SCORE_QUERIES = 8_192, 256
@@ -49,7 +51,7 @@ def quantized(vectors: DataFrame, id_column: str, vector_column: str, scale: flo
                 packed.append(np.floor(v * scale).clip(-CLIP, CLIP).astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(packed, pa.binary())], names=["vec_id", "dim", "q"])
 
-    return vectors.select(id_column, vector_column).mapInArrow(run, "vec_id long, dim int, q binary")
+    return map_batches(vectors.select(id_column, vector_column), run, "vec_id long, dim int, q binary")
 
 
 def _matrix(packed: pa.ChunkedArray, dim: int) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize, new_path
+from ._common import map_batches, materialize, new_path
 
 #: A file is closed once it holds so many bytes, and read in parts of so many bytes.
 FILE_BYTES, READ_BYTES = 256 << 20, 1 << 18
@@ -190,7 +190,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
             names=["path", "records", "bytes"],
         )
 
-    return pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records long, bytes long")
+    return map_batches(pages.select("page_id", "url", "html", "refers_to"), run, "path string, records long, bytes long")
 
 
 def read_archives(files: DataFrame) -> DataFrame:
@@ -225,7 +225,7 @@ def read_archives(files: DataFrame) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    return files.select("path").mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return map_batches(files.select("path"), run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> DataFrame:

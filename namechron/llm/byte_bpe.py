@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from ._common import chunks, map_batches
 
 #: Most words and chunks that one Python worker keeps; beyond it the caches start anew.
-CACHE = 300_000
+CACHE = 900_000
 #: Pairs of tokens whose rank one Python worker keeps.
 PAIRS = 200_000
 #: Characters whose new words one merge replay takes.
@@ -171,16 +171,19 @@ class Encoder:
             at += 4 * len(own)
 
     def _prepare(self, texts: list[str]) -> None:
-        """Bring all chunks of ``texts`` into the cache by one merge replay."""
+        """Bring all chunks of ``texts`` and their first words into the caches by one merge replay."""
         seen: set[str] = set()
+        heads: set[str] = set()
         for text in texts:
-            seen.update(text.split(" "))
+            parts = text.split(" ")
+            heads.add(parts[0])
+            seen.update(parts)
         new = [c for c in seen if c not in self.chunks]
         if len(self.chunks) + len(new) > CACHE:
             self.chunks = {}
             new = list(seen)
         parts = [None if not c or c[0].isspace() else self.pattern.findall(" " + c) for c in new]
-        self._learn({w for p in parts if p for w in p})
+        self._learn({w for p in parts if p for w in p} | {w for h in heads for w in self.pattern.findall(h)})
         words = self.words
         for c, p in zip(new, parts, strict=True):
             self.chunks[c] = None if p is None else b"".join([words[w] for w in p])

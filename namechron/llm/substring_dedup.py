@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize, new_path, shuffle_partitions
+from ._common import join_counted, map_batches, materialize, new_path, shuffle_partitions
 from ._words import WordHashes, mixed, runs, words_of
 
 #: Runs of fewer words than this are common in any text.
@@ -61,7 +61,7 @@ def _text_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(nodes, pa.binary()), batch.column("text").cast(pa.string())], names=["doc_id", "node", "text"])
 
     spark = docs.sparkSession
-    marked = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node binary, text string")
+    marked = map_batches(docs.select("doc_id", "text"), run, "doc_id long, node binary, text string")
     owners = materialize(marked.select("doc_id", "node"), "nodes")
     name = f"namechron_texts_{uuid.uuid4().hex}"
     texts = marked.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
@@ -111,9 +111,10 @@ def _repeated_places(texts: DataFrame, places: DataFrame | None, before: int | N
                 names=["h1", "h2", "node", "place"],
             )
 
-    found = materialize(_with_places(texts, places).select("node", "text", "places").mapInArrow(run, "h1 long, h2 long, node binary, place int"), f"runs-{length}")
-    repeated = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
-    return materialize(found.join(repeated, ["h1", "h2"]).select("node", "place"), f"places-{length}")
+    found = materialize(map_batches(_with_places(texts, places).select("node", "text", "places"), run, "h1 long, h2 long, node binary, place int"), f"runs-{length}")
+    repeated = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = join_counted(found, materialize(repeated, f"repeated-{length}"), ["h1", "h2"])
+    return materialize(met.select("node", "place"), f"places-{length}")
 
 
 def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
@@ -166,5 +167,5 @@ def dedup_substrings(docs: DataFrame, window: int = 35) -> DataFrame:
             )
 
     marked = texts.join(found.hint("shuffle_hash"), "node", "left")
-    results = marked.select("node", "text", "copies", "places").mapInArrow(run, "node binary, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    results = map_batches(marked.select("node", "text", "copies", "places"), run, "node binary, n_words long, n_removed long, kept_text string, kept_sha256 string")
     return owners.join(results, "node").drop("node")

@@ -756,6 +756,15 @@ def json_props(spark, sf_dir):
     return rows.select("event_id", F.lit(True).alias("da")).where("v is null")
 
 
+@query(
+    """SELECT event_id, k AS feld, json_extract_string(p, '$."' || k || '"') AS wert FROM (SELECT event_id, CASE WHEN json_valid(props) THEN props END AS p FROM events) e
+    LEFT JOIN LATERAL (SELECT unnest(json_keys(e.p)) AS k) f ON true"""
+)
+def json_values(spark, sf_dir):
+    """A row for each field of each event's props; an event whose props are no object has one row without a field."""
+    return _t(spark, sf_dir, "events").select("event_id", F.explode_outer(readers.json_fields("props")).alias("feld", "wert"))
+
+
 @query(
     f"""{_READ} SELECT schl_nr, 'lemma' AS feld, p AS wert_alt, 'neu ' || n AS wert_neu, '' AS beleg, 'llm-lauf' AS quelle, '2026-01-01' AS datum FROM c WHERE (a <> p OR coalesce(b, p) <> p) AND n % 2 = 0"""
 )

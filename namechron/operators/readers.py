@@ -31,6 +31,11 @@ def json_list(answer: Column | str) -> Column:
     return F.when((found != "") & valid.isNotNull() & (F.coalesce(objects, F.lit(False)) | matches(found, r"^\[\s*\]$")), found)
 
 
+def json_fields(c: Column | str) -> Column:
+    """The fields of a JSON object with their values as text; null if the text is no such object."""
+    return F.when(F.try_parse_json(col(c)).isNotNull(), F.from_json(col(c), "map<string,string>"))
+
+
 def _text(c: Column) -> Column:
     """A value, or the items of a list, as one text."""
     return F.when(c.startswith("["), joined_list(F.from_json(c, "array<string>"))).otherwise(reader_text(c))

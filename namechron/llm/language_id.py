@@ -31,7 +31,7 @@ class Settings:
     #: Most languages that are learned (the most frequent), and most documents for each.
     languages: int = 64
     docs_per_language: int = 300
-    #: Bytes in a window; windows taken from each training document.
+    #: Bytes in a window; windows taken from each training document, anywhere in its text.
     window: int = 256
     windows_per_doc: int = 6
     widths: tuple[int, ...] = (2, 3, 4)
@@ -156,8 +156,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, settings: Settings) -> list[tuple[str, str]]:
-    """(lang, text) of at most ``languages`` x ``docs_per_language`` labelled rows that are not held out."""
+def chosen_windows(text: str, row_hash: int, settings: Settings) -> bytes:
+    """``windows_per_doc`` windows of a whole text (all, if it has fewer), drawn by the hash of its row."""
+    rows = windows_of(text.encode().lower(), settings.window)
+    if len(rows) > settings.windows_per_doc:
+        random = np.random.default_rng([settings.seed, row_hash & 2**64 - 1])
+        rows = rows[np.sort(random.choice(len(rows), settings.windows_per_doc, replace=False))]
+    return rows.tobytes()
+
+
+def training_sample(docs: DataFrame, settings: Settings) -> list[tuple[str, bytes]]:
+    """(lang, windows) of at most ``languages`` x ``docs_per_language`` labelled rows that are not held out.
+
+    Windows are chosen from whole texts in the executors; only they are sent to the driver.
+    """
     rows = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()}
     if not counts:
@@ -171,8 +183,15 @@ def training_sample(docs: DataFrame, settings: Settings) -> list[tuple[str, str]
     near = rows.select("doc_id", "lang").where(F.col("lang").isin(most) & (F.xxhash64("doc_id") <= limit))
     ids = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.docs_per_language)
     ids = F.broadcast(ids.select("doc_id").distinct())  # at most languages x docs_per_language ids
-    found = rows.join(ids, "doc_id", "left_semi").where(F.col("lang").isin(most)).select("lang", F.substring("text", 1, settings.window * settings.windows_per_doc * 2).alias("text"))
-    return [(r["lang"], r["text"]) for r in found.orderBy("lang", "text").limit(settings.languages * settings.docs_per_language).collect()]
+    found = rows.join(ids, "doc_id", "left_semi").where(F.col("lang").isin(most)).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            windows = [chosen_windows(t, h, settings) for t, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(windows, pa.binary())], names=["lang", "windows"])
+
+    sample = map_batches(found, run, "lang string, windows binary")
+    return [(r["lang"], bytes(r["windows"])) for r in sample.orderBy("lang", "windows").limit(settings.languages * settings.docs_per_language).collect()]
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> ByteNet | None:
@@ -181,11 +200,9 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> ByteNet | None:
     languages = sorted({lang for lang, _ in sample})
     if not languages:
         return None
-    random, x, y = np.random.default_rng(settings.seed), [], []
-    for lang, text in sample:
-        rows = windows_of(text.encode().lower(), settings.window)
-        if len(rows) > settings.windows_per_doc:
-            rows = rows[random.choice(len(rows), settings.windows_per_doc, replace=False)]
+    x, y = [], []
+    for lang, windows in sample:
+        rows = np.frombuffer(windows, np.uint8).reshape(-1, settings.window)
         x.append(rows)
         y += [languages.index(lang)] * len(rows)
     net = ByteNet(languages, settings)

@@ -88,3 +88,12 @@ def test_digest_of_kept_text(spark):
 
     df = spark.createDataFrame([(1, "é\nb")], "doc_id long, text string")
     assert line_dedup.dedup_lines(df).select(F.sha2("kept_text", 256)).collect()[0][0] == hashlib.sha256("é\nb".encode()).hexdigest()
+
+
+def test_training_reads_whole_texts(spark):
+    docs = [(i, "shared opening text " * 300 + word * 2000, lang) for i in range(60) for lang, word in [[("en", "the and "), ("de", "der und ")][i % 2]]]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    sample = language_id.training_sample(df, language_id.Settings())
+    assert sample and all(len(x) == 6 * 256 for _, x in sample)
+    bodies = sum({"en": b"the and ", "de": b"der und "}[lang] in x for lang, x in sample)
+    assert bodies == len(sample)

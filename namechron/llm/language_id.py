@@ -22,13 +22,15 @@ from ._common import map_batches
 UNDETERMINED = "und"
 #: Rows looked at for the training sample, as a multiple of those that are taken.
 LEEWAY = 3
+#: Rows of a language that are looked at as if so many were taken, where fewer are.
+LEAST_ROWS = 16
 
 
 @dataclass(frozen=True)
 class Settings:
     """Bounds of the training sample, and the network's shape."""
 
-    #: Most languages that are learned (the most frequent), and most documents for each.
+    #: Most documents for each language, and languages that can have so many; more share the same number of rows.
     languages: int = 64
     docs_per_language: int = 300
     #: Bytes in a window; windows taken from each training document, anywhere in its text.
@@ -166,32 +168,39 @@ def chosen_windows(text: str, row_hash: int, settings: Settings) -> bytes:
 
 
 def training_sample(docs: DataFrame, settings: Settings) -> list[tuple[str, bytes]]:
-    """(lang, windows) of at most ``languages`` x ``docs_per_language`` labelled rows that are not held out.
+    """(lang, windows) of labelled rows that are not held out, of every language at least one.
 
-    Windows are chosen from whole texts in the executors; only they are sent to the driver.
+    ``languages`` x ``docs_per_language`` rows are divided among the languages, with at most
+    ``docs_per_language`` for each. Rows rank by a hash of doc_id and text; rows equal in both count
+    once. Windows are chosen from whole texts in the executors; only they are sent to the driver.
     """
-    rows = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()}
+    named = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = named.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min("h").alias("least")).collect()
     if not counts:
         return []
-    most, limit = list(counts), F.lit(None).cast("long")
-    # the smallest hashes of a language lie below a limit that lets about LEEWAY times as many rows through
-    for lang, n in counts.items():
-        share = min(1.0, LEEWAY * settings.docs_per_language / n)
-        limit = F.when(F.col("lang") == lang, F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))).otherwise(limit)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    near = rows.select("doc_id", "lang").where(F.col("lang").isin(most) & (F.xxhash64("doc_id") <= limit))
-    ids = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.docs_per_language)
-    ids = F.broadcast(ids.select("doc_id").distinct())  # at most languages x docs_per_language ids
-    found = rows.join(ids, "doc_id", "left_semi").where(F.col("lang").isin(most)).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    each = min(settings.docs_per_language, max(1, settings.languages * settings.docs_per_language // len(counts)))
+    # the smallest hashes of a language lie below a limit that lets about LEEWAY times as many rows through, and its first row always
+    limits = [(r["lang"], max(r["least"], min(int(LEEWAY * max(each, LEAST_ROWS) / r["n"] * 2**64) - 2**63, 2**63 - 1))) for r in counts]
+    limit = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, most long"))
+    near = rows.join(limit, "lang").where(F.col("h") <= F.col("most")).select("lang", "h", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # of hashes below the limits, which are few
         for batch in batches:
-            windows = [chosen_windows(t, h, settings) for t, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(windows, pa.binary())], names=["lang", "windows"])
-
-    sample = map_batches(found, run, "lang string, windows binary")
-    return [(r["lang"], bytes(r["windows"])) for r in sample.orderBy("lang", "windows").limit(settings.languages * settings.docs_per_language).collect()]
+            langs, hashes, windows = [], [], []
+            for lang, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (lang, h) not in seen:
+                    seen.add((lang, h))
+                    langs.append(lang)
+                    hashes.append(h)
+                    windows.append(chosen_windows(text, h, settings))
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(hashes, pa.int64()), pa.array(windows, pa.binary())], names=["lang", "h", "windows"])
+
+    found = map_batches(near, run, "lang string, h long, windows binary").dropDuplicates(["lang", "h"])
+    order = Window.partitionBy("lang").orderBy("h")
+    sample = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).collect()
+    return [(r["lang"], bytes(r["windows"])) for r in sorted(sample, key=lambda r: (r["lang"], r["h"]))]
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> ByteNet | None:

@@ -97,3 +97,14 @@ def test_training_reads_whole_texts(spark):
     assert sample and all(len(x) == 6 * 256 for _, x in sample)
     bodies = sum({"en": b"the and ", "de": b"der und "}[lang] in x for lang, x in sample)
     assert bodies == len(sample)
+
+
+def test_every_language_is_sampled(spark):
+    settings = language_id.Settings(languages=2, docs_per_language=3)
+    docs = [(i, f"text {i} of language {i % 9}", f"l{i % 9}") for i in range(360)]
+    docs += [(7, "always the same text", "one text")] * 3000 + [(7, f"text {i} of one id", "one id") for i in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    langs = [lang for lang, _ in language_id.training_sample(df, settings)]
+    assert sorted(langs) == sorted([*(f"l{i}" for i in range(9)), "one text", "one id"])
+    langs = [lang for lang, _ in language_id.training_sample(df, language_id.Settings(docs_per_language=5))]
+    assert {x: langs.count(x) for x in langs} == {"one text": 1} | dict.fromkeys([*(f"l{i}" for i in range(9)), "one id"], 5)

@@ -616,6 +616,17 @@ def plausibility_flags(spark, sf_dir):
     return rows.select("doc_id", predicates.lemma_long("s").alias("lang"), predicates.lemma_odd_form("s").alias("form"), predicates.field_long("s").alias("feld"), predicates.group_odd("s").alias("gruppe"))
 
 
+@query(
+    """SELECT doc_id, zeile, length(s) > 40 OR len(list_filter(string_split_regex(s, '\\s+'), lambda w: w <> '')) > 4 AS lang, NOT regexp_matches(s, '^\\p{Lu}') OR NOT regexp_full_match(s, '[\\p{L}\\p{N} .\\-()''’/&„"]*') AS form,
+    length(s) > 60 AS feld, length(s) > 150 OR NOT regexp_full_match(s, '[\\p{L}\\p{N} ,.\\-()''’/&„"]*') OR regexp_matches(s, '\\d{3,}') AS gruppe
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, CAST(unnest(range(len(string_split(text, chr(10))))) AS INTEGER) AS zeile FROM documents)"""
+)
+def plausibility_lines(spark, sf_dir):
+    """Every line of every document, by its place from 0."""
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("zeile", "s"))
+    return rows.select("doc_id", "zeile", predicates.lemma_long("s").alias("lang"), predicates.lemma_odd_form("s").alias("form"), predicates.field_long("s").alias("feld"), predicates.group_odd("s").alias("gruppe"))
+
+
 @query(
     """WITH v AS (SELECT n_name FROM nation), w AS (SELECT n_nationkey, n_name, lower(substr(n_name, 1, 2) || substr(n_name, 4)) AS w FROM nation)
     SELECT w.n_nationkey, CASE WHEN count(v.n_name) = 1 THEN min(v.n_name) END AS found FROM w LEFT JOIN v ON levenshtein(w.w, lower(v.n_name)) = 1 GROUP BY w.n_nationkey"""

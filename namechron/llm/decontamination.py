@@ -27,8 +27,8 @@ def normalized(text: str | None) -> str:
     return _NOT_WORD.sub(" ", (text or "").lower()).strip()
 
 
-def budget(item: str, error_rate: float, shortest: int) -> int:
-    """Edits that an item is allowed; none for items of fewer than ``shortest`` characters."""
+def budget(item: str, error_rate: float, shortest: int = 0) -> int:
+    """Edits that an item is allowed: ``error_rate`` of its length; none for items of fewer than ``shortest`` characters."""
     return int(len(item) * error_rate) if len(item) >= shortest else 0
 
 
@@ -126,12 +126,12 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield sorted({(r["item_id"], normalized(r["text"])) for r in rows.collect()})
 
 
-def with_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, shortest: int = 32, column: str = "contaminated_by") -> DataFrame:
+def with_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, shortest: int = 0, column: str = "contaminated_by") -> DataFrame:
     """``docs`` with an array of (item_id, n_edits) of the items found in each whole text.
 
     An item of ``benchmark`` (item_id, text) is found if some part of the text is within
-    ``error_rate`` of its length in edits, both normalized; items of fewer than ``shortest``
-    characters must stand there exactly, as whole words. Items that are null, or hold no letter or
+    ``error_rate`` of its length in edits, both normalized; items too short for an edit, and those of
+    fewer than ``shortest`` characters, must stand there exactly, as whole words. Items that are null, or hold no letter or
     digit, are never found; null and empty texts hold none. Items with one id count as one, with
     the smaller distance. A column of ``docs`` that is named ``column`` is replaced.
     """
@@ -155,7 +155,7 @@ def with_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05,
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, shortest: int = 32) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, shortest: int = 0) -> DataFrame:
     """doc_id, item_id and n_edits: a row for each document and item found in it; see :func:`with_items`."""
     found = with_items(docs.select("doc_id", "text"), benchmark, error_rate, shortest, "found").select("doc_id", F.explode("found").alias("x"))
     return found.select("doc_id", F.col("x.item_id").alias("item_id"), F.col("x.n_edits").alias("n_edits"))

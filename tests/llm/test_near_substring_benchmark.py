@@ -197,3 +197,11 @@ def test_items_in_several_passes(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"{w} is the test item of number {i} {w}") for i, w in enumerate("abcdefgh")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "see A is the test item of number 0 a and h is the tst item of number 7 h.")], "doc_id long, text string")
     assert sorted((r["item_id"], r["n_edits"]) for r in decontamination.contaminated(docs, bench, error_rate=0.1).collect())[0] == (0, 0)
+
+
+def test_short_items_have_their_edits(spark):
+    bench = spark.createDataFrame([(1, "twenty letters here!"), (2, "river banks of the old town"), (3, "short item")], "item_id long, text string")
+    docs = [(1, "see river bamks of the old town there"), (2, "see short itemized lists"), (3, "a short itme"), (4, "river bamks of the old twn"), (5, "a Short Item.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["n_edits"]) for r in decontamination.contaminated(df, bench).collect())
+    assert got == [(1, 2, 1), (5, 3, 0)]

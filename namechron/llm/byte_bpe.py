@@ -1,9 +1,16 @@
 """Byte-level BPE by corpus-level merge replay.
 
-A batch's distinct pre-tokens form one array of symbols. An inverted index leads from the rank of
-a mergeable pair to the positions where it stands; ranks are taken in order and every merge
-touches only the neighbours of its position. Documents are then put together from the replayed
-words, so no pre-token is ever shuffled.
+1. Runs of neighbouring rows are groups. Each group lists its distinct chunks once: the parts of a
+   text between spaces, or the pre-tokens of texts where white space stands beside a space.
+2. Chunks are shuffled by themselves, so each distinct chunk of the corpus is split by the pattern
+   and replayed once. The index of the replay leads from the rank of a pair to the place in each
+   word where it stands; merges in different words never touch, so every word takes its next merge
+   in rank order at one step, and only the pairs beside that place are looked up again. Long words
+   go through the same index rank by rank.
+3. Ids return to the groups that asked for them, and documents are put together there.
+
+Occurrences are never shuffled, only each group's distinct chunks. No result depends on groups:
+a chunk that a group lacks is replayed where it is met.
 """
 
 from __future__ import annotations
@@ -11,25 +18,36 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._common import chunks, map_batches
+from ._common import map_batches
 
-#: Most words and chunks that one Python worker keeps; beyond it the caches start anew.
+#: Characters of a group of documents.
+GROUP_CHARS = 8_000_000
+#: Most chunks whose ids one Python worker keeps while it replays; beyond it the cache starts anew.
 CACHE = 900_000
-#: Pairs of tokens whose rank one Python worker keeps.
+#: Pairs of tokens whose rank one Python worker keeps for long words.
 PAIRS = 200_000
-#: Characters whose new words one merge replay takes.
-REPLAY_CHARS = 2_000_000
 #: Characters of one document that are split at a time.
 PIECE = 1 << 20
+#: Bytes of a word from which on it goes rank by rank, and bytes of the words that are replayed at one step.
+LONG, STEP_BYTES = 64, 1 << 21
+#: Kinds of rows in a group, in the order in which they are read.
+CHUNK, PRE_TOKEN, DOCUMENT = 0, 1, 2
+#: The rank of two tokens that make none.
+NO_RANK = 1 << 30
+_SPACE_PAIR = re.compile(r" (?:\s|$)")
 
 
+@lru_cache(maxsize=2)
 def load_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a rank file: base64 of the token's bytes, a space, the rank."""
     with open(path, "rb") as lines:
@@ -43,11 +61,66 @@ class MergeReplay:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        #: Rank of the token that two bytes make, or -1; row and column 256 stand for a word's end.
-        self.of_bytes = np.full((257, 257), -1, np.int64)
-        self.of_bytes[:256, :256] = [[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
+        #: Rank of the token that two bytes make; row and column 256 stand for a word's end.
+        self.of_bytes = np.full((257, 257), NO_RANK, np.int64)
+        self.of_bytes[:256, :256] = [[ranks.get(bytes([a, b]), NO_RANK) for b in range(256)] for a in range(256)]
+        halves = ((ranks.get(token[:i]), ranks.get(token[i:]), rank) for token, rank in ranks.items() for i in range(1, len(token)))
+        made = np.array([(a << 32 | b, rank) for a, b, rank in halves if a is not None and b is not None] + [(1 << 62, NO_RANK)], np.int64)
+        made = made[made[:, 0].argsort()]
+        self.pairs, self.pair_ranks = made[:, 0].copy(), made[:, 1].copy()
         self.joined: dict[int, int] = {}
 
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        both = a << 32 | b
+        at = np.searchsorted(self.pairs, both)
+        return np.where(self.pairs[at] == both, self.pair_ranks[at], NO_RANK)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of each word as little-endian unsigned 32-bit integers; an empty word has none."""
+        out = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            rank = self.ranks.get(word)
+            if rank is not None:
+                out[i] = rank.to_bytes(4, "little")
+            elif word:
+                by_length.setdefault(min(len(word), LONG), []).append(i)
+        long_words = by_length.pop(LONG, [])
+        for length, places in by_length.items():
+            for a in range(0, len(places), STEP_BYTES // length):
+                some = places[a : a + STEP_BYTES // length]
+                self._replay(np.frombuffer(b"".join([words[i] for i in some]), np.uint8).reshape(len(some), length), some, out)
+        if long_words:
+            for i, ids in zip(long_words, self._replay_long([words[i] for i in long_words]), strict=True):
+                out[i] = np.array(ids, "<u4").tobytes()
+        return out
+
+    def _replay(self, data: np.ndarray, places: list[int], out: list[bytes]) -> None:
+        """Words of one length (a row each); every step takes one merge of each word that has one left."""
+        own = np.array(places)
+        symbols, ranks = self.first[data], self.of_bytes[data[:, :-1], data[:, 1:]]
+        while True:
+            each, length = np.arange(len(symbols)), symbols.shape[1]
+            at = ranks.argmin(axis=1) if length > 1 else each
+            least = ranks[each, at] if length > 1 else np.full(len(symbols), NO_RANK)
+            going = least < NO_RANK
+            if not going.all():
+                packed, size = symbols[~going].astype("<u4").tobytes(), 4 * length
+                for n, i in enumerate(own[~going].tolist()):
+                    out[i] = packed[n * size : (n + 1) * size]
+                own, symbols, ranks, at, least = own[going], symbols[going], ranks[going], at[going], least[going]
+                each = np.arange(len(symbols))
+            if not len(own):
+                return
+            column = np.arange(length - 1)
+            symbols = np.where(column > at[:, None], symbols[:, 1:], symbols[:, :-1])
+            symbols[each, at] = least
+            ranks = np.where(column[:-1] >= at[:, None], ranks[:, 1:], ranks[:, :-1])
+            for side in (at - 1, at):
+                inside = np.flatnonzero((side >= 0) & (side < length - 2))
+                i, j = each[inside], side[inside]
+                ranks[i, j] = self._rank(symbols[i, j], symbols[i, j + 1])
+
     def _start(self, words: list[bytes]) -> tuple[list[int], list[int], dict[int, list[int]]]:
         """Symbols (-1 ends a word), the rank of each place's pair, and the index from rank to places in order."""
         ends = np.cumsum([len(w) + 1 for w in words]) - 1
@@ -56,21 +129,16 @@ class MergeReplay:
         data = np.full(len(inside), 256)
         data[inside] = np.frombuffer(b"".join(words), np.uint8)
         symbols = np.where(inside, self.first[data.clip(max=255)], -1)
-        pair = np.append(self.of_bytes[data[:-1], data[1:]], -1)
+        pair = np.append(self.of_bytes[data[:-1], data[1:]], NO_RANK)
+        pair[pair == NO_RANK] = -1
         places = np.flatnonzero(pair >= 0)
         places = places[np.argsort(pair[places], kind="stable")]
         found, starts = np.unique(pair[places], return_index=True)
         lists = np.split(places, starts[1:])
         return symbols.tolist(), pair.tolist(), {r: p.tolist() for r, p in zip(found.tolist(), lists, strict=False)}
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word; an empty word has none."""
-        whole = [self.ranks.get(w) for w in words]
-        open_words = [w for w, r in zip(words, whole, strict=True) if r is None and w]
-        replayed = iter(self._replay(open_words) if open_words else [])
-        return [[r] if r is not None else next(replayed) if w else [] for w, r in zip(words, whole, strict=True)]
-
-    def _replay(self, words: list[bytes]) -> list[list[int]]:
+    def _replay_long(self, words: list[bytes]) -> list[list[int]]:
+        """One index over all words, from the rank of a pair to the places where it stands; ranks in order."""
         if len(self.joined) > PAIRS:
             self.joined.clear()
         joined, tokens, ranks = self.joined, self.tokens, self.ranks
@@ -127,10 +195,6 @@ class MergeReplay:
             i += len(word) + 1
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-
 def _pieces(text: str) -> Iterator[str]:
     """``text`` cut before spaces that follow a character other than white space: no pre-token is cut."""
     begin = 0
@@ -146,7 +210,7 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 class Encoder:
-    """Whole texts to token ids through worker caches over :class:`MergeReplay`.
+    """Whole texts to token ids, from the ids of their chunks and pre-tokens.
 
     A text falls at its spaces into chunks that can be split by the pattern alone; where white
     space stands beside a space, the whole piece goes through the pattern instead.
@@ -155,67 +219,120 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks)
         self.pattern = regex.compile(pattern)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes | None] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE:
-            self.words = {}
-            new = list(words)
-        ids = self.replay.encode([w.encode() for w in new])
-        packed = np.array([i for own in ids for i in own], "<u4").tobytes()
-        at = 0
-        for w, own in zip(new, ids, strict=True):
-            self.words[w] = packed[at : at + 4 * len(own)]
-            at += 4 * len(own)
-
-    def _prepare(self, texts: list[str]) -> None:
-        """Bring all chunks of ``texts`` and their first words into the caches by one merge replay."""
-        seen: set[str] = set()
-        heads: set[str] = set()
-        for text in texts:
-            parts = text.split(" ")
-            heads.add(parts[0])
-            seen.update(parts)
-        new = [c for c in seen if c not in self.chunks]
-        if len(self.chunks) + len(new) > CACHE:
-            self.chunks = {}
-            new = list(seen)
-        parts = [None if not c or c[0].isspace() else self.pattern.findall(" " + c) for c in new]
-        self._learn({w for p in parts if p for w in p} | {w for h in heads for w in self.pattern.findall(h)})
-        words = self.words
-        for c, p in zip(new, parts, strict=True):
-            self.chunks[c] = None if p is None else b"".join([words[w] for w in p])
-
-    def _whole(self, piece: str) -> bytes:
-        words = self.pattern.findall(piece)
-        self._learn(set(words))
-        return b"".join([self.words[w] for w in words])
-
-    def encode_many(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
-        """For each text the ids, as little-endian unsigned 32-bit integers, piece by piece."""
-        self._prepare([t for t in texts if len(t) <= PIECE])
-        for text in texts:
-            yield self._encode(text)
-
-    def _encode(self, text: str) -> Iterator[bytes]:
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # of chunks, of pre-tokens
+
+    def units(self, text: str) -> Iterator[tuple[list[str], list[str]]]:
+        """(chunks, pre-tokens) of each piece of ``text``; a piece without chunks is all pre-tokens."""
         for piece in _pieces(text):
-            if len(text) > PIECE:
-                self._prepare([piece])
-            parts = piece.split(" ")
+            if _SPACE_PAIR.search(piece):
+                yield [], self.pattern.findall(piece)
+            else:
+                # a piece either begins a text or with a space; then its first part is empty
+                first, *rest = piece.split(" ")
+                yield rest, self.pattern.findall(first) if first else []
+
+    def learn(self, keys: list[str], kind: int) -> None:
+        """Bring all chunks or pre-tokens of ``keys`` into the cache by one merge replay."""
+        new = [k for k in set(keys) if k not in self.known[kind]]
+        if len(self.known[kind]) + len(new) > CACHE:
+            self.known[kind].clear()
+            new = list(set(keys))
+        split = [self.pattern.findall(" " + k) for k in new] if kind == CHUNK else [[k] for k in new]
+        words = list({w for parts in split for w in parts})
+        ids = dict(zip(words, self.replay.encode([w.encode() for w in words]), strict=True))
+        self.known[kind].update((k, b"".join([ids[w] for w in parts])) for k, parts in zip(new, split, strict=True))
+
+    def encode(self, text: str) -> Iterator[bytes]:
+        """The ids as little-endian unsigned 32-bit integers, piece by piece."""
+        chunk_ids, token_ids = self.known
+        for chunks, words in self.units(text):
             try:
-                # A piece either begins a text or with a space; then its first part is empty.
-                head = self._whole(parts[0]) if parts[0] else b""
-                yield head + b"".join(map(self.chunks.__getitem__, parts[1:]))
-            except (TypeError, KeyError):
-                yield self._whole(piece)
+                yield b"".join([token_ids[w] for w in words]) + b"".join(map(chunk_ids.__getitem__, chunks))
+            except KeyError:
+                self.learn(words, PRE_TOKEN)
+                yield b"".join([token_ids[w] for w in words])
+                self.learn(chunks, CHUNK)
+                yield b"".join(map(chunk_ids.__getitem__, chunks))
 
 
 def _ids_of(part: bytes) -> list[int]:
     return memoryview(part).cast("I").tolist()
 
 
+def _grouped(docs: DataFrame) -> DataFrame:
+    """group, doc_id and text: a group is a run of neighbouring rows of about GROUP_CHARS characters."""
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
+    rows = max(1, int(GROUP_CHARS * size["n"] // max(1, size["chars"] or 0)))
+    return docs.select(F.expr(f"monotonically_increasing_id() div {rows}").alias("group"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def _lexicon(grouped: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """group, kind, text and ids of each distinct chunk and pre-token of a group, replayed once for all groups."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(load_ranks(ranks_path), pattern)
+        now, seen = None, (set(), set())
+
+        def rows() -> pa.RecordBatch:
+            keys = [*seen[CHUNK], *seen[PRE_TOKEN]]
+            kinds = np.repeat(np.array([CHUNK, PRE_TOKEN], np.int32), [len(s) for s in seen])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now, np.int64)), pa.array(kinds), pa.array(keys, pa.string())], names=["group", "kind", "text"])
+
+        for batch in batches:
+            for group, text in zip(batch.column("group").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if group != now:
+                    if now is not None:
+                        yield rows()
+                    now, seen = group, (set(), set())
+                for chunks, words in encoder.units(text) if text else ():
+                    seen[CHUNK].update(chunks)
+                    seen[PRE_TOKEN].update(words)
+        if now is not None:
+            yield rows()
+
+    def replayed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(load_ranks(ranks_path), pattern)
+        for batch in batches:
+            kinds, keys = batch.column("kind").to_pylist(), batch.column("text").to_pylist()
+            for kind in (CHUNK, PRE_TOKEN):
+                encoder.learn([key for key, k in zip(keys, kinds, strict=True) if k == kind], kind)
+            ids = [encoder.known[kind][key] for key, kind in zip(keys, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["group", "kind", "text", "ids"])
+
+    keys = map_batches(grouped.select("group", "text"), listed, "group long, kind int, text string")
+    return map_batches(keys.repartition("text", "kind"), replayed, "group long, kind int, text string, ids binary")
+
+
+def _encoded(docs: DataFrame, ranks_path: str, pattern: str, finish: Callable, names: list[str], kinds: list[pa.DataType], schema: str) -> DataFrame:
+    """doc_id and the results of ``finish`` (tokens, parts of ids) for each row of ``docs``."""
+    grouped = _grouped(docs)
+    lexicon = _lexicon(grouped, ranks_path, pattern).select("group", "kind", F.lit(None).cast("long").alias("doc_id"), "text", "ids")
+    rows = lexicon.unionByName(grouped.select("group", F.lit(DOCUMENT).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("ids")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, now = Encoder(load_ranks(ranks_path), pattern), None
+        for batch in batches:
+            group = batch.column("group").to_numpy()
+            kind = batch.column("kind").to_numpy()
+            edges = np.flatnonzero((group[1:] != group[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(kind)], strict=True):
+                if a == b:
+                    continue
+                if group[a] != now:
+                    now = group[a]
+                    encoder.known[CHUNK].clear()
+                    encoder.known[PRE_TOKEN].clear()
+                texts = batch.column("text").slice(a, b - a).to_pylist()
+                if kind[a] != DOCUMENT:
+                    encoder.known[kind[a]].update(zip(texts, batch.column("ids").slice(a, b - a).to_pylist(), strict=True))
+                    continue
+                found = [finish(encoder.replay.tokens, encoder.encode(text or "")) for text in texts]
+                columns = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), *columns], names=["doc_id", *names])
+
+    return map_batches(rows.repartition("group").sortWithinPartitions("group", "kind"), run, schema)
+
+
 def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Encode and decode every whole text: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
@@ -224,46 +341,36 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     null; other columns are ignored.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_ranks(ranks_path), pattern)
-        decode = encoder.replay.decode
-        for batch in batches:
-            counts, hashes, decoded = [], [], []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in chunks(texts, REPLAY_CHARS):
-                for parts in encoder.encode_many(texts[a:b]):
-                    n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
-                    for part in parts:
-                        n += len(part) // 4
-                        of_ids.update(part)
-                        of_bytes.update(decode(_ids_of(part)))
-                    counts.append(n)
-                    hashes.append(of_ids.hexdigest())
-                    decoded.append(of_bytes.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def finish(tokens: dict[int, bytes], parts: Iterator[bytes]) -> tuple[int, str, str]:
+        n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
+        for part in parts:
+            n += len(part) // 4
+            of_ids.update(part)
+            of_bytes.update(b"".join(map(tokens.__getitem__, _ids_of(part))))
+        return n, of_ids.hexdigest(), of_bytes.hexdigest()
+
+    kinds = [pa.int64(), pa.string(), pa.string()]
+    return _encoded(docs, ranks_path, pattern, finish, ["n_tokens", "ids_sha256", "decoded_sha256"], kinds, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id and token_ids (array of int) of every whole text; null texts have an empty array."""
+    """doc_id and token_ids (array of int) of every whole text; null texts have an empty array.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_ranks(ranks_path), pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in chunks(texts, REPLAY_CHARS):
-                ids = [[i for part in parts for i in _ids_of(part)] for parts in encoder.encode_many(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "token_ids"])
+    Repeated rows give repeated results; a null doc_id stays null; other columns are ignored.
+    """
+
+    def finish(_tokens: dict[int, bytes], parts: Iterator[bytes]) -> tuple[list[int]]:
+        return ([i for part in parts for i in _ids_of(part)],)
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, token_ids array<int>")
+    return _encoded(docs, ranks_path, pattern, finish, ["token_ids"], [pa.list_(pa.int32())], "doc_id long, token_ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """doc_id and the decoded text of rows (doc_id, token_ids); a null array gives an empty text."""
+    """doc_id and the decoded text of rows (doc_id, token_ids); a null array gives an empty text.
+
+    Repeated rows give repeated results; a null doc_id stays null; other columns are ignored; an id
+    that the ranks lack is an error; bytes that aren't UTF-8 read as U+FFFD.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in load_ranks(ranks_path).items()}

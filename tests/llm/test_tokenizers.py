@@ -56,8 +56,19 @@ def test_merge_order_when_a_lower_rank_comes_up():
     single = {bytes([b]): b for b in range(256)}
     replay = byte_bpe.MergeReplay({**single, b"ab": 300, b"aba": 256, b"bb": 301})
     # merging the first ab makes aba, whose rank is lower than that of the second ab
-    assert [replay.tokens[i] for i in replay.encode([b"abab"])[0]] == [b"aba", b"b"]
-    assert replay.encode([b"", b"bbb"]) == [[], [301, 98]]
+    for word in (b"abab", b"ab" * 40 + b"c"):
+        ids = byte_bpe._ids_of(replay.encode([word])[0])
+        assert [replay.tokens[i] for i in ids][:2] == [b"aba", b"b"] and b"".join(replay.tokens[i] for i in ids) == word
+    assert [byte_bpe._ids_of(x) for x in replay.encode([b"", b"bbb"])] == [[], [301, 98]]
+
+
+def test_long_and_short_words_merge_alike(bpe, monkeypatch):
+    random.seed(9)
+    words = ["".join(random.choices("etaoinshrdlu\u00e9\u65e5_-", k=random.randrange(1, 60))).encode() for _ in range(400)] + [b"x" * 63, b"x" * 64, b"x" * 5000]
+    want = [bpe._encode_single_piece(w) for w in words]
+    for at in (2, 64, 10_000):
+        monkeypatch.setattr(byte_bpe, "LONG", at)
+        assert [byte_bpe._ids_of(x) for x in byte_bpe.MergeReplay(byte_bpe.load_ranks(RANKS)).encode(words)] == want
 
 
 def test_bpe_cuts_long_texts(spark, bpe, monkeypatch):
@@ -65,8 +76,15 @@ def test_bpe_cuts_long_texts(spark, bpe, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHE", 20)
     encoder = byte_bpe.Encoder(byte_bpe.load_ranks(RANKS), P.PATTERN)
     texts = ["one two  three\n four " * 30, *_random_texts(50), " ".join(_random_texts(20))]
-    for text, parts in zip(texts, encoder.encode_many(texts), strict=True):
-        assert [i for p in parts for i in byte_bpe._ids_of(p)] == bpe.encode_ordinary(text)
+    for text in texts:
+        assert [i for p in encoder.encode(text) for i in byte_bpe._ids_of(p)] == bpe.encode_ordinary(text)
+
+
+def test_bpe_over_many_groups(spark, bpe, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 200)
+    texts = TEXTS[:-1] + _random_texts(60)
+    rows = byte_bpe.encode_documents(_docs(spark, texts).repartition(3), RANKS, P.PATTERN).collect()
+    assert {r["doc_id"]: r["token_ids"] for r in rows} == {i: bpe.encode_ordinary(t or "") for i, t in enumerate(texts)}
 
 
 def test_empty_tables(spark):

@@ -1,16 +1,16 @@
 """Byte-level BPE by corpus-level merge replay.
 
-1. Runs of neighbouring rows are groups. Each group lists its distinct chunks once: the parts of a
-   text between spaces, or the pre-tokens of texts where white space stands beside a space.
-2. Chunks are shuffled by themselves, so each distinct chunk of the corpus is split by the pattern
-   and replayed once. The index of the replay leads from the rank of a pair to the place in each
-   word where it stands; merges in different words never touch, so every word takes its next merge
-   in rank order at one step, and only the pairs beside that place are looked up again. Long words
-   go through the same index rank by rank.
-3. Ids return to the groups that asked for them, and documents are put together there.
-
-Occurrences are never shuffled, only each group's distinct chunks. No result depends on groups:
-a chunk that a group lacks is replayed where it is met.
+1. Every task counts the chunks of its texts (the parts between spaces) and reports the frequent
+   ones; the corpus's most frequent chunks are split by the pattern, replayed once and broadcast
+   as a table of bounded size.
+2. The index of the replay leads from the rank of a pair to the place in each word where it
+   stands. Merges in different words never touch, so every word takes its next merge in rank order
+   at one step, and only the pairs beside that place are looked up again. Long words go through
+   the same index rank by rank.
+3. Documents are put together from the table. Chunks beyond its bound are replayed by the worker
+   that meets them, all new ones of a batch together, and kept for its later tasks.
+
+No pre-token is shuffled, and no result depends on the table's choice.
 """
 
 from __future__ import annotations
@@ -26,22 +26,22 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ._common import map_batches
+from ._common import chunks, map_batches
+from ._frequent import frequent
 
-#: Characters of a group of documents.
-GROUP_CHARS = 8_000_000
-#: Most chunks whose ids one Python worker keeps while it replays; beyond it the cache starts anew.
-CACHE = 900_000
+#: Entries of the broadcast table, and the most bytes of an entry: 4 million ids and 8 MiB of names at most.
+FREQUENT, LONGEST = 131_072, 64
+#: Most chunks, and pre-tokens, whose ids one Python worker keeps beside the table; beyond it the cache starts anew.
+CACHE = 600_000
+#: Characters whose new chunks one merge replay takes.
+REPLAY_CHARS = 2_000_000
 #: Pairs of tokens whose rank one Python worker keeps for long words.
 PAIRS = 200_000
 #: Characters of one document that are split at a time.
 PIECE = 1 << 20
 #: Bytes of a word from which on it goes rank by rank, and bytes of the words that are replayed at one step.
 LONG, STEP_BYTES = 64, 1 << 21
-#: Kinds of rows in a group, in the order in which they are read.
-CHUNK, PRE_TOKEN, DOCUMENT = 0, 1, 2
 #: The rank of two tokens that make none.
 NO_RANK = 1 << 30
 _SPACE_PAIR = re.compile(r" (?:\s|$)")
@@ -219,7 +219,9 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks)
         self.pattern = regex.compile(pattern)
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # of chunks, of pre-tokens
+        self.table: dict[str, bytes] = {}  # the broadcast table
+        self.chunk_ids: dict[str, bytes] = {}
+        self.token_ids: dict[str, bytes] = {}
 
     def units(self, text: str) -> Iterator[tuple[list[str], list[str]]]:
         """(chunks, pre-tokens) of each piece of ``text``; a piece without chunks is all pre-tokens."""
@@ -231,106 +233,92 @@ class Encoder:
                 first, *rest = piece.split(" ")
                 yield rest, self.pattern.findall(first) if first else []
 
-    def learn(self, keys: list[str], kind: int) -> None:
-        """Bring all chunks or pre-tokens of ``keys`` into the cache by one merge replay."""
-        new = [k for k in set(keys) if k not in self.known[kind]]
-        if len(self.known[kind]) + len(new) > CACHE:
-            self.known[kind].clear()
-            new = list(set(keys))
-        split = [self.pattern.findall(" " + k) for k in new] if kind == CHUNK else [[k] for k in new]
-        words = list({w for parts in split for w in parts})
+    def learn(self, new_chunks: set[str], new_words: set[str]) -> None:
+        """Bring all of both sets into the caches by one merge replay."""
+        fresh = [c for c in new_chunks if c not in self.chunk_ids]
+        if len(self.chunk_ids) + len(fresh) > CACHE + len(self.table):
+            self.chunk_ids = dict(self.table)
+            fresh = [c for c in new_chunks if c not in self.chunk_ids]
+        split = [self.pattern.findall(" " + c) for c in fresh]
+        words = list({w for parts in split for w in parts} | new_words)
         ids = dict(zip(words, self.replay.encode([w.encode() for w in words]), strict=True))
-        self.known[kind].update((k, b"".join([ids[w] for w in parts])) for k, parts in zip(new, split, strict=True))
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """The ids as little-endian unsigned 32-bit integers, piece by piece."""
-        chunk_ids, token_ids = self.known
-        for chunks, words in self.units(text):
-            try:
-                yield b"".join([token_ids[w] for w in words]) + b"".join(map(chunk_ids.__getitem__, chunks))
-            except KeyError:
-                self.learn(words, PRE_TOKEN)
-                yield b"".join([token_ids[w] for w in words])
-                self.learn(chunks, CHUNK)
-                yield b"".join(map(chunk_ids.__getitem__, chunks))
+        self.chunk_ids.update((c, b"".join([ids[w] for w in parts])) for c, parts in zip(fresh, split, strict=True))
+        if len(self.token_ids) > CACHE:
+            self.token_ids = {}
+        self.token_ids.update((w, ids[w]) for w in new_words)
+
+    def _joined(self, units: list[tuple[list[str], list[str]]]) -> Iterator[bytes]:
+        for own, words in units:
+            yield b"".join([self.token_ids[w] for w in words]) + b"".join(map(self.chunk_ids.__getitem__, own))
+
+    def _learned(self, units: list[tuple[list[str], list[str]]]) -> None:
+        seen: set[str] = set()
+        words: set[str] = set()
+        for own, first in units:
+            seen.update(own)
+            words.update(first)
+        self.learn(seen, words)
+
+    def _long(self, text: str) -> Iterator[bytes]:
+        for unit in self.units(text):
+            self._learned([unit])
+            yield from self._joined([unit])
+
+    def encode_many(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
+        """For each text the ids, as little-endian unsigned 32-bit integers, piece by piece; each must be read before the next."""
+        short = [list(self.units(t)) if len(t) <= PIECE else None for t in texts]
+        self._learned([u for units in short if units for u in units])
+        at_hand = [None if units is None else list(self._joined(units)) for units in short]
+        for text, parts in zip(texts, at_hand, strict=True):
+            yield self._long(text) if parts is None else iter(parts)
+
+
+@lru_cache(maxsize=1)
+def _worker_encoder(ranks_path: str, pattern: str) -> Encoder:
+    """The encoder that a Python worker keeps from task to task."""
+    return Encoder(load_ranks(ranks_path), pattern)
 
 
 def _ids_of(part: bytes) -> list[int]:
     return memoryview(part).cast("I").tolist()
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
-    """group, doc_id and text: a group is a run of neighbouring rows of about GROUP_CHARS characters."""
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
-    rows = max(1, int(GROUP_CHARS * size["n"] // max(1, size["chars"] or 0)))
-    return docs.select(F.expr(f"monotonically_increasing_id() div {rows}").alias("group"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-
+def _chunks_of(text: str) -> list[str]:
+    """Chunks of a text; parts that can't be split by themselves name nothing and are never looked up."""
+    return [part for part in text.split(" ")[1:] if part and not part[0].isspace()]
 
-def _lexicon(grouped: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """group, kind, text and ids of each distinct chunk and pre-token of a group, replayed once for all groups."""
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_ranks(ranks_path), pattern)
-        now, seen = None, (set(), set())
+def frequent_table(docs: DataFrame, ranks_path: str, pattern: str) -> tuple[str, bytes, bytes]:
+    """The corpus's most frequent chunks after one replay: names joined by spaces, numbers of ids, ids."""
+    names = frequent(docs, _chunks_of, FREQUENT, LONGEST)
+    encoder = Encoder(load_ranks(ranks_path), pattern)
+    encoder.learn(set(names), set())
+    ids = [encoder.chunk_ids[n] for n in names]
+    return " ".join(names), np.array([len(x) for x in ids], np.int32).tobytes(), b"".join(ids)
 
-        def rows() -> pa.RecordBatch:
-            keys = [*seen[CHUNK], *seen[PRE_TOKEN]]
-            kinds = np.repeat(np.array([CHUNK, PRE_TOKEN], np.int32), [len(s) for s in seen])
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now, np.int64)), pa.array(kinds), pa.array(keys, pa.string())], names=["group", "kind", "text"])
 
-        for batch in batches:
-            for group, text in zip(batch.column("group").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if group != now:
-                    if now is not None:
-                        yield rows()
-                    now, seen = group, (set(), set())
-                for chunks, words in encoder.units(text) if text else ():
-                    seen[CHUNK].update(chunks)
-                    seen[PRE_TOKEN].update(words)
-        if now is not None:
-            yield rows()
-
-    def replayed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_ranks(ranks_path), pattern)
-        for batch in batches:
-            kinds, keys = batch.column("kind").to_pylist(), batch.column("text").to_pylist()
-            for kind in (CHUNK, PRE_TOKEN):
-                encoder.learn([key for key, k in zip(keys, kinds, strict=True) if k == kind], kind)
-            ids = [encoder.known[kind][key] for key, kind in zip(keys, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["group", "kind", "text", "ids"])
-
-    keys = map_batches(grouped.select("group", "text"), listed, "group long, kind int, text string")
-    return map_batches(keys.repartition("text", "kind"), replayed, "group long, kind int, text string, ids binary")
+def _unpacked(table: tuple[str, bytes, bytes]) -> dict[str, bytes]:
+    names, sizes, ids = table
+    ends = np.cumsum(np.frombuffer(sizes, np.int32)).tolist()
+    return {name: ids[a:b] for name, a, b in zip(names.split(" "), [0, *ends], ends, strict=False)} if ends else {}
 
 
 def _encoded(docs: DataFrame, ranks_path: str, pattern: str, finish: Callable, names: list[str], kinds: list[pa.DataType], schema: str) -> DataFrame:
     """doc_id and the results of ``finish`` (tokens, parts of ids) for each row of ``docs``."""
-    grouped = _grouped(docs)
-    lexicon = _lexicon(grouped, ranks_path, pattern).select("group", "kind", F.lit(None).cast("long").alias("doc_id"), "text", "ids")
-    rows = lexicon.unionByName(grouped.select("group", F.lit(DOCUMENT).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("ids")))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_table(docs, ranks_path, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, now = Encoder(load_ranks(ranks_path), pattern), None
+        encoder = _worker_encoder(ranks_path, pattern)
+        encoder.table = _unpacked(table.value)
+        encoder.chunk_ids.update(encoder.table)
         for batch in batches:
-            group = batch.column("group").to_numpy()
-            kind = batch.column("kind").to_numpy()
-            edges = np.flatnonzero((group[1:] != group[:-1]) | (kind[1:] != kind[:-1])) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(kind)], strict=True):
-                if a == b:
-                    continue
-                if group[a] != now:
-                    now = group[a]
-                    encoder.known[CHUNK].clear()
-                    encoder.known[PRE_TOKEN].clear()
-                texts = batch.column("text").slice(a, b - a).to_pylist()
-                if kind[a] != DOCUMENT:
-                    encoder.known[kind[a]].update(zip(texts, batch.column("ids").slice(a, b - a).to_pylist(), strict=True))
-                    continue
-                found = [finish(encoder.replay.tokens, encoder.encode(text or "")) for text in texts]
+            ids, texts = batch.column("doc_id").cast(pa.int64()), [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in chunks(texts, REPLAY_CHARS):
+                found = [finish(encoder.replay.tokens, parts) for parts in encoder.encode_many(texts[a:b])]
                 columns = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), *columns], names=["doc_id", *names])
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), *columns], names=["doc_id", *names])
 
-    return map_batches(rows.repartition("group").sortWithinPartitions("group", "kind"), run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token counts by a map-side two-tier lookup, without any shuffle of pre-tokens.
 
 First tier: a compact table of the corpus's frequent pre-tokens and their token counts, small by
-construction and sent to every task. Second tier: each worker's cache; its misses go to the
+construction and broadcast; it comes from bounded per-task reports that are merged as a tree. Second tier: each worker's cache; its misses go to the
 tokenizer in batches. A pre-token is a run of spaces with the run of other characters after it;
 the model has no piece with a space behind another character, so no piece crosses pre-tokens.
 """
@@ -9,20 +9,17 @@ the model has no piece with a space behind another character, so no piece crosse
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ._common import chunks, map_batches
+from ._frequent import frequent
 
 #: Entries of the broadcast table, and the most bytes of one entry: together at most 1 MiB.
 FREQUENT, LONGEST = 16_384, 64
-#: Entries that one partition reports for the table.
-REPORTED = 8_192
-#: Entries of a worker's own cache, and of a partition's counter before the rare half goes.
+#: Entries of a worker's own cache.
 CACHE = 400_000
 #: Stands for a space inside the model; in a text it reads like one.
 SPACE_MARK = "▁"
@@ -40,28 +37,6 @@ def pre_tokens(text: str) -> list[str]:
     return parts
 
 
-def frequent_pre_tokens(docs: DataFrame, size: int = FREQUENT) -> list[str]:
-    """The most frequent pre-tokens over all documents, from per-partition reports.
-
-    Each partition reports at most REPORTED entries, so the shuffle and the driver's list are
-    bounded. The choice only decides which lookups are cheap; counts never depend on it.
-    """
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                if text:
-                    seen.update(pre_tokens(text))
-                    if len(seen) > CACHE:
-                        seen = Counter(dict(seen.most_common(CACHE // 2)))
-        top = [(w, n) for w, n in seen.most_common(REPORTED) if n > 1 and len(w.encode()) <= LONGEST]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
-
-    found = map_batches(docs.select("text"), report, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [r["word"] for r in found.collect()]
-
-
 def _load(model_path: str):
     if model_path.endswith(".model"):
         import sentencepiece
@@ -92,10 +67,10 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     count as empty: no bytes, no tokens. Repeated rows give repeated results; a null doc_id stays
     null; other columns are ignored.
     """
-    packed = pack_table(frequent_pre_tokens(docs), model_path)
+    table = docs.sparkSession.sparkContext.broadcast(pack_table(frequent(docs, pre_tokens, FREQUENT, LONGEST), model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, frequent, cache = _load(model_path), _unpack(packed), {}
+        encode, common, cache = _load(model_path), _unpack(table.value), {}
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             sizes, counts = [], []
@@ -104,7 +79,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
                 seen: set[str] = set()
                 for w in words:
                     seen.update(w)
-                known = {w: n for w in seen if (n := frequent.get(w, cache.get(w))) is not None}
+                known = {w: n for w in seen if (n := common.get(w, cache.get(w))) is not None}
                 new = [w for w in seen if w not in known]
                 fresh = dict(zip(new, encode(new), strict=True)) if new else {}
                 if len(cache) + len(fresh) > CACHE:

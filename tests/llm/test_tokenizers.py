@@ -7,6 +7,7 @@ import public_tokenizers as P
 import pytest
 
 from namechron.llm import byte_bpe, token_counts
+from namechron.llm._frequent import frequent
 from namechron.llm.queries import BPE_RANKS, PIECE_MODEL
 
 RANKS = P.path(BPE_RANKS)
@@ -76,17 +77,27 @@ def test_bpe_cuts_long_texts(spark, bpe, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHE", 20)
     encoder = byte_bpe.Encoder(byte_bpe.load_ranks(RANKS), P.PATTERN)
     texts = ["one two  three\n four " * 30, *_random_texts(50), " ".join(_random_texts(20))]
-    for text in texts:
-        assert [i for p in encoder.encode(text) for i in byte_bpe._ids_of(p)] == bpe.encode_ordinary(text)
+    for text, parts in zip(texts, encoder.encode_many(texts), strict=True):
+        assert [i for p in parts for i in byte_bpe._ids_of(p)] == bpe.encode_ordinary(text)
 
 
-def test_bpe_over_many_groups(spark, bpe, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 200)
-    texts = TEXTS[:-1] + _random_texts(60)
-    rows = byte_bpe.encode_documents(_docs(spark, texts).repartition(3), RANKS, P.PATTERN).collect()
+def test_bpe_with_a_small_table(spark, bpe, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "FREQUENT", 5)
+    monkeypatch.setattr(byte_bpe, "REPLAY_CHARS", 100)
+    texts = TEXTS[:-1] + _random_texts(60) + ["the same words again and again " * 50] * 5
+    docs = _docs(spark, texts).repartition(12)
+    assert len(byte_bpe.frequent_table(docs, RANKS, P.PATTERN)[0].split(" ")) == 5
+    rows = byte_bpe.encode_documents(docs, RANKS, P.PATTERN).collect()
     assert {r["doc_id"]: r["token_ids"] for r in rows} == {i: bpe.encode_ordinary(t or "") for i, t in enumerate(texts)}
 
 
+def test_frequent_strings_of_many_partitions(spark):
+    texts = ["a a a a a b b b c c d"] * 40 + [None, "", "e " * 1000]
+    docs = _docs(spark, texts).repartition(30)
+    assert frequent(docs, str.split, 4, 10) == ["e", "a", "b", "c"]
+    assert frequent(docs.limit(0), str.split, 4, 10) == []
+
+
 def test_empty_tables(spark):
     none = _docs(spark, TEXTS).limit(0)
     assert byte_bpe.bpe_digests(none, RANKS, P.PATTERN).count() == 0

@@ -3,6 +3,7 @@
 A test item with an error budget of e edits falls into e + 1 pieces: wherever it stands with at
 most e edits, one piece stands there unchanged. An Aho-Corasick automaton finds all pieces in a
 document in one pass; around each hit Myers's bit-parallel algorithm gives the exact distance.
+Items lie in the shared folder in blocks; a task loads one block, and the driver holds none.
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import map_batches
+from ._common import map_batches, new_path
 
 #: Characters of test items that one pass over the documents looks for; more items take more passes.
 BLOCK_CHARS = 4_000_000
@@ -116,14 +119,25 @@ class Matcher:
         return sorted(best.items())
 
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of about BLOCK_CHARS characters, each block collected by itself."""
+def _stored_items(benchmark: DataFrame) -> tuple[str, int]:
+    """A folder of the shared storage with items in blocks of about BLOCK_CHARS characters, and the number of blocks."""
     held = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     total = held.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_CHARS)
-    for i in range(blocks):
-        rows = held.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
-        yield sorted({(r["item_id"], normalized(r["text"])) for r in rows.collect()})
+    path = new_path(benchmark.sparkSession, "items")
+    if blocks:
+        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block")
+        held.select(F.col("item_id").cast("long").alias("item_id"), "text", block).repartition("block").write.partitionBy("block").option("compression", "zstd").parquet(path)
+    return path, blocks
+
+
+def _load_items(path: str, block: int) -> list[tuple[int, str]]:
+    """A block's distinct items, normalized; read by the task that looks for them."""
+    store, inside = fs.FileSystem.from_uri(f"{path}/block={block}")
+    if store.get_file_info(inside).type == fs.FileType.NotFound:
+        return []
+    rows = pq.read_table(inside, filesystem=store, columns=["item_id", "text"], partitioning=None).to_pylist()
+    return sorted({(r["item_id"], normalized(r["text"])) for r in rows})
 
 
 def with_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, shortest: int = 0, column: str = "contaminated_by") -> DataFrame:
@@ -137,10 +151,11 @@ def with_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05,
     """
     kind = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("n_edits", T.IntegerType())]))
     out = docs.withColumn(column, F.array().cast(kind))
-    for items in _item_blocks(benchmark):
+    path, blocks = _stored_items(benchmark)
+    for block in range(blocks):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items, error_rate, shortest)
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(_load_items(path, block), error_rate, shortest)
             for batch in batches:
                 at = batch.schema.get_field_index(column)
                 found = []

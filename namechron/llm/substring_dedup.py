@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import join_counted, map_batches, materialize, new_path, shuffle_partitions
+from ._common import HOT_KEYS, join_counted, map_batches, materialize, new_path, shuffle_partitions
 from ._words import WordHashes, mixed, runs, words_of
 
 #: Runs of fewer words than this are common in any text.
 SHORTEST = 8
+#: Tasks among which the rows of a text with very many copies are dealt.
+SALTS = 64
 #: Two hashes of a run: at the last level both must agree.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -66,7 +68,9 @@ def _text_table(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     name = f"namechron_texts_{uuid.uuid4().hex}"
     texts = marked.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
     texts.write.bucketBy(shuffle_partitions(spark), "node").option("compression", "zstd").option("path", new_path(spark, "texts")).saveAsTable(name)
-    return owners, spark.table(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the plan of ``stored`` knows files and buckets; these stay
+    return owners, stored
 
 
 def _with_places(texts: DataFrame, places: DataFrame | None) -> DataFrame:
@@ -168,4 +172,14 @@ def dedup_substrings(docs: DataFrame, window: int = 35) -> DataFrame:
 
     marked = texts.join(found.hint("shuffle_hash"), "node", "left")
     results = map_batches(marked.select("node", "text", "copies", "places"), run, "node binary, n_words long, n_removed long, kept_text string, kept_sha256 string")
-    return owners.join(results, "node").drop("node")
+    return _to_owners(owners, results, texts.select("node", "copies"))
+
+
+def _to_owners(owners: DataFrame, results: DataFrame, copies: DataFrame) -> DataFrame:
+    """The result of each row's text. Results of texts with a HOT_KEYS-th of all rows are dealt to SALTS tasks."""
+    total = copies.agg(F.sum("copies")).first()[0] or 0
+    hot = F.broadcast(copies.where(F.col("copies") * HOT_KEYS >= total).select("node", F.lit(True).alias("hot")))  # at most HOT_KEYS rows
+    salted = owners.join(hot, "node", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)).drop("hot")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = results.join(hot, "node", "left").withColumn("salt", F.explode(every)).drop("hot")
+    return salted.join(dealt, ["node", "salt"]).drop("node", "salt")

@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import map_batches, materialize, new_path
+from ._common import join_counted, map_batches, materialize, new_path
 
 #: A file is closed once it holds so many bytes, and read in parts of so many bytes.
 FILE_BYTES, READ_BYTES = 256 << 20, 1 << 18
@@ -143,23 +143,27 @@ def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     ``refers_to`` is the smallest page_id with the same payload, for pages with a larger page_id;
     payloads of fewer than ``least_bytes`` bytes refer to nothing. A null page_id neither refers nor
-    is referred to; rows that repeat the smallest page_id are all responses. Only ids and digests
-    are shuffled by digest, combined before, so a payload that many pages share is no hot spot.
+    is referred to; rows that repeat the smallest page_id are all responses. Digests are counted,
+    combined before their shuffle, and digests and pages meet what belongs to them by counted keys,
+    so a payload or a page_id that many rows share lands in no single task.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    digests = materialize(
-        pages.where(F.octet_length(payload) >= least_bytes).select("page_id", F.unhex(F.sha1(payload.cast("binary"))).alias("sha1")).where("page_id is not null"), "page-digests"
-    )
-    firsts = digests.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = digests.join(firsts, "sha1").where("page_id > refers_to").distinct()
-    sums = pages.select("page_id", "url", "html", F.unhex(F.sha1(payload.cast("binary"))).alias("sha1"))
-    return sums.join(later.hint("shuffle_hash"), ["page_id", "sha1"], "left").select("page_id", "url", "html", "refers_to")
+    sums = pages.select("page_id", "url", "html", F.unhex(F.sha1(payload.cast("binary"))).alias("sha1"), (F.octet_length(payload) >= least_bytes).alias("counts"))
+    with_id = sums.where("page_id is not null")
+    pairs = materialize(with_id.groupBy("page_id", "sha1", "counts").agg(F.count(F.lit(1)).alias("copies")), "page-digests")
+    firsts = materialize(pairs.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")), "first-pages")
+    refers_to = F.when(F.col("counts") & (F.col("page_id") > F.col("first")), F.col("first")).alias("refers_to")
+    keyed = materialize(join_counted(pairs, firsts, ["sha1"]).select("page_id", "sha1", refers_to, F.col("copies").alias("n")), "references")
+    names = ["page_id", "url", "html", "refers_to"]
+    return join_counted(with_id.drop("counts"), keyed, ["page_id", "sha1"]).select(names).unionByName(sums.where("page_id is null").select("page_id", "url", "html", F.lit(None).cast("long").alias("refers_to")))
 
 
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write (page_id, url, html, refers_to) as WARC files below ``folder``; a lazy row for each file.
 
-    Null html is an empty payload. Each row says path, records and bytes; a task that is run again
+    Null html is an empty payload, a null url an empty one; white space in a url becomes single
+    spaces; a null page_id is written empty and read as null; repeated rows are records of their
+    own; other columns are ignored. Each row says path, records and bytes; a task that is run again
     writes files of its own, and those of lost attempts are never reported.
     """
 

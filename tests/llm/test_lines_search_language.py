@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from namechron.llm import language_id, line_dedup, topk_search
 
@@ -51,11 +52,66 @@ def test_top_k(spark):
     assert topk_search.top_k(df.limit(0), asked.limit(0)).count() == 0
 
 
+def _search(df, k=5):
+    got = {}
+    for r in topk_search.top_k(df, df.where("vec_id % 50 = 0"), k=k).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return {q: [x[1:] for x in sorted(rows)] for q, rows in got.items()}
+
+
+def _search_by_hand(rows, k=5):
+    whole = {i: [int(np.floor(256 * np.float64(x))) for x in v] for i, v in rows}
+    out = {}
+    for q, y in whole.items():
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(y, x, strict=True)), i) for i, x in whole.items() if i != q)[:k]
+            out[q] = [(i, -s) for s, i in scores]
+    return out
+
+
 def test_top_k_is_exact_for_large_components(spark):
-    rows = [(i, [1e5 * (i + 1), 1.0 * i, -3.0]) for i in range(6)] + [(50, [1e30, 1.0, 1.0])]
+    rows = [(0, [2.0**22, 1.0]), (1, [2.0**21, 0.0]), (2, [3 * 2.0**20, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert _search(df) == {0: [(2, 864691128455135232), (1, 576460752303423488)]}
+    random = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in random.normal(0, 1, 6) * 10.0 ** random.integers(-3, 6)]) for i in range(160)]
+    rows += [(200, [1e30, 0.0, 0.0, 0.0, 0.0, 0.0]), (201, [0.0] * 6), (250, [0.0, 0.1, 0.0, 0.0, 0.0, 0.0]), (202, [-1e200, 0.5, 0.0, 0.0, 0.0, 1.0])]
+    rows = [(i, [0.0, *v[1:]] if i < 200 else v) for i, v in rows]
+    df = spark.createDataFrame([r for r in rows if r[0] != 200], "vec_id long, embedding array<double>")
+    assert _search(df) == _search_by_hand([r for r in rows if r[0] != 200])
+    with pytest.raises(Exception, match="64 bits"):
+        _search(spark.createDataFrame([*rows, (300, [1e20] + [0.0] * 5)], "vec_id long, embedding array<double>"))
+
+
+def test_top_k_of_copies_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(topk_search, "CELL_BYTES", 500)
+    random = np.random.default_rng(6)
+    vectors = [[float(x) for x in random.normal(0, 0.3, 5)] for _ in range(120)]
+    rows = [(i, vectors[0] if i % 3 == 0 else vectors[random.integers(120)]) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert _search(df) == _search_by_hand(rows)
+    assert _search(df, k=1) == _search_by_hand(rows, k=1)
+
+
+def test_top_k_of_clusters(spark):
+    random = np.random.default_rng(7)
+    centers = random.normal(0, 0.2, (9, 16))
+    rows = [(i, [float(x) for x in centers[i % 9] + random.normal(0, 0.02, 16)]) for i in range(900)] + [(1000, [-0.1] * 16)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    top = topk_search.top_k(df, df.where("vec_id % 50 = 0"), k=1).collect()
-    assert {(r["query_id"], r["vec_id"]) for r in top} == {(0, 50), (50, 5)}
+    assert _search(df) == _search_by_hand(rows)
+
+
+def test_few_entries_reach_the_uniform_share(spark):
+    random = np.random.default_rng(8)
+    y = random.normal(0, 50, (20, 32)).round()
+    x = random.normal(0, 50, (4000, 32)).round()
+    stored = topk_search._cells(spark.createDataFrame([(i, 32, v.astype("<f8").tobytes()) for i, v in enumerate(x)], "vec_id long, dim int, q binary"), 6)
+    block = spark.sparkContext.broadcast({32: y})
+    cutoffs = topk_search._cutoffs(stored, block, topk_search._local_heads(stored, block, topk_search.HEADS), 6)
+    entries = topk_search._sufficient_entries(stored, block, spark.sparkContext.broadcast(cutoffs)).collect()
+    assert all(r["places"] is not None for r in entries)
+    assert sum(len(r["places"]) // 4 for r in entries) < 0.09 * 20 * 4000
 
 
 def test_language(spark):

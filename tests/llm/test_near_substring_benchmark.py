@@ -205,3 +205,11 @@ def test_short_items_have_their_edits(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted((r["doc_id"], r["item_id"], r["n_edits"]) for r in decontamination.contaminated(df, bench).collect())
     assert got == [(1, 2, 1), (5, 3, 0)]
+
+
+def test_windows_of_a_text_that_most_rows_share(spark):
+    docs = [(i, "same text again") for i in range(3000)] + [(i, "long copied text " * 20) for i in range(3000, 5000)] + [(5000, "own words only")]
+    df = spark.createDataFrame([(*d, 1, b"") for d in docs], "doc_id long, text string, salt int, hot binary").repartition(5)
+    got = sorted(tuple(r[c] for c in ("doc_id", "n_words", "n_removed", "kept_text", "kept_sha256")) for r in substring_dedup.dedup_substrings(df).collect())
+    assert got == sorted(_windows_by_hand(docs, 35))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("namechron_texts")]

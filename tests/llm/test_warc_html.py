@@ -73,3 +73,12 @@ def test_odd_pages(spark):
     assert len(got) == 6 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert [r["text"] for r in got if r["page_id"] in (1, 2)] == ["", ""]
     assert {r["n_chars"] for r in got if r["page_id"] == 4} == {5999}
+
+
+def test_a_payload_that_most_pages_share(spark):
+    rows = [(i, "u", None if i % 3 else f"page {i % 9}") for i in range(3000)] + [(0, "u", "page 0")] * 2000 + [(None, "u", "")] * 1000
+    got = warc.archive_round_trip(spark, _pages(spark, rows)).collect()
+    assert len(got) == len(rows)
+    first = {None: 1, "page 0": 0, "page 3": 3, "page 6": 6, "": 1}
+    want = sorted(((i, None if i is None or i == first[html] else first[html]) for i, _, html in rows), key=repr)
+    assert sorted(((r["page_id"], r["refers_to"]) for r in got), key=repr) == want

@@ -1,15 +1,26 @@
 """Main text of web pages by text-to-tag ratios.
 
-Events of the standard library's streaming parser build one line for each block. A line's ratio
-of characters to tags is smoothed by a Gaussian over its neighbours; a threshold that splits the
-smoothed ratios into two clusters marks content lines. Regions (an article, a main part or the
-rest of the body) that hold content lines give the text.
+Events of the standard library's streaming parser build a line for each block and the tree that the
+lines lie in. A line's ratio of characters to tags is smoothed by a Gaussian over its neighbours; a
+threshold that splits the smoothed ratios into two clusters marks content lines. These lines decide
+what is kept:
+
+- Names that are typical of menus, notices and the like are a vote against an element. On a page
+  whose articles have no text it fails if the element holds most of the content lines' text; votes
+  by elements such as aside, and for readers' comments, fail only if next to no other text is left.
+  A name never leaves out an article with content lines within it.
+- The content lines that are left choose the region: the articles or main parts that hold most of
+  their text, else the deepest element of several lines that holds nearly all of it, with headings
+  beside it. The whole region is the text.
+- Lists of links between content lines go: neighbouring lines below the threshold that are links alone.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -25,62 +36,126 @@ BLOCK = frozenset(
     "header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 SILENT = frozenset("script style head title noscript template iframe object svg canvas math audio video map select textarea button dialog datalist".split())
-#: Elements, roles and words of class or id that mark what isn't the article.
-OUTSIDE = frozenset("nav footer aside form menu".split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
+#: Fixed values of HTML: start tags that end an open element, which elements, and where the search for these stops.
+IMPLIED_ENDS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+    "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
+    "tbody": ({"thead", "tbody"}, {"table"}), "tfoot": ({"thead", "tbody"}, {"table"}),
+    "option": ({"option"}, {"select", "datalist"}),
+}
+#: Votes: elements, roles and words of class or id that are typical of what isn't the article.
+OUTSIDE = frozenset("nav footer aside menu".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 OUTSIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation "
-    "newsletter notice pagination popup promo promoted related replies reply share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs consent cookie cookies footer masthead menu modal nav navbar navigation "
+    "newsletter notice pagination popup promo promoted related share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+READER_WORDS = frozenset("comment comments disqus replies reply".split())
+REGIONS = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NEVER_VOTED = HEADINGS | REGIONS | {"html", "body"}
 _WORDS = re.compile(r"[a-z]+")
 #: Lines on each side that the Gaussian reaches, and its width.
 REACH, WIDTH = 2, 1.0
+#: Share of the content lines' text that the region of a page without articles holds at least.
+NEARLY_ALL = 0.95
+#: Share of an element's text below which the text outside all voted elements counts as next to none.
+LITTLE = 0.05
+#: Strength of a vote: a word, role or form; an element of that meaning, or readers' comments.
+WEAK, STRONG = 1, 2
+
+
+def vote(tag: str, attrs: list[tuple[str, str | None]], in_region: bool) -> int:
+    """The strength of an element's vote to be left out, or 0."""
+    if tag in OUTSIDE or tag == "header" and not in_region:
+        return STRONG
+    if tag in _NEVER_VOTED:
+        return 0
+    words = {w for name, value in attrs if value and name in ("class", "id") for w in _WORDS.findall(value.lower())}
+    if not words.isdisjoint(READER_WORDS):
+        return STRONG
+    marked = tag == "form" or not words.isdisjoint(OUTSIDE_WORDS)
+    return WEAK if marked or any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and (value or "").lower() in OUTSIDE_ROLES for name, value in attrs) else 0
 
 
-def _is_outside(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    if tag in OUTSIDE or tag == "header" and not in_article:
-        return True
-    if tag in ("html", "body", "article", "main"):
-        return False
-    for name, value in attrs:
-        if name in ("hidden",) or name == "aria-hidden" and value == "true":
-            return True
-        if value and (name == "role" and value.lower() in OUTSIDE_ROLES or name in ("class", "id") and not OUTSIDE_WORDS.isdisjoint(_WORDS.findall(value.lower()))):
-            return True
-    return False
+@dataclass(slots=True)
+class Line:
+    text: str
+    tags: int
+    element: int
+    #: Whether all its text stands in links.
+    linked: bool
 
 
 class LineParser(HTMLParser):
-    """Turns events into lines: [text parts, tags, region]; text outside the page's body text is skipped."""
+    """Turns events into lines and the tree of elements: parent, tag and vote of each, the page itself first."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
-        self.open: list[tuple[str, bool]] = []  # name, whether what it holds is skipped
-        self.skipping = 0
+        self.lines: list[Line] = []
+        self.parents, self.names, self.votes = [-1], [""], [0]
+        self.open = [0]
+        self.counts: Counter[str] = Counter()  # of open elements by name
+        self.silent = self.links = self.regions = 0
         self.parts: list[str] = []
-        self.tags = 0
-        self.regions = [0]
-        self.made = 0
+        self.tags, self.plain = 0, False
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
-            self.lines.append((text, self.tags, self.regions[-1]))
-        self.parts, self.tags = [], 0
+            self.lines.append(Line(text, self.tags, self.open[-1], not self.plain))
+        self.parts, self.tags, self.plain = [], 0, False
+
+    def _pop(self) -> str:
+        element = self.open.pop()
+        name = self.names[element]
+        self.counts[name] -= 1
+        self.silent -= name in SILENT
+        self.links -= name == "a"
+        self.regions -= name in REGIONS
+        return name
+
+    def _end_implied(self, tag: str) -> None:
+        """End what the start of ``tag`` ends: a head, a paragraph, an element of the same list or table."""
+        if self.counts["head"] and tag in BLOCK and tag not in IN_HEAD:
+            while self._pop() != "head":
+                pass
+        ended, stops = IMPLIED_ENDS.get(tag, ((), ()))
+        if any(self.counts[name] for name in ended):
+            for n, element in enumerate(reversed(self.open)):
+                name = self.names[element]
+                if name in ended:
+                    for _ in range(n + 1):
+                        self._pop()
+                if name in ended or name in stops:
+                    break
+        if self.counts["p"] and tag in BLOCK and tag not in VOID:
+            for n, element in enumerate(reversed(self.open)):
+                name = self.names[element]
+                if name == "p":
+                    for _ in range(n + 1):
+                        self._pop()
+                if name in BLOCK:
+                    break
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK:
+        against = 0 if self.silent else vote(tag, attrs, self.regions > 0)
+        if tag in BLOCK or against:
             self.flush()
+        self._end_implied(tag)
         self.tags += 1
         if tag in VOID:
             return
-        skip = not self.skipping and (tag in SILENT or _is_outside(tag, attrs, len(self.regions) > 1))
-        self.open.append((tag, skip))
-        self.skipping += skip
-        if tag in ("article", "main") and not self.skipping:
-            self.made += 1
-            self.regions.append(self.made)
+        self.parents.append(self.open[-1])
+        self.names.append(tag)
+        self.votes.append(against)
+        self.open.append(len(self.names) - 1)
+        self.counts[tag] += 1
+        self.silent += tag in SILENT
+        self.links += tag == "a"
+        self.regions += tag in REGIONS
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -90,23 +165,23 @@ class LineParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.flush()
-        self.tags += 1
-        if tag in VOID or all(name != tag for name, _ in self.open):
+        if not self.counts[tag]:
+            self.tags += 1
             return
-        while self.open:
-            name, skip = self.open.pop()
-            self.skipping -= skip
-            if name in ("article", "main") and not self.skipping and len(self.regions) > 1 and not skip:
+        while True:
+            if self.votes[self.open[-1]]:
                 self.flush()
-                self.regions.pop()
-            if name == tag:
+            if self._pop() == tag:
                 break
+        self.tags += 1
 
     def handle_data(self, data):
-        if not self.skipping:
+        if not self.silent:
             self.parts.append(data)
+            if not self.links and not data.isspace():
+                self.plain = True
 
-    def finish(self) -> list[tuple[str, int, int]]:
+    def finish(self) -> list[Line]:
         self.close()
         self.flush()
         return self.lines
@@ -133,6 +208,76 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
+def content_lines(lines: list[Line]) -> list[bool]:
+    """For each line whether it has text and its smoothed ratio lies in the upper cluster."""
+    smooth = smoothed(np.array([len(line.text) / max(1, line.tags) for line in lines]))
+    cut = threshold(smooth)
+    found = [v >= cut and bool(line.text) for v, line in zip(smooth.tolist(), lines, strict=True)]
+    return found if any(found) else [bool(line.text) for line in lines]
+
+
+class _Tree:
+    """Sums over the subtrees of a page; an element's parent always comes before it."""
+
+    def __init__(self, parser: LineParser):
+        self.parents, self.names, self.votes = parser.parents, parser.names, parser.votes
+
+    def sums(self, lines: list[Line], wanted: list[bool]) -> list[int]:
+        """Characters of the wanted lines within each element."""
+        total = [0] * len(self.parents)
+        for line, yes in zip(lines, wanted, strict=True):
+            if yes:
+                total[line.element] += len(line.text)
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parents[e]] += total[e]
+        return total
+
+    def below(self, chosen: set[int]) -> list[bool]:
+        """Whether each element is chosen or lies within a chosen one."""
+        out = [e in chosen for e in range(len(self.parents))]
+        for e in range(1, len(out)):
+            out[e] = out[e] or out[self.parents[e]]
+        return out
+
+    def regions(self, total: list[int]) -> set[int]:
+        """Articles and main parts with text, the outermost ones."""
+        found = {e for e, name in enumerate(self.names) if name in REGIONS and total[e]}
+        inside = self.below(found)
+        return {e for e in found if not inside[self.parents[e]]}
+
+    def container(self, element: int, lines: list[Line]) -> int:
+        """``element``, or the first one around it that has several lines and no more than headings beside it."""
+        total, headings = [0] * len(self.parents), [0] * len(self.parents)
+        inside = self.below({e for e, name in enumerate(self.names) if name in HEADINGS})
+        for line in lines:
+            total[line.element] += bool(line.text)
+            headings[line.element] += bool(line.text) and inside[line.element]
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parents[e]] += total[e]
+            headings[self.parents[e]] += headings[e]
+        while element and (total[element] < 2 or total[self.parents[element]] - total[element] == headings[self.parents[element]] - headings[element]):
+            element = self.parents[element]
+        return element
+
+    def left_out(self, lines: list[Line], content: list[bool]) -> list[bool]:
+        """Whether the votes leave an element out."""
+        total = self.sums(lines, content)
+        text = self.sums(lines, [True] * len(lines))
+        voted = self.below({e for e, v in enumerate(self.votes) if v})
+        unvoted = sum(len(line.text) for line in lines if not voted[line.element])
+        region = any(self.names[e] in REGIONS and text[e] and not voted[e] for e in range(len(text)))
+        holds_region = [name in REGIONS and n > 0 for name, n in zip(self.names, total, strict=True)]
+        for e in range(len(total) - 1, 0, -1):
+            holds_region[self.parents[e]] |= holds_region[e]
+        chosen = set()
+        for e, strength in enumerate(self.votes):
+            most = 2 * total[e] > total[0] and not region
+            fails = strength == WEAK and (holds_region[e] or most) or most and unvoted < LITTLE * text[e]
+            if strength and not fails:
+                chosen.add(e)
+        return self.below(chosen)
+
+
 def extract(html: str | None) -> str:
     """Main text of one page; empty for null or empty html, or where no text is left."""
     if not html:
@@ -140,16 +285,22 @@ def extract(html: str | None) -> str:
     parser = LineParser()
     parser.feed(html)
     lines = parser.finish()
-    if not any(text for text, _, _ in lines):
+    if not any(line.text for line in lines):
         return ""
-    smooth = smoothed(np.array([len(text) / max(1, tags) for text, tags, _ in lines]))
-    cut = threshold(smooth)
-    content = [i for i, v in enumerate(smooth) if v >= cut and lines[i][0]]
-    marked = {lines[i][2] for i in content} - {0} or {region for text, _, region in lines if text and region}
-    if marked:
-        return " ".join(text for text, _, region in lines if text and region in marked)
-    first, last = (content[0], content[-1]) if content else (0, len(lines))
-    return " ".join(text for text, _, _ in lines[first : last + 1] if text)
+    tree = _Tree(parser)
+    out = tree.left_out(lines, content_lines(lines))
+    lines = [line for line in lines if not out[line.element]]
+    if not any(line.text for line in lines):
+        return ""
+    content = content_lines(lines)
+    total = tree.sums(lines, content)
+    chosen = tree.regions(total)
+    if 2 * sum(total[e] for e in chosen) < total[0]:
+        chosen = {tree.container(max(e for e, n in enumerate(total) if n >= NEARLY_ALL * total[0]), lines)}
+    inside = tree.below(chosen)
+    kept = [(line.text, line.linked and not yes) for line, yes in zip(lines, content, strict=True) if line.text and inside[line.element]]
+    alone = [link and not (i and kept[i - 1][1]) and not (i + 1 < len(kept) and kept[i + 1][1]) for i, (_, link) in enumerate(kept)]
+    return " ".join(text for (text, link), single in zip(kept, alone, strict=True) if not link or single)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

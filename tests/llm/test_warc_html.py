@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import random
 
 import pytest
 
@@ -82,3 +83,51 @@ def test_a_payload_that_most_pages_share(spark):
     first = {None: 1, "page 0": 0, "page 3": 3, "page 6": 6, "": 1}
     want = sorted(((i, None if i is None or i == first[html] else first[html]) for i, _, html in rows), key=repr)
     assert sorted(((r["page_id"], r["refers_to"]) for r in got), key=repr) == want
+
+
+LINKS = "<ul><li><a href=a>A link<li><a href=b>Another link<li><a href=c>The third link</ul>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f'<div class="layout has-sidebar"><article><h1>Head</h1><p>{ARTICLE}</p></article><div class="sidebar">{LINKS}</div></div>', f"Head {ARTICLE}"),
+        (f'<header>Site</header><div class="market-share-report"><p>{ARTICLE}</p><p>{ARTICLE}</p></div>', f"{ARTICLE} {ARTICLE}"),
+        (f'<article><p class="ad">Buy now<p>{ARTICLE}<p>More', f"{ARTICLE} More"),
+        (f'<body><form id="aspnetForm"><nav>{LINKS}</nav><p>{ARTICLE}</p><p>End.</p></form></body>', f"{ARTICLE} End."),
+        (f"<div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><main><p>Tiny</p></main>", f"{ARTICLE} {ARTICLE}"),
+        (f"<body>{LINKS}<div><p>First.</p><p>{ARTICLE}</p><p>{ARTICLE}</p><p>Last.</p></div>{LINKS}", f"First. {ARTICLE} {ARTICLE} Last."),
+        (f'<article><p>{ARTICLE}</p><h2 id="related-work">Related work</h2><p>{ARTICLE}</p></article>', f"{ARTICLE} Related work {ARTICLE}"),
+        (f"<article><p>{ARTICLE}</p>{LINKS}<p>{ARTICLE} See <a href=x>this</a>.</p><p><a href=y>One link alone</a></p><p>{ARTICLE}</p></article>", f"{ARTICLE} {ARTICLE} See this. One link alone {ARTICLE}"),
+        (f'<p>{ARTICLE}</p><section class="comments">' + f"<p>{ARTICLE} says a reader.</p>" * 9 + "</section>", ARTICLE),
+        (f"<html><head><title>T</title><meta x><body><table><tr><td>{ARTICLE}<td>Cell<tr><td>{ARTICLE}</table>", f"{ARTICLE} Cell {ARTICLE}"),
+        ("<article><p>One.</p></article><nav>Home</nav>", "One."),
+        (f"<article><h1>Short.</h1></article><footer>{ARTICLE}</footer>", "Short."),
+        (f"<div><h1>Head</h1><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div></div>", f"Head {ARTICLE} {ARTICLE}"),
+        (f"<aside><p>{ARTICLE}</p></aside>", ARTICLE),
+        ("<div>" * 20_000 + ARTICLE, ARTICLE),
+    ],
+)
+def test_ratios_decide(html, text):
+    assert html_text.extract(html) == text
+
+
+def test_generated_pages():
+    random.seed(12)
+    for _ in range(150):
+        own = [" ".join(random.choices(["word", "of", "the", "article"], k=random.choice([1, 3, 20, 60, 120]))) + str(i) for i in range(random.randrange(2, 12))]
+        own.insert(random.randrange(len(own) + 1), ARTICLE * 3)
+        body = "".join(random.choice(["<p>{}</p>", "<p>{}", "<div>{}</div>", "<h2>{}</h2>", "<ul><li>{}</ul>"]).format(t) for t in own)
+        marked = random.choice(["<article>{}</article>", "<main>{}</main>", "<div id=content>{}</div>", '<div class="page"><div class="body-text">{}</div></div>'])
+        noise = [f"<nav>{LINKS}</nav>", '<div class="cookie-notice">We use cookies, as all do. Accept them all.</div>', f"<aside><p>{ARTICLE}</p></aside>", "<footer><p>All rights reserved by us.</p></footer>", f'<div id="comments"><p>{ARTICLE}</p></div>', "<form><p>Your name</p><input></form>", "<script>var a = '<p>';</script>"]
+        random.shuffle(noise)
+        at = random.randrange(len(noise))
+        page = "<html><head><title>T</title></head><body>" + "".join(noise[:at]) + marked.format(body) + "".join(noise[at:]) + "</body></html>"
+        assert html_text.extract(page) == " ".join(own)
+
+
+def test_a_very_long_page_and_an_empty_table(spark):
+    long = "<article>" + f"<p>{ARTICLE}</p>" * 30_000 + "</article>"
+    got = html_text.extract_pages(_pages(spark, [(1, "u", long), (1, "u", long)])).collect()
+    assert [r["n_chars"] for r in got] == [len(ARTICLE) * 30_000 + 29_999] * 2
+    assert html_text.extract_pages(_pages(spark).limit(0)).count() == 0

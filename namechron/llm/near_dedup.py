@@ -8,12 +8,16 @@
    the others only the prefix counts: the rarest postings, all but MATCHES - 1. A pair with enough
    matches must meet within both prefixes, so frequent values are skipped.
 3. Each posting list names its most central member, and each node joins the group of the member
-   that most of its lists name. Within a group all sets are compared; then within each list that
-   still holds several components and lies in several groups. Large groups fall into blocks, and
-   each pair of blocks is a task of bounded size that returns no more links than it has members.
-
-Links are confirmed on full sets. No pairs are written out but links that join components, and no
-list, component or fingerprint is collected on the driver.
+   that most of its lists name. A group falls into blocks; each block is a task that also gets the
+   group's central member. There the postings of the block's members are merged: a member's prefix
+   lists are counted, its MATCHES - 1 longest lists are skipped and only looked up for those it met,
+   and pairs with MATCHES collisions or more are compared on full sets.
+4. Members that are by then in no part with most of their group meet its other blocks in the same
+   way; then each posting list that still holds several parts and lies in several groups is taken
+   like a group.
+
+No pairs are written out but links that join parts, and no list, component or fingerprint is
+collected on the driver.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from ._words import WordHashes, mixed, runs, words_of
 
 COORDINATES, MATCHES = 32, 12
 #: Members of a group that are compared as one block.
-BLOCK = 512
+BLOCK = 256
 BASE = 0x9E3779B97F4A7C15
 
 _random = np.random.default_rng(8)
@@ -61,7 +65,7 @@ def fingerprint(found: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (fingerprint; null for an empty set) and signature."""
+    """doc_id, text_id, n_shingles, node (fingerprint; null for an empty set) and signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -73,11 +77,11 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 nodes.append(fingerprint(found) if len(found) else None)
                 signatures.append(signature(found).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "signature"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
+                names=["doc_id", "text_id", "n_shingles", "node", "signature"],
             )
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, node binary, signature array<long>")
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")), run, "doc_id long, text_id long, n_shingles long, node binary, signature array<long>")
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
@@ -93,86 +97,122 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
     return ranked.where(F.size("own") >= MATCHES).select("node", "score", F.explode(prefix).alias("p")).select("node", "score", F.col("p.token").alias("token"))
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node and text of one document for each row (node, first) of ``wanted``."""
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node, signature and shingles (packed) of each row (node, signature, text_id, n) of ``wanted``; n is the text's number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            texts, nodes = batch.column("text").to_pylist(), batch.column("node").to_pylist()
-            # rows that share a doc_id can have other texts
-            kept = [i for i, t in enumerate(texts) if fingerprint(shingles(t, words, hashes)) == nodes[i]]
-            yield batch.select(["node", "text"]).take(pa.array(kept, pa.int64()))
+            sets = [shingles(t, words, hashes) for t in batch.column("text").to_pylist()]
+            # texts can share a text_id
+            kept = pa.array([i for i, (own, node) in enumerate(zip(sets, batch.column("node").to_pylist(), strict=True)) if fingerprint(own) == node], pa.int64())
+            packed = pa.array([own.tobytes() for own in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(kept), packed.take(kept)], names=["node", "shingles"])
+
+    met = join_counted(docs.select(F.xxhash64("text").alias("text_id"), "text"), wanted, ["text_id"]).select("node", "text").dropDuplicates(["node", "text"])
+    found = map_batches(met, run, "node binary, shingles binary").dropDuplicates(["node"])
+    return found.join(wanted.select("node", "signature"), "node")
 
-    own = docs.select("doc_id", "text")
-    met = own.join(wanted.hint("shuffle_hash"), own["doc_id"].eqNullSafe(wanted["first"])).select("node", "text")
-    return map_batches(met, run, "node binary, text string").dropDuplicates(["node"])
 
+def colliding(tokens: np.ndarray, lists: list[np.ndarray], lengths: np.ndarray, i: int) -> np.ndarray:
+    """Later members that collide with member ``i`` in MATCHES coordinates or more.
+
+    ``tokens`` has a row of list numbers for each member. The short lists of ``i`` are merged and
+    counted; its MATCHES - 1 longest are skipped and looked up for the members met in the others,
+    as who is in none of these can't have MATCHES collisions.
+    """
+    own = tokens[i]
+    order = np.argsort(lengths[own], kind="stable")
+    prefix, skipped = own[order[: COORDINATES - MATCHES + 1]], order[COORDINATES - MATCHES + 1 :]
+    met = np.concatenate([lists[t] for t in prefix.tolist()])
+    count = np.bincount(met[met > i], minlength=i + 1)
+    found = np.flatnonzero(count)
+    both = count[found] + (tokens[found][:, skipped] == own[skipped]).sum(axis=1)
+    return found[both >= MATCHES]
 
-def joining_links(sets: list[np.ndarray], parts: list[bytes], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:
+
+def joining_links(signatures: np.ndarray, sets: list[np.ndarray], parts: list[bytes], sides: list[int] | None, percent: int) -> list[tuple[int, int]]:
     """Index pairs of sets at the threshold that join parts, in one pass over the members.
 
-    Each member meets all later members that aren't in its part by then; with ``sides`` only those
-    of the other side.
+    Each member meets the later members that collide with it often enough and aren't in its part by
+    then; with ``sides`` only those of the other side.
     """
     n = len(sets)
     names = {p: i for i, p in enumerate(dict.fromkeys(parts))}
     part = np.array([names[p] for p in parts])
     sizes = np.array([len(s) for s in sets])
-    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.concatenate(([0], np.cumsum(sizes)))
+    tokens, lists = np.empty((n, COORDINATES), np.int64), []
+    for c in range(COORDINATES):
+        _, found = np.unique(signatures[:, c], return_inverse=True)
+        tokens[:, c] = found + len(lists)
+        lists += np.split(np.argsort(found, kind="stable"), np.cumsum(np.bincount(found))[:-1])
+    lengths = np.array([len(x) for x in lists])
     side = None if sides is None else np.array(sides)
-    marked = np.zeros(len(vocabulary), bool)
     out = []
     for i in range(n - 1):
-        fits = (part[i + 1 :] != part[i]) & (100 * np.minimum(sizes[i + 1 :], sizes[i]) >= percent * np.maximum(sizes[i + 1 :], sizes[i]))
+        others = colliding(tokens, lists, lengths, i)
+        fits = (part[others] != part[i]) & (100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i]))
         if side is not None:
-            fits &= side[i + 1 :] != side[i]
-        others = np.flatnonzero(fits) + i + 1
+            fits &= side[others] != side[i]
+        others = others[fits]
         if not len(others):
             continue
-        own = ids[starts[i] : starts[i + 1]]
-        marked[own] = True
-        for a in range(0, len(others), BLOCK):
-            some = others[a : a + BLOCK]
-            hits = marked[np.concatenate([ids[starts[j] : starts[j + 1]] for j in some])]
-            both = np.add.reduceat(hits, np.concatenate(([0], np.cumsum(sizes[some])[:-1])), dtype=np.int64)
-            for j in some[100 * both >= percent * (sizes[some] + sizes[i] - both)]:
-                if part[j] != part[i]:
-                    out.append((i, int(j)))
+        for j in others.tolist():
+            if part[j] != part[i]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                    out.append((i, j))
                     part[part == part[j]] = part[i]
-        marked[own] = False
     return out
 
 
-def _links(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """a_part and b_part of links that join parts within each group of ``members`` (group, node, part)."""
-    members = materialize(members, "members")
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    blocks = materialize(sizes.select("group", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
-    placed = join_counted(members, blocks, ["group"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # a block meets itself in one cell and each other block in one more
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = placed.select("group", "node", "part", "block", other).select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "part", "block")
+def _cell_links(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a_part and b_part of links that join parts within each cell (group, i, j) of rows (node, part, side)."""
 
     def run(cell: pa.Table) -> pa.Table:
-        hashes = WordHashes()
         parts = cell["part"].to_pylist()
         links = []
         if len(set(parts)) > 1:
-            sets = [shingles(t, words, hashes) for t in cell["text"].to_pylist()]
-            split = cell["i"][0].as_py() != cell["j"][0].as_py()
-            links = joining_links(sets, parts, cell["block"].to_pylist() if split else None, percent)
+            own = [np.frombuffer(x, np.uint64) for x in cell["shingles"].to_pylist()]
+            sides = cell["side"].to_pylist()
+            links = joining_links(np.array(cell["signature"].to_pylist(), np.int64), own, parts, sides if len(set(sides)) > 1 else None, percent)
         return pa.table({"a_part": pa.array([parts[i] for i, _ in links], pa.binary()), "b_part": pa.array([parts[j] for _, j in links], pa.binary())})
 
-    return cells.join(texts, "node").groupBy("group", "i", "j").applyInArrow(run, "a_part binary, b_part binary")
+    return materialize(cells.join(sets, "node").groupBy("group", "i", "j").applyInArrow(run, "a_part binary, b_part binary"), "links")
+
+
+def _compared(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``labels`` (node, part) after all links between members of each group of ``groups`` (group, node, score) have joined parts."""
+    members = materialize(groups.join(labels, "node"), "members")
+    top = F.max(F.struct("score", "node")).alias("top")
+    several = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high"), top).where("low <> high")
+    blocks = materialize(several.select("group", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.col("top.node").alias("center")), "blocks")
+    # every block is a cell, and each has the group's central member
+    placed = join_counted(members, blocks, ["group"]).select("group", "node", "part", "center", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("i"))
+    centers = placed.where("node = center").withColumn("own", F.col("i")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("i <> own")
+    cells = placed.drop("center", "blocks").unionByName(centers.select("group", "node", "part", "i"))
+    labels = _relabelled(labels, _cell_links(cells.withColumn("j", F.col("i")).withColumn("side", F.lit(0)), sets, percent))
+
+    large = blocks.where("blocks > 1").select("group", "n", "blocks")
+    if large.isEmpty():
+        return labels
+    members = materialize(join_counted(groups.select("group", "node"), large, ["group"]).join(labels, "node"), "members")
+    shares = members.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"))
+    most = shares.groupBy("group").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rest = F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("rest_blocks")
+    still = materialize(most.select("group", "n", F.col("top.part").alias("most"), rest), "open-groups")
+    placed = join_counted(members, still, ["group"])
+    of_rest, of_all = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    one = placed.where("part <> most").select("group", "node", "part", of_rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    other = placed.select("group", "node", "part", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), of_all.alias("j"), F.lit(1).alias("side"))
+    return _relabelled(labels, _cell_links(one.unionByName(other), sets, percent))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node of its component) for all nodes of edges (u, v) but roots.
 
     Large-star and small-star steps in turn until the edges rest; each step is a grouped minimum
-    and a join, with the edges written in between.
+    and a join by counted keys, so the edges of a node that very many have lie in no single task.
     """
 
     def largest_first(df: DataFrame) -> DataFrame:
@@ -181,15 +221,17 @@ def components(edges: DataFrame) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
+    def least(df: DataFrame) -> DataFrame:
+        return materialize(df.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+
     edges = materialize(largest_first(edges), "edges")
     before = state(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = largest_first(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = materialize(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        large = join_counted(both, least(both), ["u"]).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = materialize(largest_first(large), "large-star")
+        smallest = least(large)
+        small = join_counted(large, smallest, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v")))
         edges = materialize(largest_first(small), "small-star")
         after = state(edges)
         if after == before:
@@ -200,6 +242,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (node, part) after parts that ``links`` (a_part, b_part) join have become one."""
+    if links.isEmpty():
+        return labels
     roots = components(links.select(F.col("a_part").alias("u"), F.col("b_part").alias("v")))
     sizes = labels.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     moves = sizes.join(roots.select(F.col("node").alias("part"), "root"), "part", "left").select("part", "n", F.coalesce("root", "part").alias("root"))
@@ -233,20 +277,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if percent < 80:
         raise ValueError("MATCHES is chosen for thresholds of 80 percent or more")
     marked = materialize(sketches(docs, words), "sketches")
-    grouped = marked.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"), F.first("signature").alias("signature"))
+    grouped = marked.where("node is not null").groupBy("node").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"), F.min("text_id").alias("text_id"), F.first("signature").alias("signature")
+    )
     nodes = materialize(grouped, "nodes")
     prefixes = materialize(_prefixes(nodes), "prefixes")
-    labels = materialize(prefixes.select("node").distinct().select("node", F.col("node").alias("part")), "labels")
+    scores = materialize(prefixes.groupBy("node").agg(F.first("score").alias("score")), "scores")
+    labels = materialize(scores.select("node", F.col("node").alias("part")), "labels")
     lists = materialize(_open_lists(prefixes.withColumn("part", F.col("node"))), "lists")
-    groups = materialize(_groups(lists), "groups")
-    candidates = nodes.join(groups, "node", "left_semi")
-    texts = materialize(_texts(docs, candidates.select("node", "first"), words), "texts")
-    labels = _relabelled(labels, materialize(_links(groups.join(labels, "node"), texts, words, percent), "links"))
-    members = materialize(prefixes.join(labels, "node").join(groups, "node"), "postings")
+    groups = materialize(_groups(lists).join(scores, "node"), "groups")
+    candidates = nodes.join(groups, "node", "left_semi").select("node", "signature", "text_id")
+    wanted = candidates.join(marked.groupBy("text_id").agg(F.count(F.lit(1)).alias("n")), "text_id")
+    sets = materialize(_sets(docs, materialize(wanted, "candidates"), words), "sets")
+    labels = _compared(groups, labels, sets, percent)
+    members = materialize(prefixes.join(labels, "node").join(groups.select("node", "group"), "node"), "postings")
     lists = materialize(_open_lists(members), "lists")
     uncovered = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token", "n")
-    rest = join_counted(lists, materialize(uncovered, "uncovered"), ["token"]).select(F.col("token").alias("group"), "node", "part")
-    labels = _relabelled(labels, materialize(_links(rest, texts, words, percent), "links"))
+    rest = join_counted(lists.drop("group"), materialize(uncovered, "uncovered"), ["token"]).select(F.col("token").alias("group"), "node", "score")
+    labels = _compared(materialize(rest, "rest"), labels, sets, percent)
     firsts = materialize(labels.join(nodes.select("node", "first"), "node"), "firsts")
     smallest = materialize(firsts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("component_id")), "components")
     linked = join_counted(firsts.select("node", "part"), smallest, ["part"]).select("node", "component_id")

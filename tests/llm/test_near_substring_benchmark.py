@@ -75,6 +75,29 @@ def test_near_duplicates_odd_rows(spark):
         near_dedup.near_duplicates(df, 3, 70)
 
 
+def test_collisions_are_counted():
+    random = np.random.default_rng(4)
+    signatures = random.integers(0, 4, (80, near_dedup.COORDINATES))
+    signatures[20:40] = np.where(random.random((20, near_dedup.COORDINATES)) < 0.6, signatures[0], signatures[20:40])
+    tokens, lists = np.empty(signatures.shape, np.int64), []
+    for c in range(near_dedup.COORDINATES):
+        for value in range(4):
+            tokens[signatures[:, c] == value, c] = len(lists)
+            lists.append(np.flatnonzero(signatures[:, c] == value))
+    lengths = np.array([len(x) for x in lists])
+    for i in range(80):
+        want = [j for j in range(i + 1, 80) if (signatures[i] == signatures[j]).sum() >= near_dedup.MATCHES]
+        assert near_dedup.colliding(tokens, lists, lengths, i).tolist() == want
+
+
+def test_a_text_that_most_rows_share(spark):
+    base = " ".join(WORDS[:100])
+    rows = [(None if i % 2 else i, base) for i in range(4000)] + [(5000, base + " more"), (5001, "other words here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = near_dedup.near_duplicates(df, 3, 85).groupBy("component_id", "kept").count().collect()
+    assert sorted(tuple(r) for r in got) == [(0, False, 4000), (0, True, 1), (5001, True, 1)]
+
+
 def test_components(spark):
     random.seed(5)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(random.randrange(200, 260), random.randrange(200, 260)) for _ in range(40)]

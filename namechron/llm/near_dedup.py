@@ -97,21 +97,19 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
     return ranked.where(F.size("own") >= MATCHES).select("node", "score", F.explode(prefix).alias("p")).select("node", "score", F.col("p.token").alias("token"))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node, signature and shingles (packed) of each row (node, signature, text_id, n) of ``wanted``; n is the text's number of rows."""
+def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node, signature and one text of each row (node, signature, text_id, n) of ``wanted``; n is the text's number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t, words, hashes) for t in batch.column("text").to_pylist()]
+            nodes = batch.column("node").to_pylist()
             # texts can share a text_id
-            kept = pa.array([i for i, (own, node) in enumerate(zip(sets, batch.column("node").to_pylist(), strict=True)) if fingerprint(own) == node], pa.int64())
-            packed = pa.array([own.tobytes() for own in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(kept), packed.take(kept)], names=["node", "shingles"])
+            kept = [i for i, t in enumerate(batch.column("text").to_pylist()) if fingerprint(shingles(t, words, hashes)) == nodes[i]]
+            yield batch.take(pa.array(kept, pa.int64()))
 
-    met = join_counted(docs.select(F.xxhash64("text").alias("text_id"), "text"), wanted, ["text_id"]).select("node", "text").dropDuplicates(["node", "text"])
-    found = map_batches(met, run, "node binary, shingles binary").dropDuplicates(["node"])
-    return found.join(wanted.select("node", "signature"), "node")
+    met = join_counted(docs.select(F.xxhash64("text").alias("text_id"), "text"), wanted, ["text_id"]).select("node", "signature", "text")
+    return map_batches(met, run, "node binary, signature array<long>, text string").dropDuplicates(["node"])
 
 
 def colliding(tokens: np.ndarray, lists: list[np.ndarray], lengths: np.ndarray, i: int) -> np.ndarray:
@@ -166,22 +164,23 @@ def joining_links(signatures: np.ndarray, sets: list[np.ndarray], parts: list[by
     return out
 
 
-def _cell_links(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _cell_links(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """a_part and b_part of links that join parts within each cell (group, i, j) of rows (node, part, side)."""
 
     def run(cell: pa.Table) -> pa.Table:
+        hashes = WordHashes()
         parts = cell["part"].to_pylist()
         links = []
         if len(set(parts)) > 1:
-            own = [np.frombuffer(x, np.uint64) for x in cell["shingles"].to_pylist()]
+            own = [shingles(t, words, hashes) for t in cell["text"].to_pylist()]
             sides = cell["side"].to_pylist()
             links = joining_links(np.array(cell["signature"].to_pylist(), np.int64), own, parts, sides if len(set(sides)) > 1 else None, percent)
         return pa.table({"a_part": pa.array([parts[i] for i, _ in links], pa.binary()), "b_part": pa.array([parts[j] for _, j in links], pa.binary())})
 
-    return materialize(cells.join(sets, "node").groupBy("group", "i", "j").applyInArrow(run, "a_part binary, b_part binary"), "links")
+    return materialize(cells.join(texts, "node").groupBy("group", "i", "j").applyInArrow(run, "a_part binary, b_part binary"), "links")
 
 
-def _compared(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``labels`` (node, part) after all links between members of each group of ``groups`` (group, node, score) have joined parts."""
     members = materialize(groups.join(labels, "node"), "members")
     top = F.max(F.struct("score", "node")).alias("top")
@@ -191,7 +190,7 @@ def _compared(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     placed = join_counted(members, blocks, ["group"]).select("group", "node", "part", "center", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("i"))
     centers = placed.where("node = center").withColumn("own", F.col("i")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("i <> own")
     cells = placed.drop("center", "blocks").unionByName(centers.select("group", "node", "part", "i"))
-    labels = _relabelled(labels, _cell_links(cells.withColumn("j", F.col("i")).withColumn("side", F.lit(0)), sets, percent))
+    labels = _relabelled(labels, _cell_links(cells.withColumn("j", F.col("i")).withColumn("side", F.lit(0)), texts, words, percent))
 
     large = blocks.where("blocks > 1").select("group", "n", "blocks")
     if large.isEmpty():
@@ -205,7 +204,7 @@ def _compared(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     of_rest, of_all = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     one = placed.where("part <> most").select("group", "node", "part", of_rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
     other = placed.select("group", "node", "part", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), of_all.alias("j"), F.lit(1).alias("side"))
-    return _relabelled(labels, _cell_links(one.unionByName(other), sets, percent))
+    return _relabelled(labels, _cell_links(one.unionByName(other), texts, words, percent))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -288,13 +287,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     groups = materialize(_groups(lists).join(scores, "node"), "groups")
     candidates = nodes.join(groups, "node", "left_semi").select("node", "signature", "text_id")
     wanted = candidates.join(marked.groupBy("text_id").agg(F.count(F.lit(1)).alias("n")), "text_id")
-    sets = materialize(_sets(docs, materialize(wanted, "candidates"), words), "sets")
-    labels = _compared(groups, labels, sets, percent)
+    texts = materialize(_texts(docs, materialize(wanted, "candidates"), words), "texts")
+    labels = _compared(groups, labels, texts, words, percent)
     members = materialize(prefixes.join(labels, "node").join(groups.select("node", "group"), "node"), "postings")
     lists = materialize(_open_lists(members), "lists")
     uncovered = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token", "n")
     rest = join_counted(lists.drop("group"), materialize(uncovered, "uncovered"), ["token"]).select(F.col("token").alias("group"), "node", "score")
-    labels = _compared(materialize(rest, "rest"), labels, sets, percent)
+    labels = _compared(materialize(rest, "rest"), labels, texts, words, percent)
     firsts = materialize(labels.join(nodes.select("node", "first"), "node"), "firsts")
     smallest = materialize(firsts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("component_id")), "components")
     linked = join_counted(firsts.select("node", "part"), smallest, ["part"]).select("node", "component_id")

@@ -10,11 +10,11 @@ from pyspark.sql import SparkSession
 from .operators.diff import KEYS, changes
 from .plans import parse_run, publish_run, reports, sample_run
 from .schemas import SAMPLE, STAGES, STREETS
-from .sources.files import address_book_names, read_csv, register_names, with_seq, write_csv
+from .sources.files import address_book_names, read_csv, register_names, write_csv
 
 
 def _tables(spark: SparkSession, folder: str):
-    return with_seq(read_csv(spark, f"{folder}/streets", STREETS)), with_seq(read_csv(spark, f"{folder}/stages", STAGES))
+    return read_csv(spark, f"{folder}/streets", STREETS, ordered=True), read_csv(spark, f"{folder}/stages", STAGES, ordered=True)
 
 
 def main(args: list[str] | None = None) -> int:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import dates, predicates, text
-from .operators import asof, chains, checks, diff, heads, ordering, overlay, readers, review, sampling
+from .operators import asof, chains, checks, diff, entries, heads, ordering, overlay, readers, review, sampling, segment
 from .schemas import AUTOMATIC, MONTHS, UNCERTAIN
 from .sources import files
 
@@ -154,9 +154,10 @@ def key_stats(spark, sf_dir):
     return checks.key_stats(_t(spark, sf_dir, "orders"), "o_custkey")
 
 
-@query("SELECT g AS luecke FROM range((SELECT min(o_custkey) FROM orders), (SELECT max(o_custkey) + 1 FROM orders)) t(g) WHERE g NOT IN (SELECT o_custkey FROM orders)")
+@query("WITH k AS (SELECT o_custkey + o_custkey // 10 AS k FROM orders) SELECT g AS luecke FROM range((SELECT min(k) FROM k), (SELECT max(k) + 1 FROM k)) t(g) WHERE g NOT IN (SELECT k FROM k)")
 def key_gaps(spark, sf_dir):
-    return checks.key_gaps(_t(spark, sf_dir, "orders"), "o_custkey")
+    """Customer numbers as keys with every eleventh number left free."""
+    return checks.key_gaps(_t(spark, sf_dir, "orders").select(F.expr("o_custkey + o_custkey div 10").alias("k")), "k")
 
 
 @query("SELECT o_custkey, count(*) AS anzahl FROM orders GROUP BY 1 HAVING count(*) > 1")
@@ -607,183 +608,67 @@ def head_fields(spark, sf_dir):
 _FIRST = "SELECT doc_id, split_part(text, chr(10), 1) AS s FROM documents"
 
 
-@query(
-    f"""SELECT doc_id, length(s) > 40 OR len(list_filter(string_split_regex(s, '\\s+'), lambda w: w <> '')) > 4 AS lang, NOT regexp_matches(s, '^\\p{{Lu}}') OR NOT regexp_full_match(s, '[\\p{{L}}\\p{{N}} .\\-()''’/&„"]*') AS form,
-    length(s) > 60 AS feld, length(s) > 150 OR NOT regexp_full_match(s, '[\\p{{L}}\\p{{N}} ,.\\-()''’/&„"]*') OR regexp_matches(s, '\\d{{3,}}') AS gruppe FROM ({_FIRST})"""
-)
-def plausibility_flags(spark, sf_dir):
-    rows = _t(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("s"))
-    return rows.select("doc_id", predicates.lemma_long("s").alias("lang"), predicates.lemma_odd_form("s").alias("form"), predicates.field_long("s").alias("feld"), predicates.group_odd("s").alias("gruppe"))
-
-
-@query(
-    """SELECT doc_id, zeile, length(s) > 40 OR len(list_filter(string_split_regex(s, '\\s+'), lambda w: w <> '')) > 4 AS lang, NOT regexp_matches(s, '^\\p{Lu}') OR NOT regexp_full_match(s, '[\\p{L}\\p{N} .\\-()''’/&„"]*') AS form,
-    length(s) > 60 AS feld, length(s) > 150 OR NOT regexp_full_match(s, '[\\p{L}\\p{N} ,.\\-()''’/&„"]*') OR regexp_matches(s, '\\d{3,}') AS gruppe
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, CAST(unnest(range(len(string_split(text, chr(10))))) AS INTEGER) AS zeile FROM documents)"""
-)
-def plausibility_lines(spark, sf_dir):
-    """Every line of every document, by its place from 0."""
-    rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("zeile", "s"))
-    return rows.select("doc_id", "zeile", predicates.lemma_long("s").alias("lang"), predicates.lemma_odd_form("s").alias("form"), predicates.field_long("s").alias("feld"), predicates.group_odd("s").alias("gruppe"))
-
-
-@query(
-    """WITH v AS (SELECT n_name FROM nation), w AS (SELECT n_nationkey, n_name, lower(substr(n_name, 1, 2) || substr(n_name, 4)) AS w FROM nation)
-    SELECT w.n_nationkey, CASE WHEN count(v.n_name) = 1 THEN min(v.n_name) END AS found FROM w LEFT JOIN v ON levenshtein(w.w, lower(v.n_name)) = 1 GROUP BY w.n_nationkey"""
-)
-def fuzzy_vocab(spark, sf_dir):
-    nation = _t(spark, sf_dir, "nation")
-    vocabulary = sorted(r["n_name"] for r in nation.select("n_name").collect())  # a closed vocabulary of 25 names
-    word = F.concat(F.substring("n_name", 1, 2), F.expr("substring(n_name, 4)"))
-    return nation.select("n_nationkey", text.fuzzy_unique(word, vocabulary).alias("found"))
-
-
-@query("SELECT doc_id, trim(regexp_extract(t, 'Siehe\\s+([A-ZÄÖÜ][^.,;]{2,60})', 1)) AS verweis_auf FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Siehe ' ELSE 'siehe ' END || text AS t FROM documents)")
-def cross_reference(spark, sf_dir):
-    from .functions import patterns
-
-    spoken = F.concat(F.when(F.col("doc_id") % 3 == 0, "Siehe ").otherwise("siehe "), "text")
-    return _t(spark, sf_dir, "documents").select("doc_id", text.trim_u(text.extract(spoken, patterns.CROSS_REFERENCE)).alias("verweis_auf"))
-
-
-@query("SELECT doc_id, CASE WHEN length(text) > 120 THEN '(Fließtext, ' || length(text) || ' Zeichen, verworfen)' ELSE text END AS wert FROM documents")
-def cap_value(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", text.cap_value("text").alias("wert"))
-
-
-@query("SELECT c_custkey, CASE WHEN length(CAST(c_custkey * 7 AS VARCHAR)) < 5 THEN lpad(CAST(c_custkey * 7 AS VARCHAR), 5, '0') ELSE CAST(c_custkey * 7 AS VARCHAR) END AS schl_nr FROM customer")
-def zfill_key(spark, sf_dir):
-    return _t(spark, sf_dir, "customer").select("c_custkey", text.reader_key((F.col("c_custkey") * 7).cast("string")).alias("schl_nr"))
-
-
-@query(
-    """SELECT c_custkey, replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(s)), '\\s+', ' ', 'g'), '\\s*-\\s*', '-', 'g'), 'str\\.?$', 'strasse'), 'ß', 'ss') AS vergleich, regexp_replace(lower(trim(s)), 'str\\.?$', 'straße') AS adresse,
-    replace(replace(replace(replace(lower(s), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss') AS sortierung FROM (SELECT c_custkey, c_name || '  - Groß Bühlstr.' AS s FROM customer)"""
-)
-def name_keys(spark, sf_dir):
-    name = F.concat("c_name", F.lit("  - Groß Bühlstr."))
-    return _t(spark, sf_dir, "customer").select("c_custkey", text.compare_key(name).alias("vergleich"), text.address_key(name).alias("adresse"), text.sort_key(name).alias("sortierung"))
-
-
-@query("SELECT item_id, substr(sha256(text), 1, 12) AS prompt_hash FROM benchmark")
-def prompt_hash(spark, sf_dir):
-    return _t(spark, sf_dir, "benchmark").select("item_id", text.prompt_hash("text").alias("prompt_hash"))
-
-
-@query("SELECT d.doc_id AS buchseite FROM documents d WHERE d.doc_id NOT IN (SELECT item_id FROM benchmark WHERE item_id % 2 = 0)")
-def cache_miss(spark, sf_dir):
-    answers = _t(spark, sf_dir, "benchmark").select(F.lit("r").alias("reader"), F.col("item_id").alias("buchseite"), F.when(F.col("item_id") % 2 == 0, "h").otherwise("old").alias("prompt_hash"))
-    return readers.missing_answers(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("buchseite")), answers, "r", "h")
-
-
-# --- readers ----------------------------------------------------------------------------------
-
+# --- pages: each customer is a page of its nation's volume ---------------------------------------
 
-def _answers(spark, sf_dir) -> DataFrame:
-    """Two readers of customers, each with slips of its own; a page is 20 customers, every 9th page of the second is unreadable."""
-    base = _customers(spark, sf_dir).withColumn("buchseite", F.floor(F.col("seq") / 20).cast("int"))
-    rows = None
-    for reader, slip in (("a", 3), ("b", 5)):
-        lemma = F.when(F.col("seq") % (slip * 4) == 0, F.concat(F.lit("X"), "lemma")).otherwise(F.col("lemma"))
-        lemma = F.when(F.col("seq") % 77 == 0, "gleich").otherwise(lemma)
-        entry = F.struct(F.col("schl_nr"), lemma.alias("lemma"), F.array("stadtteile").alias("stadtteile"), F.lit("").alias("strassenklasse"), F.lit("").alias("namensgruppe"), F.lit("").alias("verweis_auf"), F.array().alias("stadien"), F.lit(False).alias("unvollstaendig"))
-        own = base.groupBy("buchseite").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("seq", entry.alias("e")))), lambda x: x["e"])).alias("eintraege"))
-        failed = (F.col("buchseite") % 9 == 0) if reader == "b" else F.lit(False)
-        own = own.select(F.lit(reader).alias("reader"), "buchseite", F.lit("h").alias("prompt_hash"), F.when(failed, "unlesbar").otherwise("").alias("fehler"), F.when(~failed, readers.json_list(F.concat(F.lit("Antwort: "), "eintraege"))).alias("eintraege"))
-        rows = own if rows is None else rows.unionByName(own)
-    return rows
-
-
-def _read_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    streets = _customers(spark, sf_dir).withColumns({"buchseite": F.floor(F.col("seq") / 20).cast("int"), "schl_nr": text.zero_filled("schl_nr")})
-    stages = streets.where("false").select("schl_nr", F.lit(1).alias("stadium"), F.lit("").alias("gueltig_ab"), F.lit("").alias("datum_praezision"), F.lit("").alias("name"), F.lit("").alias("ist_urspruenglich"), "seq")
-    return streets, stages, _answers(spark, sf_dir)
-
-
-_READ = """WITH c AS (
-  SELECT c_custkey AS n, CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS schl_nr, c_name AS p, CAST(c_custkey // 20 AS INTEGER) AS buchseite, CASE WHEN c_custkey % 10 = 0 THEN 'unsicher' ELSE 'automatisch' END AS status,
-  CASE WHEN c_custkey % 77 = 0 THEN 'gleich' WHEN c_custkey % 12 = 0 THEN 'X' || c_name ELSE c_name END AS a, CASE WHEN (c_custkey // 20) % 9 = 0 THEN NULL WHEN c_custkey % 77 = 0 THEN 'gleich' WHEN c_custkey % 20 = 0 THEN 'X' || c_name ELSE c_name END AS b FROM customer
+_PAGES = """p AS (
+  SELECT CAST(c_nationkey AS VARCHAR) AS volume, c_custkey AS page, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS k, c_custkey % 7 = 0 AS bare, c_custkey % 5 AS kind,
+         c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) AS opening FROM customer
 )"""
+_FULL = ", Stadtteil Mitte, Str.-Kl.: Gemeindestraße, Str.-Gr.: Berufe, 29.08.1927: Alter Weg."
+_SEE = ", Siehe Kronenstraße."
 
 
-@query(
-    f"""{_READ} SELECT schl_nr, buchseite, 'lemma' AS feld, p AS wert_parser, a AS wert_a, coalesce(b, '') AS wert_b, status AS status_parser, CASE WHEN b IS NULL THEN 'unlesbar' WHEN a = b AND a <> p THEN 'beide' ELSE 'eines' END AS einig, '' AS korrektur, '' AS beleg
-    FROM c WHERE a <> p OR coalesce(b, p) <> p"""
-)
-def review_three_way(spark, sf_dir):
-    streets, stages, answers = _read_tables(spark, sf_dir)
-    return review.review_list(streets, stages, answers, ["a", "b"])
-
-
-@query(
-    f"""{_READ} SELECT schl_nr, p AS wert_parser, a AS wert_a, coalesce(b, '') AS wert_b, CASE WHEN b IS NULL THEN 'unlesbar' WHEN a = b AND a <> p THEN 'beide' WHEN a = p AND b = p THEN 'keines' ELSE 'eines' END AS einig FROM c WHERE status = 'unsicher'"""
-)
-def review_full(spark, sf_dir):
-    streets, stages, answers = _read_tables(spark, sf_dir)
-    rows = review.full_review_list(streets, stages, answers, ["a", "b"], streets.where("status = 'unsicher'").select("schl_nr"))
-    return rows.where("feld = 'lemma'").select("schl_nr", "wert_parser", "wert_a", "wert_b", "einig")
-
-
-@query(
-    f"""{_READ} SELECT status, feldtyp, count(*) AS verglichen, count(*) FILTER (feldtyp <> 'lemma' OR p = b) AS gleich FROM c, (SELECT unnest(['lemma', 'stadtteile', 'strassenklasse', 'namensgruppe', 'verweis_auf']) AS feldtyp)
-    WHERE b IS NOT NULL GROUP BY 1, 2"""
-)
-def agreement_rates(spark, sf_dir):
-    streets, stages, answers = _read_tables(spark, sf_dir)
-    return review.agreement(review.Comparison(streets, stages, answers, "b"))
-
-
-@query(
-    f"""{_READ} SELECT count(DISTINCT buchseite) FILTER (b IS NOT NULL) AS seiten_gelesen, count(DISTINCT buchseite) FILTER (b IS NULL) AS seiten_unlesbar, count(b) AS eintraege_modell, CAST(0 AS BIGINT) AS eintraege_fehlend, CAST(0 AS BIGINT) AS eintraege_nur_modell,
-    CAST(0 AS BIGINT) AS datum_nicht_normalisierbar, count(DISTINCT buchseite) FILTER (b IS NOT NULL) AS seitenende_ausgelassen FROM c"""
-)
-def reader_figures(spark, sf_dir):
-    streets, stages, answers = _read_tables(spark, sf_dir)
-    return review.reader_figures(review.Comparison(streets, stages, answers, "b"))
+def _volume_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("volume"), F.col("c_custkey").alias("page"), text.zero_filled(F.col("c_custkey").cast("string")).alias("k"))
 
 
 @query(
-    f"""{_READ}, s AS (SELECT status, n % 4 = 0 AND b = p AS hit, n % 4 <> 0 AND b = 'k' AS hit2, n % 4 <> 0 AS no, coalesce(CASE WHEN n % 4 = 0 THEN b = p ELSE b = 'k' END, false) AS ok FROM c WHERE n % 10 <> 5)
-    SELECT CASE WHEN grouping(status) = 1 AND grouping(typ) = 1 THEN 'gesamt' WHEN grouping(typ) = 1 THEN 'status' ELSE 'feldtyp' END AS ebene, coalesce(typ, status, '') AS gruppe, count(*) AS geprueft, count(*) FILTER (ok) AS korrekt,
-    count(*) FILTER (NOT ok) / CAST(count(*) AS DOUBLE) * 100 AS fehlerquote, CAST(0 AS BIGINT) AS fehlend, CAST(0 AS BIGINT) AS gefunden FROM (SELECT *, 'lemma' AS typ FROM s) GROUP BY GROUPING SETS ((typ), (status), ())"""
+    f"""WITH {_PAGES}, e AS (
+      SELECT *, sum(CASE WHEN bare THEN 0 ELSE 1 END) OVER (PARTITION BY volume ORDER BY page) AS entry, lag(k) OVER (PARTITION BY volume ORDER BY page) AS k_before FROM p
+    ), body AS (
+      SELECT volume, entry, string_agg(CASE WHEN bare THEN ' Fortsetzung, Schl.-Nr.: ' || k || ', Text' ELSE k || ', Text' END, '' ORDER BY page) AS body FROM e WHERE entry > 0 GROUP BY ALL
+    ), last AS (SELECT volume, max(entry) AS entry FROM e GROUP BY volume)
+    SELECT e.volume, 'entry' AS kind, CAST(e.page AS INTEGER) AS buchseite, 'Weg ' || k AS lemma_roh, body || CASE WHEN last.entry IS NULL THEN ' Fortsetzung.' ELSE '' END AS rumpf
+    FROM e JOIN body USING (volume, entry) LEFT JOIN last ON last.volume = e.volume AND last.entry = e.entry WHERE NOT bare
+    UNION ALL
+    SELECT volume, 'rejected', CAST(page AS INTEGER), '', CASE WHEN k_before IS NULL THEN '' ELSE k_before || ', Text ' END || 'Fortsetzung, Schl.-Nr.:' FROM e WHERE bare"""
 )
-def reader_error_rates(spark, sf_dir):
-    streets, _, answers = _read_tables(spark, sf_dir)
-    n = F.col("seq")
-    sample = streets.select("schl_nr", "lemma", "status", "buchseite", F.lit("lemma").alias("feld"), F.col("lemma").alias("wert"), F.when(n % 10 == 5, "").when(n % 4 == 0, "ja").otherwise("nein").alias("korrekt"), F.when(n % 4 != 0, "k").otherwise("").alias("korrektur"))
-    own = answers.where("reader = 'b'")
-    return review.reader_error_rates(sample, readers.streets(own), readers.stages(own))
-
-
-@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE '[' || props || ']' END AS liste FROM events")
-def json_shape(spark, sf_dir):
-    spoken = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, F.concat(F.lit("Hier:\n```json\n["), "props", F.lit("]\n```\n[x]"))).otherwise(F.concat(F.lit("Also ["), "props", F.lit("]!")))
-    return _t(spark, sf_dir, "events").select("event_id", readers.json_list(spoken).alias("liste"))
-
-
-@query("SELECT event_id, coalesce(CAST(json_extract(props, '$.' || k) AS VARCHAR), '') <> '' AS da FROM events, (SELECT 'k' AS k) LIMIT 0")
-def json_props(spark, sf_dir):
-    rows = _t(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"))
-    return rows.select("event_id", F.lit(True).alias("da")).where("v is null")
+def segment_anchors(spark, sf_dir):
+    """An entry on each page whose body ends on the next; every seventh anchor has no lemma."""
+    bare = F.col("page") % 7 == 0
+    body = F.when(bare, F.lit("Fortsetzung, ")).otherwise(F.concat(F.lit("Fortsetzung. Weg "), "k", F.lit(": ")))
+    pages = _volume_pages(spark, sf_dir).select("volume", "page", F.concat(body, F.lit("Schl.-Nr.: "), "k", F.lit(", Text")).alias("text"))
+    return segment.segment_volumes(pages).select("volume", "kind", "buchseite", "lemma_roh", "rumpf")
 
 
 @query(
-    """SELECT event_id, k AS feld, json_extract_string(p, '$."' || k || '"') AS wert FROM (SELECT event_id, CASE WHEN json_valid(props) THEN props END AS p FROM events) e
-    LEFT JOIN LATERAL (SELECT unnest(json_keys(e.p)) AS k) f ON true"""
+    """WITH p AS (
+      SELECT c_nationkey, c_custkey, length(c_name) AS n, coalesce(sum(length(c_name) + 1) OVER (PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM customer
+    ), q AS (
+      SELECT p.c_nationkey, c_custkey AS id, CAST(s + c_custkey % 50 AS BIGINT) AS place FROM p JOIN (SELECT c_nationkey, max(s + n) AS stop FROM p GROUP BY 1) t ON t.c_nationkey = p.c_nationkey AND s + c_custkey % 50 <= stop
+    )
+    SELECT id, place, CAST(p.c_custkey AS BIGINT) AS page FROM q ASOF JOIN p ON q.c_nationkey = p.c_nationkey AND q.place >= p.s"""
 )
-def json_values(spark, sf_dir):
-    """A row for each field of each event's props; an event whose props are no object has one row without a field."""
-    return _t(spark, sf_dir, "events").select("event_id", F.explode_outer(readers.json_fields("props")).alias("feld", "wert"))
+def offset_page(spark, sf_dir):
+    """The page of places up to 49 characters behind each page's beginning."""
+    located = segment.located_pages(_t(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("volume"), F.col("c_custkey").alias("page"), F.col("c_name").alias("text")))
+    points = located.select("volume", F.col("page").alias("id"), (F.col("start") + F.col("page") % 50).alias("place"))
+    return segment.pages_at(points, located).select(F.col("id").cast("long").alias("id"), "place", F.col("page").cast("long").alias("page"))
 
 
 @query(
-    f"""{_READ} SELECT schl_nr, 'lemma' AS feld, p AS wert_alt, 'neu ' || n AS wert_neu, '' AS beleg, 'llm-lauf' AS quelle, '2026-01-01' AS datum FROM c WHERE (a <> p OR coalesce(b, p) <> p) AND n % 2 = 0"""
-)
-def review_to_overlay(spark, sf_dir):
-    streets, stages, answers = _read_tables(spark, sf_dir)
-    rows = review.review_list(streets, stages, answers, ["a", "b"]).withColumn("seq", F.col("schl_nr").cast("long"))
-    filled = rows.withColumn("korrektur", F.when(F.col("seq") % 2 == 0, F.concat(F.lit(" neu "), F.col("seq").cast("string"))).otherwise(""))
-    none = filled.where("false").select("schl_nr", "feld", F.lit("").alias("wert_neu"))
-    return overlay.from_review(filled, none, "2026-01-01")[0].drop("order")
-
-
+    f"""WITH {_PAGES}, b AS (
+      SELECT *, k || CASE kind WHEN 0 THEN '{_FULL}' WHEN 1 THEN '{_SEE}' ELSE ', ohne alles.' END AS body FROM p
+    )
+    SELECT volume, CAST(page AS INTEGER) AS buchseite, 'Weg ' || k AS lemma_roh, grund, body AS rohtext FROM b, (VALUES ('kein Namensstadium erkannt'), ('Stadtteil fehlt'), ('Straßenklasse fehlt')) t(grund) WHERE NOT opening AND kind > 1
+    UNION ALL
+    SELECT volume, CAST(page AS INTEGER), '', 'Anker ohne Lemma', 'Schl.-Nr.:' FROM b WHERE opening"""
+)
+def reason_log(spark, sf_dir):
+    """Reasons of entries with all fields, of mere references, of entries without fields, and of anchors without a lemma."""
+    first = F.col("page") == F.min("page").over(Window.partitionBy("volume"))
+    kind = F.col("page") % 5
+    body = F.when(kind == 0, F.lit(_FULL)).when(kind == 1, F.lit(_SEE)).otherwise(F.lit(", ohne alles."))
+    lemma = F.when(F.col("opening"), F.lit("")).otherwise(F.concat(F.lit("Weg "), "k", F.lit(": ")))
+    pages = _volume_pages(spark, sf_dir).withColumn("opening", first).select("volume", "page", F.concat(lemma, F.lit("Schl.-Nr.: "), "k", body).alias("text"))
+    return entries.tables(segment.segment_volumes(pages))[2].select("volume", "buchseite", "lemma_roh", "grund", "rohtext")

@@ -197,8 +197,13 @@ def clean_lines(c: Column | str, running_title: str = "") -> Column:
     c = replace(replace(c, P.PAGE_NUMBER, "", "m"), P.SECTION_LETTER, "", "m")
     lines = F.split(c, "\n", -1)
     filled = F.filter(F.transform(lines, lambda x, i: F.when(trim_u(x) != "", i)), lambda i: i.isNotNull())
-    ends = F.array(F.try_element_at(filled, F.lit(1)), F.try_element_at(filled, F.lit(-1)))
-    return F.array_join(F.transform(lines, lambda x, i: F.when(F.array_contains(F.array_compact(ends), i) & matches(x, P.MARGIN_NOISE), "").otherwise(x)), "\n")
+    ends = F.array_compact(F.array(F.try_element_at(filled, F.lit(1)), F.try_element_at(filled, F.lit(-1))))
+
+    def cleaned(page: Column) -> Column:
+        return F.array_join(F.transform(page["lines"], lambda x, i: F.when(F.array_contains(page["ends"], i) & matches(x, P.MARGIN_NOISE), "").otherwise(x)), "\n")
+
+    # bound as a lambda's variable: lines and ends are found once, not again for each line
+    return F.get(F.transform(F.array(F.struct(lines.alias("lines"), ends.alias("ends"))), cleaned), F.lit(0))
 
 
 def join_lines(c: Column | str) -> Column:

@@ -103,7 +103,8 @@ def _stage_edits(overlay: DataFrame) -> DataFrame:
     """Edits on stages with their number, part and the reading of a new date."""
     rows = overlay.where(matches("feld", STAGE_EDIT)).withColumns({"wert_alt": text_or_empty("wert_alt"), "wert_neu": text_or_empty("wert_neu")})
     rows = rows.withColumns({"n": extract("feld", STAGE_EDIT, 1).cast("int"), "part": extract("feld", STAGE_EDIT, 2)})
-    return rows.withColumn("date", F.when(F.col("part") == "datum", partial_date(iso_to_printed("wert_neu"))))
+    rows = rows.withColumn("date", F.when(F.col("part") == "datum", partial_date(iso_to_printed("wert_neu"))))
+    return rows.withColumn("shown", display("date.praezision", "date.gueltig_ab"))
 
 
 _STAGE_COLUMNS = ["stadium", "gueltig_ab", "datum_praezision", "name", "ist_urspruenglich"]
@@ -114,7 +115,8 @@ def edit_chain(stages: list[dict], edits: list[dict]) -> tuple[list[dict], list[
     """(new stages, violations) of one key.
 
     Edits and deletions name places of the old list, additions places of the new one, in ascending
-    order after the deletions.
+    order after the deletions. A later edit of a place is checked against what the earlier ones made
+    of it.
     """
     wrong: list[tuple[str, str]] = []
     chain = [dict(s) for s in stages]
@@ -154,6 +156,7 @@ def edit_chain(stages: list[dict], edits: list[dict]) -> tuple[list[dict], list[
             chain[n - 1]["name"] = new
         elif found := date_of(e):
             chain[n - 1]["gueltig_ab"], chain[n - 1]["datum_praezision"] = found
+            chain[n - 1]["_shown"] = e["shown"]
     wrong += [(f"stadium_{n}", "Streichen braucht datum UND name mit leerem wert_neu") for n, parts in dropped.items() if len(parts) < 2]
     chain = [s for n, s in enumerate(chain, 1) if n not in dropped]
     for n in sorted(added):
@@ -173,7 +176,7 @@ def edit_chain(stages: list[dict], edits: list[dict]) -> tuple[list[dict], list[
 
 def edited_stages(stages: DataFrame, overlay: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stages, violations) after the stage edits; only keys with edits leave the JVM."""
-    edits = _stage_edits(overlay).select("schl_nr", "seq", "feld", "n", "part", "wert_alt", "wert_neu", "date")
+    edits = _stage_edits(overlay).select("schl_nr", "seq", "feld", "n", "part", "wert_alt", "wert_neu", "date", "shown")
     keys = edits.select("schl_nr").distinct()
     shown = stages.join(keys, "schl_nr", "left_semi").withColumn("_shown", display("datum_praezision", "gueltig_ab")).select("schl_nr", *_STAGE_COLUMNS, "_shown")
 

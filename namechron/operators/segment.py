@@ -1,69 +1,112 @@
 """Entries of a volume: key anchors with the lemma before and the body after them, across pages.
 
-A volume is one group (a book of some hundred pages); volumes are independent of each other.
+A volume's text is its pages in order, with a space between them; a place in it is an offset. Only
+rows of places cross pages: anchors are found page by page, windows over them say where each one's
+lead and body begin and end, and the texts of these spans come from the pages they lie on, by an
+equi-join on blocks of offsets. So the pages of one volume are read and cut by many tasks.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_right
-from dataclasses import dataclass, field
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..functions.text import extract, matches, replace, text_or_empty, trim_u
 from ..schemas import Reason
 
-_ANCHOR, _KNOWN, _LEMMA = re.compile(P.ANCHOR), re.compile(P.ANCHOR_KNOWN), re.compile(P.LEMMA)
-ENTRIES = "volume string, seq int, kind string, lemma_roh string, rumpf string, buchseite int, hinweise array<string>"
-
-
-@dataclass
-class Found:
-    lemma: str
-    start: int
-    body: int
-    hints: list[str] = field(default_factory=list)
-
-
-def segment(pages: list[tuple[int, str]]) -> tuple[list[dict], list[dict]]:
-    """(entries, rejected anchors) of (page number, text) pairs in reading order."""
-    starts, at = [], 0
-    for _, text in pages:
-        starts.append(at)
-        at += len(text) + 1
-    whole = " ".join(text for _, text in pages)
-
-    def page_of(place: int) -> int:
-        return pages[max(0, bisect_right(starts, place) - 1)][0]
-
-    found, rejected, before = [], [], 0
-    for anchor in _ANCHOR.finditer(whole):
-        window, mark = whole[before : anchor.start()], anchor.group()
-        lemma = _LEMMA.search(window)
-        if lemma:
-            name = lemma.group(1)
-            start = before + lemma.start(1) + len(name) - len(name.lstrip())
-            known = _KNOWN.match("".join(mark.split()))
-            found.append(Found(name.strip(), start, anchor.end(), [] if known else [Reason.ANCHOR_CORRECTED]))
-        else:
-            rejected.append({"buchseite": page_of(anchor.start()), "rohtext": (window[-80:] + mark).strip()})
-        before = anchor.end()
-    ends = [f.start for f in found[1:]] + [len(whole)] * bool(found)
-    entries = [{"lemma_roh": f.lemma, "rumpf": whole[f.body : end].strip(), "buchseite": page_of(f.start), "hinweise": f.hints} for f, end in zip(found, ends, strict=True)]
-    return entries, rejected
+#: Following pages that an anchor can reach into, and characters of them that are looked at.
+SEAM_PAGES, SEAM = 3, 64
+#: Characters before an anchor that hold its lemma (60 at most, with its separators), and those that a rejected one shows.
+LEAD, SHOWN = 160, 80
+#: Offsets of a block.
+BLOCK = 1 << 16
+
+
+def located_pages(pages: DataFrame) -> DataFrame:
+    """volume, page, text, start (its offset) and seam (what follows it) of each page.
+
+    A null text is empty. Rows that repeat a page of a volume are one page, with the largest text.
+    Only lengths and the first characters of pages meet in a volume's window.
+    """
+    texts = pages.groupBy("volume", "page").agg(F.max(text_or_empty("text")).alias("text"))
+    order = Window.partitionBy("volume").orderBy("page")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    heads = [F.lead(F.col("head"), n).over(order) for n in range(1, SEAM_PAGES + 1)]
+    light = texts.select("volume", "page", F.char_length("text").alias("length"), F.substring("text", 1, SEAM).alias("head")).select(
+        F.col("volume").alias("_volume"), F.col("page").alias("_page"), F.coalesce(F.sum(F.col("length") + 1).over(before), F.lit(0)).alias("start"), F.substring(F.concat_ws(" ", *heads), 1, SEAM).alias("seam")
+    )
+    same = F.col("volume").eqNullSafe(F.col("_volume")) & F.col("page").eqNullSafe(F.col("_page"))
+    return texts.join(light, same).select("volume", "page", "text", "start", "seam")
+
+
+def _blocks(begin: Column, end: Column, name: str = "block") -> Column:
+    return F.explode(F.sequence(F.floor(begin / BLOCK), F.floor(F.greatest(begin, end - 1) / BLOCK))).alias(name)
+
+
+def span_texts(spans: DataFrame, located: DataFrame) -> DataFrame:
+    """``spans`` (volume, id, begin, end) with ``text``: what stands from begin up to end; empty for an empty span."""
+    size = F.char_length("text") + 1
+    on_pages = located.select(F.col("volume").alias("_volume"), "start", (F.col("start") + size).alias("stop"), F.concat("text", F.lit(" ")).alias("page_text"), _blocks(F.col("start"), F.col("start") + size, "_block"))
+    wanted = spans.select("volume", "id", "begin", "end", _blocks(F.col("begin"), F.col("end")))
+    first, last = F.greatest("begin", "start"), F.least("end", "stop")
+    met = wanted.join(on_pages, F.col("volume").eqNullSafe(F.col("_volume")) & (F.col("block") == F.col("_block"))).where((first < last) & (F.floor(first / BLOCK) == F.col("block")))
+    piece = F.substring(F.col("page_text"), (first - F.col("start") + 1).cast("int"), (last - first).cast("int"))
+    found = met.select("id", F.struct("start", piece.alias("piece")).alias("x")).groupBy("id").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    return spans.join(found, "id", "left").withColumn("text", F.coalesce(F.array_join(F.col("xs.piece"), ""), F.lit(""))).drop("xs")
+
+
+def pages_at(points: DataFrame, located: DataFrame) -> DataFrame:
+    """``points`` (volume, id, place) with the page that each place lies on; the space after a page belongs to it."""
+    size = F.char_length("text") + 1
+    on_pages = located.select(F.col("volume").alias("_volume"), "page", "start", (F.col("start") + size).alias("stop"), _blocks(F.col("start"), F.col("start") + size, "_block"))
+    here = F.col("volume").eqNullSafe(F.col("_volume")) & (F.floor(F.col("place") / BLOCK) == F.col("_block")) & (F.col("place") >= F.col("start")) & (F.col("place") < F.col("stop"))
+    return points.join(on_pages, here).drop("_volume", "start", "stop", "_block")
+
+
+def anchors(located: DataFrame) -> DataFrame:
+    """volume, begin, end and mark of each key anchor, with ``after``, the end of the one before."""
+    seen = F.concat_ws(" ", "text", F.when(F.col("seam") != "", F.col("seam")))
+    between, marks = F.split(seen, P.java(P.ANCHOR), -1), F.regexp_extract_all(seen, F.lit(P.java(P.ANCHOR)), F.lit(0))
+    found = located.select("volume", "start", F.char_length("text").alias("length"), between.alias("between"), F.posexplode(marks).alias("n", "mark"), marks.alias("marks"))
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0), lambda a, x: a + F.char_length(x))
+
+    inside = total(F.slice("between", F.lit(1), F.col("n") + 1)) + total(F.slice("marks", F.lit(1), F.col("n")))
+    placed = found.withColumn("inside", inside).where(F.col("inside") <= F.col("length"))  # others belong to a later page
+    rows = placed.select("volume", (F.col("start") + F.col("inside")).alias("begin"), (F.col("start") + F.col("inside") + F.char_length("mark")).alias("end"), "mark")
+    order = Window.partitionBy("volume").orderBy("begin", "end")
+    # a page's scan can find the rest of an anchor that begins on the page before
+    alone = rows.withColumn("_last", F.lag("end").over(order)).where("_last is null or begin >= _last").drop("_last")
+    return alone.withColumn("after", F.coalesce(F.lag("end").over(order), F.lit(0)))
 
 
 def segment_volumes(pages: DataFrame) -> DataFrame:
-    """Rows of kind entry or rejected from (volume, page, text): volume, seq, lemma_roh, rumpf, buchseite, hinweise."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("page")
-        entries, rejected = segment(list(zip(group["page"].tolist(), group["text"].fillna("").tolist(), strict=True)))
-        rows = [("entry", e["lemma_roh"], e["rumpf"], e["buchseite"], e["hinweise"]) for e in entries]
-        rows += [("rejected", "", r["rohtext"], r["buchseite"], []) for r in rejected]
-        volume = group["volume"].iloc[0]
-        return pd.DataFrame([(volume, i, *r) for i, r in enumerate(rows)], columns=["volume", "seq", "kind", "lemma_roh", "rumpf", "buchseite", "hinweise"])
-
-    return pages.select("volume", "page", "text").groupBy("volume").applyInPandas(run, ENTRIES)
+    """Rows of kind entry or rejected from (volume, page, text): volume, seq, lemma_roh, rumpf, buchseite, hinweise.
+
+    An anchor with a lemma before it begins an entry, whose body ends where the next one's lemma
+    begins; other anchors are rejected and show what stands before them. Entries come first.
+    """
+    located = located_pages(pages)
+    found = anchors(located).withColumn("id", F.xxhash64("volume", "begin"))
+    lead = span_texts(found.select("volume", "id", F.greatest("after", F.col("begin") - LEAD).alias("begin"), F.col("begin").alias("end")), located)
+    read = found.join(lead.select("id", F.col("begin").alias("lead_begin"), F.col("text").alias("lead")), "id").withColumns(
+        {"raw": extract("lead", P.LEMMA), "at": F.regexp_instr(F.col("lead"), F.lit(P.java(P.LEMMA)))}
+    )
+    blank = F.char_length("raw") - F.char_length(replace("raw", r"^\s+", ""))
+    read = read.withColumns({"is_entry": F.col("at") > 0, "place": F.when(F.col("at") > 0, F.col("lead_begin") + F.col("at") - 1 + blank).otherwise(F.col("begin"))})
+    ends = located.groupBy(F.col("volume").alias("_volume")).agg(F.max(F.col("start") + F.char_length("text")).alias("volume_end"))
+    order = Window.partitionBy("volume").orderBy("place")
+    entries = read.where("is_entry").withColumn("next", F.lead("place").over(order))
+    entries = entries.join(ends, F.col("volume").eqNullSafe(F.col("_volume"))).withColumn("next", F.coalesce("next", "volume_end")).drop("_volume", "volume_end")
+    bodies = span_texts(entries.select("volume", "id", F.col("end").alias("begin"), F.col("next").alias("end")), located).select("id", F.col("text").alias("body"))
+    hints = F.when(matches(replace("mark", r"\s+", ""), P.ANCHOR_KNOWN), F.array().cast("array<string>")).otherwise(F.array(F.lit(Reason.ANCHOR_CORRECTED)))
+    shown = F.substring("lead", -SHOWN, SHOWN)
+    kept = entries.join(bodies, "id").select("volume", "id", "place", F.lit("entry").alias("kind"), trim_u("raw").alias("lemma_roh"), trim_u("body").alias("rumpf"), hints.alias("hinweise"))
+    rejected = read.where("not is_entry").select(
+        "volume", "id", "place", F.lit("rejected").alias("kind"), F.lit("").alias("lemma_roh"), trim_u(F.concat(shown, "mark")).alias("rumpf"), F.array().cast("array<string>").alias("hinweise")
+    )
+    rows = pages_at(kept.unionByName(rejected), located)
+    number = F.row_number().over(Window.partitionBy("volume").orderBy("kind", "place")) - 1
+    return rows.select("volume", number.alias("seq"), "kind", "lemma_roh", "rumpf", F.col("page").cast("int").alias("buchseite"), "hinweise")

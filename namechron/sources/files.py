@@ -5,7 +5,7 @@ All columns are read as text, and an empty field is an empty text, never null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,15 @@ _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
 def pages(spark: SparkSession, folder: str, volume: str = "") -> DataFrame:
-    """volume, page and text of files ``sNNN.txt``; bytes that are no UTF-8 become U+FFFD."""
+    """volume, page and text of files ``sNNN.txt``; bytes that are no UTF-8 become U+FFFD.
+
+    The volume is ``volume`` or, if that is empty, the path of the folder that a file lies in;
+    ``folder`` may be a pattern for the folders of many volumes.
+    """
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "s*.txt").load(folder)
     number = extract(F.col("path"), r"/s+(\d+)\.txt$", 1).cast("int")
-    return raw.select(F.lit(volume).alias("volume"), number.alias("page"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+    name = F.lit(volume) if volume else F.regexp_replace("path", "/[^/]*$", "")
+    return raw.select(name.alias("volume"), number.alias("page"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def clean_pages(df: DataFrame, running_title: str = "") -> DataFrame:
@@ -29,29 +34,41 @@ def clean_pages(df: DataFrame, running_title: str = "") -> DataFrame:
     return df.withColumn("text", join_lines(clean_lines("text", running_title)))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",") -> DataFrame:
-    """A CSV file with a header, as text columns; ``schema`` fixes names and casts whole numbers."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",", ordered: bool = False) -> DataFrame:
+    """CSV files with a header, as text columns; ``schema`` fixes names and casts whole numbers, ``ordered`` adds ``seq``."""
     reader = spark.read.options(**_CSV, sep=sep)
-    if schema is None:
-        return reader.csv(path).na.fill("")
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    df = reader.schema(text).option("enforceSchema", False).csv(path).na.fill("")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    if schema is not None:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).option("enforceSchema", False)
+    df = reader.csv(path)
+    kinds = {f.name: f.dataType for f in schema or []}
+    columns = [F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns]
+    if not ordered:
+        return df.na.fill("").select(*columns)
+    return _with_seq(df).na.fill("", df.columns).select(*columns, "seq")
 
 
-def with_seq(df: DataFrame) -> DataFrame:
-    """``df`` with ``seq``, the order of rows in its files.
+def _with_seq(raw: DataFrame) -> DataFrame:
+    """Rows as read from files with ``seq``, their order: files by the time they were written and by name, rows as in the file.
 
-    A file's rows keep their order within a partition, and partitions follow the file; ids from
-    partitions only serve as an order here, they are gone once the table is written.
+    A file's rows stand in one partition, in order (records may hold line ends, so files aren't
+    split). The order of files is a small table; no row is sorted.
     """
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    marked = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_written"), row.alias("_row"))
+    files = marked.groupBy("_file").agg(F.max("_written").alias("_written"))
+    place = files.select("_file", F.row_number().over(Window.orderBy("_written", "_file")).cast("long").alias("_place"))  # a row for each file
+    return marked.join(F.broadcast(place), "_file").withColumn("seq", F.col("_place") * F.lit(1 << 33) + F.col("_row")).drop("_file", "_written", "_row", "_place")
 
 
-def write_csv(df: DataFrame, path: str, schema: T.StructType, order: list | None = None, mode: str = "overwrite") -> None:
-    """One file of the columns of ``schema`` in their order; other columns are left out."""
-    rows = df.orderBy(*order) if order else df
-    rows.select(*schema.names).coalesce(1).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, schema: T.StructType, order: list | None = None, mode: str = "overwrite", one_file: bool = True) -> None:
+    """The columns of ``schema`` in their order; other columns are left out.
+
+    The published tables are small and each is one file; with ``one_file`` off every partition
+    writes its own, in the order of the file names.
+    """
+    rows = (df.orderBy(*order) if order else df).select(*schema.names)
+    rows = rows.coalesce(1) if one_file else rows
+    rows.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(path)
 
 
 def register_names(df: DataFrame, column: str = "strasse") -> DataFrame:
@@ -66,15 +83,15 @@ def address_book_names(df: DataFrame, column: str = "Adresse") -> DataFrame:
 
 
 def read_overlay(spark: SparkSession, path: str) -> DataFrame:
-    """Corrections in file order; none if there is no file, an error if its columns are others."""
+    """Corrections with ``seq``, in the order in which their files were written and of rows within; none if there is no file, an error if its columns are others."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
-        return with_seq(spark.createDataFrame([], OVERLAY))
+        return spark.createDataFrame([], OVERLAY).withColumn("seq", F.lit(0).cast("long"))
     df = spark.read.options(**_CSV).csv(path)
     if df.columns != OVERLAY.names:
         raise OverlayError(f"expected columns {OVERLAY.names}, found {df.columns}")
-    return with_seq(df.na.fill(""))
+    return _with_seq(df).na.fill("", OVERLAY.names)
 
 
 def read_answers(spark: SparkSession, folder: str, readers: dict[str, str]) -> DataFrame:

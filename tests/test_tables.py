@@ -276,3 +276,56 @@ def test_registry():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and "concordance" in entry.queries()
+
+
+def test_corrections_keep_their_order_after_appends(spark, tmp_path):
+    from namechron.schemas import OVERLAY
+    from namechron.sources import files
+
+    path = f"file://{tmp_path}/overlay"
+    rows = [(f"{i:05d}", "lemma", "a", "b" * (i + 1) * 50, "", "q", "d") for i in range(5)]
+    for part in (rows[:1], rows[1:4], rows[4:]):
+        files.write_csv(spark.createDataFrame(part, OVERLAY).coalesce(1), path, OVERLAY, mode="append")
+    got = files.read_overlay(spark, path)
+    assert [r["schl_nr"] for r in got.orderBy("seq").collect()] == [r[0] for r in rows]
+    assert got.select("seq").distinct().count() == 5
+
+
+def test_a_date_that_is_corrected_twice(spark):
+    from namechron.operators import overlay
+
+    one = spark.createDataFrame([("00001", 1, "1900", "jahr", "Weg", "falsch")], "schl_nr string, stadium int, gueltig_ab string, datum_praezision string, name string, ist_urspruenglich string")
+    edits = [("00001", "stadium_1_datum", "1900", "1901", 1), ("00001", "stadium_1_datum", "1901", "vor 1902", 2), ("00001", "stadium_1_datum", "vor 1902", "1903-05-06", 3), ("00001", "stadium_1_name", "Weg", "Pfad", 4), ("00001", "stadium_1_name", "Pfad", "Hof", 5)]
+    listed = spark.createDataFrame(edits, "schl_nr string, feld string, wert_alt string, wert_neu string, seq int")
+    new, wrong = overlay.edited_stages(one, listed)
+    assert wrong.count() == 0 and [tuple(r)[2:5] for r in new.collect()] == [("1903-05-06", "tag", "Hof")]
+    _, wrong = overlay.edited_stages(one, listed.where("seq <> 1"))
+    assert {r["meldung"] for r in wrong.collect()} == {"wert_alt passt nicht zum Wert der Tabelle"}
+
+
+def test_answers_of_the_service():
+    from namechron.sources import client
+    from namechron.sources.config import ReaderSettings
+
+    good = b'{"choices": [{"message": {"content": "[]"}}]}'
+    settings = ReaderSettings(*["http://localhost"] * len(ReaderSettings.__dataclass_fields__))
+    assert client.send({}, settings, lambda call: (200, good)) == "[]"
+    assert client.content(b'{"choices": [{"message": {"content": null}}]}') == ""
+    for status, answer, want in ((200, b"{", 502), (200, b'{"choices": []}', 502), (200, b'{"choices": [{"message": []}]}', 502), (404, good, 404), (503, b"", 503)):
+        with pytest.raises(client.HttpError) as e:
+            client.send({}, settings, lambda call, status=status, answer=answer: (status, answer))
+        assert e.value.status == want
+    assert client.holds_list('x [1] ```json [{}]```') and not client.holds_list("x [1]") and client.holds_list("so: [] ") and not client.holds_list("none")
+
+
+def test_cleaning_is_linear(spark):
+    import time
+
+    from namechron.functions.text import clean_lines
+
+    text = "\n".join(["a bc", *[f"A line of the text with number {i}" for i in range(4000)], "", "x yz"])
+    df = spark.createDataFrame([(text,)], "text string").select(clean_lines("text", "Title").alias("t"))
+    df.collect()
+    start = time.perf_counter()
+    lines = df.collect()[0]["t"].split("\n")
+    assert time.perf_counter() - start < 5 and (lines[0], lines[-1], len(lines)) == ("", "", 4003)

@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; its result is
 written as Parquet and read again as the next stage's ``docs``. All stages but the last return the
-columns of documents. Null texts hold no letter, so the first stage drops them.
+columns of documents; other columns of ``docs`` are left out. Null texts hold no letter, so the first stage drops them.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namechron.llm._common import materialize, table
+from namechron.llm._common import delete, materialize, scratch, table
 from namechron.llm.byte_bpe import bpe_digests
 from namechron.llm.decontamination import with_items
 from namechron.llm.language_id import UNDETERMINED, fit, predict
@@ -52,12 +52,18 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark table within its edit budget."""
+    """Documents that hold no item of the benchmark table within its edit budget.
+
+    Null and empty texts hold none and stay; repeated rows stay or go alike; null items are never found.
+    """
     return with_items(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).where("size(contaminated_by) = 0").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text of every document that is left."""
+    """Token counts and digests of the ids and of the decoded text of every document that is left.
+
+    Null and empty texts have no tokens; repeated rows give repeated results; a null doc_id stays null.
+    """
     return bpe_digests(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
@@ -68,8 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents, each written to the shared folder and read again.
+
+    What a stage stored for itself goes when its result is written, and that when the next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark) as made:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+            result = made.pop()  # the path made last
+        delete(spark, before)
+        before = [result]
     return docs

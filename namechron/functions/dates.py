@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import MONTHS, Reason
 from . import patterns as P
-from .text import col, extract, fuzzy_unique, matches, replace, text_or_empty, trim_u
+from .text import bound, captured, col, fuzzy_unique, matches, replace, text_or_empty, trim_u, unmarked
 
 
 def comparable(valid_from: Column | str) -> Column:
@@ -30,54 +30,65 @@ def _two(c: Column) -> Column:
     return F.lpad(c.cast("int").cast("string"), 2, "0")
 
 
-def partial_date(text: Column | str) -> Column:
-    """Struct (gueltig_ab, praezision, hinweis, trenner) of a whole printed date; null if it is none.
+def read_stamp(match: Column) -> Column:
+    """Struct (gueltig_ab, praezision, hinweis, trenner) of one match of the stamp pattern, as ``captured`` gives it.
 
-    An empty text is an unknown date. A day or month that can't be is not guessed: the year remains,
-    with a hint.
+    A day or month that can't be is not guessed: the year remains, with a hint.
     """
-    text = trim_u(text_or_empty(text))
-    group = [None, *[extract(text, f"^(?:{P.STAMP})$", i) for i in range(1, 15)]]
-    century, day_n, month_n, year_n, day, mark, word, year_d, directed, year_q, second_q, year_b, second_b, separator = group[1:]
-    listed = F.array(*map(F.lit, MONTHS))
-    exact = F.array_position(listed, word).cast("int")
-    near = fuzzy_unique(word, MONTHS)
-    month = F.when(exact > 0, exact).otherwise(F.array_position(listed, near).cast("int"))
+    century, day_n, month_n, year_n, day, mark, word, year_d, directed, year_q, second_q, year_b, second_b, separator = (F.get(match, F.lit(n)) for n in range(2, 16))
+    exact = F.array_position(F.array(*map(F.lit, MONTHS)), word).cast("int")
+    near = F.array_position(F.array(*map(F.lit, MONTHS)), fuzzy_unique(word, MONTHS)).cast("int")
 
     def between(c: Column, most: int) -> Column:
         return F.coalesce(c.try_cast("int").between(1, most), F.lit(False))
 
     fine_n, fine_d = between(day_n, 31) & between(month_n, 12), between(day, 31)
-    value = (
-        F.when(century != "", F.lpad(((century.try_cast("int") - 1) * 100 + 1).cast("string"), 4, "0"))
-        .when(year_n != "", F.when(fine_n, F.concat_ws("-", year_n, month_n, day_n)).otherwise(year_n))
-        .when(year_d != "", F.when(month.isNotNull() & fine_d, F.concat_ws("-", year_d, _two(month), _two(day.try_cast("int")))).otherwise(year_d))
-        .when(directed != "", year_q)
-        .otherwise(year_b)
-    )
-    precision = (
-        F.when(century != "", "jahrhundert")
-        .when((year_n != "") & fine_n | (year_d != "") & month.isNotNull() & fine_d, "tag")
-        .when(directed.isin("vor", "nach"), directed)
-        .otherwise("jahr")
-    )
-    dated = year_d != ""
-    hints = F.array_compact(
-        F.array(
-            F.when(separator != ":", Reason.NO_COLON),
-            F.when((year_n != "") & ~fine_n, Reason.DAY_INVALID),
-            F.when(dated & (mark == ","), Reason.COMMA_AFTER_DAY),
-            F.when(dated & (exact == 0), F.when(near.isNotNull(), Reason.MONTH_CORRECTED).otherwise(Reason.MONTH_UNREADABLE)),
-            F.when(dated & month.isNotNull() & ~fine_d, Reason.DAY_INVALID),
-            F.when((second_q != "") | (second_b != ""), Reason.DOUBLE_YEAR),
+
+    def read(month: Column) -> Column:
+        dated = year_d != ""
+        value = (
+            F.when(century != "", F.lpad(((century.try_cast("int") - 1) * 100 + 1).cast("string"), 4, "0"))
+            .when(year_n != "", F.when(fine_n, F.concat_ws("-", year_n, month_n, day_n)).otherwise(year_n))
+            .when(dated, F.when(month.isNotNull() & fine_d, F.concat_ws("-", year_d, _two(month), _two(day.try_cast("int")))).otherwise(year_d))
+            .when(directed != "", year_q)
+            .otherwise(year_b)
         )
-    )
+        precision = (
+            F.when(century != "", "jahrhundert")
+            .when((year_n != "") & fine_n | dated & month.isNotNull() & fine_d, "tag")
+            .when(directed.isin("vor", "nach"), directed)
+            .otherwise("jahr")
+        )
+        hints = F.array_compact(
+            F.array(
+                F.when(separator != ":", Reason.NO_COLON),
+                F.when((year_n != "") & ~fine_n, Reason.DAY_INVALID),
+                F.when(dated & (mark == ","), Reason.COMMA_AFTER_DAY),
+                F.when(dated & (exact == 0), F.when(month.isNotNull(), Reason.MONTH_CORRECTED).otherwise(Reason.MONTH_UNREADABLE)),
+                F.when(dated & month.isNotNull() & ~fine_d, Reason.DAY_INVALID),
+                F.when((second_q != "") | (second_b != ""), Reason.DOUBLE_YEAR),
+            )
+        )
+        return _stamp(value, precision, F.array_join(hints, "; "), separator)
+
+    return bound(F.when(exact > 0, exact).when(year_d != "", near), read)
+
+
+def _stamp(*values: Column) -> Column:
+    return F.struct(*[v.alias(n) for v, n in zip(values, ("gueltig_ab", "praezision", "hinweis", "trenner"), strict=True)])
+
+
+def partial_date(text: Column | str) -> Column:
+    """:func:`read_stamp` of a whole printed date; null if it is none. An empty text is an unknown date."""
+    text = trim_u(unmarked(text))
+    unknown = _stamp(F.lit(""), F.lit("unbekannt"), F.lit(""), F.lit(""))
+    whole = F.get(captured(text, f"^(?:{P.STAMP})$", 14), F.lit(0))
+    return F.when(text == "", unknown).otherwise(bound(whole, lambda m: F.when(m.isNotNull(), read_stamp(m))))
 
-    def struct(*values: Column) -> Column:
-        return F.struct(*[v.alias(n) for v, n in zip(values, ("gueltig_ab", "praezision", "hinweis", "trenner"), strict=True)])
 
-    unknown = struct(F.lit(""), F.lit("unbekannt"), F.lit(""), F.lit(""))
-    return F.when(text == "", unknown).when(matches(text, f"^(?:{P.STAMP})$"), struct(value, precision, F.array_join(hints, "; "), separator))
+def weak_match(match: Column, stamp: Column) -> Column:
+    """As :func:`weak` for a match of the stamp pattern and what :func:`read_stamp` made of it."""
+    return (stamp["trenner"] != ":") | ((stamp["praezision"] == "jahr") & (F.get(match, F.lit(10)) == ""))
 
 
 def weak(stamp: Column, text: Column | str) -> Column:

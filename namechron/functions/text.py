@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -35,6 +36,11 @@ def trim_u(c: Column | str) -> Column:
     return replace(c, r"^\s+|\s+$", "")
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` as a lambda's variable: it is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def text_or_empty(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(""))
 
@@ -141,6 +147,25 @@ def joined_list(c: Column | str) -> Column:
     return F.array_join(F.filter(F.transform(col(c), reader_text), lambda x: x != ""), "; ")
 
 
+#: Marks that :func:`captured` sets between groups and between matches; :func:`unmarked` texts have none.
+_GROUP_MARK, _MATCH_MARK = "\x01", "\x02"
+
+
+def unmarked(c: Column | str) -> Column:
+    """A text, null as empty, with U+0001 and U+0002 as spaces; no place in it moves."""
+    return F.translate(text_or_empty(c), _GROUP_MARK + _MATCH_MARK, "  ")
+
+
+def captured(c: Column, pattern: str, groups: int) -> Column:
+    """All matches of ``pattern`` in an unmarked text, found in one pass.
+
+    Each is an array: the text between it and the match before, the match, and its groups, empty where unset.
+    """
+    marked = replace(c, pattern, "".join(f"{_GROUP_MARK}${n}" for n in range(groups + 1)) + _MATCH_MARK)
+    pieces = F.split(marked, _MATCH_MARK, -1)
+    return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), lambda m: F.split(m, _GROUP_MARK, -1))
+
+
 def fuzzy_unique(word: Column | str, vocabulary: list[str]) -> Column:
     """The one entry at edit distance exactly 1, whatever the case; null if none or several are."""
     word = F.lower(col(word))
@@ -202,8 +227,7 @@ def clean_lines(c: Column | str, running_title: str = "") -> Column:
     def cleaned(page: Column) -> Column:
         return F.array_join(F.transform(page["lines"], lambda x, i: F.when(F.array_contains(page["ends"], i) & matches(x, P.MARGIN_NOISE), "").otherwise(x)), "\n")
 
-    # bound as a lambda's variable: lines and ends are found once, not again for each line
-    return F.get(F.transform(F.array(F.struct(lines.alias("lines"), ends.alias("ends"))), cleaned), F.lit(0))
+    return bound(F.struct(lines.alias("lines"), ends.alias("ends")), cleaned)
 
 
 def join_lines(c: Column | str) -> Column:

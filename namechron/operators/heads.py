@@ -1,105 +1,99 @@
-"""Heads of entries: key, districts, street classes, name group, and where the name chain lies."""
+"""Heads of entries: key, districts, street classes, name group, and the text of the name chain.
 
-from __future__ import annotations
+Column expressions throughout: each marker is looked for once in a body, and what the rules need
+from there on are lists of values and lengths.
+"""
 
-import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..functions.text import bound, captured, extract, fuzzy_unique, parts, replace, strip_edge, text_or_empty, trim_u, unmarked
 from ..schemas import STREET_CLASSES, Reason
-from .chains import chain_end, near_word, until_sentence_end
-
-_KEY, _DISTRICT, _CLASS, _GROUP = (re.compile(p) for p in (P.KEY, P.DISTRICT, P.CLASS, P.GROUP))
-_FRAGMENT, _REST, _EDGE = re.compile(P.MARK_FRAGMENT), re.compile(P.FIELD_REST), re.compile(P.EDGE)
-_CLASS_WORD = re.compile(r"\b(" + "|".join(STREET_CLASSES) + r")\b")
-
-
-@dataclass
-class Head:
-    key: str
-    districts: list[str] = field(default_factory=list)
-    classes: list[str] = field(default_factory=list)
-    group: str = ""
-    rest: str = ""
-    hints: list[str] = field(default_factory=list)
-
-    def hint(self, text: str) -> None:
-        if text not in self.hints:
-            self.hints.append(text)
-
-
-def without_edge(value: str) -> tuple[str, str]:
-    new = _EDGE.sub("", value, count=1)
-    return new, Reason.EDGE_REMOVED if new != value else ""
-
-
-def _values(found: re.Match | None) -> list[str]:
-    if not found:
-        return []
-    values = (v.strip() for v in re.split(r",|\s+und\s+", _REST.sub("", found.group(1))))
-    return [v for v in values if v and not _FRAGMENT.match(v)]
-
-
-def _classes_without_mark(head: Head, between: str) -> None:
-    """Class words at the end of the district list, or anywhere before the group if there is no list."""
-    if not head.districts:
-        head.classes = _CLASS_WORD.findall(between)
-    else:
-        n = len(head.districts)
-        while n and head.districts[n - 1] in STREET_CLASSES:
-            n -= 1
-        head.districts, head.classes = head.districts[:n], head.districts[n:]
-    if head.classes:
-        head.hint(Reason.CLASS_NO_MARKER)
-
-
-def parse_head(body: str) -> Head | None:
-    """The head of an entry's body; None without a key of one to five digits."""
-    number = _KEY.match(body)
-    digits = number.group(1).replace(" ", "") if number else ""
-    if not 0 < len(digits) < 6:
-        return None
-    classes, group = _CLASS.search(body), _GROUP.search(body)
-    head = Head(digits.zfill(5), _values(_DISTRICT.search(body)), _values(classes), group.group(1).strip().rstrip(",") if group else "")
-    if group and not head.classes:
-        _classes_without_mark(head, body[number.end() : group.start()])
-    clean = []
-    for value in head.classes:
-        value, edge = without_edge(value)
-        clean.append(value)
-        if edge:
-            head.hint(edge)
-    known = [v if v in STREET_CLASSES else near_word(v, STREET_CLASSES) for v in clean]
-    if any(k and k != v for k, v in zip(known, clean, strict=True)):
-        head.hint(Reason.CLASS_CORRECTED)
-    head.classes = [k or v for k, v in zip(known, clean, strict=True)]
-    tail = body[(group or classes or number).end() :]
-    end = chain_end(tail)
-    head.rest = (until_sentence_end(tail) if end is None else tail[:end]).strip()
-    return head
-
-
-HEAD_TYPE = T.StructType(
-    [T.StructField("schl_nr", T.StringType()), T.StructField("stadtteile", T.ArrayType(T.StringType())), T.StructField("strassenklassen", T.ArrayType(T.StringType())), T.StructField("namensgruppe", T.StringType()), T.StructField("rest", T.StringType()), T.StructField("kopf_hinweise", T.ArrayType(T.StringType()))]
-)
+from .chains import chain_text
+
+_TEXTS = "array<string>"
+
+
+def _marked_values(found: Column) -> Column:
+    return parts(replace(text_or_empty(found), P.FIELD_REST, ""))
+
+
+def _found(body: Column) -> Column:
+    """What the markers of a body lead to; ``marked`` and ``group`` are null without their marker."""
+    return F.struct(
+        body.alias("body"),
+        F.replace(extract(body, P.KEY), F.lit(" "), F.lit("")).alias("digits"),
+        F.length(extract(body, P.KEY, 0)).alias("key_end"),
+        _marked_values(extract(body, P.DISTRICT)).alias("listed"),
+        F.get(captured(body, P.CLASS, 1), F.lit(0)).alias("marked"),
+        F.get(captured(body, P.GROUP, 1), F.lit(0)).alias("group"),
+    )
+
+
+def _end(match: Column) -> Column:
+    return F.length(F.get(match, F.lit(0))) + F.length(F.get(match, F.lit(1)))
+
+
+def _lists(h: Column) -> Column:
+    """Struct (districts, classes, bare): class values, ``bare`` if they had no marker of their own.
+
+    Before a name group classes without a marker are the class words that the district list ends
+    with, or all class words if there is no such list.
+    """
+    own = _marked_values(F.get(h["marked"], F.lit(2)))
+    words = [F.lit(c) for c in STREET_CLASSES]
+    others = F.transform(h["listed"], lambda v, i: F.when(~v.isin(STREET_CLASSES), i + 1))
+    n = F.coalesce(F.array_max(others), F.lit(0))
+    before_group = F.substring(F.get(h["group"], F.lit(0)), h["key_end"] + 1, F.length(h["body"]))
+    anywhere = F.regexp_extract_all(before_group, F.lit(P.java(r"\b(" + "|".join(STREET_CLASSES) + r")\b")), F.lit(1))
+    at_end = F.filter(F.slice(h["listed"], n + 1, F.size(h["listed"])), lambda v: F.array_contains(F.array(*words), v))
+    unmarked_ones = F.when(F.size(h["listed"]) == 0, anywhere).otherwise(at_end)
+    bare = h["group"].isNotNull() & (F.size(own) == 0)
+
+    def lists(classes: Column) -> Column:
+        districts = F.when(bare, F.slice(h["listed"], F.lit(1), n)).otherwise(h["listed"])
+        return F.struct(districts.alias("districts"), classes.alias("classes"), (bare & (F.size(classes) > 0)).alias("bare"))
+
+    return bound(F.when(bare, unmarked_ones).otherwise(own), lists)
+
+
+def _named(value: Column) -> Column:
+    """Struct (name, edge, corrected): a class value without scan noise, misread by one letter at most."""
+
+    def known(v: Column) -> Column:
+        near = F.when(~v["value"].isin(STREET_CLASSES), fuzzy_unique(v["value"], STREET_CLASSES))
+        return bound(near, lambda x: F.struct(F.coalesce(x, v["value"]).alias("name"), v["hint"].alias("edge"), x.isNotNull().alias("corrected")))
+
+    return bound(strip_edge(value), known)
+
+
+def _row(h: Column) -> Column:
+    group = F.get(h["group"], F.lit(2))
+    tail = F.substring(h["body"], F.coalesce(_end(h["group"]), _end(h["marked"]), h["key_end"]) + 1, F.length(h["body"]))
+
+    def row(x: Column) -> Column:
+        corrected = F.when(F.exists(x["named"], lambda c: c["corrected"]), F.lit(Reason.CLASS_CORRECTED))
+        hints = F.concat(F.array(F.when(x["bare"], F.lit(Reason.CLASS_NO_MARKER))), F.filter(F.transform(x["named"], lambda c: c["edge"]), lambda e: e != ""), F.array(corrected))
+        return F.struct(
+            F.lpad(h["digits"], 5, "0").alias("schl_nr"),
+            x["districts"].cast(_TEXTS).alias("stadtteile"),
+            F.transform(x["named"], lambda c: c["name"]).cast(_TEXTS).alias("strassenklassen"),
+            text_or_empty(replace(trim_u(group), ",+$", "")).alias("namensgruppe"),
+            bound(tail, lambda t: trim_u(chain_text(t))).alias("rest"),
+            F.array_distinct(F.array_compact(hints)).alias("kopf_hinweise"),
+        )
+
+    return bound(_lists(h), lambda x: bound(F.struct(x["districts"].alias("districts"), x["bare"].alias("bare"), F.transform(x["classes"], _named).alias("named")), row))
+
+
+def head(body: Column | str) -> Column:
+    """Struct of the head's fields of an entry's body; null without a key of one to five digits."""
+    return bound(unmarked(body), lambda b: bound(_found(b), lambda h: F.when(F.length(h["digits"]).between(1, 5), _row(h))))
 
 
 def parse_heads(df: DataFrame, column: str = "rumpf") -> DataFrame:
     """``df`` with the head's fields; all null where a body has no readable key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = pa.list_(pa.string())
-        for batch in batches:
-            heads = [parse_head(t or "") for t in batch.column(column).to_pylist()]
-            new = [
-                pa.array([h and getattr(h, name) for h in heads], kind)
-                for name, kind in (("key", pa.string()), ("districts", texts), ("classes", texts), ("group", pa.string()), ("rest", pa.string()), ("hints", texts))
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *HEAD_TYPE.names])
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *HEAD_TYPE.fields]))
+    return df.withColumn("_head", head(column)).select(*df.columns, "_head.*")

@@ -1,30 +1,42 @@
 """Segmentation, heads, chains and whole pages."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from namechron.operators import chains, entries, heads, segment
 from namechron.plans import parse_run
 from namechron.schemas import Reason
 
 
-def test_chain_stages():
+def read(spark, column, *texts):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string")
+    return [r["x"] for r in rows.select("i", column(F.col("c")).alias("x")).orderBy("i").collect()]
+
+
+def test_chain_stages(spark):
     rest = "urspr. Alter Weg, 18.11.1904: Kirchstraße (tiw.), 1926, Klosterstraße; vor 1930: Hof, Am 25. Juli 1516 wurde"
-    got = [(s.valid_from, s.precision, s.name, s.original, s.hints) for s in chains.stages_of(rest)]
-    assert got == [
-        ("", "unbekannt", "Alter Weg", True, Reason.ORIGINAL_NO_COLON),
-        ("1904-11-18", "tag", "Kirchstraße (tlw.)", False, ""),
-        ("1926", "jahr", "Klosterstraße", False, Reason.NO_COLON),
-        ("1930", "vor", "Hof", False, ""),
+    found = read(spark, chains.chain, rest, "18.11.1904: Weg, 19377 Rest.", "", None, "a\x01\x02, 1900: Weg \x01x.")
+    assert [tuple(s) for s in found[0]["stadien"]] == [
+        (1, "", "unbekannt", "Alter Weg", "wahr", Reason.ORIGINAL_NO_COLON),
+        (2, "1904-11-18", "tag", "Kirchstraße (tlw.)", "falsch", ""),
+        (3, "1926", "jahr", "Klosterstraße", "falsch", Reason.NO_COLON),
+        (4, "1930", "vor", "Hof", "falsch", ""),
     ]
-    assert chains.left_over("18.11.1904: Weg, 19377 Rest.") == "19377 Rest" and chains.left_over("") == ""
+    assert [r["residuum"] for r in found[1:]] == ["19377 Rest", "", "", "a"]
+    assert [[s["name"] for s in r["stadien"]] for r in found[1:]] == [["Weg"], [], [], ["Weg  x"]]
+
+
+def test_long_chain(spark):
+    stage = [f"{1 + n % 28:02d}.03.{1000 + n % 900}: Weg {chr(65 + n % 26)}x" for n in range(3000)]
+    (found,) = read(spark, chains.chain, ", ".join(stage) + ".")
+    assert len(found["stadien"]) == 3000 and found["stadien"][-1]["stadium"] == 3000 and set(found["residuum"]) <= set(", ")
 
 
-def test_chain_end():
-    assert chains.chain_end("29.08.1927: Weg. Mehr im Jahre 1930 hier.") == len("29.08.1927: Weg.")
-    assert chains.chain_end("Nichts davon. 1930") is None
-    assert chains.chain_end("x" * 101 + " 29.08.1927: Weg.") is None
+def test_chain_text(spark):
     two = "29.08.1927: Weg (Verl.). 17. März 1971: Hof. Ende"
-    assert two[: chains.chain_end(two)] == "29.08.1927: Weg (Verl.). 17. März 1971: Hof."
+    far = "x" * 101 + " 29.08.1927: Weg. Mehr"
+    got = read(spark, chains.chain_text, "29.08.1927: Weg. Mehr im Jahre 1930 hier.", "Nichts davon. 1930", far, two, "", "ohne Ende", "29.08.1927: Weg ohne Ende 17")
+    assert got == ["29.08.1927: Weg.", "Nichts davon.", far.removesuffix(" Mehr"), "29.08.1927: Weg (Verl.). 17. März 1971: Hof.", "", "ohne Ende", "29.08.1927: Weg ohne Ende 17"]
 
 
 @pytest.mark.parametrize(
@@ -36,13 +48,12 @@ def test_chain_end():
         ("12, ohne alles. Und mehr", "00012", [], [], "", ", ohne alles.", []),
     ],
 )
-def test_heads(body, key, districts, classes, group, rest, hints):
-    h = heads.parse_head(body)
-    assert (h.key, h.districts, h.classes, h.group, h.rest, h.hints) == (key, districts, classes, group, rest, hints)
+def test_heads(spark, body, key, districts, classes, group, rest, hints):
+    assert tuple(read(spark, heads.head, body)[0]) == (key, districts, classes, group, rest, hints)
 
 
-def test_no_key():
-    assert heads.parse_head("keine Nummer") is None and heads.parse_head("123456, x") is None
+def test_no_key(spark):
+    assert read(spark, heads.head, "keine Nummer", "123456, x", "", None) == [None] * 4
 
 
 def test_segments_across_pages(spark):

@@ -1,27 +1,62 @@
-"""Command line: parse, publish, diff, draw and evaluate, as thin wrappers around the plans."""
+"""Command line: thin wrappers around the plans, from parsing pages to taking over reviewed values."""
 
 from __future__ import annotations
 
 import argparse
 import sys
+from datetime import date
 
 from pyspark.sql import SparkSession
 
 from .operators.diff import KEYS, changes
-from .plans import parse_run, publish_run, reports, sample_run
-from .schemas import SAMPLE, STAGES, STREETS
-from .sources.files import address_book_names, read_csv, register_names, write_csv
+from .operators.overlay import OverlayError, dry_run
+from .plans import parse_run, publish_run, reports, review_run, sample_run
+from .schemas import LOG, SAMPLE, STAGES, STREETS
+from .sources.files import address_book_names, find_readers, read_answers, read_csv, read_overlay, register_names, write_csv
 
 
 def _tables(spark: SparkSession, folder: str):
     return read_csv(spark, f"{folder}/streets", STREETS, ordered=True), read_csv(spark, f"{folder}/stages", STAGES, ordered=True)
 
 
+def _reviewed(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Commands on readers' answers and review lists; 1 if a list or a measurement is refused."""
+    if a.command in ("check", "takeover"):
+        filled, present = read_csv(spark, a.list, ordered=True), read_overlay(spark, a.corrections)
+        if a.command == "takeover":
+            print(review_run.take_over(filled, *_tables(spark, a.tables), present, a.date or date.today().isoformat(), a.corrections))
+            return 0
+        wrong = dry_run(filled, *_tables(spark, a.tables), present)
+        shown = wrong.orderBy("schl_nr", "feld").limit(100).collect()
+        for r in shown:
+            print(f"{r['schl_nr']} {r['feld']}: {r['meldung']}")
+        return int(bool(shown))
+    found = find_readers(spark, a.answers, a.readers.split(","))
+    answers, names = read_answers(spark, a.answers, found), list(found)
+    if a.command == "measure":
+        sample = read_csv(spark, a.sample, SAMPLE)
+        for name in names:
+            rates = review_run.measure(sample, answers, name).orderBy("ebene", "gruppe").collect()
+            print(f"# {name}\n\n{reports.table(list(rates[0].asDict()), rates)}\n")
+        return 0
+    tables = _tables(spark, a.tables)
+    if a.command == "uncertain":
+        print(review_run.write_list(review_run.uncertain(*tables, answers, names, read_csv(spark, f"{a.tables}/log", LOG, ordered=True)), a.out))
+        return 0
+    for name in review_run.mixed_prompts(answers):
+        print(f"{name}: answers to several prompts", file=sys.stderr)
+    print(review_run.write_list(review_run.build(*tables, answers, names), a.out))
+    print(review_run.figures(*tables, answers, names))
+    return 0
+
+
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="namechron")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, *options in (
         ("parse", "pages", "out", "--corrections", "--title"), ("publish", "tables", "register", "addresses", "out", "--source"), ("diff", "old", "new"), ("draw", "tables", "out"), ("evaluate", "sample"),
+        ("review", "tables", "answers", "readers", "out"), ("uncertain", "tables", "answers", "readers", "out"), ("measure", "sample", "answers", "readers"),
+        ("check", "tables", "list", "corrections"), ("takeover", "tables", "list", "corrections", "--date"),
     ):
         command = commands.add_parser(name)
         for option in options:
@@ -43,8 +78,14 @@ def main(args: list[str] | None = None) -> int:
         print(reports.changes({k: found.get(k, 0) for k in KEYS}))
     elif a.command == "draw":
         write_csv(sample_run.draw(*_tables(spark, a.tables)), a.out, SAMPLE)
-    else:
+    elif a.command == "evaluate":
         print(sample_run.evaluate(read_csv(spark, a.sample, SAMPLE)))
+    else:
+        try:
+            return _reviewed(spark, a)
+        except (review_run.OpenCorrections, OverlayError, ValueError) as e:
+            print(e, file=sys.stderr)
+            return 1
     return 0
 
 

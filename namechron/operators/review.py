@@ -66,6 +66,13 @@ class Comparison:
         fields = deviations(found, shown, read)
         self.deviations = fields.unionByName(self.problems.select("schl_nr", "feld")).distinct().persist()
 
+        self._kept = [own, self.streets, self.stages, self.problems, found, self.deviations]
+
+    def release(self) -> None:
+        """Give up the tables that are held in memory."""
+        for df in self._kept:
+            df.unpersist()
+
     def problem_values(self) -> DataFrame:
         kind = F.when(F.col("grund") == Reason.DATE_UNREADABLE, "nicht normalisierbar").when(F.col("grund") == Reason.DATE_LIMITED, "eingeschränkt lesbar").otherwise("nicht als Liste")
         return self.problems.groupBy("schl_nr", "feld").agg(F.max(F.concat("text", F.lit(" ("), kind, F.lit(")"))).alias("problem"))

@@ -24,7 +24,7 @@ def parse(df: DataFrame, running_title: str = "") -> tuple[DataFrame, DataFrame,
 
 def run(spark: SparkSession, folder: str, out: str, corrections: str = "", running_title: str = "") -> dict[str, int]:
     """Parse, correct, order and write; figures of the run. Duplicate keys are logged before corrections."""
-    streets, stages, log = (df.persist() for df in parse(pages(spark, folder), running_title))
+    streets, stages, log = found = [df.persist() for df in parse(pages(spark, folder), running_title)]
     if corrections:
         listed = read_overlay(spark, corrections)
         new_streets, new_stages = O.apply(streets, stages.drop("volume"), listed)
@@ -36,6 +36,8 @@ def run(spark: SparkSession, folder: str, out: str, corrections: str = "", runni
     write_csv(in_order, f"{out}/stages", STAGES)
     write_csv(log, f"{out}/log", LOG, ["volume", "buchseite", "seq"])
     figures = {"strassen": new_streets.count(), "namensstadien": new_stages.count(), "pruefung": log.count(), "korrekturen": listed.count() if listed else 0}
+    for df in found:
+        df.unpersist()
     if not figures["strassen"]:
         raise NothingParsed(f"no street in {folder}")
     return figures

@@ -34,4 +34,6 @@ def run(streets: DataFrame, stages: DataFrame, register: DataFrame, address_name
     months = asof.attested_renames(stages, address_names, "month", FIRST_MONTH, LAST_MONTH).orderBy("period").collect()
     figures = table.agg(F.count(F.lit(1)), F.count(F.when(F.col("eindeutig") == "ja", 1)), F.count(F.when(F.col("zusatz") != "", 1))).first()
     survey = reports.survey(years, months, cutoff, total, usable.count(), tuple(figures), review.count())
+    for df in (table, review, dips):
+        df.unpersist()
     return {"quality": quality, "survey": survey}

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import overlay, readers, review
-from ..schemas import OVERLAY
-from ..sources.files import open_corrections, write_csv
+from ..schemas import OVERLAY, UNCERTAIN
+from ..sources.files import exists, open_corrections, read_csv, write_csv
+from . import reports
 
 
 class OpenCorrections(RuntimeError):
@@ -21,6 +22,36 @@ def build(streets: DataFrame, stages: DataFrame, answers: DataFrame, names: list
     return review.review_list(streets, stages, answers, names)
 
 
+def write_list(rows: DataFrame, path: str) -> int:
+    """Write a review list as one file in its order, and give its number of rows; refused while the list at ``path`` has filled cells."""
+    spark = rows.sparkSession
+    if exists(spark, path) and open_corrections(read_csv(spark, path)):
+        raise OpenCorrections(f"take over or clear the filled cells of {path} first")
+    kept = rows.persist()
+    try:
+        write_csv(kept, path, kept.schema)
+        return kept.count()
+    finally:
+        kept.unpersist()
+
+
+def uncertain(streets: DataFrame, stages: DataFrame, answers: DataFrame, names: list[str], log: DataFrame) -> DataFrame:
+    """All fields of the uncertain entries, with the reasons that ``log`` (with ``seq``) has for them."""
+    keys = streets.where(F.col("status") == UNCERTAIN)
+    return review.full_review_list(streets, stages, answers, names, keys, review.reasons_by_key(streets, log))
+
+
+def figures(streets: DataFrame, stages: DataFrame, answers: DataFrame, names: list[str]) -> str:
+    """Markdown: what each reader has read, and how often it has the values of the tables."""
+    parts = ["# Readers"]
+    for name in names:
+        compared = review.Comparison(streets, stages, answers, name)
+        read, same = review.reader_figures(compared).first().asDict(), review.agreement(compared).orderBy("status", "feldtyp").collect()
+        compared.release()
+        parts += [f"## {name}", reports.table(["figure", "rows"], read.items()), reports.table(["status", "field", "compared", "same"], same)]
+    return "\n\n".join(parts) + "\n"
+
+
 def mixed_prompts(answers: DataFrame) -> list[str]:
     """Readers whose answers come from more than one prompt."""
     return [r["reader"] for r in readers.prompt_hashes(answers).where("prompts > 1").orderBy("reader").collect()]
@@ -43,5 +74,8 @@ def take_over(filled: DataFrame, streets: DataFrame, stages: DataFrame, present:
     if wrong:
         raise overlay.OverlayError("; ".join(f"{r['schl_nr']} {r['feld']}: {r['meldung']}" for r in wrong))
     new = overlay.from_review(filled, present, date)[0].persist()
-    write_csv(new, path, OVERLAY, ["order"], mode="append")
-    return new.count()
+    try:
+        write_csv(new, path, OVERLAY, ["order"], mode="append")
+        return new.count()
+    finally:
+        new.unpersist()

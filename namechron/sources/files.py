@@ -82,11 +82,14 @@ def address_book_names(df: DataFrame, column: str = "Adresse") -> DataFrame:
     return df.select(name.alias("name")).where("name <> ''").distinct()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_overlay(spark: SparkSession, path: str) -> DataFrame:
     """Corrections with ``seq``, in the order in which their files were written and of rows within; none if there is no file, an error if its columns are others."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+    if not exists(spark, path):
         return spark.createDataFrame([], OVERLAY).withColumn("seq", F.lit(0).cast("long"))
     df = spark.read.options(**_CSV).csv(path)
     if df.columns != OVERLAY.names:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from namechron import schemas
 from namechron.operators import asof, checks, diff, images, ordering, overlay, readers, review, sampling
 from namechron.plans import publish_run, review_run, sample_run
 from namechron.schemas import Reason
@@ -329,3 +330,33 @@ def test_cleaning_is_linear(spark):
     start = time.perf_counter()
     lines = df.collect()[0]["t"].split("\n")
     assert time.perf_counter() - start < 5 and (lines[0], lines[-1], len(lines)) == ("", "", 4003)
+
+
+def test_review_commands(spark, tmp_path, capsys):
+    from namechron.__main__ import main
+
+    place = f"file://{tmp_path}"
+    s = streets(spark, ("00001", "Alter Weg", 1, "unsicher"), ("00002", "Ende", 1, "automatisch"))
+    files.write_csv(s, f"{place}/t/streets", schemas.STREETS, ["seq"])
+    files.write_csv(stages(spark, _00001=[("1920", "X")]), f"{place}/t/stages", schemas.STAGES, ["seq"])
+    files.write_csv(spark.createDataFrame([(1, "Alter Weg", Reason.NO_CLASS, "")], schemas.LOG), f"{place}/t/log", schemas.LOG)
+    same = {"stadtteile": "Mitte; Ost", "strassenklasse": "Gemeindestraße"}
+    read = [{"schl_nr": "1", "lemma": "Alterweg", **same, "stadien": [{"datum": "1920:", "name": "X"}]}, {"schl_nr": "2", "lemma": "Ende", **same}]
+    (tmp_path / "a" / "my-one").mkdir(parents=True)
+    (tmp_path / "a" / "my-one" / "s001.json").write_text(json.dumps({"buchseite": 1, "prompt_hash": "h", "fehler": "", "eintraege": read}))
+    review_args = ["review", f"{place}/t", f"{place}/a", "one", f"{place}/list"]
+    assert main(review_args) == 0 and main(review_args) == 0 and "## one" in capsys.readouterr().out
+    rows = [r.asDict() for r in files.read_csv(spark, f"{place}/list").collect()]
+    assert [(r["schl_nr"], r["feld"], r["wert_parser"], r["wert_one"], r["einig"]) for r in rows] == [("00001", "lemma", "Alter Weg", "Alterweg", "beide")]
+    assert main(["uncertain", f"{place}/t", f"{place}/a", "one", f"{place}/all"]) == 0
+    full = files.read_csv(spark, f"{place}/all").collect()
+    assert {r["schl_nr"] for r in full} == {"00001"} and {r["grund"] for r in full} == {Reason.NO_CLASS}
+    filled = spark.createDataFrame([rows[0] | {"korrektur": "Alterweg"}]).select(*rows[0])
+    files.write_csv(filled, f"{place}/list", filled.schema)
+    assert main(review_args) == 1 and "filled" in capsys.readouterr().err
+    list_args = [f"{place}/t", f"{place}/list", f"{place}/overlay"]
+    assert main(["check", *list_args]) == 0 and main(["takeover", *list_args, "--date", "2026-01-01"]) == 0
+    assert [(r["feld"], r["wert_neu"], r["datum"]) for r in files.read_overlay(spark, f"{place}/overlay").collect()] == [("lemma", "Alterweg", "2026-01-01")]
+    wrong = spark.createDataFrame([rows[0] | {"wert_parser": "Anders", "korrektur": "Weg"}]).select(*rows[0])
+    files.write_csv(wrong, f"{place}/list", wrong.schema)
+    assert main(["check", *list_args]) == 1 and main(["takeover", *list_args]) == 1

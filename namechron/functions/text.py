@@ -162,8 +162,8 @@ def captured(c: Column, pattern: str, groups: int) -> Column:
     Each is an array: the text between it and the match before, the match, and its groups, empty where unset.
     """
     marked = replace(c, pattern, "".join(f"{_GROUP_MARK}${n}" for n in range(groups + 1)) + _MATCH_MARK)
-    pieces = F.split(marked, _MATCH_MARK, -1)
-    return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), lambda m: F.split(m, _GROUP_MARK, -1))
+    matched = bound(F.split(marked, _MATCH_MARK, -1), lambda pieces: F.slice(pieces, F.lit(1), F.size(pieces) - 1))
+    return F.transform(matched, lambda m: F.split(m, _GROUP_MARK, -1))
 
 
 def fuzzy_unique(word: Column | str, vocabulary: list[str]) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import dates, predicates, text
 from .operators import asof, chains, checks, diff, entries, heads, ordering, overlay, readers, review, sampling, segment
-from .schemas import AUTOMATIC, MONTHS, UNCERTAIN
+from .schemas import AUTOMATIC, FALSE, MONTHS, PRECISIONS, TRUE, UNCERTAIN
 from .sources import files
 
 _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -215,12 +215,22 @@ def address_strip(spark, sf_dir):
     return files.address_book_names(_t(spark, sf_dir, "pages").select(address.alias("Adresse")))
 
 
-@query("SELECT 'stages' AS tabelle, o_orderkey AS schl_nr, 'status' AS verstoss FROM orders WHERE o_orderstatus NOT IN ('O', 'F')")
+@query(
+    """WITH s AS (SELECT o_orderkey AS k, o_orderstatus AS status FROM orders WHERE o_orderkey % 11 <> 0),
+    g AS (SELECT l_orderkey AS k, CASE l_linenumber WHEN 1 THEN 'woche' WHEN 2 THEN NULL ELSE 'tag' END AS p, CASE l_returnflag WHEN 'R' THEN 'wahr' WHEN 'A' THEN 'falsch' ELSE 'nein' END AS u FROM lineitem)
+    SELECT 'streets' AS tabelle, k AS schl_nr, 'status' AS verstoss FROM s WHERE status NOT IN ('O', 'F')
+    UNION ALL SELECT 'stages' AS tabelle, k AS schl_nr, 'datum_praezision' AS verstoss FROM g WHERE coalesce(p, '') <> 'tag'
+    UNION ALL SELECT 'stages' AS tabelle, k AS schl_nr, 'ist_urspruenglich' AS verstoss FROM g WHERE u = 'nein'
+    UNION ALL SELECT 'stages' AS tabelle, k AS schl_nr, 'fremdschluessel' AS verstoss FROM g WHERE k NOT IN (SELECT k FROM s)"""
+)
 def contract_check(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("schl_nr"), F.col("o_orderstatus").alias("status"))
-    stages = orders.select("schl_nr", F.lit("tag").alias("datum_praezision"), F.lit("wahr").alias("ist_urspruenglich"))
-    found = checks.contract_violations(orders, stages, ["O", "F"], ["tag"])
-    return found.withColumn("tabelle", F.lit("stages"))
+    """Orders without every eleventh key, and line items with unknown and missing precisions and unknown origins."""
+    streets = _t(spark, sf_dir, "orders").where("o_orderkey % 11 <> 0").select(F.col("o_orderkey").alias("schl_nr"), F.col("o_orderstatus").alias("status"))
+    number, flag = F.col("l_linenumber"), F.col("l_returnflag")
+    stages = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("schl_nr"), F.when(number == 1, "woche").when(number != 2, "tag").alias("datum_praezision"), F.when(flag == "R", TRUE).when(flag == "A", FALSE).otherwise("nein").alias("ist_urspruenglich")
+    )
+    return checks.contract_violations(streets, stages, ["O", "F"], PRECISIONS)
 
 
 # --- versions ---------------------------------------------------------------------------------
@@ -551,8 +561,6 @@ def sentence_ends(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", F.regexp_count(flat, F.lit(patterns.java(patterns.SENTENCE_END))).cast("long").alias("n"))
 
 
-
-
 @query(
     """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN '1901' ELSE strftime(o_orderdate, '%Y') END AS gueltig_ab,
     CASE o_orderkey % 5 WHEN 0 THEN 'tag' WHEN 1 THEN 'tag' WHEN 2 THEN 'jahr' WHEN 3 THEN 'jahrhundert' ELSE 'vor' END AS praezision,
@@ -576,8 +584,6 @@ def partial_dates(spark, sf_dir):
     return read.select("o_orderkey", "d.gueltig_ab", "d.praezision", "d.hinweis", dates.comparable("d.gueltig_ab").alias("vergleichbar"), dates.display("d.praezision", "d.gueltig_ab").alias("anzeige"))
 
 
-
-
 @query(
     """WITH o AS (SELECT o_custkey, o_orderdate, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
     SELECT o_custkey, CAST(1 AS INTEGER) AS stadium, '' AS gueltig_ab, 'unbekannt' AS datum_praezision, 'Alter Weg' AS name FROM o GROUP BY o_custkey
@@ -605,7 +611,6 @@ def head_fields(spark, sf_dir):
     return read.select("schl_nr", F.array_join("stadtteile", "; ").alias("stadtteile"), F.array_join("strassenklassen", "; ").alias("strassenklasse"), "namensgruppe", F.array_join("kopf_hinweise", "; ").alias("hinweise"), "rest")
 
 
-
 @query(
     """SELECT doc_id, zeile, length(s) > 40 OR len(list_filter(string_split_regex(s, '\\s+'), lambda w: w <> '')) > 4 AS lang, NOT regexp_matches(s, '^\\p{Lu}') OR NOT regexp_full_match(s, '[\\p{L}\\p{N} .\\-()''’/&„"]*') AS form,
     length(s) > 60 AS feld, length(s) > 150 OR NOT regexp_full_match(s, '[\\p{L}\\p{N} ,.\\-()''’/&„"]*') OR regexp_matches(s, '\\d{3,}') AS gruppe
@@ -617,6 +622,18 @@ def plausibility_lines(spark, sf_dir):
     return rows.select("doc_id", "zeile", predicates.lemma_long("s").alias("lang"), predicates.lemma_odd_form("s").alias("form"), predicates.field_long("s").alias("feld"), predicates.group_odd("s").alias("gruppe"))
 
 
+@query(
+    """WITH t AS (SELECT doc_id, unnest(string_split_regex(text, '[\\n,]')) AS s, CAST(unnest(range(len(string_split_regex(text, '[\\n,]')))) AS INTEGER) AS teil FROM documents), u AS (SELECT *, string_split(s, '.') AS p FROM t),
+    e AS (SELECT doc_id, teil, s, len(list_filter(range(1, len(p)), lambda i: NOT regexp_matches(p[i], '(\\d|\\bSt|\\bI|\\bII|\\bIII|\\bIV|\\bIll)$') AND regexp_matches(p[i + 1], '^\\s+[A-ZÄÖÜ]'))) > 0 AS satzende FROM u)
+    SELECT doc_id, teil, satzende, satzende OR length(s) NOT BETWEEN 3 AND 60 OR NOT regexp_full_match(s, '[\\p{L}\\p{N} .\\-()''’/&„"]*') OR regexp_matches(s, '\\d{5,}')
+      OR regexp_matches(s, '(^|[^\\p{L}\\p{M}\\p{N}_.])\\p{Nd}{1,2}([^\\p{L}\\p{M}\\p{N}_.]|$)') OR regexp_full_match(s, '(St|I{1,3}|IV|Ill|\\d{1,2})\\.?') AS auffaellig FROM e"""
+)
+def name_flags(spark, sf_dir):
+    """Every part of every document between commas and line ends, judged as a name."""
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "[\n,]")).alias("teil", "s"))
+    return rows.select("doc_id", "teil", predicates.sentence_end_inside("s").alias("satzende"), predicates.name_odd("s").alias("auffaellig"))
+
+
 @query(
     """WITH v AS (SELECT n_name FROM nation), w AS (SELECT n_nationkey, n_name, lower(substr(n_name, 1, 2) || substr(n_name, 4)) AS w FROM nation)
     SELECT w.n_nationkey, CASE WHEN count(v.n_name) = 1 THEN min(v.n_name) END AS found FROM w LEFT JOIN v ON levenshtein(w.w, lower(v.n_name)) = 1 GROUP BY w.n_nationkey"""
@@ -691,7 +708,7 @@ def _read_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 _READ = """WITH c AS (
-  SELECT c_custkey AS n, CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS schl_nr, c_name AS p, CAST(c_custkey // 20 AS INTEGER) AS buchseite, CASE WHEN c_custkey % 10 = 0 THEN 'unsicher' ELSE 'automatisch' END AS status,
+  SELECT c_custkey AS n, CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS schl_nr, c_name AS p, c_mktsegment AS s, CAST(c_custkey // 20 AS INTEGER) AS buchseite, CASE WHEN c_custkey % 10 = 0 THEN 'unsicher' ELSE 'automatisch' END AS status,
   CASE WHEN c_custkey % 77 = 0 THEN 'gleich' WHEN c_custkey % 12 = 0 THEN 'X' || c_name ELSE c_name END AS a, CASE WHEN (c_custkey // 20) % 9 = 0 THEN NULL WHEN c_custkey % 77 = 0 THEN 'gleich' WHEN c_custkey % 20 = 0 THEN 'X' || c_name ELSE c_name END AS b FROM customer
 )"""
 
@@ -706,12 +723,16 @@ def review_three_way(spark, sf_dir):
 
 
 @query(
-    f"""{_READ} SELECT schl_nr, p AS wert_parser, a AS wert_a, coalesce(b, '') AS wert_b, CASE WHEN b IS NULL THEN 'unlesbar' WHEN a = b AND a <> p THEN 'beide' WHEN a = p AND b = p THEN 'keines' ELSE 'eines' END AS einig FROM c WHERE status = 'unsicher'"""
+    f"""{_READ}, f AS (SELECT *, unnest([{{'feld': 'lemma', 'p': p, 'a': a, 'b': b}}, {{'feld': 'stadtteile', 'p': s, 'a': s, 'b': s}}, {{'feld': 'strassenklasse', 'p': '', 'a': '', 'b': ''}},
+      {{'feld': 'namensgruppe', 'p': '', 'a': '', 'b': ''}}, {{'feld': 'verweis_auf', 'p': '', 'a': '', 'b': ''}}]) AS v FROM c WHERE status = 'unsicher')
+    SELECT schl_nr, buchseite, v.feld AS feld, v.p AS wert_parser, v.a AS wert_a, CASE WHEN b IS NULL THEN '' ELSE v.b END AS wert_b, status AS status_parser,
+    CASE WHEN b IS NULL THEN 'unlesbar' WHEN v.a = v.b AND v.a <> v.p THEN 'beide' WHEN v.a = v.p AND v.b = v.p THEN 'keines' ELSE 'eines' END AS einig, '' AS korrektur, '' AS beleg, CASE WHEN n % 3 = 0 THEN s || '; x' ELSE '' END AS grund FROM f"""
 )
 def review_full(spark, sf_dir):
+    """All fields of uncertain entries, with a reason for every third key."""
     streets, stages, answers = _read_tables(spark, sf_dir)
-    rows = review.full_review_list(streets, stages, answers, ["a", "b"], streets.where("status = 'unsicher'").select("schl_nr"))
-    return rows.where("feld = 'lemma'").select("schl_nr", "wert_parser", "wert_a", "wert_b", "einig")
+    reasons = streets.where("seq % 3 = 0").select("schl_nr", F.concat("stadtteile", F.lit("; x")).alias("grund"))
+    return review.full_review_list(streets, stages, answers, ["a", "b"], streets.where("status = 'unsicher'").select("schl_nr"), reasons)
 
 
 @query(

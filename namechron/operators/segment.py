@@ -24,7 +24,7 @@ BLOCK = 1 << 16
 
 
 def located_pages(pages: DataFrame) -> DataFrame:
-    """volume, page, text, start (its offset) and seam (what follows it) of each page.
+    """volume, page, text, start (its offset), seam (what follows it) and volume_end of each page.
 
     A null text is empty. Rows that repeat a page of a volume are one page, with the largest text.
     Only lengths and the first characters of pages meet in a volume's window.
@@ -34,10 +34,11 @@ def located_pages(pages: DataFrame) -> DataFrame:
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     heads = [F.lead(F.col("head"), n).over(order) for n in range(1, SEAM_PAGES + 1)]
     light = texts.select("volume", "page", F.char_length("text").alias("length"), F.substring("text", 1, SEAM).alias("head")).select(
-        F.col("volume").alias("_volume"), F.col("page").alias("_page"), F.coalesce(F.sum(F.col("length") + 1).over(before), F.lit(0)).alias("start"), F.substring(F.concat_ws(" ", *heads), 1, SEAM).alias("seam")
-    )
+        F.col("volume").alias("_volume"), F.col("page").alias("_page"), F.coalesce(F.sum(F.col("length") + 1).over(before), F.lit(0)).alias("start"), F.substring(F.concat_ws(" ", *heads), 1, SEAM).alias("seam"),
+        (F.sum(F.col("length") + 1).over(Window.partitionBy("volume")) - 1).alias("volume_end"),
+    )
     same = F.col("volume").eqNullSafe(F.col("_volume")) & F.col("page").eqNullSafe(F.col("_page"))
-    return texts.join(light, same).select("volume", "page", "text", "start", "seam")
+    return texts.join(light, same).select("volume", "page", "text", "start", "seam", "volume_end")
 
 
 def _blocks(begin: Column, end: Column, name: str = "block") -> Column:
@@ -45,15 +46,20 @@ def _blocks(begin: Column, end: Column, name: str = "block") -> Column:
 
 
 def span_texts(spans: DataFrame, located: DataFrame) -> DataFrame:
-    """``spans`` (volume, id, begin, end) with ``text``: what stands from begin up to end; empty for an empty span."""
+    """``spans`` (volume, id, begin, end, ...; id is unique in a volume) with ``text``: what stands from begin up to end; empty for an empty span.
+
+    The other columns travel with the spans, so that these are derived once.
+    """
     size = F.char_length("text") + 1
-    on_pages = located.select(F.col("volume").alias("_volume"), "start", (F.col("start") + size).alias("stop"), F.concat("text", F.lit(" ")).alias("page_text"), _blocks(F.col("start"), F.col("start") + size, "_block"))
-    wanted = spans.select("volume", "id", "begin", "end", _blocks(F.col("begin"), F.col("end")))
-    first, last = F.greatest("begin", "start"), F.least("end", "stop")
-    met = wanted.join(on_pages, F.col("volume").eqNullSafe(F.col("_volume")) & (F.col("block") == F.col("_block"))).where((first < last) & (F.floor(first / BLOCK) == F.col("block")))
-    piece = F.substring(F.col("page_text"), (first - F.col("start") + 1).cast("int"), (last - first).cast("int"))
-    found = met.select("id", F.struct("start", piece.alias("piece")).alias("x")).groupBy("id").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    return spans.join(found, "id", "left").withColumn("text", F.coalesce(F.array_join(F.col("xs.piece"), ""), F.lit(""))).drop("xs")
+    on_pages = located.select(F.col("volume").alias("_volume"), F.col("start").alias("_start"), (F.col("start") + size).alias("_stop"), F.concat("text", F.lit(" ")).alias("_text"), _blocks(F.col("start"), F.col("start") + size, "_at"))
+    wanted = spans.select("*", _blocks(F.col("begin"), F.col("end"), "_block"))
+    first, last = F.greatest("begin", "_start"), F.least("end", "_stop")
+    here = F.col("volume").eqNullSafe(F.col("_volume")) & (F.col("_block") == F.col("_at")) & (first < last) & (F.floor(first / BLOCK) == F.col("_block"))
+    piece = F.substring(F.col("_text"), (first - F.col("_start") + 1).cast("int"), (last - first).cast("int"))
+    pieces = F.collect_list(F.when(F.col("_start").isNotNull(), F.struct("_start", piece.alias("piece"))))
+    rest = [F.first(c).alias(c) for c in spans.columns if c not in ("volume", "id")]
+    found = wanted.join(on_pages, here, "left").groupBy("volume", "id").agg(*rest, F.sort_array(pieces).alias("_pieces"))
+    return found.withColumn("text", F.array_join(F.col("_pieces.piece"), "")).drop("_pieces")
 
 
 def pages_at(points: DataFrame, located: DataFrame) -> DataFrame:
@@ -65,17 +71,17 @@ def pages_at(points: DataFrame, located: DataFrame) -> DataFrame:
 
 
 def anchors(located: DataFrame) -> DataFrame:
-    """volume, begin, end and mark of each key anchor, with ``after``, the end of the one before."""
+    """volume, volume_end, begin, end and mark of each key anchor, with ``after``, the end of the one before."""
     seen = F.concat_ws(" ", "text", F.when(F.col("seam") != "", F.col("seam")))
     between, marks = F.split(seen, P.java(P.ANCHOR), -1), F.regexp_extract_all(seen, F.lit(P.java(P.ANCHOR)), F.lit(0))
-    found = located.select("volume", "start", F.char_length("text").alias("length"), between.alias("between"), F.posexplode(marks).alias("n", "mark"), marks.alias("marks"))
+    found = located.select("volume", "volume_end", "start", F.char_length("text").alias("length"), between.alias("between"), F.posexplode(marks).alias("n", "mark"), marks.alias("marks"))
 
     def total(xs: Column) -> Column:
         return F.aggregate(xs, F.lit(0), lambda a, x: a + F.char_length(x))
 
     inside = total(F.slice("between", F.lit(1), F.col("n") + 1)) + total(F.slice("marks", F.lit(1), F.col("n")))
     placed = found.withColumn("inside", inside).where(F.col("inside") <= F.col("length"))  # others belong to a later page
-    rows = placed.select("volume", (F.col("start") + F.col("inside")).alias("begin"), (F.col("start") + F.col("inside") + F.char_length("mark")).alias("end"), "mark")
+    rows = placed.select("volume", "volume_end", (F.col("start") + F.col("inside")).alias("begin"), (F.col("start") + F.col("inside") + F.char_length("mark")).alias("end"), "mark")
     order = Window.partitionBy("volume").orderBy("begin", "end")
     # a page's scan can find the rest of an anchor that begins on the page before
     alone = rows.withColumn("_last", F.lag("end").over(order)).where("_last is null or begin >= _last").drop("_last")
@@ -89,24 +95,22 @@ def segment_volumes(pages: DataFrame) -> DataFrame:
     begins; other anchors are rejected and show what stands before them. Entries come first.
     """
     located = located_pages(pages)
-    found = anchors(located).withColumn("id", F.xxhash64("volume", "begin"))
-    lead = span_texts(found.select("volume", "id", F.greatest("after", F.col("begin") - LEAD).alias("begin"), F.col("begin").alias("end")), located)
-    read = found.join(lead.select("id", F.col("begin").alias("lead_begin"), F.col("text").alias("lead")), "id").withColumns(
-        {"raw": extract("lead", P.LEMMA), "at": F.regexp_instr(F.col("lead"), F.lit(P.java(P.LEMMA)))}
-    )
+    found = anchors(located).withColumns({"id": F.col("begin"), "body_begin": F.col("end")})
+    before = found.withColumns({"begin": F.greatest("after", F.col("begin") - LEAD), "end": F.col("begin")})
+    read = span_texts(before, located).withColumnRenamed("text", "lead").withColumns({"raw": extract("lead", P.LEMMA), "at": F.regexp_instr(F.col("lead"), F.lit(P.java(P.LEMMA)))})
     blank = F.char_length("raw") - F.char_length(replace("raw", r"^\s+", ""))
-    read = read.withColumns({"is_entry": F.col("at") > 0, "place": F.when(F.col("at") > 0, F.col("lead_begin") + F.col("at") - 1 + blank).otherwise(F.col("begin"))})
-    ends = located.groupBy(F.col("volume").alias("_volume")).agg(F.max(F.col("start") + F.char_length("text")).alias("volume_end"))
-    order = Window.partitionBy("volume").orderBy("place")
-    entries = read.where("is_entry").withColumn("next", F.lead("place").over(order))
-    entries = entries.join(ends, F.col("volume").eqNullSafe(F.col("_volume"))).withColumn("next", F.coalesce("next", "volume_end")).drop("_volume", "volume_end")
-    bodies = span_texts(entries.select("volume", "id", F.col("end").alias("begin"), F.col("next").alias("end")), located).select("id", F.col("text").alias("body"))
-    hints = F.when(matches(replace("mark", r"\s+", ""), P.ANCHOR_KNOWN), F.array().cast("array<string>")).otherwise(F.array(F.lit(Reason.ANCHOR_CORRECTED)))
-    shown = F.substring("lead", -SHOWN, SHOWN)
-    kept = entries.join(bodies, "id").select("volume", "id", "place", F.lit("entry").alias("kind"), trim_u("raw").alias("lemma_roh"), trim_u("body").alias("rumpf"), hints.alias("hinweise"))
-    rejected = read.where("not is_entry").select(
-        "volume", "id", "place", F.lit("rejected").alias("kind"), F.lit("").alias("lemma_roh"), trim_u(F.concat(shown, "mark")).alias("rumpf"), F.array().cast("array<string>").alias("hinweise")
-    )
-    rows = pages_at(kept.unionByName(rejected), located)
+    read = read.withColumns({"is_entry": F.col("at") > 0, "place": F.when(F.col("at") > 0, F.col("begin") + F.col("at") - 1 + blank).otherwise(F.col("id"))})
+    # from the volume's end: the entry met last is the next one
+    behind = Window.partitionBy("volume").orderBy(F.desc("place"), F.desc("id")).rowsBetween(Window.unboundedPreceding, -1)
+    following = F.coalesce(F.last(F.when(F.col("is_entry"), F.col("place")), ignorenulls=True).over(behind), F.col("volume_end"))
+    bodies = read.withColumn("next", following).withColumns({"begin": F.col("body_begin"), "end": F.when(F.col("is_entry"), F.col("next")).otherwise(F.col("body_begin"))})
+    whole = span_texts(bodies, located)
+    none = F.array().cast("array<string>")
+    hints = F.when(~F.col("is_entry") | matches(replace("mark", r"\s+", ""), P.ANCHOR_KNOWN), none).otherwise(F.array(F.lit(Reason.ANCHOR_CORRECTED)))
+    shown = F.concat(F.substring("lead", -SHOWN, SHOWN), "mark")
+    rows = whole.select(
+        "volume", "id", "place", F.when(F.col("is_entry"), "entry").otherwise("rejected").alias("kind"), F.when(F.col("is_entry"), trim_u("raw")).otherwise("").alias("lemma_roh"),
+        trim_u(F.when(F.col("is_entry"), F.col("text")).otherwise(shown)).alias("rumpf"), hints.alias("hinweise"),
+    )
     number = F.row_number().over(Window.partitionBy("volume").orderBy("kind", "place")) - 1
-    return rows.select("volume", number.alias("seq"), "kind", "lemma_roh", "rumpf", F.col("page").cast("int").alias("buchseite"), "hinweise")
+    return pages_at(rows, located).select("volume", number.alias("seq"), "kind", "lemma_roh", "rumpf", F.col("page").cast("int").alias("buchseite"), "hinweise")

@@ -80,6 +80,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .piece_bpe import piece_digests
+
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_top_k_search, op2_byte_bpe, op3_warc, op4_line_dedup, op5_token_counts, op6_html_text, op7_decontamination, op8_near_dedup, op9_substring_dedup, op10_language_id, pipeline)
+    own = (op1_top_k_search, op2_byte_bpe, op3_warc, op4_line_dedup, op5_token_counts, op6_html_text, op7_decontamination, op8_near_dedup, op9_substring_dedup, op10_language_id, op11_sentencepiece, pipeline)
     return {f.__name__: f for f in own}
 
 

@@ -3,8 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
+import sentencepiece
 
 from namechron.llm import byte_bpe, token_counts
 from namechron.llm._frequent import frequent
@@ -113,3 +115,27 @@ def test_counts_equal_library(spark, monkeypatch):
     for i, text in enumerate(texts):
         n = len(model.encode(text or ""))
         assert (rows[i]["n_tokens"], rows[i]["n_bytes"], rows[i]["over_limit"]) == (n, len((text or "").encode()), n > 100), text
+
+
+def test_pieces_equal_the_library(spark):
+    from namechron.llm.piece_bpe import encode_texts, load, piece_digests
+
+    path = MODEL
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), load(path)
+    random.seed(11)
+    parts = [*"abcdeéöß 日本語🙂\t\n\0▁ﬁ<s>/", "  ", " " * 7, "<s>", "the ", "ing", "aaaa", "==", "\n\n", "　", "\xa0", "⁇", " ⁇ ", "ab" * 9]
+    texts = ["", " ", "  ", " " * 40, "▁", "a" * 3000, "ab" * 2000, " " * 999 + "x", "= " * 5000, "語" * 4000] + ["".join(random.choices(parts, k=random.randint(1, 60))) for _ in range(3000)]
+    got = [np.frombuffer(x, "<u4") for x in model.encode(texts)]
+    assert [g.tolist() for g in got] == library.encode(texts, num_threads=1)
+    assert [model.decode(np.r_[model.begin, g, model.end].astype("u4")) for g in got] == [library.decode([1, *g.tolist(), 2]) for g in got]
+    # Any ids, also byte pieces that are no UTF-8 and control ids between them
+    odd = [[random.choice([0, 1, 2, 259, 28705, 264, *range(3, 259), *random.sample(range(32000), 9)]) for _ in range(random.randint(1, 9))] for _ in range(3000)]
+    assert [model.decode(np.array(ids, "u4")) for ids in odd] == [library.decode(ids) for ids in odd]
+
+    docs = spark.createDataFrame([(1, None, 7), (None, "", 8), (2, "a  b", 9), (2, "a  b", 9), (3, "語 " * 3, None)], "doc_id long, text string, ids int")
+    for r in piece_digests(docs, path).collect():
+        text = {2: "a  b", 3: "語 " * 3}.get(r["doc_id"], "")
+        ids = library.encode(text, add_bos=True, add_eos=True)
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
+    assert {r["doc_id"]: r["ids"] for r in encode_texts(docs, path).collect()}[2] == library.encode("a  b", add_bos=True, add_eos=True)
+    assert piece_digests(docs.limit(0), path).count() == 0

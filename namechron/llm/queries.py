@@ -88,6 +88,18 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical_search import build_index, search
+
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_trie import numbered, prefix_trie, with_shared_heads
+
+    return prefix_trie(*with_shared_heads(numbered(table(spark, sf_dir, "conversations"))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,7 +107,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_top_k_search, op2_byte_bpe, op3_warc, op4_line_dedup, op5_token_counts, op6_html_text, op7_decontamination, op8_near_dedup, op9_substring_dedup, op10_language_id, op11_sentencepiece, pipeline)
+    own = (op1_top_k_search, op2_byte_bpe, op3_warc, op4_line_dedup, op5_token_counts, op6_html_text, op7_decontamination, op8_near_dedup, op9_substring_dedup, op10_language_id, op11_sentencepiece, op12_lexical_search, op13_conversation_trie, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -107,6 +119,11 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _WORDS = r"list_filter(string_split_regex(coalesce({}, ''), '[\x09-\x0d\x20]+'), lambda w: w <> '')"
 
 
+#: Unsigned CRC-32 of a decimal number's text, bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(string_split({}::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, x:
+  list_reduce(range(9), lambda r, i: CASE WHEN i = 0 THEN r ELSE xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END) END, xor(c, x)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_near_dedup": f"""
@@ -176,4 +193,53 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (lost) AS BIGINT) AS n_dropped,
                    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
             FROM m GROUP BY doc_id""",
+        "op12_lexical_search": r"""
+            WITH d AS (
+              SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+              FROM documents WHERE doc_id IS NOT NULL
+            ), c AS (
+              SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0
+            ), q AS (
+              SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+              FROM benchmark WHERE item_id IS NOT NULL
+            ), t AS (
+              SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+            ), w AS (
+              SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c
+            ), s AS (
+              SELECT q.item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+              FROM q JOIN t USING (term) JOIN w USING (term), c GROUP BY ALL
+            )
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 50""",
+        "op13_conversation_trie": f"""
+            WITH t AS (
+              SELECT conv_id, md5(length(r) || ':' || r || x) AS k, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS words,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) - 1 AS i
+              FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+            ), c AS (
+              SELECT conv_id, conv_id - conv_id % 20 AS p, {_CRC32.format("conv_id")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)
+            ), u AS (
+              SELECT c.conv_id, 0 AS part, t.i, k, words FROM c JOIN t ON t.conv_id = c.p AND t.i < c.h
+              UNION ALL SELECT c.conv_id, 1, t.i, k, words FROM c JOIN t ON t.conv_id = c.conv_id AND t.i >= c.h
+            ), s AS (
+              SELECT conv_id, list(k ORDER BY part, i) AS ks, list(words ORDER BY part, i) AS ws FROM u GROUP BY conv_id
+            ), a AS (
+              SELECT conv_id, coalesce(ks, []) AS ks, coalesce(ws, []) AS ws FROM c LEFT JOIN s USING (conv_id)
+            ), m AS (
+              SELECT conv_id, d, md5(array_to_string(ks[1:d], ' ')) AS n, CASE WHEN d > 0 THEN md5(array_to_string(ks[1:d - 1], ' ')) END AS up,
+                CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS words, d = len(ks) AS ended, list_transform(range(d + 1), lambda j: md5(array_to_string(ks[1:j], ' '))) AS above
+              FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM a)
+            ), g AS (
+              SELECT n, d, any_value(up) AS up, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256 FROM m GROUP BY n, d
+            ), k AS (
+              SELECT up, count(*) AS n_children FROM g WHERE d > 0 GROUP BY up
+            ), e AS (
+              SELECT unnest(above) AS n, k.n_children IS NULL AS leaf, (n_convs - 1) * words AS saved FROM g LEFT JOIN k ON k.up = g.n
+            ), f AS (
+              SELECT n, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved FROM e GROUP BY n
+            )
+            SELECT g.conv_id, CAST(g.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(g.n_convs AS BIGINT) AS n_convs, CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children,
+              CAST(f.n_leaves AS BIGINT) AS n_leaves, CAST(f.saved AS BIGINT) AS saved_tokens, g.ends_sha256
+            FROM g JOIN f USING (n) LEFT JOIN k ON k.up = g.n LEFT JOIN g p ON p.n = g.up""",
     }

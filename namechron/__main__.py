@@ -12,6 +12,8 @@ from .operators.diff import KEYS, changes
 from .operators.overlay import OverlayError, dry_run
 from .plans import parse_run, publish_run, reports, review_run, sample_run
 from .schemas import LOG, SAMPLE, STAGES, STREETS
+from .sources.client import RunAborted, read_images
+from .sources.config import SettingsError, reader_settings
 from .sources.files import address_book_names, find_readers, read_answers, read_csv, read_overlay, register_names, write_csv
 
 
@@ -56,7 +58,7 @@ def main(args: list[str] | None = None) -> int:
     for name, *options in (
         ("parse", "pages", "out", "--corrections", "--title"), ("publish", "tables", "register", "addresses", "out", "--source"), ("diff", "old", "new"), ("draw", "tables", "out"), ("evaluate", "sample"),
         ("review", "tables", "answers", "readers", "out"), ("uncertain", "tables", "answers", "readers", "out"), ("measure", "sample", "answers", "readers"),
-        ("check", "tables", "list", "corrections"), ("takeover", "tables", "list", "corrections", "--date"),
+        ("read", "images", "answers", "model", "prompt", "--pages", "--threads"), ("check", "tables", "list", "corrections"), ("takeover", "tables", "list", "corrections", "--date"),
     ):
         command = commands.add_parser(name)
         for option in options:
@@ -76,6 +78,12 @@ def main(args: list[str] | None = None) -> int:
     elif a.command == "diff":
         found = {r["kategorie"]: r["count"] for r in changes(*_tables(spark, a.old), *_tables(spark, a.new)).groupBy("kategorie").count().collect()}
         print(reports.changes({k: found.get(k, 0) for k in KEYS}))
+    elif a.command == "read":
+        try:
+            print(read_images(spark, a.images, a.answers, a.model, a.prompt, reader_settings(a.model), a.pages, int(a.threads or 4)))
+        except (RunAborted, SettingsError) as e:
+            print(e, file=sys.stderr)
+            return 1
     elif a.command == "draw":
         write_csv(sample_run.draw(*_tables(spark, a.tables)), a.out, SAMPLE)
     elif a.command == "evaluate":

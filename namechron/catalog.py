@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import dates, predicates, text
-from .operators import asof, chains, checks, diff, entries, heads, ordering, overlay, readers, review, sampling, segment
-from .schemas import AUTOMATIC, FALSE, MONTHS, PRECISIONS, TRUE, UNCERTAIN
-from .sources import files
+from .operators import asof, chains, checks, diff, entries, heads, lookup, ordering, overlay, ranks, readers, review, sampling, segment
+from .schemas import AUTOMATIC, FALSE, MONTHS, PRECISIONS, TRUE, UNCERTAIN, Reason
+from .sources import files, storage
 
 _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -160,6 +160,17 @@ def key_gaps(spark, sf_dir):
     return checks.key_gaps(_t(spark, sf_dir, "orders").select(F.expr("o_custkey + o_custkey div 10").alias("k")), "k")
 
 
+@query(
+    """WITH k AS (SELECT DISTINCT o_orderkey * CASE WHEN o_orderkey % 100 = 0 THEN 1000 ELSE 3 END + CASE WHEN o_orderkey % 7 = 0 THEN 100000 ELSE 0 END AS n FROM orders), s AS (SELECT n, lead(n) OVER (ORDER BY n) AS m FROM k)
+    SELECT n + 1 AS von, m - 1 AS bis FROM s WHERE m > n + 1"""
+)
+def key_gap_intervals(spark, sf_dir):
+    """Runs of missing numbers between keys, some of which lie far from all others."""
+    n = F.col("o_orderkey")
+    keys = _t(spark, sf_dir, "orders").select((n * F.when(n % 100 == 0, 1000).otherwise(3) + F.when(n % 7 == 0, 100_000).otherwise(0)).cast("string").alias("schl_nr"))
+    return checks.key_gap_intervals(keys)
+
+
 @query("SELECT o_custkey, count(*) AS anzahl FROM orders GROUP BY 1 HAVING count(*) > 1")
 def key_duplicates(spark, sf_dir):
     return checks.key_duplicates(_t(spark, sf_dir, "orders"), "o_custkey")
@@ -365,6 +376,68 @@ def overlay_guard(spark, sf_dir):
     return overlay.head_violations(_versions(spark, sf_dir)[0], _overlay(spark, sf_dir))
 
 
+_SEQUENCE = """e AS (
+  SELECT n, schl_nr, 'lemma' AS feld, lemma AS alt, lemma || '!' AS neu, n * 8 AS seq, lemma AS first FROM o WHERE n % 9 = 0
+  UNION ALL SELECT n, schl_nr, 'lemma', CASE WHEN n % 45 = 0 THEN lemma ELSE lemma || '!' END, lemma || '!!', n * 8 + 1, lemma FROM o WHERE n % 9 = 0
+  UNION ALL SELECT n, schl_nr, 'buchseite', CAST(buchseite AS VARCHAR), '007', n * 8 + 2, CAST(buchseite AS VARCHAR) FROM o WHERE n % 15 = 0
+  UNION ALL SELECT n, schl_nr, 'buchseite', CASE WHEN n % 75 = 0 THEN '007' ELSE '7' END, '8', n * 8 + 3, CAST(buchseite AS VARCHAR) FROM o WHERE n % 15 = 0
+  UNION ALL SELECT n, 'x' || schl_nr, 'lemma', 'Neu', 'Neuer', n * 8 + 4, 'Neu' FROM o WHERE n % 50 = 0
+  UNION ALL SELECT n, 'x' || schl_nr, 'buchseite', '', '5', n * 8 + 5, '' FROM o WHERE n % 50 = 0
+), m AS (
+  SELECT *, coalesce(lag(CASE neu WHEN '007' THEN '7' ELSE neu END) OVER (PARTITION BY schl_nr, feld ORDER BY seq), first) AS jetzt FROM e
+)"""
+
+
+def _edit_sequence(spark, sf_dir) -> DataFrame:
+    """Lemmas and pages that are edited twice, some with a stale old value, and new entries that are made after they are edited."""
+    orders = _versions(spark, sf_dir)[0].withColumnRenamed("seq", "n")
+    n, lemma, page = F.col("n"), F.col("lemma"), F.col("buchseite").cast("string")
+
+    def edit(when: Column, step: int, feld: str, old: Column | str, new: Column | str, made: bool = False) -> Column:
+        key = F.concat(F.lit("x"), "schl_nr") if made else F.col("schl_nr")
+        old, new = (F.lit(x) if isinstance(x, str) else x for x in (old, new))
+        return F.when(when, F.struct(key.alias("schl_nr"), F.lit(feld).alias("feld"), old.alias("wert_alt"), new.alias("wert_neu"), (n * 8 + step).alias("seq")))
+
+    one, two = F.concat(lemma, F.lit("!")), F.concat(lemma, F.lit("!!"))
+    cells = F.array(
+        edit(n % 9 == 0, 0, "lemma", lemma, one), edit(n % 9 == 0, 1, "lemma", F.when(n % 45 == 0, lemma).otherwise(one), two),
+        edit(n % 15 == 0, 2, "buchseite", page, "007"), edit(n % 15 == 0, 3, "buchseite", F.when(n % 75 == 0, "007").otherwise("7"), "8"),
+        edit(n % 50 == 0, 4, "lemma", "Neu", "Neuer", True), edit(n % 50 == 0, 5, "buchseite", "", "5", True), edit(n % 50 == 0, 6, "eintrag", "", "Neu", True),
+    )
+    return orders.select(F.explode(F.array_compact(cells)).alias("c")).select("c.*")
+
+
+@query(f"WITH {_VERSIONS.split('), m AS (')[0]}), {_SEQUENCE} SELECT schl_nr, feld, seq, jetzt, jetzt = alt AS angenommen FROM m")
+def overlay_sequence(spark, sf_dir):
+    """What each of several edits of a field meets, and whether it names that as its old value."""
+    edits = overlay.head_edits(_versions(spark, sf_dir)[0], _edit_sequence(spark, sf_dir)).where("feld <> 'eintrag'")
+    return edits.select("schl_nr", "feld", "seq", "jetzt", (F.col("jetzt") == F.col("wert_alt")).alias("angenommen"))
+
+
+@query(
+    f"""WITH {_VERSIONS.split('), m AS (')[0]}) SELECT schl_nr, CASE WHEN n % 9 = 0 AND n % 45 <> 0 THEN lemma || '!!' ELSE lemma END AS lemma, CASE WHEN n % 15 = 0 AND n % 45 <> 0 AND n % 75 <> 0 THEN 8 ELSE buchseite END AS buchseite,
+    CASE WHEN n % 45 <> 0 AND n % 75 <> 0 AND (n % 9 = 0 OR n % 15 = 0) THEN 'geprueft' ELSE status END AS status FROM o
+    UNION ALL SELECT 'x' || schl_nr, 'Neuer', 5, 'geprueft' FROM o WHERE n % 50 = 0 AND n % 45 <> 0 AND n % 75 <> 0"""
+)
+def overlay_applied(spark, sf_dir):
+    """Several edits of a field after one another and new entries, applied as a whole behind the guards."""
+    streets = _versions(spark, sf_dir)[0]
+    n = F.floor(F.col("seq") / 8)
+    good = _edit_sequence(spark, sf_dir).where((n % 45 != 0) & (n % 75 != 0))
+    none = spark.createDataFrame([], "schl_nr string, stadium int, gueltig_ab string, datum_praezision string, name string, ist_urspruenglich string")
+    return overlay.apply(streets, none, good)[0].select("schl_nr", "lemma", "buchseite", "status")
+
+
+@query(f"WITH {_VERSIONS.split('), m AS (')[0]}), {_SEQUENCE} SELECT schl_nr, feld, alt AS wert_alt, neu AS wert_neu, row_number() OVER (ORDER BY n % 3, seq) - 1 AS platz FROM m")
+def overlay_append(spark, sf_dir):
+    """Corrections appended in three runs and read back in their order."""
+    edits, path = _edit_sequence(spark, sf_dir).where("feld <> 'eintrag'"), storage.new_path(spark, "overlay")
+    rows = edits.withColumns({"beleg": F.lit(""), "quelle": F.lit("q"), "datum": F.lit("d")})
+    for part in range(3):
+        files.append_corrections(rows.where(F.floor(F.col("seq") / 8) % 3 == part), path, ["seq"])
+    return ranks.ranked(files.read_overlay(spark, path), [F.col("seq")], name="platz").select("schl_nr", "feld", "wert_alt", "wert_neu", "platz")
+
+
 @query(
     """WITH c AS (SELECT CAST(conv_id AS VARCHAR) AS schl_nr, turn, role || ' ' || CAST(turn AS VARCHAR) AS name, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS INTEGER) AS n FROM conversations),
     k AS (SELECT schl_nr, n - (CASE WHEN e THEN 1 ELSE 0 END) AS stadium, CASE WHEN e AND n = 2 THEN '!' ELSE name END AS name FROM (SELECT *, max(n) OVER (PARTITION BY schl_nr) > 1 AND CAST(schl_nr AS BIGINT) % 2 = 0 AS e FROM c) WHERE NOT (e AND n = 1)
@@ -459,12 +532,22 @@ def error_list(spark, sf_dir):
     return sampling.errors(_verdicts(spark, sf_dir)).select("schl_nr", "fehlt")
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS schl_nr, CAST(row_number() OVER (ORDER BY o_orderkey % 388, o_orderkey) AS INTEGER) AS platz FROM orders")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS schl_nr, row_number() OVER (ORDER BY o_orderkey % 388, o_orderkey) - 1 AS platz FROM orders")
 def book_order(spark, sf_dir):
-    streets = _versions(spark, sf_dir)[0]
-    ordered, _ = ordering.book_order(streets, streets.select("schl_nr", F.lit(1).alias("stadium"), "seq"))
-    # the place in the sorted table; its global numbering is only for this check
-    return ordered.select("schl_nr", F.row_number().over(Window.orderBy("buchseite", "seq")).alias("platz"))
+    return ordering.book_places(_versions(spark, sf_dir)[0]).select("schl_nr", "platz")
+
+
+@query(
+    """WITH s AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('1936:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS r FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW'))
+    SELECT CAST(o_orderkey AS VARCHAR) AS schl_nr, feld, row_number() OVER (ORDER BY o_orderkey, feld) - 1 AS platz FROM s, (SELECT unnest(['schl_nr', 'lemma', 'stadtteile', 'strassenklasse', 'namensgruppe', 'verweis_auf']) AS feld)
+    WHERE r <= CASE o_orderpriority WHEN '1-URGENT' THEN 20 ELSE 10 END"""
+)
+def sample_order(spark, sf_dir):
+    """The places of a drawn sample's fields in its list: by number and field."""
+    streets = _versions(spark, sf_dir)[0].withColumn("status", F.col("lemma"))
+    none = streets.where("false").select("schl_nr", F.lit(1).alias("stadium"), F.lit("").alias("gueltig_ab"), F.lit("").alias("datum_praezision"), F.lit("").alias("name"))
+    fields = sampling.fields_to_check(sampling.stratified(streets, {"1-URGENT": 20, "5-LOW": 10}), none)
+    return ranks.ranked(fields, [F.col("schl_nr").cast("long"), F.col("feld")], name="platz").select("schl_nr", "feld", "platz")
 
 
 @query("SELECT p_partkey, unnest(CASE WHEN p_partkey % 5 = 0 THEN range(2, 389) ELSE list_concat(range(p_size, p_size + 3), [p_size + 10]) END) AS seite FROM part")
@@ -640,9 +723,26 @@ def name_flags(spark, sf_dir):
 )
 def fuzzy_vocab(spark, sf_dir):
     nation = _t(spark, sf_dir, "nation")
-    vocabulary = sorted(r["n_name"] for r in nation.select("n_name").collect())  # a closed vocabulary of 25 names
     word = F.concat(F.substring("n_name", 1, 2), F.expr("substring(n_name, 4)"))
-    return nation.select("n_nationkey", text.fuzzy_unique(word, vocabulary).alias("found"))
+    return lookup.fuzzy_lookup(nation.withColumn("word", word), nation, "word", "n_name").select("n_nationkey", "found")
+
+
+_UMLAUTS = "translate(lower({}), 'äöüß', '#$%&')"
+
+
+@query(
+    f"""WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN replace(p_name, 'a', 'ä') ELSE p_name END || ' ' || (p_partkey % 13) AS name FROM part),
+    v AS (SELECT DISTINCT name FROM p), w AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN substr(name, 1, 1) || substr(name, 3) WHEN 1 THEN 'ü' || upper(substr(name, 2)) WHEN 2 THEN name || 'ß' ELSE name END AS word FROM p),
+    f AS (SELECT word, CASE WHEN count(name) = 1 THEN min(name) END AS found FROM (SELECT DISTINCT word FROM w) LEFT JOIN v ON levenshtein({_UMLAUTS.format("word")}, {_UMLAUTS.format("name")}) = 1 GROUP BY word)
+    SELECT p_partkey, word, found FROM w JOIN f USING (word)"""
+)
+def fuzzy_lookup(spark, sf_dir):
+    """Names of parts with a letter lost, changed or added, looked up among all of them; many have no or several neighbours."""
+    n = F.col("p_partkey")
+    parts = _t(spark, sf_dir, "part").select(n, F.concat(F.when(n % 3 == 0, F.replace("p_name", F.lit("a"), F.lit("ä"))).otherwise(F.col("p_name")), F.lit(" "), (n % 13).cast("string")).alias("name"))
+    rest = F.expr("substring(name, 2)")
+    word = F.when(n % 4 == 0, F.concat(F.substring("name", 1, 1), F.expr("substring(name, 3)"))).when(n % 4 == 1, F.concat(F.lit("ü"), F.upper(rest))).when(n % 4 == 2, F.concat("name", F.lit("ß"))).otherwise(F.col("name"))
+    return lookup.fuzzy_lookup(parts.withColumn("word", word), parts, "word", "name").select("p_partkey", "word", "found")
 
 
 @query("SELECT doc_id, trim(regexp_extract(t, 'Siehe\\s+([A-ZÄÖÜ][^.,;]{2,60})', 1)) AS verweis_auf FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Siehe ' ELSE 'siehe ' END || text AS t FROM documents)")
@@ -722,6 +822,16 @@ def review_three_way(spark, sf_dir):
     return review.review_list(streets, stages, answers, ["a", "b"])
 
 
+@query(
+    f"""{_READ}, r AS (SELECT schl_nr, CASE WHEN b IS NULL THEN 'unlesbar' WHEN a = b AND a <> p THEN 'beide' ELSE 'eines' END AS einig FROM c WHERE a <> p OR coalesce(b, p) <> p)
+    SELECT schl_nr, 'lemma' AS feld, einig, row_number() OVER (ORDER BY CASE einig WHEN 'beide' THEN 1 WHEN 'eines' THEN 2 ELSE 3 END, schl_nr) - 1 AS platz FROM r"""
+)
+def review_order(spark, sf_dir):
+    """The places of the review list's rows: by agreement, key and field."""
+    rows = review.review_list(*_read_tables(spark, sf_dir), ["a", "b"])
+    return ranks.ranked(rows, review.list_order(), name="platz").select("schl_nr", "feld", "einig", "platz")
+
+
 @query(
     f"""{_READ}, f AS (SELECT *, unnest([{{'feld': 'lemma', 'p': p, 'a': a, 'b': b}}, {{'feld': 'stadtteile', 'p': s, 'a': s, 'b': s}}, {{'feld': 'strassenklasse', 'p': '', 'a': '', 'b': ''}},
       {{'feld': 'namensgruppe', 'p': '', 'a': '', 'b': ''}}, {{'feld': 'verweis_auf', 'p': '', 'a': '', 'b': ''}}]) AS v FROM c WHERE status = 'unsicher')
@@ -798,8 +908,6 @@ _PAGES = """p AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS volume, c_custkey AS page, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS k, c_custkey % 7 = 0 AS bare, c_custkey % 5 AS kind,
          c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) AS opening FROM customer
 )"""
-_FULL = ", Stadtteil Mitte, Str.-Kl.: Gemeindestraße, Str.-Gr.: Berufe, 29.08.1927: Alter Weg."
-_SEE = ", Siehe Kronenstraße."
 
 
 def _volume_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -840,19 +948,65 @@ def offset_page(spark, sf_dir):
     return segment.pages_at(points, located).select(F.col("id").cast("long").alias("id"), "place", F.col("page").cast("long").alias("page"))
 
 
-@query(
-    f"""WITH {_PAGES}, b AS (
-      SELECT *, k || CASE kind WHEN 0 THEN '{_FULL}' WHEN 1 THEN '{_SEE}' ELSE ', ohne alles.' END AS body FROM p
-    )
-    SELECT volume, CAST(page AS INTEGER) AS buchseite, 'Weg ' || k AS lemma_roh, grund, body AS rohtext FROM b, (VALUES ('kein Namensstadium erkannt'), ('Stadtteil fehlt'), ('Straßenklasse fehlt')) t(grund) WHERE NOT opening AND kind > 1
+_HEAD, _DATED = ", Stadtteil Mitte, Str.-Kl.: Gemeindestraße, Str.-Gr.: Berufe", ", 29.08.1927: Alter Weg."
+_ANCHOR = "Schl.-Nr.:"
+#: Kinds of entries: lemma (with the key for {}), anchor, body (with the key for {}), and each reason with its text (None: the whole body).
+_KINDS: list[tuple[str, str, str, dict[str, str | None]]] = [
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + _DATED, {}),
+    ("Weg {}", _ANCHOR, "{}, Siehe Kronenstraße.", {}),
+    ("Weg {}", _ANCHOR, "{}, ohne alles.", {Reason.NO_STAGE: None, Reason.NO_DISTRICT: None, Reason.NO_CLASS: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29, August 1927: Alter Weg.", {Reason.COMMA_AFTER_DAY: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29.08.1927; Alter Weg.", {Reason.NO_COLON: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29. Augusf 1927: Alter Weg.", {Reason.MONTH_CORRECTED: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", vor 1927/28: Alter Weg.", {Reason.DOUBLE_YEAR: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 45. August 1927: Alter Weg.", {Reason.DAY_INVALID: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29. Xyzabc 1927: Alter Weg.", {Reason.MONTH_UNREADABLE: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", urspr. Alter Weg, 29.08.1927: Neuer Weg.", {Reason.ORIGINAL_NO_COLON: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29.08.1927: Alter Weg (Verl.", {Reason.SUFFIX_CLOSED: None}),
+    ("Weg {}", _ANCHOR, "{}, Stadtteil Mitte, Gemeindestraße, Str.-Gr.: Berufe" + _DATED, {Reason.CLASS_NO_MARKER: None}),
+    ("Weg {}", _ANCHOR, "{}, Stadtteil Mitte, Str.-Kl.: Gemeindestrase, Str.-Gr.: Berufe" + _DATED, {Reason.CLASS_CORRECTED: None}),
+    ("}} Weg {}", _ANCHOR, "{}" + _HEAD + _DATED, {Reason.EDGE_REMOVED: None}),
+    ("Weg der vielen langen Worte {}", _ANCHOR, "{}" + _HEAD + _DATED, {Reason.LEMMA_LENGTH: None}),
+    ("weg {}", _ANCHOR, "{}" + _HEAD + _DATED, {Reason.LEMMA_FORM: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29.08.1927: Ab.", {Reason.STAGE_ODD: "Ab"}),
+    ("Weg {}", _ANCHOR, "{}, Stadtteil Mitte, Str.-Kl.: Gemeindestraße, Str.-Gr.: Berufe # alt" + _DATED, {Reason.FIELD_LENGTH: None}),
+    ("Weg {}", _ANCHOR, "{}, Str.-Kl.: Gemeindestraße, Str.-Gr.: Berufe" + _DATED, {Reason.NO_DISTRICT: None}),
+    ("Weg {}", _ANCHOR, "{}, Stadtteil Mitte, Str.-Gr.: Berufe" + _DATED, {Reason.NO_CLASS: None}),
+    ("Weg {}", _ANCHOR, "{}" + _HEAD + ", 29.08.1927: Alter Weg, 12 Reste.", {Reason.CHAIN_LEFTOVER: "12 Reste"}),
+    ("Weg {}", _ANCHOR, "ohne Nummer.", {Reason.NO_KEY: None}),
+    ("Weg {}", "Schi,-N.;", "{}" + _HEAD + _DATED, {Reason.ANCHOR_CORRECTED: None}),
+    ("Weg {}", _ANCHOR, "99999" + _HEAD + _DATED, {Reason.KEY_TWICE: ""}),
+]
+
+
+def _quoted(s: str | None) -> str:
+    return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
+
+
+def _keyed_sql(part: int) -> str:
+    """A CASE over the kinds: their lemma (0), anchor (1) or body (2) around the key."""
+    return "CASE kind " + " ".join(f"WHEN {n} THEN " + " || k || ".join(_quoted(x.replace("}}", "}")) for x in row[part].split("{}")) for n, row in enumerate(_KINDS)) + " END"
+
+
+@query(
+    f"""WITH {_PAGES.replace("c_custkey % 5", f"c_custkey % {len(_KINDS)}")}, b AS (
+      SELECT *, {_keyed_sql(0)} AS lemma, {_keyed_sql(1)} AS anchor, {_keyed_sql(2)} AS body FROM p
+    ), r(kind, grund, roh) AS (VALUES {", ".join(f"({n}, {_quoted(reason)}, {_quoted(raw)})" for n, row in enumerate(_KINDS) for reason, raw in row[3].items())})
+    SELECT volume, CAST(page AS INTEGER) AS buchseite, lemma AS lemma_roh, grund, coalesce(roh, body) AS rohtext FROM b JOIN r USING (kind) WHERE NOT opening
+    AND (grund <> '{Reason.KEY_TWICE}' OR (SELECT count(*) FROM b WHERE NOT opening AND kind = {len(_KINDS) - 1}) > 1)
     UNION ALL
-    SELECT volume, CAST(page AS INTEGER), '', 'Anker ohne Lemma', 'Schl.-Nr.:' FROM b WHERE opening"""
+    SELECT volume, CAST(page AS INTEGER), '', '{Reason.ANCHOR_WITHOUT_LEMMA}', anchor FROM b WHERE opening"""
 )
 def reason_log(spark, sf_dir):
-    """Reasons of entries with all fields, of mere references, of entries without fields, and of anchors without a lemma."""
+    """Entries of every reason of the log, and an anchor without a lemma at the beginning of each volume."""
     first = F.col("page") == F.min("page").over(Window.partitionBy("volume"))
-    kind = F.col("page") % 5
-    body = F.when(kind == 0, F.lit(_FULL)).when(kind == 1, F.lit(_SEE)).otherwise(F.lit(", ohne alles."))
-    lemma = F.when(F.col("opening"), F.lit("")).otherwise(F.concat(F.lit("Weg "), "k", F.lit(": ")))
-    pages = _volume_pages(spark, sf_dir).withColumn("opening", first).select("volume", "page", F.concat(lemma, F.lit("Schl.-Nr.: "), "k", body).alias("text"))
+
+    def put(template: str) -> Column:
+        parts = [F.lit(x.replace("}}", "}")) for x in template.split("{}")]
+        return F.concat(*[c for x in parts for c in (x, F.col("k"))][:-1])
+
+    kinds = F.array(*[F.struct(put(lemma).alias("lemma"), F.lit(anchor).alias("anchor"), put(body).alias("body")) for lemma, anchor, body, _ in _KINDS])
+    rows = _volume_pages(spark, sf_dir).withColumns({"opening": first, "kind": F.get(kinds, (F.col("page") % len(_KINDS)).cast("int"))})
+    lemma = F.when(F.col("opening"), F.lit("")).otherwise(F.concat("kind.lemma", F.lit(": ")))
+    pages = rows.select("volume", "page", F.concat(lemma, "kind.anchor", F.lit(" "), "kind.body").alias("text"))
     return entries.tables(segment.segment_volumes(pages))[2].select("volume", "buchseite", "lemma_roh", "grund", "rohtext")

@@ -6,10 +6,8 @@ import unicodedata
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import HEAD_FIELDS, Reason
 from . import patterns as P
@@ -83,19 +81,6 @@ def sort_key(c: Column | str) -> Column:
     return F.regexp_replace(F.translate(c, _ONE, _BASE), r"\p{M}+", "")
 
 
-@F.pandas_udf(T.StringType())
-def sort_key_any(s: pd.Series) -> pd.Series:
-    """As :func:`sort_key` for every script, outside the JVM."""
-
-    def key(x: str | None) -> str | None:
-        if x is None:
-            return None
-        x = x.lower().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue").replace("ß", "ss")
-        return "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
-
-    return s.map(key)
-
-
 def compare_key(c: Column | str) -> Column:
     """Form in which a chain's last name and the present name are compared."""
     c = one_space(F.lower(text_or_empty(c)))

@@ -7,31 +7,58 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sort_key, trim_u
 from ..schemas import Reason
+from .ranks import running
 
 
 def _numeric(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).cast("string").rlike(r"^\p{Nd}+$")).select(F.col(key).cast("long").alias("n"))
 
 
+#: Numbers of a bitmap, and most numbers of a piece of a gap.
+BITMAP, PIECE = 1 << 15, 1 << 16
+
+
+def _bitmaps(df: DataFrame, key: str) -> DataFrame:
+    """bucket, its numbers as a bitmap and their distinct count, least, largest and count with repeats; 4 KB a bucket, combined before the shuffle."""
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")
+    found = _numeric(df, key).groupBy(F.bitmap_bucket_number("n").alias("bucket")).agg(bits, F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("rows"))
+    return found.withColumn("distinct", F.bitmap_count("bits"))
+
+
 def key_stats(df: DataFrame, key: str = "schl_nr") -> DataFrame:
     """One row: smallest, largest and count of numeric keys, gaps between them and repeated keys."""
-    own = _numeric(df, key).agg(F.min("n").alias("kleinste"), F.max("n").alias("groesste"), F.count(F.lit(1)).alias("anzahl"), F.countDistinct("n").alias("_distinct"))
+    own = _bitmaps(df, key).agg(F.min("low").alias("kleinste"), F.max("high").alias("groesste"), F.coalesce(F.sum("rows"), F.lit(0)).alias("anzahl"), F.sum("distinct").alias("_distinct"))
     twice = key_duplicates(df, key).agg(F.count(F.lit(1)).alias("dubletten"))
     return own.crossJoin(F.broadcast(twice)).select("kleinste", "groesste", "anzahl", (F.col("groesste") - F.col("kleinste") + 1 - F.col("_distinct")).alias("luecken"), "dubletten")
 
 
-def key_gaps(df: DataFrame, key: str = "schl_nr") -> DataFrame:
-    """Numbers between the smallest and the largest key that no row has.
+#: The places of a bitmap's ones; a byte's hexadecimal digits hold its upper four bits first.
+_ONES = """transform(array(transform(split(hex(bits), ''), c -> instr('0123456789ABCDEF', c) - 1)),
+  v -> filter(sequence(0, 32767), p -> shiftright(v[int(2 * (p div 8) + if(p % 8 < 4, 1, 0))], p % 4) & 1 = 1))[0]"""
+
 
-    Each gap starts after a key and is written out where it lies; no full range is built. Keys are
-    dealt by blocks of numbers, and each block hands its first and last key to a small second step.
+def key_gap_intervals(df: DataFrame, key: str = "schl_nr") -> DataFrame:
+    """von and bis of each run of numbers between the smallest and the largest key that no row has.
+
+    Runs within a bucket come from its bitmap, those between buckets from the least key of the next one;
+    a run across buckets is one row, whatever its length.
     """
-    block = 1 << 16
-    own = _numeric(df, key).distinct().withColumn("b", F.floor(F.col("n") / block))
-    inside = own.withColumn("next", F.lead("n").over(Window.partitionBy("b").orderBy("n")))
-    edges = own.groupBy("b").agg(F.min("n").alias("low"), F.max("n").alias("high")).withColumn("next", F.lead("low").over(Window.orderBy("b")))
-    steps = inside.select("n", "next").unionByName(edges.select(F.col("high").alias("n"), "next")).where("next > n + 1")
-    return steps.select(F.explode(F.sequence(F.col("n") + 1, F.col("next") - 1)).alias("luecke"))
+    buckets = running(_bitmaps(df, key), [], [F.floor(F.col("bucket") / BITMAP)], ["bucket"], {"next": (F.min, F.col("low"), F.least)}, falling=True)
+    first = F.when(F.col("bucket") > 0, (F.col("bucket") - 1) * BITMAP + 1).otherwise(F.lit(0))
+    sparse = buckets.where("distinct < high - low + 1").select(first.alias("first"), F.expr(_ONES).alias("ones"))
+    after = F.transform("ones", lambda p, i: F.struct((F.col("first") + p + 1).alias("von"), (F.col("first") + F.get("ones", i + 1) - 1).alias("bis")))
+    inside = sparse.select(F.explode(F.filter(after, lambda x: x["bis"] >= x["von"])).alias("x")).select("x.*")
+    return inside.unionByName(buckets.where("next > high + 1").select((F.col("high") + 1).alias("von"), (F.col("next") - 1).alias("bis")))
+
+
+def key_gaps(df: DataFrame, key: str = "schl_nr") -> DataFrame:
+    """Numbers between the smallest and the largest key that no row has, written out in pieces of bounded length."""
+
+    def cut(runs: DataFrame, length: int) -> DataFrame:
+        begin = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.floor((F.col("bis") - F.col("von")) / length)), lambda i: F.col("von") + i * length))
+        return runs.select("bis", begin.alias("von")).select("von", F.least("bis", F.col("von") + (length - 1)).alias("bis"))
+
+    return cut(cut(key_gap_intervals(df, key), PIECE << 16), PIECE).select(F.explode(F.sequence("von", "bis")).alias("luecke"))
 
 
 def key_duplicates(df: DataFrame, key: str = "schl_nr") -> DataFrame:

@@ -41,20 +41,24 @@ def unmatched(old: DataFrame, new: DataFrame, signature: list[str], order: str,
     """Bag difference within each key, leftovers paired in order: key, n and structs ``a``, ``b`` of ``keep``.
 
     Of rows with one signature as many are taken off on both sides as both have, the first ones first.
+    Both sides lie in one table; a window of a signature tells a row's place on its side and how
+    many the other side has, and only what is left over meets again by key.
     """
 
-    def numbered(df: DataFrame) -> DataFrame:
-        n = F.row_number().over(Window.partitionBy(key, *signature).orderBy(order))
-        return df.select(key, *signature, F.col(order).alias("_order"), F.struct(*keep).alias("_row"), n.alias("_n"))
+    def side(df: DataFrame, is_old: bool) -> DataFrame:
+        return df.select(key, *signature, F.col(order).alias("_order"), F.struct(*keep).alias("_row"), F.lit(is_old).alias("_old"))
 
-    on = [key, *signature, "_n"]
+    def placed(rows: DataFrame, within: list[str]) -> DataFrame:
+        """``n``, the place on the own side in ``order``, and ``_others``, the rows of the other side."""
+        group = Window.partitionBy(*within)
+        news = F.sum((~F.col("_old")).cast("int")).over(group)
+        place = F.row_number().over(group.orderBy("_old", "_order"))  # the new side comes first
+        n = F.when(F.col("_old"), place - news).otherwise(place).cast("int")
+        return rows.withColumns({"n": n, "_others": F.when(F.col("_old"), news).otherwise(F.count(F.lit(1)).over(group) - news)})
 
-    def left_over(df: DataFrame, other: DataFrame, name: str) -> DataFrame:
-        rest = df.join(other.select(*on), [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in on], "left_anti")
-        return rest.select(F.col(f"x.{key}").alias(key), F.row_number().over(Window.partitionBy(f"x.{key}").orderBy("x._order")).alias("n"), F.col("x._row").alias(name))
-
-    a, b = numbered(old), numbered(new)
-    return left_over(a.alias("x"), b.alias("y"), "a").join(left_over(b.alias("x"), a.alias("y"), "b"), [key, "n"], "full_outer")
+    left = placed(side(old, True).unionByName(side(new, False)), [key, *signature]).where("n > _others").select(key, "_order", "_row", "_old")
+    a, b = (F.first(F.when(F.col("_old") == is_old, F.col("_row")), ignorenulls=True).alias(name) for is_old, name in ((True, "a"), (False, "b")))
+    return placed(left, [key]).groupBy(key, "n").agg(a, b)
 
 
 def _stage_text(s: str) -> Column:
@@ -68,12 +72,12 @@ def _date_text(s: str) -> Column:
 def changes(old_streets: DataFrame, old_stages: DataFrame, new_streets: DataFrame, new_stages: DataFrame) -> DataFrame:
     """All changes from the old to the new version, in nine categories.
 
-    Entries meet in one full outer join and stages in another; each pair then says all its changes
-    as an array.
+    The last rows of a key's two versions meet in one aggregate, stages as :func:`unmatched` pairs
+    them; each pair then says all its changes as an array.
     """
-    fields = [*DIFF_FIELDS, "status"]
-    a, b = (last_wins(df).select("schl_nr", F.struct(*[F.col(f).cast("string").alias(f) for f in fields]).alias(side)) for df, side in ((old_streets, "a"), (new_streets, "b")))
-    both = a.join(b, "schl_nr", "full_outer")
+    fields = F.struct(*[F.col(f).cast("string").alias(f) for f in (*DIFF_FIELDS, "status")])
+    a, b = (df.select("schl_nr", fields.alias(f"_{side}"), F.col("seq").alias(f"_seq_{side}")) for df, side in ((old_streets, "a"), (new_streets, "b")))
+    both = a.unionByName(b, allowMissingColumns=True).groupBy("schl_nr").agg(F.max_by("_a", "_seq_a").alias("a"), F.max_by("_b", "_seq_b").alias("b"))
     null = F.lit(None).cast("string")
 
     def change(when: Column, kind: str, lemma: str = "a.lemma", feld: Column = null, stadium: Column = F.lit(None), alt: Column = null, neu: Column = null) -> Column:

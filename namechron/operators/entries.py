@@ -9,6 +9,7 @@ from ..functions import patterns as P
 from ..functions.predicates import field_long, group_odd, lemma_long, lemma_odd_form, name_odd
 from ..functions.text import extract, matches, strip_edge, trim_u
 from ..schemas import AUTOMATIC, UNCERTAIN, Reason
+from ..sources.storage import materialize
 from .chains import parse_chains
 from .checks import flag_duplicates
 from .heads import parse_heads
@@ -22,20 +23,21 @@ def _no(c: Column | str) -> Column:
 
 
 def read_entries(segments: DataFrame) -> DataFrame:
-    """Entries of :func:`segment.segment_volumes` with head, chain, cross-reference and clean lemma."""
-    entries = parse_chains(parse_heads(segments.where("kind = 'entry'")))
-    return entries.withColumns(
+    """Segments of :func:`segment.segment_volumes`, entries with head, chain, cross-reference and clean lemma."""
+    is_entry = F.col("kind") == "entry"
+    read = parse_chains(parse_heads(segments.withColumn("_body", F.when(is_entry, F.col("rumpf"))), "_body"))
+    return read.withColumns(
         {
             "_lemma": strip_edge("lemma_roh"),
             "verweis_auf": trim_u(extract("rumpf", P.CROSS_REFERENCE)),
             "_near": matches(F.substring("rumpf", 1, REFERENCE_WINDOW), P.CROSS_REFERENCE),
             "_odd": F.filter(F.transform("stadien", lambda s: s["name"]), name_odd),
         }
-    )
+    ).drop("_body")
 
 
 def reasons(entries: DataFrame) -> DataFrame:
-    """``entries`` with ``gruende``: ordered distinct reasons to look at each entry that has a key."""
+    """``entries`` with ``gruende``: ordered distinct reasons to look at each entry, if it has a key."""
     pure = F.col("_near") & _no("stadien")
     classes = F.array_join("strassenklassen", "; ")
     stage_hints = F.flatten(F.transform("stadien", lambda s: F.split(s["hinweis"], "; ")))
@@ -60,26 +62,37 @@ def reasons(entries: DataFrame) -> DataFrame:
     return entries.withColumn("gruende", F.array_distinct(F.array_compact(found)))
 
 
+def _logged() -> Column:
+    """An array of what the log says about a segment: structs (lemma_roh, grund, rohtext)."""
+
+    def line(reason: Column, raw: Column, lemma: str = "lemma_roh") -> Column:
+        return F.struct(F.col(lemma).alias("lemma_roh"), reason.alias("grund"), F.substring(raw, 1, 200).alias("rohtext"))
+
+    def found(reason: Column) -> Column:
+        raw = F.when(reason == Reason.STAGE_ODD, F.array_join("_odd", "; ")).when(reason == Reason.CHAIN_LEFTOVER, F.col("residuum")).otherwise(F.col("rumpf"))
+        return line(reason, raw)
+
+    def alone(reason: str) -> Column:
+        return F.array(line(F.lit(reason), F.col("rumpf")))
+
+    twice = F.when(F.col("mehrfach"), line(F.lit(Reason.KEY_TWICE), F.lit(""), "_lemma.value"))
+    keyed = F.array_compact(F.concat(F.transform("gruende", found), F.array(twice)))
+    return F.when(F.col("kind") == "rejected", alone(Reason.ANCHOR_WITHOUT_LEMMA)).when(F.col("schl_nr").isNull(), alone(Reason.NO_KEY)).otherwise(keyed)
+
+
 def tables(segments: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(streets, stages, log) of segments; streets and stages carry volume and seq."""
-    read = read_entries(segments)
-    keyed = reasons(read.where("schl_nr is not null"))
-    streets = flag_duplicates(
-        keyed.select(
-            "volume", "seq", "schl_nr", F.col("_lemma.value").alias("lemma"), F.array_join("stadtteile", "; ").alias("stadtteile"), F.array_join("strassenklassen", "; ").alias("strassenklasse"),
-            "namensgruppe", "verweis_auf", "buchseite", _no("gruende").alias("_fine"),
-        )
+    """(streets, stages, log) of segments; streets and stages carry volume and seq.
+
+    Segments are read once and stored; the log is what each of them has to say, as an array that is written out.
+    """
+    read = materialize(reasons(read_entries(segments)), "entries")
+    # segments without a key are nobody's twin and meet nowhere
+    own_key = F.coalesce("schl_nr", F.concat_ws("/", F.lit(""), "volume", "kind", "seq"))
+    marked = flag_duplicates(read.withColumn("_key", own_key), "_key")
+    streets = marked.where("schl_nr is not null").select(
+        "volume", "seq", "schl_nr", F.col("_lemma.value").alias("lemma"), F.array_join("stadtteile", "; ").alias("stadtteile"), F.array_join("strassenklassen", "; ").alias("strassenklasse"),
+        "namensgruppe", "verweis_auf", "buchseite", F.when(_no("gruende") & ~F.col("mehrfach"), AUTOMATIC).otherwise(UNCERTAIN).alias("status"),
     )
-    twice = streets.where("mehrfach").select("volume", "seq", "buchseite", F.col("lemma").alias("lemma_roh"), F.lit(Reason.KEY_TWICE).alias("grund"), F.lit("").alias("rohtext"))
-    streets = streets.withColumn("status", F.when(F.col("_fine") & ~F.col("mehrfach"), AUTOMATIC).otherwise(UNCERTAIN)).drop("_fine", "mehrfach")
-    stages = keyed.select("volume", "seq", "schl_nr", F.explode("stadien").alias("s")).select("volume", "seq", "schl_nr", "s.stadium", "s.gueltig_ab", "s.datum_praezision", "s.name", "s.ist_urspruenglich")
-    raw = F.when(F.col("grund") == Reason.STAGE_ODD, F.array_join("_odd", "; ")).when(F.col("grund") == Reason.CHAIN_LEFTOVER, F.col("residuum")).otherwise(F.col("rumpf"))
-    logged = keyed.select("volume", "seq", "buchseite", "lemma_roh", "rumpf", "residuum", "_odd", F.explode("gruende").alias("grund"))
-    columns = ["volume", "seq", "buchseite", "lemma_roh", "grund"]
-    log = logged.select(*columns, F.substring(raw, 1, 200).alias("rohtext"))
-
-    def others(df: DataFrame, reason: str) -> DataFrame:
-        return df.select("volume", "seq", "buchseite", "lemma_roh", F.lit(reason).alias("grund"), F.substring("rumpf", 1, 200).alias("rohtext"))
-
-    log = log.unionByName(others(segments.where("kind = 'rejected'"), Reason.ANCHOR_WITHOUT_LEMMA)).unionByName(others(read.where("schl_nr is null"), Reason.NO_KEY)).unionByName(twice)
+    stages = read.where("schl_nr is not null").select("volume", "seq", "schl_nr", F.explode("stadien").alias("s")).select("volume", "seq", "schl_nr", "s.stadium", "s.gueltig_ab", "s.datum_praezision", "s.name", "s.ist_urspruenglich")
+    log = marked.select("volume", "seq", "buchseite", F.explode(_logged()).alias("x")).select("volume", "seq", "buchseite", "x.lemma_roh", "x.grund", "x.rohtext")
     return streets, stages, log

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import bound, captured, extract, fuzzy_unique, parts, replace, strip_edge, text_or_empty, trim_u, unmarked
+from ..functions.text import bound, extract, fuzzy_unique, parts, replace, strip_edge, text_or_empty, trim_u, unmarked
 from ..schemas import STREET_CLASSES, Reason
 from .chains import chain_text
 
@@ -21,6 +21,12 @@ def _marked_values(found: Column) -> Column:
     return parts(replace(text_or_empty(found), P.FIELD_REST, ""))
 
 
+def _first(body: Column, pattern: str) -> Column:
+    """Struct (before, end, value) of the first match: the lengths up to its begin and end, and its group; null without one."""
+    at = F.regexp_instr(body, F.lit(P.java(pattern)))
+    return F.when(at > 0, F.struct((at - 1).alias("before"), (at - 1 + F.length(extract(body, pattern, 0))).alias("end"), extract(body, pattern).alias("value")))
+
+
 def _found(body: Column) -> Column:
     """What the markers of a body lead to; ``marked`` and ``group`` are null without their marker."""
     return F.struct(
@@ -28,26 +34,22 @@ def _found(body: Column) -> Column:
         F.replace(extract(body, P.KEY), F.lit(" "), F.lit("")).alias("digits"),
         F.length(extract(body, P.KEY, 0)).alias("key_end"),
         _marked_values(extract(body, P.DISTRICT)).alias("listed"),
-        F.get(captured(body, P.CLASS, 1), F.lit(0)).alias("marked"),
-        F.get(captured(body, P.GROUP, 1), F.lit(0)).alias("group"),
+        _first(body, P.CLASS).alias("marked"),
+        _first(body, P.GROUP).alias("group"),
     )
 
 
-def _end(match: Column) -> Column:
-    return F.length(F.get(match, F.lit(0))) + F.length(F.get(match, F.lit(1)))
-
-
 def _lists(h: Column) -> Column:
     """Struct (districts, classes, bare): class values, ``bare`` if they had no marker of their own.
 
     Before a name group classes without a marker are the class words that the district list ends
     with, or all class words if there is no such list.
     """
-    own = _marked_values(F.get(h["marked"], F.lit(2)))
+    own = _marked_values(h["marked"]["value"])
     words = [F.lit(c) for c in STREET_CLASSES]
     others = F.transform(h["listed"], lambda v, i: F.when(~v.isin(STREET_CLASSES), i + 1))
     n = F.coalesce(F.array_max(others), F.lit(0))
-    before_group = F.substring(F.get(h["group"], F.lit(0)), h["key_end"] + 1, F.length(h["body"]))
+    before_group = F.substring(h["body"], h["key_end"] + 1, h["group"]["before"] - h["key_end"])
     anywhere = F.regexp_extract_all(before_group, F.lit(P.java(r"\b(" + "|".join(STREET_CLASSES) + r")\b")), F.lit(1))
     at_end = F.filter(F.slice(h["listed"], n + 1, F.size(h["listed"])), lambda v: F.array_contains(F.array(*words), v))
     unmarked_ones = F.when(F.size(h["listed"]) == 0, anywhere).otherwise(at_end)
@@ -71,8 +73,8 @@ def _named(value: Column) -> Column:
 
 
 def _row(h: Column) -> Column:
-    group = F.get(h["group"], F.lit(2))
-    tail = F.substring(h["body"], F.coalesce(_end(h["group"]), _end(h["marked"]), h["key_end"]) + 1, F.length(h["body"]))
+    group = h["group"]["value"]
+    tail = F.substring(h["body"], F.coalesce(h["group"]["end"], h["marked"]["end"], h["key_end"]) + 1, F.length(h["body"]))
 
     def row(x: Column) -> Column:
         corrected = F.when(F.exists(x["named"], lambda c: c["corrected"]), F.lit(Reason.CLASS_CORRECTED))

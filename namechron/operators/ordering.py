@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col, trim_u
+from .ranks import ranked
 
 
 def book_order(streets: DataFrame, stages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -21,6 +22,11 @@ def book_order(streets: DataFrame, stages: DataFrame) -> tuple[DataFrame, DataFr
     return ordered, stage_order.drop("_place")
 
 
+def book_places(streets: DataFrame, name: str = "platz") -> DataFrame:
+    """``streets`` with ``name``: their place in the book, from 0, by page and order of arrival."""
+    return ranked(streets, [F.col("buchseite").cast("int"), F.col("seq")], name=name)
+
+
 def page_ranges(text: Column | str, first: int = 2, last: int = 388) -> Column:
     """Array of pages of a text like "23-30,45"; all pages for an empty text."""
     pieces = F.filter(F.transform(F.split(col(text), ","), trim_u), lambda p: p != "")

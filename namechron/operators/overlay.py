@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import display, iso_to_printed, partial_date
-from ..functions.text import extract, matches, text_or_empty
+from ..functions.text import extract, matches, replace, text_or_empty
 from ..schemas import CHECKED, HEAD_FIELDS, Reason
 
 #: What stands for the date of an added stage without one.
@@ -74,26 +74,41 @@ def _added(streets: DataFrame, overlay: DataFrame) -> DataFrame:
     return row.select(*[F.col(c).cast(streets.schema[c].dataType) if c in row.columns else F.lit(None).cast(streets.schema[c].dataType).alias(c) for c in streets.columns])
 
 
-def head_violations(streets: DataFrame, overlay: DataFrame) -> DataFrame:
-    """Violations (schl_nr, feld, meldung) of edits on entries and head fields, after renames."""
-    count = streets.groupBy("schl_nr").agg(F.count(F.lit(1)).alias("_n"), F.first("buchseite").cast("string").alias("_buchseite"), *[F.first(f).alias(f"_{f}") for f in HEAD_FIELDS])
+def head_edits(streets: DataFrame, overlay: DataFrame) -> DataFrame:
+    """Edits on entries, head fields and pages, after renames, with what they meet.
+
+    ``jetzt`` is the value that an edit has to name as its old one: what the edit of this field before it
+    (by ``seq``) wrote, be that one valid or not, and the table's for the first one. New entries start from an
+    empty row with their lemma, wherever in the list they are made. ``eintraege`` counts the table's rows
+    with the key (null: none), ``neu`` tells whether the list makes the entry, ``anlagen`` how often up to here.
+    """
+    present = streets.groupBy("schl_nr").agg(F.count(F.lit(1)).alias("eintraege"), F.first("buchseite").cast("string").alias("_buchseite"), *[F.first(f).alias(f"_{f}") for f in HEAD_FIELDS])
     edits = overlay.where("feld <> 'schl_nr'").withColumns({"wert_alt": text_or_empty("wert_alt"), "wert_neu": text_or_empty("wert_neu")})
-    new_key = edits.where("feld = 'eintrag' and wert_alt = '' and wert_neu <> ''").select("schl_nr", F.lit(True).alias("_new")).distinct()
-    rows = edits.join(count, "schl_nr", "left").join(new_key, "schl_nr", "left").withColumn("_new", F.coalesce("_new", F.lit(False)))
+    makes = (F.col("feld") == "eintrag") & (F.col("wert_alt") == "") & (F.col("wert_neu") != "")
+    made = edits.where(makes).groupBy("schl_nr").agg(F.min_by("wert_neu", "seq").alias("_made"))
+    rows = edits.join(present, "schl_nr", "left").join(made, "schl_nr", "left")
+    order = Window.partitionBy("schl_nr", "feld").orderBy("seq")
+    written = F.when((F.col("feld") == "buchseite") & matches("wert_neu", r"^\d+$"), replace("wert_neu", r"^0+(?=\d)", "")).otherwise(F.col("wert_neu"))
+    first = F.coalesce(*[F.when(F.col("feld") == f, text_or_empty(f"_{f}")) for f in (*HEAD_FIELDS, "buchseite")])
+    first = F.when((F.col("feld") == "lemma") & F.col("_made").isNotNull(), F.col("_made")).otherwise(text_or_empty(first))
+    columns = {"neu": F.col("_made").isNotNull(), "jetzt": F.coalesce(F.lag(written).over(order), first), "anlagen": F.sum(makes.cast("int")).over(order)}
+    return rows.withColumns(columns).drop("_made", "_buchseite", *[f"_{f}" for f in HEAD_FIELDS])
+
+
+def head_violations(streets: DataFrame, overlay: DataFrame) -> DataFrame:
+    """Violations (schl_nr, feld, meldung) of edits on entries and head fields, after renames; see :func:`head_edits`."""
+    rows = head_edits(streets, overlay)
     is_head = F.col("feld").isin(*HEAD_FIELDS, "buchseite")
-    current = F.coalesce(*[F.when(F.col("feld") == f, text_or_empty(f"_{f}")) for f in (*HEAD_FIELDS, "buchseite")])
-    # an earlier row of the list may already have set the field
-    current = F.when((F.col("feld") == "lemma") & F.col("_new"), F.max(F.when(F.col("feld") == "eintrag", F.col("wert_neu"))).over(Window.partitionBy("schl_nr"))).otherwise(text_or_empty(current))
     known = is_head | (F.col("feld") == "eintrag") | matches("feld", STAGE_EDIT)
-    out = _say(rows.where("_n is null and not _new"), "Schlüsselnummer nicht im Datensatz")
+    out = _say(rows.where("eintraege is null and not neu"), "Schlüsselnummer nicht im Datensatz")
     for more in (
-        _say(rows.where("_n > 1"), "Schlüsselnummer mehrdeutig (Dublette) — nicht korrigierbar"),
-        _say(rows.where("_n is not null and feld = 'eintrag' and wert_neu <> '' and wert_alt = ''"), "Schlüsselnummer vorhanden — Neuanlage nicht möglich"),
+        _say(rows.where("eintraege > 1"), "Schlüsselnummer mehrdeutig (Dublette) — nicht korrigierbar"),
+        _say(rows.where("feld = 'eintrag' and wert_neu <> '' and wert_alt = '' and (eintraege is not null or anlagen > 1)"), "Schlüsselnummer vorhanden — Neuanlage nicht möglich"),
         _say(rows.where("feld = 'eintrag' and wert_alt <> ''"), "Bestätigung braucht leere wert_alt/wert_neu"),
         _say(rows.where(~known), "unbekanntes Feld"),
-        _say(rows.withColumn("_now", current).where(is_head & (F.col("_now") != F.col("wert_alt"))), "wert_alt passt nicht zum Wert der Tabelle"),
+        _say(rows.where(is_head & (F.col("jetzt") != F.col("wert_alt"))), "wert_alt passt nicht zum Wert der Tabelle"),
         _say(rows.where((F.col("feld") == "buchseite") & ~matches("wert_neu", r"^\d+$")), "wert_neu ist keine Seitenzahl"),
-        rows.where("_new").groupBy("schl_nr").agg(F.max(F.col("feld") == "buchseite").alias("_page")).where("not _page").select("schl_nr", F.lit("eintrag").alias("feld"), F.lit("Neuanlage braucht eine buchseite-Zeile").alias("meldung")),
+        rows.where("neu").groupBy("schl_nr").agg(F.max(F.col("feld") == "buchseite").alias("_page")).where("not _page").select("schl_nr", F.lit("eintrag").alias("feld"), F.lit("Neuanlage braucht eine buchseite-Zeile").alias("meldung")),
     ):
         out = out.unionByName(more)
     return out

@@ -1,4 +1,4 @@
-"""Positions in an order, counted in two levels: no window ever holds a table or a group.
+"""Positions and running values in an order, in two levels: no window ever holds a table or a group.
 
 Rows are dealt by ranges of the order and numbered within their partition; a partition begins
 where those before it end. Only one row for each partition (and group in it) meets in one place.
@@ -6,6 +6,8 @@ where those before it end. Only one row for each partition (and group in it) mee
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,3 +47,34 @@ def ranked(df: DataFrame, order: list[Column], within: list[str] | None = None,
             same &= stored[c].eqNullSafe(starts[f"_in{i}"])
         placed = stored.join(starts, same)
     return placed.select(*columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias(name))
+
+
+#: An aggregate, its column, and how what a block and the blocks before it give becomes one value.
+Running = tuple[Callable[[Column], Column], Column, Callable[[Column, Column], Column]]
+
+
+def added(a: Column, b: Column) -> Column:
+    """The merge of sums; none is 0."""
+    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+
+
+def running(df: DataFrame, within: list[str], blocks: list[Column], order: list[str], values: dict[str, Running], falling: bool = False) -> DataFrame:
+    """``df`` with each of ``values``: an aggregate (sum, least or largest) over the rows before a row in ``order``; null before the first one.
+
+    ``blocks`` never falls along ``order`` and tells apart runs of bounded size. Windows hold a run of a
+    group (``within``; null is a value), or a row for each run of a group. ``falling`` goes from the end.
+    """
+    keys, way = [f"_b{i}" for i in range(len(blocks))], F.desc if falling else F.asc
+    cut = df.withColumns(dict(zip(keys, blocks, strict=True)))
+    before = (Window.unboundedPreceding, -1)
+    local = Window.partitionBy(*within, *keys).orderBy(*map(way, order)).rowsBetween(*before)
+    ahead = Window.partitionBy(*within).orderBy(*map(way, keys)).rowsBetween(*before)
+    totals = cut.groupBy(*within, *keys).agg(*(add(c).alias(f"_t_{n}") for n, (add, c, _) in values.items()))
+    carried = totals.select(*(F.col(c).alias(f"_in_{c}") for c in within), *(F.col(k).alias(f"_in{k}") for k in keys), *(add(F.col(f"_t_{n}")).over(ahead).alias(f"_c_{n}") for n, (add, _, _) in values.items()))
+    inside = cut.select("*", *(add(c).over(local).alias(f"_l_{n}") for n, (add, c, _) in values.items()))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k) == F.col(f"_in{k}")
+    for c in within:
+        same &= F.col(c).eqNullSafe(F.col(f"_in_{c}"))
+    return inside.join(carried, same).select(*(c for c in df.columns if c not in values), *(merge(F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n, (_, _, merge) in values.items()))

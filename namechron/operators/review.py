@@ -111,7 +111,12 @@ def review_list(streets: DataFrame, stages: DataFrame, answers: DataFrame, reade
     compared = [Comparison(streets, stages, answers, r) for r in readers]
     fields = reduce(DataFrame.unionByName, [c.deviations for c in compared]).distinct()
     rows = _rows(fields, streets, stages, compared)
-    return rows.orderBy(F.array_position(F.array(*map(F.lit, ("beide", "eines", "unlesbar"))), F.col("einig")), "schl_nr", "feld")
+    return rows.orderBy(*list_order())
+
+
+def list_order() -> list[Column]:
+    """The order of review lists: by agreement, key and field."""
+    return [F.array_position(F.array(*map(F.lit, ("beide", "eines", "unlesbar"))), F.col("einig")), F.col("schl_nr"), F.col("feld")]
 
 
 def full_review_list(streets: DataFrame, stages: DataFrame, answers: DataFrame, readers: list[str], keys: DataFrame, reasons: DataFrame | None = None) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import overlay, readers, review
-from ..schemas import OVERLAY, UNCERTAIN
-from ..sources.files import exists, open_corrections, read_csv, write_csv
+from ..schemas import UNCERTAIN
+from ..sources.files import append_corrections, exists, open_corrections, read_csv, write_csv
 from . import reports
 
 
@@ -75,7 +75,7 @@ def take_over(filled: DataFrame, streets: DataFrame, stages: DataFrame, present:
         raise overlay.OverlayError("; ".join(f"{r['schl_nr']} {r['feld']}: {r['meldung']}" for r in wrong))
     new = overlay.from_review(filled, present, date)[0].persist()
     try:
-        write_csv(new, path, OVERLAY, ["order"], mode="append")
+        append_corrections(new, path, ["order"])
         return new.count()
     finally:
         new.unpersist()

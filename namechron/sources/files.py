@@ -5,6 +5,10 @@ All columns are read as text, and an empty field is an empty text, never null.
 
 from __future__ import annotations
 
+import re
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,17 +51,46 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return _with_seq(df).na.fill("", df.columns).select(*columns, "seq")
 
 
+#: Folders of corrections that were appended, numbered in the order in which they were committed.
+_APPENDED = r"/append-(\d+)/[^/]*$"
+
+
 def _with_seq(raw: DataFrame) -> DataFrame:
-    """Rows as read from files with ``seq``, their order: files by the time they were written and by name, rows as in the file.
+    """Rows as read from files with ``seq``, their order: what was appended after what was there, by its number; then by file name, rows as in the file.
 
     A file's rows stand in one partition, in order (records may hold line ends, so files aren't
-    split). The order of files is a small table; no row is sorted.
+    split). The order of files is a small table; no row is sorted. Names alone count, so copies keep it.
     """
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    marked = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_written"), row.alias("_row"))
-    files = marked.groupBy("_file").agg(F.max("_written").alias("_written"))
-    place = files.select("_file", F.row_number().over(Window.orderBy("_written", "_file")).cast("long").alias("_place"))  # a row for each file
-    return marked.join(F.broadcast(place), "_file").withColumn("seq", F.col("_place") * F.lit(1 << 33) + F.col("_row")).drop("_file", "_written", "_row", "_place")
+    marked = raw.select("*", F.col("_metadata.file_path").alias("_file"), row.alias("_row"))
+    number = F.coalesce(F.try_to_number(extract("_file", _APPENDED), F.lit("9" * 18)).cast("long"), F.lit(0))
+    place = marked.select("_file").distinct().select("_file", F.row_number().over(Window.orderBy(number, "_file")).cast("long").alias("_place"))  # a row for each file
+    return marked.join(F.broadcast(place), "_file").withColumn("seq", F.col("_place") * F.lit(1 << 33) + F.col("_row")).drop("_file", "_row", "_place")
+
+
+def append_corrections(df: DataFrame, path: str, order: list | None = None) -> int:
+    """Commit rows of corrections behind those that ``path`` holds, and give the number of their folder.
+
+    They are written aside and then take the first free number by a rename that fails if another run
+    has taken it meanwhile, so each append is there as a whole or not at all.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    aside = f"{path}/.new-{uuid.uuid4().hex}"
+    write_csv(df, aside, OVERLAY, order)
+    source = jvm.org.apache.hadoop.fs.Path(aside)
+    store = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), conf)
+    names = (s.getPath().getName() for s in source.getFileSystem(conf).listStatus(source.getParent()))
+    number = 1 + max((int(n.removeprefix("append-")) for n in names if re.fullmatch(r"append-\d+", n)), default=0)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    while True:
+        try:
+            store.rename(source, jvm.org.apache.hadoop.fs.Path(f"{path}/append-{number:018d}"), options)
+            return number
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            number += 1
 
 
 def write_csv(df: DataFrame, path: str, schema: T.StructType, order: list | None = None, mode: str = "overwrite", one_file: bool = True) -> None:
@@ -88,10 +121,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_overlay(spark: SparkSession, path: str) -> DataFrame:
-    """Corrections with ``seq``, in the order in which their files were written and of rows within; none if there is no file, an error if its columns are others."""
+    """Corrections with ``seq``, their order: appended ones by number, then files by name, then rows; none if there is no file, an error if their columns are others."""
     if not exists(spark, path):
         return spark.createDataFrame([], OVERLAY).withColumn("seq", F.lit(0).cast("long"))
-    df = spark.read.options(**_CSV).csv(path)
+    df = spark.read.options(**_CSV).option("recursiveFileLookup", True).csv(path)
     if df.columns != OVERLAY.names:
         raise OverlayError(f"expected columns {OVERLAY.names}, found {df.columns}")
     return _with_seq(df).na.fill("", OVERLAY.names)

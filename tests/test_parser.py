@@ -102,3 +102,25 @@ def test_run_writes_files(spark, tmp_path):
     (tmp_path / "none" / "s001.txt").write_text("nichts")
     with pytest.raises(parse_run.NothingParsed):
         parse_run.run(spark, f"file://{tmp_path}/none", f"file://{tmp_path}/out2")
+
+
+def test_many_anchors_on_a_page(spark):
+    import time
+
+    one = spark.createDataFrame([("v", 1, " ".join(f"Weg {i}: Schl.-Nr.: {i}, Text." for i in range(4000))), ("w", 1, "Hof: Schl.-Nr.: 7, Ende.")], "volume string, page int, text string")
+    segment.segment_volumes(one.where("volume = 'w'")).count()
+    start = time.perf_counter()
+    found = segment.anchors(segment.located_pages(one).persist()).where("volume = 'v'").agg({"begin": "count"}).first()[0]
+    assert found == 4000 and time.perf_counter() - start < 10
+    rows = segment.segment_volumes(one).where("volume = 'v'").orderBy("seq").collect()
+    assert [(r["seq"], r["lemma_roh"], r["rumpf"]) for r in rows] == [(i, f"Weg {i}", f"{i}, Text.") for i in range(4000)]
+
+
+def test_volume_of_many_pages(spark, monkeypatch):
+    monkeypatch.setattr(segment, "PAGES", 3)
+    monkeypatch.setattr(segment, "BLOCK", 32)
+    pages = spark.createDataFrame([("v", n, f"Rest {n - 1}. Weg {n}: Schl.-Nr.: {n}, Text") for n in range(1, 60) if n % 10], "volume string, page int, text string")
+    rows = segment.segment_volumes(pages).orderBy("seq").collect()
+    numbers = [n for n in range(1, 60) if n % 10]
+    assert [(r["seq"], r["lemma_roh"], r["buchseite"]) for r in rows] == [(i, f"Weg {n}", n) for i, n in enumerate(numbers)]
+    assert [r["rumpf"] for r in rows] == [f"{n}, Text Rest {m - 1}." for n, m in zip(numbers, numbers[1:], strict=False)] + ["59, Text"]

@@ -279,17 +279,24 @@ def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries()) and "concordance" in entry.queries()
 
 
-def test_corrections_keep_their_order_after_appends(spark, tmp_path):
-    from namechron.schemas import OVERLAY
-    from namechron.sources import files
-
-    path = f"file://{tmp_path}/overlay"
-    rows = [(f"{i:05d}", "lemma", "a", "b" * (i + 1) * 50, "", "q", "d") for i in range(5)]
-    for part in (rows[:1], rows[1:4], rows[4:]):
-        files.write_csv(spark.createDataFrame(part, OVERLAY).coalesce(1), path, OVERLAY, mode="append")
-    got = files.read_overlay(spark, path)
-    assert [r["schl_nr"] for r in got.orderBy("seq").collect()] == [r[0] for r in rows]
-    assert got.select("seq").distinct().count() == 5
+def test_corrections_keep_their_order_in_copies(spark, tmp_path):
+    import os
+    import shutil
+
+    path, rows = f"file://{tmp_path}/overlay", [(f"{i:05d}", "lemma", "a", "b" * (i + 1) * 50, "", "q", "d") for i in range(14)]
+    for part in (rows[:1], rows[1:4], *[[r] for r in rows[4:]]):
+        files.append_corrections(spark.createDataFrame(part, schemas.OVERLAY), path)
+    shutil.copytree(tmp_path / "overlay", tmp_path / "copy")
+    for n, f in enumerate(sorted((tmp_path / "copy").rglob("*.csv"), reverse=True)):
+        os.utime(f, (1_000_000 + n, 1_000_000 + n))  # file times say nothing
+    for place in (path, f"file://{tmp_path}/copy"):
+        got = files.read_overlay(spark, place)
+        assert [r["schl_nr"] for r in got.orderBy("seq").collect()] == [r[0] for r in rows]
+        assert got.select("seq").distinct().count() == 14 and set(got.columns) == {*schemas.OVERLAY.names, "seq"}
+    # corrections that were there as a file come before those that are appended
+    files.write_csv(spark.createDataFrame(rows[:2], schemas.OVERLAY), f"file://{tmp_path}/old", schemas.OVERLAY)
+    files.append_corrections(spark.createDataFrame(rows[5:6], schemas.OVERLAY), f"file://{tmp_path}/old")
+    assert [r["schl_nr"] for r in files.read_overlay(spark, f"file://{tmp_path}/old").orderBy("seq").collect()] == ["00000", "00001", "00005"]
 
 
 def test_a_date_that_is_corrected_twice(spark):
@@ -360,3 +367,144 @@ def test_review_commands(spark, tmp_path, capsys):
     wrong = spark.createDataFrame([rows[0] | {"wert_parser": "Anders", "korrektur": "Weg"}]).select(*rows[0])
     files.write_csv(wrong, f"{place}/list", wrong.schema)
     assert main(["check", *list_args]) == 1 and main(["takeover", *list_args]) == 1
+
+
+def test_head_field_that_is_edited_twice(spark):
+    s, none = streets(spark, ("1", "A", 4, "automatisch"), ("2", "X", 1, "a")), stages(spark)
+    two = corrections(spark, ("1", "lemma", "A", "B"), ("1", "buchseite", "4", "009"), ("1", "lemma", "B", "C"), ("1", "buchseite", "9", "12"), ("2", "lemma", "X", "Y"), ("7", "lemma", "Neu", "Neuer"), ("7", "stadtteile", "", "Ost"), ("7", "eintrag", "", "Neu"), ("7", "buchseite", "", "3"))
+    assert overlay.violations(s, none, two).collect() == []
+    assert {(r["schl_nr"], r["lemma"], r["stadtteile"], r["buchseite"]) for r in overlay.apply(s, none, two)[0].collect()} == {("1", "C", "Mitte; Ost", 12), ("2", "Y", "Mitte; Ost", 1), ("7", "Neuer", "Ost", 3)}
+    for row in (("1", "lemma", "A", "D"), ("1", "lemma", "B", "D"), ("1", "buchseite", "009", "1"), ("7", "lemma", "Neu", "N"), ("7", "stadtteile", "", "West")):
+        stale = two.unionByName(corrections(spark, row).withColumn("seq", F.lit(99).cast("long")))
+        with pytest.raises(overlay.OverlayError, match="wert_alt passt nicht"):
+            overlay.apply(s, none, stale)
+    again = two.unionByName(corrections(spark, ("7", "eintrag", "", "Nochmal")).withColumn("seq", F.lit(99).cast("long")))
+    assert [r["meldung"] for r in overlay.head_violations(s, again).collect()] == ["Schlüsselnummer vorhanden — Neuanlage nicht möglich"]
+
+
+def test_gaps_to_a_key_far_away(spark):
+    far = streets(spark, ("1", "A", 1, "a"), ("2000000000", "B", 1, "a"), ("32769", "C", 1, "a"), ("32769", "C", 1, "a"), ("32771", "C", 1, "a"), ("x", "D", 1, "a"))
+    assert checks.key_stats(far).first().asDict() == {"kleinste": 1, "groesste": 2_000_000_000, "anzahl": 5, "luecken": 1_999_999_996, "dubletten": 1}
+    assert sorted(map(tuple, checks.key_gap_intervals(far).collect())) == [(2, 32768), (32770, 32770), (32772, 1_999_999_999)]
+    assert checks.key_gaps(far.where("schl_nr <> '2000000000'")).agg(F.count("luecke"), F.min("luecke"), F.max("luecke"), F.countDistinct("luecke")).first() == (32768, 2, 32770, 32768)
+    assert checks.key_gaps(far.where("schl_nr in ('1', '2000000000')")).limit(3).count() == 3
+    dense = spark.range(0, 200_000).where("id % 65536 <> 5 and id <> 32768").select(F.col("id").cast("string").alias("schl_nr"))
+    assert sorted(r["luecke"] for r in checks.key_gaps(dense).collect()) == [5, 32768, 65541, 131077, 196613]
+    assert checks.key_gap_intervals(far.limit(0)).count() == 0 and checks.key_gaps(far.limit(1)).count() == 0
+
+
+def test_bag_difference_plan_and_nulls(spark):
+    kinds = "schl_nr string, n int, x string"
+    a = spark.createDataFrame([("1", 1, "p"), ("1", 2, "p"), ("1", 3, None), ("1", 4, "q"), ("2", 1, "r")], kinds)
+    b = spark.createDataFrame([("1", 1, None), ("1", 2, None), ("1", 3, "p"), ("3", 1, "s")], kinds)
+    rest = diff.unmatched(a, b, ["x"], "n", ["n"])
+    assert sorted((r["schl_nr"], r["n"], r["a"] and r["a"]["n"], r["b"] and r["b"]["n"]) for r in rest.collect()) == [("1", 1, 2, 2), ("1", 2, 4, None), ("2", 1, 1, None), ("3", 1, None, 1)]
+    assert "Join" not in rest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_in_a_table(spark):
+    from namechron.operators.lookup import fuzzy_lookup
+
+    long = "lang" * 40
+    vocabulary = spark.createDataFrame([("Straße",), ("Strase",), ("Übung",), ("Übung",), ("a",), (None,), ("",), (long + "x",), ("x" * 64,)], "entry string")
+    asked = ["strasse", "strae", "Ubung", "ÜBUNG", "b", "", None, long, "y" + long[1:] + "x", long + "yy", "x" * 63, "x" * 65, "x" * 66, "Strafe"]
+    words = spark.createDataFrame([(i, w, "old") for i, w in enumerate(asked)], "i int, word string, found string")
+    got = {r["i"]: r["found"] for r in fuzzy_lookup(words, vocabulary, "word", "entry").collect()}
+    near = {w: [v for v in {"Straße", "Strase", "Übung", "a", "", long + "x", "x" * 64} if w is not None and _distance(w.lower(), v.lower()) == 1] for w in asked}
+    assert got == {i: near[w][0] if len(near[w]) == 1 else None for i, w in enumerate(asked)} and got[7] == long + "x" and got[13] is None
+    assert fuzzy_lookup(words.limit(0), vocabulary, "word", "entry").count() == 0 and fuzzy_lookup(words, vocabulary.limit(0), "word", "entry").where("found is not null").count() == 0
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_reading_run_goes_on_where_it_broke(spark, tmp_path):
+    from functools import partial
+
+    scans = spark.createDataFrame([(p, bytes([p])) for p in range(1, 13)] + [(1, b"x"), (None, b"x"), (13, None)], "buchseite int, content binary").coalesce(1)
+    (tmp_path / "log").mkdir()
+
+    def service(log, most, body):
+        import base64
+        import os
+
+        page = base64.b64decode(body["messages"][0]["content"][1]["image_url"]["url"].split(",")[1])[0]
+        if len(os.listdir(log)) >= most:
+            raise client.HttpError(503)
+        open(f"{log}/{page}-{os.urandom(4).hex()}", "w").close()
+        return "no list" if page == 4 else '[{"schl_nr": "%d"}]' % page
+
+    def go(most, **more):
+        return client.read_run(scans, f"file://{tmp_path}/answers", "r", "prompt", "h1", partial(service, str(tmp_path / "log"), most), sleep=lambda s: None, **more).collect()
+
+    first = go(5, threads=1, patience=2)  # page 4 takes three tries
+    assert len(first) == 12 and {s: sum(r["stand"] == s for r in first) for s in ("neu", "abgebrochen", "offen")} in ({"neu": 3, "abgebrochen": 2, "offen": 7}, {"neu": 5, "abgebrochen": 2, "offen": 5})
+    kept = {p.name for p in (tmp_path / "answers" / "r").glob("s*.json")}
+    second = go(99, threads=3)
+    assert {r["buchseite"] for r in second if r["stand"] == "neu"} == {r["buchseite"] for r in first if r["stand"] != "neu"} and all(r["stand"] in ("neu", "bekannt") for r in second)
+    assert {p.name for p in (tmp_path / "answers" / "r").glob("*")} == {f"s{p:03d}.json" for p in range(1, 13)} >= kept
+    asked = [int(p.name.split("-")[0]) for p in (tmp_path / "log").iterdir()]
+    assert sorted(p for p in asked if p != 4) == [1, 2, 3, *range(5, 13)] and asked.count(4) in (3, 4, 5)  # none twice but the one without a list
+    read = {r["buchseite"]: (r["fehler"], r["eintraege"]) for r in files.read_answers(spark, f"file://{tmp_path}/answers", {"r": "r"}).collect()}
+    assert read[4] == ("unlesbar", None) and read[5][0] == "" and len(read) == 12
+    assert {r["stand"] for r in go(99)} == {"bekannt"} and {r["stand"] for r in go(99, again=True)} == {"neu"}
+
+
+def test_read_command(spark, tmp_path, capsys, monkeypatch):
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from threading import Thread
+
+    from namechron.__main__ import main
+
+    seen = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append(self.rfile.read(int(self.headers["Content-Length"])))
+            answer = json.dumps({"choices": [{"message": {"content": '```json\n[{"schl_nr": "1"}]\n```'}}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(answer)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    Thread(target=server.serve_forever, daemon=True).start()
+    for n in (7, 8, 9):
+        (tmp_path / f"s{n:03d}.png").write_bytes(b"image")
+    (tmp_path / "prompt.txt").write_text("Lies die Seite.")
+    monkeypatch.setenv("READER_BASE_URL", f"http://127.0.0.1:{server.server_port}/v1")
+    monkeypatch.setenv("READER_API_KEY", "k")
+    args = ["read", f"file://{tmp_path}", f"file://{tmp_path}/answers", "my-model", f"file://{tmp_path}/prompt.txt"]
+    assert main([*args, "--pages", "7-8"]) == 0 and "'neu': 2" in capsys.readouterr().out
+    assert main([*args, "--threads", "2"]) == 0 and "'neu': 1, 'bekannt': 2" in capsys.readouterr().out and len(seen) == 3
+    assert files.read_answers(spark, f"file://{tmp_path}/answers", files.find_readers(spark, f"file://{tmp_path}/answers", ["my"])).count() == 3
+    server.shutdown()
+    monkeypatch.delenv("READER_BASE_URL")
+    assert main(args) == 1
+
+
+def test_ranks_and_running_values(spark):
+    from namechron.operators.ranks import added, ranked, running
+
+    rows = [(g, i % 7 if i % 5 else None, f"r{i}") for i in range(300) for g in ("a", None)] + [("b", 1, "same")] * 50
+    df = spark.createDataFrame(rows, "g string, x int, v string").repartition(6)
+    whole = [tuple(r) for r in ranked(df.withColumn("position", F.lit("old")), [F.col("x"), F.col("v")]).orderBy("position").collect()]
+    assert [r[3] for r in whole] == list(range(650)) and [r[1:3] for r in whole] == sorted([r[1:3] for r in whole], key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    inside = ranked(df, [F.col("x"), F.col("v")], ["g"], falling=(0,)).collect()
+    for g in ("a", "b", None):
+        own = sorted((r for r in inside if r["g"] == g), key=lambda r: r["position"])
+        assert [r["position"] for r in own] == list(range(len(own))) and [r["x"] for r in own] == sorted((r["x"] for r in own), key=lambda x: (x is None, -(x or 0)))
+    numbers = spark.range(1, 1000).select("id", (F.col("id") % 3).cast("string").alias("g"))
+    sums = running(numbers, ["g"], [F.floor(F.col("id") / 10)], ["id"], {"s": (F.sum, F.col("id"), added), "m": (F.max, F.col("id"), F.greatest)})
+    assert all(r["s"] == sum(i for i in range(1, r["id"]) if i % 3 == r["id"] % 3) and r["m"] == (r["id"] - 3 if r["id"] > 3 else None) for r in sums.collect())
+    back = running(numbers, [], [F.floor(F.col("id") / 10)], ["id"], {"next": (F.min, F.col("id"), F.least)}, falling=True)
+    assert all(r["next"] == (r["id"] + 1 if r["id"] < 999 else None) for r in back.collect())
+    assert ranked(df.limit(0), [F.col("x")]).count() == 0

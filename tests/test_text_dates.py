@@ -1,5 +1,7 @@
 """Column functions: cleaning, keys, suffixes, dates, plausibility."""
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from namechron.functions import dates, patterns, predicates, text
@@ -69,7 +71,12 @@ def test_keys(spark):
 
 def test_exact_sort_key_agrees_on_latin(spark):
     names = ["Ärger", "Ǆ", "é à ñ", "ﬃ", "x"]
-    assert values(spark, names, text.sort_key) == values(spark, names, text.sort_key_any)
+
+    def key(x):
+        x = x.lower().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue").replace("ß", "ss")
+        return "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+
+    assert values(spark, names, text.sort_key) == [key(x) for x in names]
 
 
 def test_fuzzy_word_needs_one_candidate_at_distance_one(spark):

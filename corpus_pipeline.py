@@ -25,8 +25,15 @@ LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; texts without a letter go, and those of no clear language."""
-    kept = predict(docs, fit(docs)).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    """Documents in a learned language; texts without a letter (null and empty ones too) go, and those of no clear language.
+
+    Where nothing can be learned, as no row with a language may be learned from, no language can be told
+    from another: then every text with a letter stays. Repeated rows stay or go alike; an empty table stays empty.
+    """
+    net = fit(docs)
+    if net is None:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    kept = predict(docs, net).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*COLUMNS)
 
 

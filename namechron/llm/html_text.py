@@ -5,14 +5,20 @@ lines lie in. A line's ratio of characters to tags is smoothed by a Gaussian ove
 threshold that splits the smoothed ratios into two clusters marks content lines. These lines decide
 what is kept:
 
-- Names that are typical of menus, notices and the like are a vote against an element. On a page
+- Names that are typical of menus, notices and the like are a vote against an element, if they say
+  nothing else (cookie-notice, comment-list). On a page
   whose articles have no text it fails if the element holds most of the content lines' text; votes
   by elements such as aside, and for readers' comments, fail only if next to no other text is left.
   A name never leaves out an article with content lines within it.
+- Names that also hold other words (notice-board, comments-in-python, has-sidebar) only tip elements
+  without any content line; where there is one, the ratios have decided.
 - The content lines that are left choose the region: the articles or main parts that hold most of
   their text, else the deepest element of several lines that holds nearly all of it, with headings
   beside it. The whole region is the text.
-- Lists of links between content lines go: neighbouring lines below the threshold that are links alone.
+- Lists of links between content lines go: neighbouring lines below the threshold that are links
+  alone, unless a heading leads to them that isn't itself about menus, related pages and the like.
+
+Markup that the page's end cuts off, such as an open comment, is no text.
 """
 
 from __future__ import annotations
@@ -52,7 +58,14 @@ OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs consent cookie cookies footer masthead menu modal nav navbar navigation "
     "newsletter notice pagination popup promo promoted related share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
-READER_WORDS = frozenset("comment comments disqus replies reply".split())
+READER_WORDS = frozenset("comment commentlist comments disqus replies reply respond".split())
+#: Words that leave such a name's meaning as it is.
+COMPANIONS = frozenset(
+    "all area article articles bar block body bottom box button buttons by container content count entry feed field first form global group header icon icons inner item items label last layout left "
+    "link links list main mini mobile module news outer overlay page panel pane post posts primary reader readers right row second secondary section side signup site slot small sticky story text thread "
+    "title top unit user users view wrap wrapper".split()
+)
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 REGIONS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NEVER_VOTED = HEADINGS | REGIONS | {"html", "body"}
@@ -63,8 +76,8 @@ REACH, WIDTH = 2, 1.0
 NEARLY_ALL = 0.95
 #: Share of an element's text below which the text outside all voted elements counts as next to none.
 LITTLE = 0.05
-#: Strength of a vote: a word, role or form; an element of that meaning, or readers' comments.
-WEAK, STRONG = 1, 2
+#: Strength of a vote: a name that says more; a name, role or form; an element of that meaning, or readers' comments.
+HINT, WEAK, STRONG = 1, 2, 3
 
 
 def vote(tag: str, attrs: list[tuple[str, str | None]], in_region: bool) -> int:
@@ -73,11 +86,26 @@ def vote(tag: str, attrs: list[tuple[str, str | None]], in_region: bool) -> int:
         return STRONG
     if tag in _NEVER_VOTED:
         return 0
-    words = {w for name, value in attrs if value and name in ("class", "id") for w in _WORDS.findall(value.lower())}
-    if not words.isdisjoint(READER_WORDS):
-        return STRONG
-    marked = tag == "form" or not words.isdisjoint(OUTSIDE_WORDS)
-    return WEAK if marked or any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and (value or "").lower() in OUTSIDE_ROLES for name, value in attrs) else 0
+    strength = 0
+    for name, value in attrs:
+        value = (value or "").lower()
+        if name in ("class", "id"):
+            strength = max([strength, *map(_name_vote, value.split())])
+        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in OUTSIDE_ROLES or name == "style" and _HIDDEN.search(value):
+            strength = max(strength, WEAK)
+    if tag == "form":
+        strength = max(strength, WEAK)
+    return 0 if strength == HINT and tag not in BLOCK else strength
+
+
+def _name_vote(name: str) -> int:
+    words = set(_WORDS.findall(name))
+    outside, readers = words & OUTSIDE_WORDS, words & READER_WORDS
+    if not outside and not readers:
+        return 0
+    if not words <= OUTSIDE_WORDS | READER_WORDS | COMPANIONS:
+        return HINT
+    return STRONG if readers else WEAK
 
 
 @dataclass(slots=True)
@@ -100,7 +128,7 @@ class LineParser(HTMLParser):
         self.counts: Counter[str] = Counter()  # of open elements by name
         self.silent = self.links = self.regions = 0
         self.parts: list[str] = []
-        self.tags, self.plain = 0, False
+        self.tags, self.plain, self.ending = 0, False, False
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -182,10 +210,30 @@ class LineParser(HTMLParser):
                 self.plain = True
 
     def finish(self) -> list[Line]:
+        self.ending = True
         self.close()
         self.flush()
         return self.lines
 
+    def _cut_off(self, end: int) -> int:
+        """``end`` of a piece of markup; what the page's end cuts off reaches up to it."""
+        return len(self.rawdata) if end < 0 and self.ending else end
+
+    def parse_comment(self, i, report=1):
+        return self._cut_off(super().parse_comment(i, report))
+
+    def parse_starttag(self, i):
+        return self._cut_off(super().parse_starttag(i))
+
+    def parse_endtag(self, i):
+        return self._cut_off(super().parse_endtag(i))
+
+    def parse_html_declaration(self, i):
+        return self._cut_off(super().parse_html_declaration(i))
+
+    def parse_pi(self, i):
+        return self._cut_off(super().parse_pi(i))
+
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """``ratios`` under a Gaussian that is cut and scaled anew at both ends."""
@@ -263,7 +311,7 @@ class _Tree:
         """Whether the votes leave an element out."""
         total = self.sums(lines, content)
         text = self.sums(lines, [True] * len(lines))
-        voted = self.below({e for e, v in enumerate(self.votes) if v})
+        voted = self.below({e for e, v in enumerate(self.votes) if v > HINT})
         unvoted = sum(len(line.text) for line in lines if not voted[line.element])
         region = any(self.names[e] in REGIONS and text[e] and not voted[e] for e in range(len(text)))
         holds_region = [name in REGIONS and n > 0 for name, n in zip(self.names, total, strict=True)]
@@ -272,7 +320,7 @@ class _Tree:
         chosen = set()
         for e, strength in enumerate(self.votes):
             most = 2 * total[e] > total[0] and not region
-            fails = strength == WEAK and (holds_region[e] or most) or most and unvoted < LITTLE * text[e]
+            fails = strength == HINT and total[e] or strength == WEAK and (holds_region[e] or most) or most and unvoted < LITTLE * text[e]
             if strength and not fails:
                 chosen.add(e)
         return self.below(chosen)
@@ -298,9 +346,20 @@ def extract(html: str | None) -> str:
     if 2 * sum(total[e] for e in chosen) < total[0]:
         chosen = {tree.container(max(e for e, n in enumerate(total) if n >= NEARLY_ALL * total[0]), lines)}
     inside = tree.below(chosen)
-    kept = [(line.text, line.linked and not yes) for line, yes in zip(lines, content, strict=True) if line.text and inside[line.element]]
-    alone = [link and not (i and kept[i - 1][1]) and not (i + 1 < len(kept) and kept[i + 1][1]) for i, (_, link) in enumerate(kept)]
-    return " ".join(text for (text, link), single in zip(kept, alone, strict=True) if not link or single)
+    headed = tree.below({e for e, name in enumerate(tree.names) if name in HEADINGS})
+    kept = [(line.text, line.linked and not yes, headed[line.element]) for line, yes in zip(lines, content, strict=True) if line.text and inside[line.element]]
+    out_texts, i = [], 0
+    while i < len(kept):
+        end = i
+        while end < len(kept) and kept[end][1] and not kept[end][2]:
+            end += 1
+        led = i > 0 and kept[i - 1][2] and OUTSIDE_WORDS.isdisjoint(_WORDS.findall(kept[i - 1][0].lower()))
+        if end - i > 1 and not led:
+            i = end  # a list of links
+            continue
+        out_texts += [text for text, _, _ in kept[i : max(end, i + 1)]]
+        i = max(end, i + 1)
+    return " ".join(out_texts)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -35,14 +35,17 @@ def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One record, compressed as a gzip member: a response, or a revisit that leaves the payload out."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, place: str = "") -> bytes:
+    """One record, compressed as a gzip member: a response, or a revisit that leaves the payload out.
+
+    ``place``, the record's own in the archives, tells ids of repeated pages apart.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     key = "" if page_id is None else str(page_id)
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{key} {url}')}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place} {key} {url}')}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", " ".join((url or "").split())),
         ("X-Page-ID", key),
@@ -181,7 +184,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
                 if out is None:
                     name, records, held = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
-                data = record(page_id, url, (html or "").encode(), refers_to)
+                data = record(page_id, url, (html or "").encode(), refers_to, f"{name}/{records}")
                 out.write(data)
                 records, held = records + 1, held + len(data)
                 if held >= file_bytes:
@@ -201,6 +204,9 @@ def read_archives(files: DataFrame) -> DataFrame:
     """Read the archives of column ``path``; one row for each record, digests verified.
 
     page_id, url, payload (null for revisits), payload_bytes, payload_digest, record_type, refers_to.
+    Empty ids are null; a url without characters is empty; records of repeated pages are rows of their
+    own; a path that occurs twice is read twice; no path gives no row; other columns are ignored. A damaged file is a
+    :class:`WarcError`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +239,11 @@ def read_archives(files: DataFrame) -> DataFrame:
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) to archives in the shared folder and read them back."""
+    """Write ``pages`` (page_id, url, html) to archives in the shared folder and read them back, as :func:`read_archives` gives them.
+
+    Null html is an empty payload, a null url reads back as empty, a null page_id as null; every row, repeated ones too, is a
+    record; an empty table gives an empty result; other columns, whatever their names, are ignored.
+    """
     folder = new_path(spark, "warc")
     files = materialize(write_archives(with_references(pages, least_bytes), folder), "warc-files")
     return read_archives(files.repartition(min(4096, max(1, files.count()))))

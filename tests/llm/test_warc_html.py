@@ -32,6 +32,15 @@ def test_small_payloads_stay_responses(spark):
     assert warc.archive_round_trip(spark, _pages(spark).limit(0)).count() == 0
 
 
+def test_record_ids_are_unique(spark, tmp_path):
+    pages = spark.createDataFrame([(7, "u", "same", None)] * 5 + [(None, None, "x", None)] * 3, "page_id long, url string, html string, refers_to long").repartition(2)
+    ids = []
+    for f in warc.write_archives(pages, f"file://{tmp_path}").collect():
+        with open(f["path"].removeprefix("file://"), "rb") as stream:
+            ids += [r["fields"]["warc-record-id"] for r in warc.read_records(stream)]
+    assert len(ids) == len(set(ids)) == 8
+
+
 def test_each_record_is_a_member_and_damage_is_found():
     data = warc.record(1, "u", b"x" * 1000, None) + warc.record(2, "u", b"x" * 1000, 1)
     assert gzip.decompress(data).count(b"WARC/1.1\r\n") == 2
@@ -105,6 +114,17 @@ LINKS = "<ul><li><a href=a>A link<li><a href=b>Another link<li><a href=c>The thi
         (f"<article><h1>Short.</h1></article><footer>{ARTICLE}</footer>", "Short."),
         (f"<div><h1>Head</h1><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div></div>", f"Head {ARTICLE} {ARTICLE}"),
         (f"<aside><p>{ARTICLE}</p></aside>", ARTICLE),
+        (f'<article><p>{ARTICLE}</p><section id="related-work"><h2>Related work</h2><p>{ARTICLE}</p></section></article>', f"{ARTICLE} Related work {ARTICLE}"),
+        (f'<article><p>{ARTICLE}</p><div class="notice-board"><p>{ARTICLE}</p></div></article>', f"{ARTICLE} {ARTICLE}"),
+        (f'<article><p>{ARTICLE}</p><section id="comments-in-python"><p>{ARTICLE}</p></section></article>', f"{ARTICLE} {ARTICLE}"),
+        (f"<article><p>{ARTICLE}</p><h2>References</h2><ul><li><a href=a>Smith 2001</a><li><a href=b>Jones 1999</a></ul></article>", f"{ARTICLE} References Smith 2001 Jones 1999"),
+        (f"<article><p>{ARTICLE}</p><h3>Related articles</h3>{LINKS}</article>", f"{ARTICLE} Related articles"),
+        (f'<article><p>{ARTICLE}</p><div id="respond-list"><p>Bob: first!</p></div></article>', ARTICLE),
+        (f'<article><p>{ARTICLE}</p><p style="color: red; display:none">Not to be seen</p></article>', ARTICLE),
+        (f'<article><p>{ARTICLE}</p><ul class="share-this-now"><li><a href=a>x</a><li><a href=b>y</a></ul></article>', ARTICLE),
+        (f"<article><p>{ARTICLE}<!-- oops <p>{ARTICLE}", ARTICLE),
+        (f"<article><p>{ARTICLE} 1 < 2 <a href='x", f"{ARTICLE} 1 < 2"),
+        (f"<article><p>{ARTICLE}</p><script>var a = '<!--';</script><p>End.</p></article>", f"{ARTICLE} End."),
         ("<div>" * 20_000 + ARTICLE, ARTICLE),
     ],
 )

@@ -71,7 +71,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with kept_text, n_lines (before dropping) and n_dropped; other columns stay."""
+    """``docs`` with kept_text, n_lines (before dropping) and n_dropped; columns of these names are replaced, others stay.
+
+    Null and empty texts are one empty line and keep it. Rows that share doc_id and text lose the same
+    lines; a null doc_id is a document's id like any other. An empty table gives an empty result.
+    """
     marks = bitmaps.select(F.col("doc_id").alias("_mark_doc"), F.col("text_id").alias("_mark_text"), F.col("keep").alias("_keep"))
     joined = docs.join(
         marks.hint("shuffle_hash"),
@@ -86,7 +90,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     lost = F.aggregate(F.map_values("_keep"), F.lit(0).cast("long"), lambda n, bits: n + F.bit_count(F.bitwise_not(bits)))
     return joined.select(
-        *[docs[c] for c in docs.columns],
+        *[docs[c] for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")],
         F.when(F.col("_keep").isNull(), F.coalesce(docs["text"], F.lit(""))).otherwise(F.array_join(F.filter(lines, kept), "\n")).alias("kept_text"),
         F.size(lines).cast("long").alias("n_lines"),
         F.when(F.col("_keep").isNull(), F.lit(0).cast("long")).otherwise(lost).alias("n_dropped"),
@@ -94,6 +98,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, kept_text, n_lines, n_dropped."""
+    """doc_id, kept_text, n_lines and n_dropped of each row of ``docs`` (doc_id, text); other columns are ignored.
+
+    Nulls, repeated rows and empty tables as in :func:`apply_bitmaps`; rows of one doc_id count as one document.
+    """
     own = docs.select("doc_id", "text")
     return apply_bitmaps(own, keep_bitmaps(own, min_chars, min_docs)).drop("text")

@@ -34,6 +34,14 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_columns_named_like_results_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a line that is long enough\nb", "x", 7), (2, "a line that is long enough", "y", 8), (3, "a line that is long enough", "z", 9), (None, None, None, None)], "doc_id long, text string, kept_text string, n_lines int")
+    out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
+    assert out.columns == ["doc_id", "text", "kept_text", "n_lines", "n_dropped"]
+    assert sorted((str(r["doc_id"]), r["kept_text"], r["n_lines"], r["n_dropped"]) for r in out.collect()) == [("1", "b", 2, 1), ("2", "", 1, 1), ("3", "a line that is long enough", 1, 0), ("None", "", 1, 0)]
+
+
+
 def test_top_k(spark):
     random = np.random.default_rng(2)
     rows = [(i, [float(x) for x in random.normal(0, 0.2, 10)]) for i in range(300)]

@@ -13,7 +13,8 @@
    lists are counted, its MATCHES - 1 longest lists are skipped and only looked up for those it met,
    and pairs with MATCHES collisions or more are compared on full sets.
 4. Members that are by then in no part with most of their group meet its other blocks in the same
-   way; then each posting list that still holds several parts and lies in several groups is taken
+   way, but first by signatures alone: texts only go where a member collides often enough with
+   one of another part. Then each posting list that still holds several parts and lies in several groups is taken
    like a group.
 
 No pairs are written out but links that join parts, and no list, component or fingerprint is
@@ -164,8 +165,47 @@ def joining_links(signatures: np.ndarray, sets: list[np.ndarray], parts: list[by
     return out
 
 
+#: Columns that name a cell.
+CELL = ["group", "i", "j"]
+#: Cells of one member that meet a copy of its text in one place.
+SPREAD = 64
+
+
+def _meeting(signatures: np.ndarray, parts: list[bytes], sides: list[int]) -> np.ndarray:
+    """Places of the members of a cell that collide often enough with one of another part, on the other side if there are two."""
+    names = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    part, side = np.array([names[p] for p in parts]), np.array(sides)
+    found = np.zeros(len(part), bool)
+    apart = len(set(sides)) > 1
+    for i in range(len(part) - 1):
+        others = (side[i + 1 :] != side[i]) & (part[i + 1 :] != part[i]) if apart else part[i + 1 :] != part[i]
+        if others.any():
+            later = i + 1 + np.flatnonzero(others)
+            met = later[(signatures[later] == signatures[i]).sum(axis=1) >= MATCHES]
+            if len(met):
+                found[i] = found[met] = True
+    return np.flatnonzero(found)
+
+
+def _sifted(cells: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows of ``cells`` whose member has a partner to be compared with in its cell; only signatures are shuffled."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        return cell.take(_meeting(np.array(cell["signature"].to_pylist(), np.int64).reshape(-1, COORDINATES), cell["part"].to_pylist(), cell["side"].to_pylist())).drop_columns(["signature"])
+
+    kinds = ", ".join(f"`{c}` {t}" for c, t in cells.dtypes)
+    return materialize(_spread_join(cells, texts.select("node", "signature")).select(*cells.columns, "signature").groupBy(*CELL).applyInArrow(run, kinds), "sifted")
+
+
+def _spread_join(cells: DataFrame, texts: DataFrame) -> DataFrame:
+    """``cells`` with what ``texts`` has of their members; a member of very many cells has copies there, one for SPREAD cells."""
+    most = cells.groupBy("node").agg(F.max("spread").alias("most"))
+    copies = texts.join(most, "node").withColumn("spread", F.explode(F.sequence(F.lit(0), F.col("most")))).drop("most")
+    return cells.join(copies, ["node", "spread"])
+
+
 def _cell_links(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """a_part and b_part of links that join parts within each cell (group, i, j) of rows (node, part, side)."""
+    """a_part and b_part of links that join parts within each cell (group, i, j) of rows (node, part, side, spread)."""
 
     def run(cell: pa.Table) -> pa.Table:
         hashes = WordHashes()
@@ -177,7 +217,7 @@ def _cell_links(cells: DataFrame, texts: DataFrame, words: int, percent: int) ->
             links = joining_links(np.array(cell["signature"].to_pylist(), np.int64), own, parts, sides if len(set(sides)) > 1 else None, percent)
         return pa.table({"a_part": pa.array([parts[i] for i, _ in links], pa.binary()), "b_part": pa.array([parts[j] for _, j in links], pa.binary())})
 
-    return materialize(cells.join(texts, "node").groupBy("group", "i", "j").applyInArrow(run, "a_part binary, b_part binary"), "links")
+    return materialize(_spread_join(cells, texts).groupBy(*CELL).applyInArrow(run, "a_part binary, b_part binary"), "links")
 
 
 def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -189,7 +229,7 @@ def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int
     # every block is a cell, and each has the group's central member
     placed = join_counted(members, blocks, ["group"]).select("group", "node", "part", "center", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("i"))
     centers = placed.where("node = center").withColumn("own", F.col("i")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("i <> own")
-    cells = placed.drop("center", "blocks").unionByName(centers.select("group", "node", "part", "i"))
+    cells = placed.drop("center", "blocks").withColumn("spread", F.lit(0)).unionByName(centers.select("group", "node", "part", "i", F.floor(F.col("i") / SPREAD).cast("int").alias("spread")))
     labels = _relabelled(labels, _cell_links(cells.withColumn("j", F.col("i")).withColumn("side", F.lit(0)), texts, words, percent))
 
     large = blocks.where("blocks > 1").select("group", "n", "blocks")
@@ -204,7 +244,8 @@ def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int
     of_rest, of_all = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     one = placed.where("part <> most").select("group", "node", "part", of_rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
     other = placed.select("group", "node", "part", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), of_all.alias("j"), F.lit(1).alias("side"))
-    return _relabelled(labels, _cell_links(one.unionByName(other), texts, words, percent))
+    cells = one.withColumn("spread", F.floor(F.col("j") / SPREAD).cast("int")).unionByName(other.withColumn("spread", F.floor(F.col("i") / SPREAD).cast("int")))
+    return _relabelled(labels, _cell_links(_sifted(cells, texts), texts, words, percent))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ def _shingles(text, n):
 @pytest.mark.parametrize(("n", "percent", "block"), [(3, 85, 512), (5, 80, 7)])
 def test_near_duplicates(spark, n, percent, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SPREAD", block // 3)
     docs = _corpus()
     sets = {i: _shingles(t, n) for i, t in docs}
     root = {i: i for i in sets}

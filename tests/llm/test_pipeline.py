@@ -3,9 +3,11 @@
 import hashlib
 import os
 import random
+import zlib
 
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from namechron.llm import _common, byte_bpe, language_id
@@ -65,6 +67,20 @@ def test_stages_of_odd_tables(spark, tmp_path, name):
     assert stage(spark, full.limit(0), str(tmp_path)).count() == 0
 
 
+def test_language_stage_with_and_without_labels(spark, tmp_path):
+    random.seed(15)
+    learned = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = [(i, _prose(lang, 60), lang) for i in learned for lang in [random.choice(["en", "de"])]]
+    odd = [(200, "日本語のテキスト" * 40, None), (201, None, "en"), (202, "12 !", "de"), (None, _prose("de", 50), None), (203, _prose("en", 50), "de")]
+    _write(spark, tmp_path, docs + odd, [])
+    full = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, full, str(tmp_path)).collect()}
+    assert {*learned, None, 203} <= kept and not kept & {201, 202}
+    unlabelled = full.withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.fit(unlabelled) is None
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, unlabelled, str(tmp_path)).collect()} == {*learned, 200, None, 203}
+
+
 SF = "/root/testdata/sf0.01"
 
 

@@ -13,8 +13,8 @@
    lists are counted, its MATCHES - 1 longest lists are skipped and only looked up for those it met,
    and pairs with MATCHES collisions or more are compared on full sets.
 4. Members that are by then in no part with most of their group meet its other blocks in the same
-   way, but first by signatures alone: texts only go where a member collides often enough with
-   one of another part. Then each posting list that still holds several parts and lies in several groups is taken
+   way, but first by signatures alone, in cells of many blocks: texts only go to the pairs of blocks where a
+   member collides often enough with one of another part. Then each posting list that still holds several parts and lies in several groups is taken
    like a group.
 
 No pairs are written out but links that join parts, and no list, component or fingerprint is
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import join_counted, map_batches, materialize
@@ -171,30 +171,41 @@ CELL = ["group", "i", "j"]
 SPREAD = 64
 
 
-def _meeting(signatures: np.ndarray, parts: list[bytes], sides: list[int]) -> np.ndarray:
-    """Places of the members of a cell that collide often enough with one of another part, on the other side if there are two."""
+#: Blocks that meet as one while only signatures are compared: 1 MB of these for each side of a cell.
+COARSE = 16
+
+
+def _meeting(signatures: np.ndarray, parts: list[bytes], sides: list[int]) -> list[tuple[int, int]]:
+    """Index pairs of a cell (a member of side 0, one of side 1) that collide often enough and lie in different parts."""
     names = {p: i for i, p in enumerate(dict.fromkeys(parts))}
     part, side = np.array([names[p] for p in parts]), np.array(sides)
-    found = np.zeros(len(part), bool)
-    apart = len(set(sides)) > 1
-    for i in range(len(part) - 1):
-        others = (side[i + 1 :] != side[i]) & (part[i + 1 :] != part[i]) if apart else part[i + 1 :] != part[i]
-        if others.any():
-            later = i + 1 + np.flatnonzero(others)
-            met = later[(signatures[later] == signatures[i]).sum(axis=1) >= MATCHES]
-            if len(met):
-                found[i] = found[met] = True
-    return np.flatnonzero(found)
+    others, out = np.flatnonzero(side == 1), []
+    for i in np.flatnonzero(side == 0).tolist():
+        later = others[part[others] != part[i]]
+        out += [(i, j) for j in later[(signatures[later] == signatures[i]).sum(axis=1) >= MATCHES].tolist()]
+    return out
 
 
 def _sifted(cells: DataFrame, texts: DataFrame) -> DataFrame:
-    """Rows of ``cells`` whose member has a partner to be compared with in its cell; only signatures are shuffled."""
+    """Members of the cells of blocks in which they have a partner to be compared with: group, node, part, i, j, side, spread.
+
+    ``cells`` has the members (and their ``block``) of cells of COARSE x COARSE blocks; only signatures are shuffled.
+    """
 
     def run(cell: pa.Table) -> pa.Table:
-        return cell.take(_meeting(np.array(cell["signature"].to_pylist(), np.int64).reshape(-1, COORDINATES), cell["part"].to_pylist(), cell["side"].to_pylist())).drop_columns(["signature"])
+        signatures = np.array(cell["signature"].to_pylist(), np.int64).reshape(-1, COORDINATES)
+        block = cell["block"].to_pylist()
+        met = {(x, block[a], block[b]) for a, b in _meeting(signatures, cell["part"].to_pylist(), cell["side"].to_pylist()) for x in (a, b)}
+        rows = sorted(met)
+        out = cell.select(["group", "node", "part", "side"]).take(pa.array([x for x, _, _ in rows], pa.int64()))
+        for name, values in (("i", [i for _, i, _ in rows]), ("j", [j for _, _, j in rows])):
+            out = out.append_column(name, pa.array(values, pa.int32()))
+        return out
 
-    kinds = ", ".join(f"`{c}` {t}" for c, t in cells.dtypes)
-    return materialize(_spread_join(cells, texts.select("node", "signature")).select(*cells.columns, "signature").groupBy(*CELL).applyInArrow(run, kinds), "sifted")
+    kinds = {c: t for c, t in cells.dtypes}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ("group", "node", "part", "side")) + ", i int, j int"
+    met = _spread_join(cells, texts.select("node", "signature")).select("group", "i", "j", "node", "part", "side", "block", "signature").groupBy(*CELL).applyInArrow(run, schema)
+    return materialize(met.withColumn("spread", F.floor(F.when(F.col("side") == 0, F.col("j")).otherwise(F.col("i")) / SPREAD).cast("int")), "sifted")
 
 
 def _spread_join(cells: DataFrame, texts: DataFrame) -> DataFrame:
@@ -242,9 +253,14 @@ def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int
     still = materialize(most.select("group", "n", F.col("top.part").alias("most"), rest), "open-groups")
     placed = join_counted(members, still, ["group"])
     of_rest, of_all = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    one = placed.where("part <> most").select("group", "node", "part", of_rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
-    other = placed.select("group", "node", "part", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), of_all.alias("j"), F.lit(1).alias("side"))
-    cells = one.withColumn("spread", F.floor(F.col("j") / SPREAD).cast("int")).unionByName(other.withColumn("spread", F.floor(F.col("i") / SPREAD).cast("int")))
+
+    def in_cells(rows: DataFrame, side: int, block: Column, own: str, others: str, blocks: str) -> DataFrame:
+        """Members of one side in every cell of COARSE x COARSE blocks that they belong to."""
+        across = F.explode(F.sequence(F.lit(0), F.floor((F.col(blocks) - 1) / COARSE).cast("int")))
+        met = rows.select("group", "node", "part", block.alias("block"), F.lit(side).alias("side"), across.alias(others))
+        return met.withColumns({own: F.floor(F.col("block") / COARSE).cast("int"), "spread": F.floor(F.col(others) / SPREAD).cast("int")})
+
+    cells = in_cells(placed.where("part <> most"), 0, of_rest, "i", "j", "blocks").unionByName(in_cells(placed, 1, of_all, "j", "i", "rest_blocks"))
     return _relabelled(labels, _cell_links(_sifted(cells, texts), texts, words, percent))
 
 

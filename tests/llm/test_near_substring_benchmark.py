@@ -43,6 +43,7 @@ def _shingles(text, n):
 def test_near_duplicates(spark, n, percent, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
     monkeypatch.setattr(near_dedup, "SPREAD", block // 3)
+    monkeypatch.setattr(near_dedup, "COARSE", 2)
     docs = _corpus()
     sets = {i: _shingles(t, n) for i, t in docs}
     root = {i: i for i in sets}

@@ -13,8 +13,9 @@
    lists are counted, its MATCHES - 1 longest lists are skipped and only looked up for those it met,
    and pairs with MATCHES collisions or more are compared on full sets.
 4. Members that are by then in no part with most of their group meet its other blocks in the same
-   way, but first by signatures alone, in cells of many blocks: texts only go to the pairs of blocks where a
-   member collides often enough with one of another part. Then each posting list that still holds several parts and lies in several groups is taken
+   way, but first by long signatures alone (a byte for each of LONG coordinates), in cells of many blocks:
+   texts only go to the pairs of blocks where a member agrees with one of another part as often as
+   a pair at the threshold does but with a probability of MISS. Then each posting list that still holds several parts and lies in several groups is taken
    like a group.
 
 No pairs are written out but links that join parts, and no list, component or fingerprint is
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,10 @@ BASE = 0x9E3779B97F4A7C15
 _random = np.random.default_rng(8)
 SEEDS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 FACTORS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
+#: Coordinates of the long signatures, and the probability that a pair exactly at the threshold agrees too seldom.
+LONG, MISS = 512, 1e-9
+LONG_SEEDS = _random.integers(0, 1 << 63, LONG, dtype=np.uint64)
+LONG_FACTORS = _random.integers(0, 1 << 63, LONG, dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
@@ -61,6 +67,24 @@ def signature(found: np.ndarray) -> np.ndarray:
     return best
 
 
+def long_signature(found: np.ndarray) -> bytes:
+    """A byte of the smallest value of each of LONG permutations over a non-empty set."""
+    best = np.full(LONG, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(found), 1024):
+        np.minimum(best, ((found[a : a + 1024, None] ^ LONG_SEEDS) * LONG_FACTORS).min(axis=0), out=best)
+    return (mixed(best) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def least_agreement(percent: int) -> int:
+    """Coordinates of LONG in which all but a share of MISS of the pairs at ``percent`` agree."""
+    p, tail = percent / 100, 0.0
+    for k in range(LONG + 1):
+        tail += comb(LONG, k) * p**k * (1 - p) ** (LONG - k)
+        if tail > MISS:
+            return k
+    return LONG
+
+
 def fingerprint(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
@@ -171,40 +195,53 @@ CELL = ["group", "i", "j"]
 SPREAD = 64
 
 
-#: Blocks that meet as one while only signatures are compared: 1 MB of these for each side of a cell.
+#: Blocks that meet as one while only signatures are compared: 2 MB of these for each side of a cell.
 COARSE = 16
 
 
-def _meeting(signatures: np.ndarray, parts: list[bytes], sides: list[int]) -> list[tuple[int, int]]:
-    """Index pairs of a cell (a member of side 0, one of side 1) that collide often enough and lie in different parts."""
+def _meeting(signatures: np.ndarray, parts: list[bytes], sides: list[int], least: int) -> list[tuple[int, int]]:
+    """Index pairs of a cell (a member of side 0, one of side 1) that agree often enough and lie in different parts."""
     names = {p: i for i, p in enumerate(dict.fromkeys(parts))}
     part, side = np.array([names[p] for p in parts]), np.array(sides)
     others, out = np.flatnonzero(side == 1), []
     for i in np.flatnonzero(side == 0).tolist():
         later = others[part[others] != part[i]]
-        out += [(i, j) for j in later[(signatures[later] == signatures[i]).sum(axis=1) >= MATCHES].tolist()]
+        out += [(i, j) for j in later[np.count_nonzero(signatures[later] == signatures[i], axis=1) >= least].tolist()]
     return out
 
 
-def _sifted(cells: DataFrame, texts: DataFrame) -> DataFrame:
+def _long_signatures(texts: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """node and long signature of each node of ``members``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = [long_signature(shingles(t, words, hashes)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "signature"])
+
+    wanted = texts.select("node", "text").join(members.select("node").distinct(), "node", "left_semi")
+    return materialize(map_batches(wanted, run, "node binary, signature binary"), "long-signatures")
+
+
+def _sifted(cells: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
     """Members of the cells of blocks in which they have a partner to be compared with: group, node, part, i, j, side, spread.
 
-    ``cells`` has the members (and their ``block``) of cells of COARSE x COARSE blocks; only signatures are shuffled.
+    ``cells`` has the members (and their ``block``) of cells of COARSE x COARSE blocks; only ``signatures`` (node, signature) are shuffled.
     """
 
     def run(cell: pa.Table) -> pa.Table:
-        signatures = np.array(cell["signature"].to_pylist(), np.int64).reshape(-1, COORDINATES)
+        rows = np.frombuffer(b"".join(cell["signature"].to_pylist()), np.uint8).reshape(-1, LONG)
         block = cell["block"].to_pylist()
-        met = {(x, block[a], block[b]) for a, b in _meeting(signatures, cell["part"].to_pylist(), cell["side"].to_pylist()) for x in (a, b)}
-        rows = sorted(met)
-        out = cell.select(["group", "node", "part", "side"]).take(pa.array([x for x, _, _ in rows], pa.int64()))
-        for name, values in (("i", [i for _, i, _ in rows]), ("j", [j for _, _, j in rows])):
+        met = {(x, block[a], block[b]) for a, b in _meeting(rows, cell["part"].to_pylist(), cell["side"].to_pylist(), least) for x in (a, b)}
+        places = sorted(met)
+        out = cell.select(["group", "node", "part", "side"]).take(pa.array([x for x, _, _ in places], pa.int64()))
+        for name, values in (("i", [i for _, i, _ in places]), ("j", [j for _, _, j in places])):
             out = out.append_column(name, pa.array(values, pa.int32()))
         return out
 
     kinds = {c: t for c, t in cells.dtypes}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in ("group", "node", "part", "side")) + ", i int, j int"
-    met = _spread_join(cells, texts.select("node", "signature")).select("group", "i", "j", "node", "part", "side", "block", "signature").groupBy(*CELL).applyInArrow(run, schema)
+    met = _spread_join(cells, signatures).select("group", "i", "j", "node", "part", "side", "block", "signature").groupBy(*CELL).applyInArrow(run, schema)
     return materialize(met.withColumn("spread", F.floor(F.when(F.col("side") == 0, F.col("j")).otherwise(F.col("i")) / SPREAD).cast("int")), "sifted")
 
 
@@ -251,7 +288,7 @@ def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int
     most = shares.groupBy("group").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     rest = F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("rest_blocks")
     still = materialize(most.select("group", "n", F.col("top.part").alias("most"), rest), "open-groups")
-    placed = join_counted(members, still, ["group"])
+    placed = materialize(join_counted(members, still, ["group"]), "open-members")
     of_rest, of_all = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
 
     def in_cells(rows: DataFrame, side: int, block: Column, own: str, others: str, blocks: str) -> DataFrame:
@@ -261,7 +298,8 @@ def _compared(groups: DataFrame, labels: DataFrame, texts: DataFrame, words: int
         return met.withColumns({own: F.floor(F.col("block") / COARSE).cast("int"), "spread": F.floor(F.col(others) / SPREAD).cast("int")})
 
     cells = in_cells(placed.where("part <> most"), 0, of_rest, "i", "j", "blocks").unionByName(in_cells(placed, 1, of_all, "j", "i", "rest_blocks"))
-    return _relabelled(labels, _cell_links(_sifted(cells, texts), texts, words, percent))
+    sifted = _sifted(cells, _long_signatures(texts, placed, words), least_agreement(percent))
+    return _relabelled(labels, _cell_links(sifted, texts, words, percent))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -77,6 +77,17 @@ def test_near_duplicates_odd_rows(spark):
         near_dedup.near_duplicates(df, 3, 70)
 
 
+def test_long_signatures_tell_pairs_apart():
+    random.seed(9)
+    for percent in (80, 85):
+        least = near_dedup.least_agreement(percent)
+        for share, fits in ((percent / 100, True), (0.6, False)):
+            both = [random.getrandbits(64) for _ in range(int(1000 * share))]
+            own = [[random.getrandbits(64) for _ in range((1000 - len(both)) // 2)] for _ in range(2)]
+            a, b = (np.frombuffer(near_dedup.long_signature(np.array(both + x, np.uint64)), np.uint8) for x in own)
+            assert (np.count_nonzero(a == b) >= least) == fits
+
+
 def test_collisions_are_counted():
     random = np.random.default_rng(4)
     signatures = random.integers(0, 4, (80, near_dedup.COORDINATES))

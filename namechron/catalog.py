@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import dates, predicates, text
 from .operators import asof, chains, checks, diff, entries, heads, lookup, ordering, overlay, ranks, readers, review, sampling, segment
-from .schemas import AUTOMATIC, FALSE, MONTHS, PRECISIONS, TRUE, UNCERTAIN, Reason
+from .plans import review_run
+from .schemas import AUTOMATIC, FALSE, MONTHS, PRECISIONS, STAGES, STREETS, TRUE, UNCERTAIN, Reason
 from .sources import files, storage
 
 _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -343,6 +344,27 @@ def version_diff(spark, sf_dir):
     return diff.changes(*_versions(spark, sf_dir))
 
 
+@query(_REGISTERED["version_diff"][1])
+def version_files(spark, sf_dir):
+    """The old version written as files and loaded again, against the new one as it is."""
+    streets, stages, *new = _versions(spark, sf_dir)
+    path = storage.new_path(spark, "version")
+    files.write_csv(streets, f"{path}/streets", STREETS, ["seq"], one_file=False)
+    files.write_csv(stages, f"{path}/stages", STAGES, ["schl_nr", "stadium"], one_file=False)
+    return diff.changes(*files.load_version(spark, path), *files.load_version(spark, tuple(new)))
+
+
+@query(
+    f"""WITH d AS ({_REGISTERED["version_diff"][1]}), k AS (SELECT unnest(['eintrag_neu', 'eintrag_entfallen', 'stadium_gewonnen', 'stadium_verloren', 'datum_veraendert', 'name_veraendert', 'kopffeld_veraendert', 'status_zu_unsicher', 'status_zu_automatisch']) AS kategorie, unnest(range(1, 10)) AS r),
+    l AS (SELECT kategorie, schl_nr, '- ' || schl_nr || ' ' || lemma AS head, concat_ws('; ', 'feld: ' || feld, 'stadium: ' || stadium, 'alt: ' || alt, 'neu: ' || neu) AS rest FROM d)
+    SELECT CAST(r AS INTEGER) AS rang, kategorie, schl_nr, CASE WHEN rest = '' THEN head ELSE head || ' — ' || rest END AS zeile FROM l JOIN k USING (kategorie)
+    UNION ALL SELECT DISTINCT CAST(r AS INTEGER), kategorie, NULL, '## ' || kategorie FROM d JOIN k USING (kategorie)"""
+)
+def version_report(spark, sf_dir):
+    """The report's line for each change between two versions, under a heading for each category."""
+    return diff.report_lines(diff.changes(*_versions(spark, sf_dir)))
+
+
 # --- overlay ----------------------------------------------------------------------------------
 
 
@@ -832,6 +854,14 @@ def review_order(spark, sf_dir):
     return ranks.ranked(rows, review.list_order(), name="platz").select("schl_nr", "feld", "einig", "platz")
 
 
+@query(_REGISTERED["review_order"][1])
+def review_written(spark, sf_dir):
+    """The review list written and read back; its rows keep their places."""
+    path = storage.new_path(spark, "review")
+    review_run.write_list(review.review_list(*_read_tables(spark, sf_dir), ["a", "b"]), path, one_file=False)
+    return ranks.ranked(files.read_csv(spark, path, ordered=True), [F.col("seq")], name="platz").select("schl_nr", "feld", "einig", "platz")
+
+
 @query(
     f"""{_READ}, f AS (SELECT *, unnest([{{'feld': 'lemma', 'p': p, 'a': a, 'b': b}}, {{'feld': 'stadtteile', 'p': s, 'a': s, 'b': s}}, {{'feld': 'strassenklasse', 'p': '', 'a': '', 'b': ''}},
       {{'feld': 'namensgruppe', 'p': '', 'a': '', 'b': ''}}, {{'feld': 'verweis_auf', 'p': '', 'a': '', 'b': ''}}]) AS v FROM c WHERE status = 'unsicher')
@@ -902,6 +932,25 @@ def review_to_overlay(spark, sf_dir):
     return overlay.from_review(filled, none, "2026-01-01")[0].drop("order")
 
 
+@query(
+    f"""{_READ} SELECT schl_nr, CASE WHEN n % 7 < 2 THEN 'eintrag' WHEN n % 7 = 2 THEN 'stadium_?' WHEN n % 7 < 5 THEN 'stadium_1' ELSE 'lemma' END AS feld,
+    CASE n % 7 WHEN 0 THEN 'Eintrag fehlt beim Parser — nicht per Overlay behebbar' WHEN 1 THEN '''eintrag'' korrigiert man über die einzelnen Felder' WHEN 2 THEN 'Stadium konnte nicht eindeutig zugeordnet werden'
+      WHEN 3 THEN 'Parser hat das Stadium — bei Bestätigung keine Korrektur eintragen' WHEN 4 THEN 'erwartet ''DATUM | NAME''' ELSE 'wert_alt passt nicht zum Wert der Tabelle' END AS meldung
+    FROM c WHERE (a <> p OR coalesce(b, p) <> p) AND n % 7 <> 5"""
+)
+def takeover_check(spark, sf_dir):
+    """What speaks against taking over a filled list: cells of the wrong kind, and fields that the overlay has changed already."""
+    streets, stages, answers = _read_tables(spark, sf_dir)
+    rows = review.review_list(streets, stages, answers, ["a", "b"])
+    kind = F.col("schl_nr").cast("long") % 7
+    feld = F.when(kind < 2, "eintrag").when(kind == 2, "stadium_?").when(kind < 5, "stadium_1").otherwise(F.col("feld"))
+    filled = rows.withColumns({"feld": feld, "wert_parser": F.when(kind.isin(0, 4), "").otherwise(F.col("wert_parser")), "korrektur": F.lit("neu")})
+    path = storage.new_path(spark, "filled")
+    review_run.write_list(filled, path, one_file=False)
+    present = streets.where(F.col("seq") % 7 == 6).select("schl_nr", F.lit("lemma").alias("feld"), F.col("lemma").alias("wert_alt"), F.lit("Zuvor").alias("wert_neu"), "seq")
+    return overlay.dry_run(files.read_csv(spark, path, ordered=True), streets, stages, present)
+
+
 # --- pages: each customer is a page of its nation's volume ---------------------------------------
 
 _PAGES = """p AS (

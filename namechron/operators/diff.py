@@ -114,6 +114,18 @@ def changes(old_streets: DataFrame, old_stages: DataFrame, new_streets: DataFram
     return entries.unionByName(stages)
 
 
+def report_lines(found: DataFrame) -> DataFrame:
+    """The list of a report on ``found``: a heading for each category that has changes, and a line for each change.
+
+    rang (a category's place), kategorie, schl_nr (null for headings) and zeile; sorted by rang, schl_nr (nulls first) and zeile they are the report.
+    """
+    rank = F.array_position(F.array(*map(F.lit, KEYS)), F.col("kategorie")).cast("int").alias("rang")
+    rest = F.concat_ws("; ", *[F.concat(F.lit(f"{c}: "), F.col(c).cast("string")) for c in ("feld", "stadium", "alt", "neu")])
+    line = F.concat(F.lit("- "), "schl_nr", F.lit(" "), F.coalesce("lemma", F.lit("")), F.when(rest != "", F.concat(F.lit(" — "), rest)).otherwise(""))
+    heads = found.select("kategorie").distinct().select(rank, "kategorie", F.lit(None).cast("string").alias("schl_nr"), F.concat(F.lit("## "), "kategorie").alias("zeile"))
+    return heads.unionByName(found.select(rank, "kategorie", "schl_nr", line.alias("zeile")))
+
+
 def deviations(found: DataFrame, old_stages: DataFrame, new_stages: DataFrame) -> DataFrame:
     """Distinct (schl_nr, feld) that :func:`changes` touch, in the field names of review lists.
 

@@ -115,9 +115,9 @@ def head_violations(streets: DataFrame, overlay: DataFrame) -> DataFrame:
 
 
 def _stage_edits(overlay: DataFrame) -> DataFrame:
-    """Edits on stages with their number, part and the reading of a new date."""
+    """Edits on stages with their number (the largest int for what is beyond), part and the reading of a new date."""
     rows = overlay.where(matches("feld", STAGE_EDIT)).withColumns({"wert_alt": text_or_empty("wert_alt"), "wert_neu": text_or_empty("wert_neu")})
-    rows = rows.withColumns({"n": extract("feld", STAGE_EDIT, 1).cast("int"), "part": extract("feld", STAGE_EDIT, 2)})
+    rows = rows.withColumns({"n": F.coalesce(extract("feld", STAGE_EDIT, 1).try_cast("int"), F.lit((1 << 31) - 1)), "part": extract("feld", STAGE_EDIT, 2)})
     rows = rows.withColumn("date", F.when(F.col("part") == "datum", partial_date(iso_to_printed("wert_neu"))))
     return rows.withColumn("shown", display("date.praezision", "date.gueltig_ab"))
 

@@ -20,8 +20,13 @@ def quality(keys: Mapping, dips: int, known_dips: int, confirmed: int, unknown:
 
 def survey(years: Sequence, months: Sequence, cutoff: str, total: int, usable: int, concordance: tuple[int, int, int], review: int) -> str:
     rows, unique, with_suffix = concordance
-    figures = [("streets", total), ("usable", usable), ("concordance rows", rows), ("unique", unique), ("colliding", rows - unique), ("with suffix", with_suffix), ("to review", review)]
-    parts = [f"# State of names at {cutoff}", table(["figure", "rows"], figures)]
+    figures = [("streets", total), ("usable", usable), ("left out as uncertain", total - usable), ("concordance rows", rows), ("unique", unique), ("colliding", rows - unique), ("with suffix", with_suffix), ("to review", review)]
+    method = (
+        "A rename counts for the earlier or the later name if the address book holds that one alone. Stages without a readable date are skipped, "
+        "never estimated; the months count stages dated to the day alone. The concordance is made of usable streets; chains that don't end in their "
+        "street's name go to the review list, and names that several streets had are marked as colliding."
+    )
+    parts = [f"# State of names at {cutoff}", method, table(["figure", "rows"], figures)]
     for title, found in (("by year", years), ("by month", months)):
         parts += [f"## Renames {title}", table(["period", "only the earlier name", "only the later name"], [(r["period"], r["alt"], r["neu"]) for r in found])]
     return "\n\n".join(parts) + "\n"

@@ -22,14 +22,14 @@ def build(streets: DataFrame, stages: DataFrame, answers: DataFrame, names: list
     return review.review_list(streets, stages, answers, names)
 
 
-def write_list(rows: DataFrame, path: str) -> int:
-    """Write a review list as one file in its order, and give its number of rows; refused while the list at ``path`` has filled cells."""
+def write_list(rows: DataFrame, path: str, one_file: bool = True) -> int:
+    """Write a review list in its order, as one file or one for each partition, and give its number of rows; refused while the list at ``path`` has filled cells."""
     spark = rows.sparkSession
     if exists(spark, path) and open_corrections(read_csv(spark, path)):
         raise OpenCorrections(f"take over or clear the filled cells of {path} first")
     kept = rows.persist()
     try:
-        write_csv(kept, path, kept.schema)
+        write_csv(kept, path, kept.schema, one_file=one_file)
         return kept.count()
     finally:
         kept.unpersist()

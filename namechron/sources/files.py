@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import patterns as P
 from ..functions.text import clean_lines, extract, join_lines, matches, text_or_empty, trim_u
 from ..operators.overlay import OverlayError
-from ..schemas import OVERLAY
+from ..schemas import OVERLAY, STAGES, STREETS
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 
@@ -51,6 +52,30 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return _with_seq(df).na.fill("", df.columns).select(*columns, "seq")
 
 
+def load_version(spark: SparkSession, source: str | tuple) -> tuple[DataFrame, DataFrame]:
+    """(streets, stages) of a version, with their order as ``seq``: a folder with the files of both, or a pair of tables.
+
+    A table is a DataFrame (streets with ``seq``; stages go by their numbers), a list of rows, or a mapping from keys to a row or to a list of
+    rows. Rows are mappings; what they lack is an empty text, a number that can't be read is null.
+    """
+    if isinstance(source, str):
+        return read_csv(spark, f"{source}/streets", STREETS, ordered=True), read_csv(spark, f"{source}/stages", STAGES, ordered=True)
+    streets, stages = source
+    if isinstance(streets, DataFrame) and "seq" not in streets.columns:
+        raise ValueError("streets need seq, the order of their rows")
+    return _given(spark, streets, STREETS), _given(spark, stages, STAGES)
+
+
+def _given(spark: SparkSession, rows: DataFrame | Mapping | list, schema: T.StructType) -> DataFrame:
+    if isinstance(rows, DataFrame):
+        return rows
+    if isinstance(rows, Mapping):
+        rows = [r for of_key in rows.values() for r in ([of_key] if isinstance(of_key, Mapping) else of_key)]
+    texts = [[*("" if r.get(c) is None else str(r[c]) for c in schema.names), i] for i, r in enumerate(rows)]
+    made = spark.createDataFrame(texts, T.StructType([T.StructField(c, T.StringType()) for c in schema.names]).add("seq", T.LongType()))
+    return made.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema], "seq")
+
+
 #: Folders of corrections that were appended, numbered in the order in which they were committed.
 _APPENDED = r"/append-(\d+)/[^/]*$"
 

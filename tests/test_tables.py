@@ -339,6 +339,34 @@ def test_cleaning_is_linear(spark):
     assert time.perf_counter() - start < 5 and (lines[0], lines[-1], len(lines)) == ("", "", 4003)
 
 
+def test_version_sources(spark, tmp_path, capsys):
+    from namechron.__main__ import main
+
+    place = f"file://{tmp_path}"
+    row = {"schl_nr": "00001", "lemma": "Weg", "buchseite": 3, "status": "automatisch"}
+    named = {"schl_nr": "00001", "gueltig_ab": "1920", "datum_praezision": "jahr", "ist_urspruenglich": "falsch"}
+    listed = [row | {"lemma": "first of the key"}, row], [named | {"stadium": 2, "name": "B"}, named | {"stadium": "1", "name": "A"}]
+    mapped = {"00001": row | {"lemma": "Gasse"}, "00002": {"schl_nr": "00002", "lemma": None, "buchseite": "x"}}, {"00001": [named | {"stadium": 1, "name": "A"}]}
+    old, new = files.load_version(spark, listed), files.load_version(spark, mapped)
+    assert [(r["schl_nr"], r["lemma"], r["buchseite"], r["stadtteile"]) for r in new[0].orderBy("seq").collect()] == [("00001", "Gasse", 3, ""), ("00002", "", None, "")]
+    for name, (s, t) in (("old", old), ("new", new)):
+        files.write_csv(s, f"{place}/{name}/streets", schemas.STREETS, ["seq"])
+        files.write_csv(t, f"{place}/{name}/stages", schemas.STAGES, ["seq"])
+    want = {("eintrag_neu", "00002", None, None), ("kopffeld_veraendert", "00001", "Weg", "Gasse"), ("stadium_verloren", "00001", "1920 B", None)}
+    for a in (old, files.load_version(spark, f"{place}/old")):
+        for b in (new, files.load_version(spark, f"{place}/new")):
+            assert {(r["kategorie"], r["schl_nr"], r["alt"], r["neu"]) for r in diff.changes(*a, *b).collect()} == want
+    empty = files.load_version(spark, ([], {}))
+    assert diff.report_lines(diff.changes(*empty, *empty)).count() == 0 and empty[0].count() == empty[1].count() == 0
+    with pytest.raises(ValueError, match="seq"):
+        files.load_version(spark, (old[0].drop("seq"), old[1]))
+    assert main(["diff", f"{place}/old", f"{place}/new", "--out", f"{place}/report"]) == 0 and "| eintrag_neu | 1 |" in capsys.readouterr().out
+    lines = [r["value"] for r in spark.read.text(f"{place}/report").collect()]
+    assert sorted(lines) == sorted(
+        ["## eintrag_neu", "- 00002 ", "## stadium_verloren", "- 00001 Weg — alt: 1920 B", "## kopffeld_veraendert", "- 00001 Weg — feld: lemma; alt: Weg; neu: Gasse"]
+    )
+
+
 def test_review_commands(spark, tmp_path, capsys):
     from namechron.__main__ import main
 

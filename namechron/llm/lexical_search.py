@@ -34,6 +34,8 @@ from ._common import map_batches, materialize
 
 #: Documents of a block, and terms of its documents from which on it is closed.
 BLOCK_DOCS, BLOCK_ENTRIES = 64, 1 << 16
+#: Blocks of a file of the index; a task that reads or writes one holds them all.
+FILE_BLOCKS = 64
 #: Characters of the items that are searched for at a time, on average.
 ITEM_CHARS = 2_000_000
 #: Blocks of each item that are scored for its first threshold.
@@ -125,7 +127,7 @@ def build_index(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> LexicalIndex:
         if block.ids:
             yield out()
 
-    return LexicalIndex(materialize(map_batches(own, build, INDEX), "lexical-index"), n_docs, n_terms)
+    return LexicalIndex(materialize(map_batches(own, build, INDEX), "lexical-index", FILE_BLOCKS), n_docs, n_terms)
 
 
 class Queries:

@@ -67,9 +67,12 @@ def delete(spark: SparkSession, paths: list[str]) -> None:
         files.delete(jpath, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def materialize(df: DataFrame, name: str, rows_in_file: int = 0) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Spark holds up to 4,096 rows of a file at once, written or read; ``rows_in_file`` bounds that for wide rows.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_in_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

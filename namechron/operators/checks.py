@@ -100,14 +100,24 @@ def not_in_register(streets: DataFrame, register: DataFrame, lemma: str = "lemma
     return streets.withColumn("_key", sort_key(lemma)).join(_register_keys(register, column), "_key", "left_anti").drop("_key")
 
 
+#: Equal rows that are written out of one row at a time, and rows of a task that writes them, about.
+REPEATS, TASK_ROWS = 1 << 10, 1 << 22
+
+
 def validation_review(streets: DataFrame, register: DataFrame) -> DataFrame:
     """lemma, schl_nr and grund of alphabet dips and of lemmas that the register doesn't have.
 
-    Each unknown row leads to all keys with its lemma: equal unknown lemmas multiply.
+    Each unknown row leads to all keys with its lemma: equal unknown lemmas multiply. So a key's row is there as
+    often as its lemma is; these repeats are dealt as pieces to as many tasks as they need, as one lemma can have nearly all of them.
     """
     dips = alphabet_dips(streets).select("lemma", "schl_nr", F.lit(Reason.ALPHABET).alias("grund"))
-    unknown = not_in_register(streets, register).select("lemma")
-    every = unknown.join(streets.select("lemma", "schl_nr"), "lemma").select("lemma", "schl_nr", F.lit(Reason.NOT_IN_REGISTER).alias("grund"))
+    counts = not_in_register(streets, register).where("lemma is not null").groupBy("lemma").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum(F.col("_n").cast("double") * F.col("_n"))).first()[0] or 0
+    parts = max(int(streets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // TASK_ROWS) + 1)
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(REPEATS).cast("long"))).alias("_at")
+    pieces = streets.select("lemma", "schl_nr").join(counts, "lemma").select("lemma", "schl_nr", "_n", at).repartition(parts, "schl_nr", "_at")
+    again = F.explode(F.sequence(F.lit(1), F.least(F.lit(REPEATS), F.col("_n") - F.col("_at")).cast("int")))
+    every = pieces.select("lemma", "schl_nr", again.alias("_i")).select("lemma", "schl_nr", F.lit(Reason.NOT_IN_REGISTER).alias("grund"))
     return dips.unionByName(every)
 
 

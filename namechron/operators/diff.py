@@ -42,22 +42,26 @@ def unmatched(old: DataFrame, new: DataFrame, signature: list[str], order: str,
 
     Of rows with one signature as many are taken off on both sides as both have, the first ones first.
     Both sides lie in one table; a window of a signature tells a row's place on its side and how
-    many the other side has, and only what is left over meets again by key.
+    many the other side has, and only what is left over meets again by key. No column goes through a shuffle twice.
     """
 
+    own = {c: f"_own_{c}" for c in [*signature, order, *keep]}
+    kept = list(dict.fromkeys(own[c] for c in [order, *keep]))
+
     def side(df: DataFrame, is_old: bool) -> DataFrame:
-        return df.select(key, *signature, F.col(order).alias("_order"), F.struct(*keep).alias("_row"), F.lit(is_old).alias("_old"))
+        return df.select(key, *(F.col(c).alias(name) for c, name in own.items()), F.lit(is_old).alias("_old"))
 
     def placed(rows: DataFrame, within: list[str]) -> DataFrame:
         """``n``, the place on the own side in ``order``, and ``_others``, the rows of the other side."""
         group = Window.partitionBy(*within)
         news = F.sum((~F.col("_old")).cast("int")).over(group)
-        place = F.row_number().over(group.orderBy("_old", "_order"))  # the new side comes first
+        place = F.row_number().over(group.orderBy("_old", own[order]))  # the new side comes first
         n = F.when(F.col("_old"), place - news).otherwise(place).cast("int")
         return rows.withColumns({"n": n, "_others": F.when(F.col("_old"), news).otherwise(F.count(F.lit(1)).over(group) - news)})
 
-    left = placed(side(old, True).unionByName(side(new, False)), [key, *signature]).where("n > _others").select(key, "_order", "_row", "_old")
-    a, b = (F.first(F.when(F.col("_old") == is_old, F.col("_row")), ignorenulls=True).alias(name) for is_old, name in ((True, "a"), (False, "b")))
+    left = placed(side(old, True).unionByName(side(new, False)), [key, *(own[c] for c in signature)]).where("n > _others").select(key, *kept, "_old")
+    row = F.struct(*(F.col(own[c]).alias(c) for c in keep))
+    a, b = (F.first(F.when(F.col("_old") == is_old, row), ignorenulls=True).alias(name) for is_old, name in ((True, "a"), (False, "b")))
     return placed(left, [key]).groupBy(key, "n").agg(a, b)
 
 

@@ -18,12 +18,20 @@ from ..schemas import CHECKED, HEAD_FIELDS, Reason
 #: What stands for the date of an added stage without one.
 UNDATED = ("vorm.", "urspr.", "zuvor")
 STAGE_EDIT = r"^stadium_(\d+)_(datum|name|urspruenglich)$"
+#: Streets that a task sorts or holds at a time, about.
+TASK_ROWS = 1 << 19
 
 
 class OverlayError(ValueError):
     """Corrections that don't fit the tables; nothing was changed."""
 
 
+def _dealt(streets: DataFrame) -> DataFrame:
+    """``streets`` dealt by key to as many tasks as their number asks for: sizes in bytes say little of rows that are much alike."""
+    parts = int(streets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return streets.repartition(max(parts, streets.count() // TASK_ROWS + 1), "schl_nr")
+
+
 def _say(df: DataFrame, message: Column | str, feld: Column | str = "feld") -> DataFrame:
     message = F.lit(message) if isinstance(message, str) else message
     return df.select("schl_nr", (F.col(feld) if isinstance(feld, str) else feld).alias("feld"), message.alias("meldung"))
@@ -60,7 +68,7 @@ def head_values(streets: DataFrame, overlay: DataFrame) -> DataFrame:
     last = [F.max_by("wert_neu", F.when(F.col("feld") == f, F.col("seq"))).alias(f"_{f}") for f in fields]
     touched = [F.max(F.col("feld") == f).alias(f"_has_{f}") for f in fields]
     new = overlay.where("feld <> 'schl_nr'").groupBy("schl_nr").agg(*last, *touched, F.lit(True).alias("_checked"))
-    joined = streets.join(new, "schl_nr", "left")
+    joined = _dealt(streets).join(new, "schl_nr", "left")
     values = {f: F.when(F.col(f"_has_{f}"), F.col(f"_{f}").cast(streets.schema[f].dataType)).otherwise(F.col(f)) for f in fields}
     values["status"] = F.when(F.col("_checked"), F.lit(CHECKED)).otherwise(F.col("status"))
     return joined.withColumns(values).select(*streets.columns)
@@ -82,7 +90,7 @@ def head_edits(streets: DataFrame, overlay: DataFrame) -> DataFrame:
     empty row with their lemma, wherever in the list they are made. ``eintraege`` counts the table's rows
     with the key (null: none), ``neu`` tells whether the list makes the entry, ``anlagen`` how often up to here.
     """
-    present = streets.groupBy("schl_nr").agg(F.count(F.lit(1)).alias("eintraege"), F.first("buchseite").cast("string").alias("_buchseite"), *[F.first(f).alias(f"_{f}") for f in HEAD_FIELDS])
+    present = _dealt(streets).groupBy("schl_nr").agg(F.count(F.lit(1)).alias("eintraege"), F.first("buchseite").cast("string").alias("_buchseite"), *[F.first(f).alias(f"_{f}") for f in HEAD_FIELDS])
     edits = overlay.where("feld <> 'schl_nr'").withColumns({"wert_alt": text_or_empty("wert_alt"), "wert_neu": text_or_empty("wert_neu")})
     makes = (F.col("feld") == "eintrag") & (F.col("wert_alt") == "") & (F.col("wert_neu") != "")
     made = edits.where(makes).groupBy("schl_nr").agg(F.min_by("wert_neu", "seq").alias("_made"))
@@ -100,18 +108,22 @@ def head_violations(streets: DataFrame, overlay: DataFrame) -> DataFrame:
     rows = head_edits(streets, overlay)
     is_head = F.col("feld").isin(*HEAD_FIELDS, "buchseite")
     known = is_head | (F.col("feld") == "eintrag") | matches("feld", STAGE_EDIT)
-    out = _say(rows.where("eintraege is null and not neu"), "Schlüsselnummer nicht im Datensatz")
-    for more in (
-        _say(rows.where("eintraege > 1"), "Schlüsselnummer mehrdeutig (Dublette) — nicht korrigierbar"),
-        _say(rows.where("feld = 'eintrag' and wert_neu <> '' and wert_alt = '' and (eintraege is not null or anlagen > 1)"), "Schlüsselnummer vorhanden — Neuanlage nicht möglich"),
-        _say(rows.where("feld = 'eintrag' and wert_alt <> ''"), "Bestätigung braucht leere wert_alt/wert_neu"),
-        _say(rows.where(~known), "unbekanntes Feld"),
-        _say(rows.where(is_head & (F.col("jetzt") != F.col("wert_alt"))), "wert_alt passt nicht zum Wert der Tabelle"),
-        _say(rows.where((F.col("feld") == "buchseite") & ~matches("wert_neu", r"^\d+$")), "wert_neu ist keine Seitenzahl"),
-        rows.where("neu").groupBy("schl_nr").agg(F.max(F.col("feld") == "buchseite").alias("_page")).where("not _page").select("schl_nr", F.lit("eintrag").alias("feld"), F.lit("Neuanlage braucht eine buchseite-Zeile").alias("meldung")),
-    ):
-        out = out.unionByName(more)
-    return out
+    found = {
+        "Schlüsselnummer nicht im Datensatz": F.col("eintraege").isNull() & ~F.col("neu"),
+        "Schlüsselnummer mehrdeutig (Dublette) — nicht korrigierbar": F.col("eintraege") > 1,
+        "Schlüsselnummer vorhanden — Neuanlage nicht möglich": F.expr("feld = 'eintrag' and wert_neu <> '' and wert_alt = '' and (eintraege is not null or anlagen > 1)"),
+        "Bestätigung braucht leere wert_alt/wert_neu": F.expr("feld = 'eintrag' and wert_alt <> ''"),
+        "unbekanntes Feld": ~known,
+        "wert_alt passt nicht zum Wert der Tabelle": is_head & (F.col("jetzt") != F.col("wert_alt")),
+        "wert_neu ist keine Seitenzahl": (F.col("feld") == "buchseite") & ~matches("wert_neu", r"^\d+$"),
+    }
+    # one pass over the edits says all of an edit's violations
+    said = F.explode(F.array_compact(F.array(*[F.when(wrong, F.lit(message)) for message, wrong in found.items()])))
+    edits = overlay.where("feld <> 'schl_nr'")
+    makes = (F.col("feld") == "eintrag") & (text_or_empty("wert_alt") == "") & (text_or_empty("wert_neu") != "")
+    pages = edits.where("schl_nr is not null").groupBy("schl_nr").agg(F.max(F.when(makes, F.col("seq"))).isNotNull().alias("_made"), F.max(F.col("feld") == "buchseite").alias("_page"))
+    lacking = pages.where("_made and not _page").select("schl_nr", F.lit("eintrag").alias("feld"), F.lit("Neuanlage braucht eine buchseite-Zeile").alias("meldung"))
+    return rows.select("schl_nr", "feld", said.alias("meldung")).unionByName(lacking)
 
 
 def _stage_edits(overlay: DataFrame) -> DataFrame:

@@ -55,13 +55,14 @@ def entries(answers: DataFrame) -> DataFrame:
     return rows.select("reader", "buchseite", seq.alias("seq"), reader_key(key).alias("schl_nr"), *heads, F.lit(FROM_READER).alias("status"), _true(F.col("e.unvollstaendig")).alias("unvollstaendig"), text_or_empty("e.stadien").alias("stadien"))
 
 
-def streets(answers: DataFrame) -> DataFrame:
-    return entries(answers).drop("stadien")
+def streets(answers: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """Entries without their stages. ``parsed`` is what :func:`entries` gives, where it is there already (also below)."""
+    return (parsed or entries(answers)).drop("stadien")
 
 
-def _items(answers: DataFrame) -> DataFrame:
+def _items(parsed: DataFrame) -> DataFrame:
     """A row for each item of a list of stages; numbers count items of any kind."""
-    rows = entries(answers).where(F.col("stadien").startswith("[")).select("reader", "buchseite", "seq", "schl_nr", F.posexplode(F.from_json("stadien", "array<string>")).alias("pos", "item"))
+    rows = parsed.where(F.col("stadien").startswith("[")).select("reader", "buchseite", "seq", "schl_nr", F.posexplode(F.from_json("stadien", "array<string>")).alias("pos", "item"))
     item = F.from_json("item", "struct<datum string, name string, urspruenglich string>")
     rows = rows.withColumns({"stadium": (F.col("pos") + 1).cast("int"), "is_object": F.coalesce(F.col("item").startswith("{"), F.lit(False)), "s": F.when(F.col("item").startswith("{"), item)})
     text = _text(F.col("s.datum"))
@@ -69,19 +70,20 @@ def _items(answers: DataFrame) -> DataFrame:
     return rows.withColumn("d", partial_date("text"))
 
 
-def stages(answers: DataFrame) -> DataFrame:
+def stages(answers: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     """Stages of all entries; a date that can't be read is unknown."""
-    return _items(answers).where("is_object").select(
+    return _items(parsed or entries(answers)).where("is_object").select(
         "reader", "seq", "schl_nr", "stadium", F.coalesce("d.gueltig_ab", F.lit("")).alias("gueltig_ab"), F.coalesce("d.praezision", F.lit("unbekannt")).alias("datum_praezision"), _text(F.col("s.name")).alias("name"),
         F.when(_true(F.col("s.urspruenglich")), TRUE).otherwise(FALSE).alias("ist_urspruenglich"),
     )
 
 
-def problems(answers: DataFrame) -> DataFrame:
+def problems(answers: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     """What doesn't fit the tables: reader, schl_nr, buchseite, feld, text, grund."""
-    no_list = entries(answers).where((F.col("stadien") != "") & ~F.col("stadien").startswith("[") & _true(F.col("stadien")))
+    parsed = parsed or entries(answers)
+    no_list = parsed.where((F.col("stadien") != "") & ~F.col("stadien").startswith("[") & _true(F.col("stadien")))
     no_list = no_list.select("reader", "schl_nr", "buchseite", F.lit("stadien").alias("feld"), cap_value("stadien").alias("text"), F.lit(Reason.STAGES_NO_LIST).alias("grund"))
-    items = _items(answers)
+    items = _items(parsed)
     number = F.concat(F.lit("stadium_"), F.col("stadium").cast("string"))
     no_object = items.where("not is_object").select("reader", "schl_nr", "buchseite", number.alias("feld"), cap_value(text_or_empty("item")).alias("text"), F.lit(Reason.STAGES_NO_LIST).alias("grund"))
     hints = F.filter(F.split("d.hinweis", "; "), lambda h: (h != "") & (h != Reason.NO_COLON))

@@ -52,7 +52,8 @@ class Comparison:
     def __init__(self, streets: DataFrame, stages: DataFrame, answers: DataFrame, reader: str):
         own = answers.where(F.col("reader") == reader).persist()  # parsed once; every list and figure reads it several times
         self.reader = reader
-        self.streets, self.stages, self.problems = R.streets(own).persist(), R.stages(own).persist(), R.problems(own).persist()
+        parsed = R.entries(own).persist()
+        self.streets, self.stages, self.problems = R.streets(own, parsed), R.stages(own, parsed).persist(), R.problems(own, parsed).persist()
         self.pages = own.where("coalesce(fehler, '') <> 'unlesbar' and eintraege is not null").select(F.col("buchseite").cast("int").alias("buchseite")).distinct()
         self.unread = own.where("coalesce(fehler, '') = 'unlesbar' or eintraege is null")
         self.tables = last_wins(streets).withColumn("buchseite", F.col("buchseite").cast("int")).join(self.pages, "buchseite", "left_semi")
@@ -66,7 +67,7 @@ class Comparison:
         fields = deviations(found, shown, read)
         self.deviations = fields.unionByName(self.problems.select("schl_nr", "feld")).distinct().persist()
 
-        self._kept = [own, self.streets, self.stages, self.problems, found, self.deviations]
+        self._kept = [own, parsed, self.stages, self.problems, found, self.deviations]
 
     def release(self) -> None:
         """Give up the tables that are held in memory."""
